@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def decode(code: Column | str, texts: dict[int, str], other: str | None) -> Column:
+def decode(code: str, texts: dict[int, str], other: str | None) -> Column:
     """Text of a code; ``other`` for an unknown or missing code (None: null)."""
-    pairs = [F.lit(x) for pair in texts.items() for x in pair]
-    code = F.col(code) if isinstance(code, str) else code
-    found = F.try_element_at(F.create_map(*pairs), code)
-    return found if other is None else F.coalesce(found, F.lit(other))
+    pairs = ", ".join(f"{key}, '{text}'" for key, text in texts.items())
+    found = f"try_element_at(map({pairs}), {code})"
+    return F.expr(found if other is None else f"coalesce({found}, '{other}')")
 
 
 def rounded(value: Column) -> Column:
@@ -40,8 +39,10 @@ def plus_months(moment: Column | str, months: int) -> Column:
 
 def full_name() -> Column:
     """Three parts; a missing part leaves its blanks."""
-    parts = [F.coalesce(F.col(c), F.lit("")) for c in ("given_name", "middle_name", "family_name")]
-    return F.concat_ws(" ", *parts)
+    return F.expr(
+        "concat(coalesce(given_name, ''), ' ', coalesce(middle_name, ''), ' ',"
+        " coalesce(family_name, ''))"
+    )
 
 
 def short_name() -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from carelens.functions import codes as C
 from carelens.functions.scalars import age, decode, full_name
 from carelens.operators.choose import answers_by_moment, counted_rows, first_row, look_up
-from carelens.operators.combine import repeat_rows, tally
+from carelens.operators.combine import repeat_rows, spread_join, tally
 from carelens.operators.evidence import (
     Trait,
     concept_in,
@@ -109,18 +109,6 @@ def all_regimens(t: ClinicalTables) -> DataFrame:
     )
 
 
-def referral_trait(name: str = "referencia") -> Trait:
-    """The smallest referral text."""
-    text = decode("value_coded", C.REFERRALS, C.OTHER)
-    return Trait(
-        name,
-        F.min,
-        answer=F.when(concept_in(C.REFERRAL) & type_in(C.OPENINGS), text),
-        types=C.OPENINGS,
-        concepts=(C.REFERRAL,),
-    )
-
-
 def referral_rows(t: ClinicalTables, p: ReportParams) -> DataFrame:
     rows = visit_answers(t, p, C.OPENINGS, (C.REFERRAL,))
     return rows.select("patient_id", decode("value_coded", C.REFERRALS, C.OTHER).alias("referencia"))
@@ -131,6 +119,12 @@ def referral_source(t: ClinicalTables, p: ReportParams) -> DataFrame:
     return live_patients(t, referral_rows(t, p))
 
 
+def smallest_referral(t: ClinicalTables, p: ReportParams) -> DataFrame:
+    """The smallest referral text. Kept apart from the other evidence: a text
+    in that aggregate would force it from hashing to sorting."""
+    return referral_rows(t, p).groupBy("patient_id").agg(F.min("referencia").alias("referencia"))
+
+
 def reference_person(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """The contact person: the smallest text. Deleted visits count here."""
     seen = at_site(t.encounter.where(F.col("encounter_type").isin(*C.OPENINGS)), p)
@@ -191,14 +185,16 @@ def openings(t: ClinicalTables, p: ReportParams, types: tuple[int, ...]) -> Data
     )
 
 
-def with_person(t: ClinicalTables, p: ReportParams, df: DataFrame, opened: str) -> DataFrame:
-    """Live person data with the age at opening and at the end."""
-    people = _as_patient(live(t.person)).select(
-        "patient_id", F.col("gender").alias("sexo"), "dead", "death_date", "birthdate"
+def live_people(t: ClinicalTables) -> DataFrame:
+    return _as_patient(live(t.person)).selectExpr(
+        "patient_id", "gender sexo", "dead", "death_date", "birthdate"
     )
+
+
+def with_ages(p: ReportParams, df: DataFrame, opened: str) -> DataFrame:
+    """Age at opening and at the end."""
     return (
-        df.join(people, "patient_id")
-        .withColumn("idade_abertura", age(F.col(opened), "birthdate"))
+        df.withColumn("idade_abertura", age(F.col(opened), "birthdate"))
         .withColumn("idade", age(p.end, "birthdate"))
         .drop("birthdate")
     )
@@ -208,7 +204,7 @@ def file_opened_in_period(t: ClinicalTables, p: ReportParams, types: tuple[int,
     rows = openings(t, p, types).select(
         "patient_id", F.col("encounter_datetime").alias("data_abertura"), "creator"
     )
-    return with_person(t, p, live_patients(t, rows), "data_abertura")
+    return with_ages(p, live_patients(t, rows).join(live_people(t), "patient_id"), "data_abertura")
 
 
 def part_b_trait(name: str = "parteB") -> Trait:
@@ -243,8 +239,9 @@ def register_rows(
         copies = copies * F.coalesce(F.col(f"_{alias}"), F.lit(1))
     # a register entry without the question shows '', like an unknown book
     shown = F.coalesce(decode("value_coded", books, None), F.lit(""))
+    # the entries of a site all have one location, hence the spread join
     return (
-        entries.join(t.location.select("location_id"), "location_id", "left_semi")
+        spread_join(entries, t.location.select("location_id"), "location_id")
         .join(answers(book, shown, "livro"), "encounter_id", "left")
         .join(answers(page, F.col("value_numeric"), "pagina"), "encounter_id", "left")
         .join(answers(line, F.col("value_numeric"), "linha"), "encounter_id", "left")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from carelens.operators.evidence import at_site
+from carelens.operators.evidence import at_site, concept_in
 from carelens.params import ReportParams
 from carelens.sources.tables import ClinicalTables, live
 
@@ -75,7 +75,7 @@ def answers_by_moment(
     very frequent patient are spread over many tasks, and the look-up itself is
     a join to a side that is already unique.
     """
-    rows = live(t.obs).where(F.col("concept_id").isin(*concepts))
+    rows = live(t.obs).where(concept_in(*concepts))
     if site is not None:
         rows = at_site(rows, site)
     keys = [F.col("person_id").alias("patient_id"), F.col("obs_datetime").alias("moment"), *by]

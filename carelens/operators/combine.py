@@ -22,7 +22,7 @@ def tally(df: DataFrame, *columns: str, n: str = "n") -> DataFrame:
 def times(*counts: str) -> Column:
     """Rows a left join would give: the product of the multiplicities, where no
     match still leaves one row."""
-    return reduce(lambda a, b: a * b, [F.coalesce(F.col(c), F.lit(1)).cast("long") for c in counts])
+    return F.expr(" * ".join(f"coalesce({c}, 1L)" for c in counts))
 
 
 def repeat_rows(df: DataFrame, n: Column) -> DataFrame:
@@ -42,34 +42,32 @@ def repeat_rows(df: DataFrame, n: Column) -> DataFrame:
 def spread_join(
     many: DataFrame, one: DataFrame, key: str, how: str = "inner", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """``many`` joined with ``one`` on ``key``, where ``many`` may hold a large
-    part of its rows under one key.
+    """``many`` joined with ``one`` on ``key`` (inner, or left to keep all of
+    ``many``), where ``many`` may hold a large part of its rows under one key.
 
     The rows of a hot key are dealt to ``ceil(rows / hot_rows)`` pieces by a
     hash of the whole row, and the matching rows of ``one`` are copied to each
     piece; other keys have a single piece. The list of hot keys has at most
     ``rows of many / hot_rows`` entries, which is what makes it fit a
     broadcast. Give ``many`` as distinct rows (``tally`` or ``distinct``): equal
-    rows fall in one piece, and the exchange of that aggregate is reused by the
-    count below.
+    rows fall in one piece, and for an inner join the exchange of that aggregate
+    is reused by the count.
     """
+    if how == "inner":
+        many = many.where(F.col(key).isNotNull())
     columns = [c for c in many.columns if c != key]
     hot = F.broadcast(
         many.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(key, F.ceil(F.col("_rows") / hot_rows).cast("long").alias("_pieces"))
+        .where(f"_rows > {hot_rows} and {key} is not null")
+        .selectExpr(key, f"cast(ceil(_rows / {hot_rows}) as bigint) _pieces")
     )
-    pieces = F.coalesce(F.col("_pieces"), F.lit(1).cast("long"))
-    dealt = (
-        many.join(hot, key, "left")
-        .withColumn("_piece", F.pmod(F.xxhash64(*columns), pieces))
-        .drop("_pieces")
-    )
-    copied = (
-        one.join(hot, key, "left")
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
-        .drop("_pieces")
+    # a missing key matches nothing, so its rows may lie anywhere
+    piece = f"""case when {key} is null then xxhash64({', '.join(columns)})
+                else pmod(xxhash64({', '.join(columns)}), coalesce(_pieces, 1L)) end"""
+    dealt = many.join(hot, key, "left").selectExpr(key, *columns, f"{piece} _piece")
+    copied = one.join(hot, key, "left").selectExpr(
+        *one.columns, "explode(sequence(0L, coalesce(_pieces, 1L) - 1L)) _piece"
     )
     return dealt.join(copied, [key, "_piece"], how).drop("_piece")
 

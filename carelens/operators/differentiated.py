@@ -88,7 +88,7 @@ def dsd_model_enrolment(t: ClinicalTables, p: ReportParams) -> DataFrame:
     return live_patients(t, first).select(
         "patient_id",
         F.col("_first.encounter_datetime").alias("data_inclusao_mdc"),
-        decode(F.col("_first.concept_id"), C.CARE_MODELS, C.OTHER_MODEL).alias("tipo_modelo"),
+        decode("_first.concept_id", C.CARE_MODELS, C.OTHER_MODEL).alias("tipo_modelo"),
     )
 
 

@@ -37,7 +37,7 @@ def visits(
     until_end: bool = True,
 ) -> DataFrame:
     """Live visits of some types."""
-    rows = live(t.encounter).where(F.col("encounter_type").isin(*types))
+    rows = live(t.encounter).where(type_in(types))
     if site:
         rows = at_site(rows, p)
     return rows.where(F.col("encounter_datetime") <= p.end) if until_end else rows
@@ -58,7 +58,7 @@ def visit_answers(
     )
     answers = (
         live(t.obs)
-        .where(F.col("concept_id").isin(*concepts))
+        .where(concept_in(*concepts))
         .select(
             "encounter_id",
             "concept_id",
@@ -74,7 +74,7 @@ def visit_answers(
 
 
 def programs(t: ClinicalTables, p: ReportParams, wanted: tuple[int, ...], *, site: bool = True) -> DataFrame:
-    rows = live(t.patient_program).where(F.col("program_id").isin(*wanted))
+    rows = live(t.patient_program).where(in_list("program_id", wanted))
     return at_site(rows, p) if site else rows
 
 
@@ -120,18 +120,22 @@ def patient_traits(
         rows = programs(t, p, _merged(x.program_ids for x in enrolled))
         parts.append(rows.select("patient_id", *[x.program.alias(x.name) for x in enrolled]))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    known = reduce(lambda a, b: a | b, [F.col(x.name).isNotNull() for x in traits])
+    known = " or ".join(f"{x.name} is not null" for x in traits)
     return rows.where(known).groupBy("patient_id").agg(
         *[x.pick(x.name).alias(x.name) for x in traits]
     )
 
 
+def in_list(column: str, values: tuple[int, ...]) -> Column:
+    return F.expr(f"{column} in ({', '.join(map(str, values))})")
+
+
 def type_in(types: tuple[int, ...]) -> Column:
-    return F.col("encounter_type").isin(*types)
+    return in_list("encounter_type", types)
 
 
 def concept_in(*ids: int) -> Column:
-    return F.col("concept_id").isin(*ids)
+    return in_list("concept_id", ids)
 
 
 # --- treatment start ---------------------------------------------------------
@@ -278,7 +282,7 @@ def pregnancy_trait(p: ReportParams, rule: str, name: str = "gravida") -> Trait:
             return F.col(moment) <= p.end
         return F.col(moment).between(p.end_minus_months(r.months), p.end)
 
-    told = (concept_in(C.PREGNANT) & F.col("value_coded").isin(*r.answers)) | concept_in(
+    told = (concept_in(C.PREGNANT) & in_list("value_coded", r.answers)) | concept_in(
         C.PREGNANCY_WEEKS, C.DUE_DATE
     )
     counts = type_in(r.types) & told

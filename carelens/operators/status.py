@@ -9,6 +9,7 @@ from carelens.functions.scalars import care_status, decode, plus_days
 from carelens.operators.choose import answers_by_moment, counted_rows, look_up
 from carelens.operators.combine import repeat_rows, spread_join, tally
 from carelens.operators.evidence import (
+    in_list,
     last_given_trait,
     last_visit_trait,
     live_patients,
@@ -25,7 +26,7 @@ def program_states(t: ClinicalTables, p: ReportParams, program: int, states: tup
     enrolled = programs(t, p, (program,)).select("patient_program_id", "patient_id", "date_enrolled")
     turned = (
         live(t.patient_state)
-        .where(F.col("state").isin(*states))
+        .where(in_list("state", states))
         .select("patient_program_id", "state", "start_date", "end_date")
     )
     return enrolled.join(turned, "patient_program_id")

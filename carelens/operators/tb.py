@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from carelens.functions import codes as C
 from carelens.functions.scalars import months_between_rounded
 from carelens.operators.choose import answers_by_moment, counted_rows, look_up
-from carelens.operators.combine import repeat_rows
+from carelens.operators.combine import repeat_rows, spread_join
 from carelens.operators.evidence import Trait, concept_in, type_in, live_patients, patient_traits
 from carelens.params import ReportParams
 from carelens.sources.tables import ClinicalTables
@@ -183,4 +183,4 @@ def patient_sites(t: ClinicalTables) -> DataFrame:
     """Distinct site names of each patient over all visits, deleted included.
     The pairs are reduced before the names are attached."""
     pairs = t.encounter.select("patient_id", "location_id").distinct()
-    return pairs.join(t.location, "location_id").select("patient_id", "name").distinct()
+    return spread_join(pairs, t.location, "location_id").select("patient_id", "name").distinct()

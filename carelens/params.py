@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 
 def midnight(day: date) -> Column:
     """A parameter date compared with a timestamp means 00:00 of that day."""
-    return F.lit(day).cast("timestamp_ntz")
+    return F.expr(f"timestamp_ntz'{day.isoformat()} 00:00:00'")
 
 
 @dataclass(frozen=True)
@@ -34,5 +34,5 @@ class ReportParams:
     def end_minus_months(self, months: int, plus_days: int = 0) -> Column:
         """The closing date moved back by calendar months (the day is clamped
         to the length of the month) and then forward by days."""
-        moved = F.add_months(F.lit(self.end_date), -months)
-        return F.date_add(moved, plus_days).cast("timestamp_ntz")
+        moved = f"date_add(add_months(date'{self.end_date.isoformat()}', {-months}), {plus_days})"
+        return F.expr(f"cast({moved} as timestamp_ntz)")

@@ -68,6 +68,7 @@ def _with_contact_details(t: ClinicalTables, p: ReportParams, df: DataFrame) ->
         .join(A.first_identifier(t, "nid"), "patient_id", "left")
         .join(A.first_name(t, "nome"), "patient_id", "left")
         .join(phones, "patient_id", "left")
+        .join(A.smallest_referral(t, p), "patient_id", "left")
         .join(A.reference_person(t, p), "patient_id", "left")
         .join(A.first_address(t), "patient_id", "left")
         .withColumn("idade", age(p.end, "birthdate", 360))
@@ -94,7 +95,6 @@ def _eligible(t: ClinicalTables, p: ReportParams, months: int, pregnant: bool) -
         E.pregnancy_trait(p, "recent"),
         E.any_vl_trait(p),
         E.last_vl_trait(p),
-        A.referral_trait(),
     ).where(F.col("data_inicio").isNotNull() & _on_treatment(p, months) & wanted)
     tested = look_up(
         E.live_patients(t, found).join(people, "patient_id"),
@@ -131,7 +131,6 @@ def vl_failure(t: ClinicalTables, p: ReportParams) -> DataFrame:
         E.start_trait(p, "viral_load"),
         E.last_visit_trait(p, (C.PICKUP,), "data_fila"),
         E.last_vl_trait(p),
-        A.referral_trait(),
     ).where(
         F.col("data_inicio").isNotNull()
         & _on_treatment(p, 6)
@@ -229,9 +228,10 @@ def _opened(t: ClinicalTables, p: ReportParams, types: tuple[int, ...]) -> DataF
 
 
 def _profiles(t: ClinicalTables, opened: DataFrame, traits: DataFrame) -> DataFrame:
-    """One row per live patient with an opening, with what is known of them."""
+    """One row per live patient and person with an opening, with what is known
+    of them."""
     ids = E.live_patients(t, opened.select("patient_id").distinct())
-    return ids.join(traits, "patient_id", "left")
+    return ids.join(A.live_people(t), "patient_id").join(traits, "patient_id", "left")
 
 
 def _names(t: ClinicalTables) -> DataFrame:
@@ -267,9 +267,10 @@ def _referrals(t: ClinicalTables, p: ReportParams) -> DataFrame:
     return tally(A.referral_rows(t, p), "patient_id", "referencia", n="n_referral")
 
 
-def _with_users(t: ClinicalTables, df: DataFrame) -> DataFrame:
-    users = t.users.select(F.col("user_id").alias("creator"), F.col("username").alias("utilizador"))
-    return df.join(users, "creator", "left")
+def _with_users(t: ClinicalTables, df: DataFrame, **spread) -> DataFrame:
+    """Attach the user who keyed in the file; one user may have keyed in most."""
+    users = t.users.selectExpr("user_id creator", "username utilizador")
+    return spread_join(df, users, "creator", "left", **spread)
 
 
 def entered_master_card(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
@@ -309,8 +310,9 @@ def entered_master_card(t: ClinicalTables, p: ReportParams, **spread) -> DataFra
         "n_visit", "n_stage", "n_name", "n_referral", "n_inscricao_cuidado", "n_address",
         "n_exit", "n_tb", "n_ptv",
     )
-    joined = spread_join(opened, one.withColumn("n_copies", copies), "patient_id", **spread)
-    rows = _with_users(t, A.with_person(t, p, joined, "data_abertura"))
+    named = _with_users(t, opened, **spread)
+    joined = spread_join(named, one.withColumn("n_copies", copies), "patient_id", **spread)
+    rows = A.with_ages(p, joined, "data_abertura")
     return repeat_rows(rows, F.col("n_opened") * F.col("n_copies")).select(
         "patient_id", "NID", _shown_name(), "sexo", "dead", "death_date", "idade_abertura",
         "idade", "referencia", "inscricao_cuidado", "data_inicio", "data_ultimo_segmento",
@@ -367,8 +369,9 @@ def entered_full(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
         "n_inscricao_cuidado", "n_inscricao_tratamento", "n_programa_tb", "n_programa_ptv",
         "n_pre", "n_exit", "n_address",
     )
-    joined = spread_join(opened, one.withColumn("n_copies", copies), "patient_id", **spread)
-    rows = _with_users(t, A.with_person(t, p, joined, "data_abertura"))
+    named = _with_users(t, opened, **spread)
+    joined = spread_join(named, one.withColumn("n_copies", copies), "patient_id", **spread)
+    rows = A.with_ages(p, joined, "data_abertura")
     before = care_status(
         F.col("pre"), F.col("data_proximo_segmento"), p.end, "SEM DATA DA PROXIMA CONSULTA"
     )

@@ -1,0 +1,47 @@
+"""Derived tables kept for the life of the application in the shared folder."""
+
+from __future__ import annotations
+
+import hashlib
+import tempfile
+from collections.abc import Callable
+
+from pyspark.sql import SparkSession
+
+_own_folder: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder named by ``spark.checkpoint.dir``. A local session without
+    one gets a temporary folder (removed when Python exits); a cluster without one has none."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        return None
+    app = spark.sparkContext.applicationId
+    if app not in _own_folder:
+        _own_folder[app] = tempfile.TemporaryDirectory(prefix="carelens-")
+    return _own_folder[app].name
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    found = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def shared_copy(
+    spark: SparkSession, source: str, name: str, write: Callable[[str], None]
+) -> str | None:
+    """Path of a stored copy of a table derived from ``source``, written on
+    first use by this application; None when there is no shared folder. Being a
+    finished table, the copy does not depend on any executor staying alive."""
+    folder = shared_folder(spark)
+    if folder is None:
+        return None
+    key = hashlib.sha256(source.encode()).hexdigest()[:16]
+    path = f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}/{key}/{name}"
+    if not _exists(spark, path):
+        write(path)
+    return path

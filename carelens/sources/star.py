@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carelens.schema import SCHEMAS
-from carelens.sources.tables import ClinicalTables
+from carelens.sources.shared import shared_copy
+from carelens.sources.tables import ClinicalTables, read_table, store_table, typed
 
 
 def _pick(key: str, values: str) -> str:
@@ -30,6 +31,20 @@ _CONCEPTS = {
     "33": "6264,6266,6268",
 }
 
+_CODED = (
+    f"case when cid = 1255 then {_pick('v', '1256,1257')}"
+    f" when cid = 1088 then {_pick('v', '1651,6324,1703,6243,6108,23784,9999')}"
+    f" when cid = 1982 then {_pick('v', '44,1465,1066')}"
+    " when cid in (6257,23758) then cast(1065+v%2 as int)"
+    f" when cid in (6277,23761) then {_pick('v', '703,664,1065')}"
+    f" when cid = 6122 then {_pick('v', '1256,1267')}"
+    " when cid = 5356 then 1204+v%5"
+    f" when cid = 1594 then {_pick('v', '1595,1596,1414,9999')}"
+    " when cid in (23779,1030) then 703 when cid in (1040,23865,5272) then 1065"
+    " when cid = 6263 then 6259+v%2 when cid = 6264 then 6261+v%2"
+    " when cid in (23724,23730) then 1256 end"
+)
+
 _BIRTH = (
     "cast(timestamp_ntz'1955-01-01 00:00:00' + make_dt_interval(cast((c_custkey*37)%15000 as int))"
     " as date)"
@@ -37,10 +52,6 @@ _BIRTH = (
 _VOID_PATIENT = "case when c_custkey%50 = 7 then 1 else 0 end"
 
 
-def _typed(name: str, df: DataFrame) -> DataFrame:
-    return df.select([F.col(c.name).cast(c.dataType).alias(c.name) for c in SCHEMAS[name]])
-
-
 def _copies(customer: DataFrame, second: str) -> DataFrame:
     """One row k=0 per customer and one more, k=1, where ``second`` holds."""
     return customer.withColumn(
@@ -48,137 +59,178 @@ def _copies(customer: DataFrame, second: str) -> DataFrame:
     )
 
 
-def clinical_from_star(spark: SparkSession, sf_dir: str) -> ClinicalTables:
-    star = {
-        n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
-        for n in ("customer", "orders", "lineitem", "nation", "supplier")
-    }
-    customer = star["customer"]
-    out: dict[str, DataFrame] = {}
-
-    out["patient"] = customer.selectExpr("c_custkey patient_id", f"{_VOID_PATIENT} voided")
-    out["person"] = customer.selectExpr(
-        "c_custkey person_id",
-        "case when (c_custkey div 2)%2 = 0 then 'F' else 'M' end gender",
-        f"{_BIRTH} birthdate",
-        "case when c_custkey%29 = 0 then 1 else 0 end dead",
-        "case when c_custkey%29 = 0 then date'2001-06-01' end death_date",
-        f"{_VOID_PATIENT} voided",
-    )
-    out["person_name"] = _copies(customer, "c_custkey%5 = 2").selectExpr(
-        "c_custkey*2+k person_name_id",
-        "c_custkey person_id",
-        "c_mktsegment given_name",
-        "case when c_custkey%3 = 0 then null else concat('M', k) end middle_name",
-        "c_name family_name",
-        "1-k preferred",
-        "case when k = 0 and c_custkey%19 = 5 then 1 else 0 end voided",
-    )
-    out["person_address"] = (
-        _copies(customer, "c_custkey%7 = 3")
-        .join(star["nation"], F.col("n_nationkey") == F.col("c_nationkey"))
-        .selectExpr(
-            "c_custkey*2+k person_address_id",
+def _concept_rule() -> str:
+    """The concept by visit type and part: one flat list, where each visit type
+    has a first place and a number of places."""
+    first, size, flat = [], [], []
+    for kinds, values in _CONCEPTS.items():
+        own = values.split(",")
+        first.append(f"when encounter_type in ({kinds}) then {len(flat)}")
+        size.append(f"when encounter_type in ({kinds}) then {len(own)}")
+        flat += own
+    place = f"case {' '.join(first)} end + l_partkey % case {' '.join(size)} end + 1"
+    return f"element_at(array({','.join(flat)}), cast({place} as int))"
+
+
+class _Star:
+    """The clinical tables, each as a view of the star tables it needs."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+
+    def _read(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+
+    def patient(self) -> DataFrame:
+        return self._read("customer").selectExpr("c_custkey patient_id", f"{_VOID_PATIENT} voided")
+
+    def person(self) -> DataFrame:
+        return self._read("customer").selectExpr(
+            "c_custkey person_id",
+            "case when (c_custkey div 2)%2 = 0 then 'F' else 'M' end gender",
+            f"{_BIRTH} birthdate",
+            "case when c_custkey%29 = 0 then 1 else 0 end dead",
+            "case when c_custkey%29 = 0 then date'2001-06-01' end death_date",
+            f"{_VOID_PATIENT} voided",
+        )
+
+    def person_name(self) -> DataFrame:
+        return _copies(self._read("customer"), "c_custkey%5 = 2").selectExpr(
+            "c_custkey*2+k person_name_id",
             "c_custkey person_id",
-            "n_name county_district",
-            "concat('A1-', k) address1",
-            "'A2' address2",
-            "'A5' address5",
-            "'A6' address6",
+            "c_mktsegment given_name",
+            "case when c_custkey%3 = 0 then null else concat('M', k) end middle_name",
+            "c_name family_name",
             "1-k preferred",
-            "case when k = 0 and c_custkey%23 = 6 then 1 else 0 end voided",
+            "case when k = 0 and c_custkey%19 = 5 then 1 else 0 end voided",
         )
-    )
-    out["person_attribute"] = customer.selectExpr(
-        "c_custkey person_id",
-        "case when c_custkey%4 = 0 then 8 else 9 end person_attribute_type_id",
-        "concat('tel-', c_custkey) value",
-    )
-    out["patient_identifier"] = _copies(customer, "c_custkey%4 = 1").selectExpr(
-        "c_custkey*2+k patient_identifier_id",
-        "c_custkey patient_id",
-        "concat(c_name, '/', k) identifier",
-        "case when c_custkey%3 = 0 then 13 when c_custkey%11 = 0 then 5 else 2 end identifier_type",
-        "1-k preferred",
-        "case when k = 0 and c_custkey%17 = 4 then 1 else 0 end voided",
-    )
-    out["location"] = star["nation"].selectExpr("n_nationkey location_id", "n_name name")
-    out["users"] = star["supplier"].selectExpr("s_suppkey user_id", "s_name username")
-
-    encounter = star["orders"].selectExpr(
-        "o_orderkey encounter_id",
-        "o_custkey patient_id",
-        f"{_pick('o_orderkey', _VISIT_TYPES)} encounter_type",
-        "o_orderdate encounter_datetime",
-        "o_custkey%2 location_id",
-        "o_orderkey%10 creator",
-        "o_orderdate + interval '1' day date_created",
-        "case when o_orderkey%20 in (13, 18) then 164 end form_id",
-        "case when o_orderkey%41 = 3 then 1 else 0 end voided",
-    )
-    out["encounter"] = encounter
 
-    concept = " ".join(
-        f"when encounter_type in ({kinds}) then {_pick('l_partkey', values)}"
-        for kinds, values in _CONCEPTS.items()
-    )
-    coded = (
-        f"case when cid = 1255 then {_pick('v', '1256,1257')}"
-        f" when cid = 1088 then {_pick('v', '1651,6324,1703,6243,6108,23784,9999')}"
-        f" when cid = 1982 then {_pick('v', '44,1465,1066')}"
-        " when cid in (6257,23758) then cast(1065+v%2 as int)"
-        f" when cid in (6277,23761) then {_pick('v', '703,664,1065')}"
-        f" when cid = 6122 then {_pick('v', '1256,1267')}"
-        " when cid = 5356 then 1204+v%5"
-        f" when cid = 1594 then {_pick('v', '1595,1596,1414,9999')}"
-        " when cid in (23779,1030) then 703 when cid in (1040,23865,5272) then 1065"
-        " when cid = 6263 then 6259+v%2 when cid = 6264 then 6261+v%2"
-        " when cid in (23724,23730) then 1256 end"
-    )
-    out["obs"] = (
-        star["lineitem"]
-        .selectExpr("l_orderkey encounter_id", "l_partkey", "l_quantity", "l_extendedprice",
-                    "cast(l_suppkey+l_linenumber as int) v")
-        .join(encounter.drop("voided", "creator", "date_created", "form_id"), "encounter_id")
-        .withColumn("cid", F.expr(f"case {concept} end"))
-        .where("cid is not null")
-        .selectExpr(
-            "patient_id person_id",
-            "encounter_id",
-            "encounter_datetime obs_datetime",
-            "location_id",
-            "cid concept_id",
-            f"{coded} value_coded",
-            "case when cid = 856 then case when v%11 = 0 then -1.0D when v%13 = 0 then null"
-            " else l_extendedprice/50 end when cid = 5497 then l_extendedprice/100"
-            " when cid in (6265,6266,6267,6268) then l_quantity end value_numeric",
-            "case when cid in (5096,1410) then encounter_datetime"
-            " + make_dt_interval(cast(10+l_quantity as int))"
-            " when cid in (1190,6123,23866,23891,6128) then encounter_datetime"
-            " - make_dt_interval(cast(l_quantity as int))"
-            " when cid = 6129 then encounter_datetime + interval '180' day end value_datetime",
-            "case when cid in (1611,6224) then concat('ref-', v) end value_text",
-            "case when v%43 = 5 then 1 else 0 end voided",
+    def person_address(self) -> DataFrame:
+        return (
+            _copies(self._read("customer"), "c_custkey%7 = 3")
+            .join(self._read("nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+            .selectExpr(
+                "c_custkey*2+k person_address_id",
+                "c_custkey person_id",
+                "n_name county_district",
+                "concat('A1-', k) address1",
+                "'A2' address2",
+                "'A5' address5",
+                "'A6' address6",
+                "1-k preferred",
+                "case when k = 0 and c_custkey%23 = 6 then 1 else 0 end voided",
+            )
         )
-    )
 
-    program = star["orders"].where("o_orderkey%3 = 0").selectExpr(
-        "o_orderkey patient_program_id",
-        "o_custkey patient_id",
-        f"{_pick('o_orderkey', '1,2,2,5,8')} program_id",
-        "o_orderdate date_enrolled",
-        "o_custkey%2 location_id",
-        "case when o_orderkey%41 = 3 then 1 else 0 end voided",
-    )
-    out["patient_program"] = program
-    turn = "patient_program_id div 15"
-    out["patient_state"] = program.selectExpr(
-        "patient_program_id",
-        f"case when program_id = 1 then {_pick(turn, '2,3,4,5')}"
-        f" else {_pick(turn, '7,8,9,10,29')} end state",
-        f"date_enrolled + make_dt_interval(case when ({turn})%5 = 4 then 0 else 200 end) start_date",
-        "case when (patient_program_id div 7)%3 = 0 then null"
-        " else date_enrolled + interval '400' day end end_date",
-        "case when patient_program_id%37 = 5 then 1 else 0 end voided",
-    )
-    return ClinicalTables(**{name: _typed(name, df) for name, df in out.items()})
+    def person_attribute(self) -> DataFrame:
+        return self._read("customer").selectExpr(
+            "c_custkey person_id",
+            "case when c_custkey%4 = 0 then 8 else 9 end person_attribute_type_id",
+            "concat('tel-', c_custkey) value",
+        )
+
+    def patient_identifier(self) -> DataFrame:
+        return _copies(self._read("customer"), "c_custkey%4 = 1").selectExpr(
+            "c_custkey*2+k patient_identifier_id",
+            "c_custkey patient_id",
+            "concat(c_name, '/', k) identifier",
+            "case when c_custkey%3 = 0 then 13 when c_custkey%11 = 0 then 5 else 2 end identifier_type",
+            "1-k preferred",
+            "case when k = 0 and c_custkey%17 = 4 then 1 else 0 end voided",
+        )
+
+    def location(self) -> DataFrame:
+        return self._read("nation").selectExpr("n_nationkey location_id", "n_name name")
+
+    def users(self) -> DataFrame:
+        return self._read("supplier").selectExpr("s_suppkey user_id", "s_name username")
+
+    def encounter(self) -> DataFrame:
+        return self._read("orders").selectExpr(
+            "o_orderkey encounter_id",
+            "o_custkey patient_id",
+            f"{_pick('o_orderkey', _VISIT_TYPES)} encounter_type",
+            "o_orderdate encounter_datetime",
+            "o_custkey%2 location_id",
+            "o_orderkey%10 creator",
+            "o_orderdate + interval '1' day date_created",
+            "case when o_orderkey%20 in (13, 18) then 164 end form_id",
+            "case when o_orderkey%41 = 3 then 1 else 0 end voided",
+        )
+
+    def obs(self) -> DataFrame:
+        seen = self.encounter().select(
+            "encounter_id", "patient_id", "encounter_type", "encounter_datetime", "location_id"
+        )
+        return (
+            self._read("lineitem")
+            .selectExpr(
+                "l_orderkey encounter_id", "l_partkey", "l_quantity", "l_extendedprice",
+                "cast(l_suppkey+l_linenumber as int) v",
+            )
+            .join(seen, "encounter_id")
+            .withColumn("cid", F.expr(_concept_rule()))
+            .where("cid is not null")
+            .selectExpr(
+                "patient_id person_id",
+                "encounter_id",
+                "encounter_datetime obs_datetime",
+                "location_id",
+                "cid concept_id",
+                f"{_CODED} value_coded",
+                "case when cid = 856 then case when v%11 = 0 then -1.0D when v%13 = 0 then null"
+                " else l_extendedprice/50 end when cid = 5497 then l_extendedprice/100"
+                " when cid in (6265,6266,6267,6268) then l_quantity end value_numeric",
+                "case when cid in (5096,1410) then encounter_datetime"
+                " + make_dt_interval(cast(10+l_quantity as int))"
+                " when cid in (1190,6123,23866,23891,6128) then encounter_datetime"
+                " - make_dt_interval(cast(l_quantity as int))"
+                " when cid = 6129 then encounter_datetime + interval '180' day end value_datetime",
+                "case when cid in (1611,6224) then concat('ref-', v) end value_text",
+                "case when v%43 = 5 then 1 else 0 end voided",
+            )
+        )
+
+    def patient_program(self) -> DataFrame:
+        return self._read("orders").where("o_orderkey%3 = 0").selectExpr(
+            "o_orderkey patient_program_id",
+            "o_custkey patient_id",
+            f"{_pick('o_orderkey', '1,2,2,5,8')} program_id",
+            "o_orderdate date_enrolled",
+            "o_custkey%2 location_id",
+            "case when o_orderkey%41 = 3 then 1 else 0 end voided",
+        )
+
+    def patient_state(self) -> DataFrame:
+        turn = "patient_program_id div 15"
+        return self.patient_program().selectExpr(
+            "patient_program_id",
+            f"case when program_id = 1 then {_pick(turn, '2,3,4,5')}"
+            f" else {_pick(turn, '7,8,9,10,29')} end state",
+            f"date_enrolled + make_dt_interval(case when ({turn})%5 = 4 then 0 else 200 end) start_date",
+            "case when (patient_program_id div 7)%3 = 0 then null"
+            " else date_enrolled + interval '400' day end end_date",
+            "case when patient_program_id%37 = 5 then 1 else 0 end voided",
+        )
+
+
+def clinical_from_star(spark: SparkSession, sf_dir: str, *, share_obs: bool = False) -> ClinicalTables:
+    """Views of the star. With ``share_obs`` the observations, which reports
+    read many times and which cost a join of the two largest star tables, are
+    stored once per application (see ``shared_copy``)."""
+    star = _Star(spark, sf_dir)
+
+    def view(name: str) -> DataFrame:
+        return typed(name, getattr(star, name)())
+
+    def obs() -> DataFrame:
+        path = None
+        if share_obs:
+            path = shared_copy(
+                spark, sf_dir, "obs", lambda target: store_table("obs", view("obs"), target)
+            )
+        return view("obs") if path is None else read_table(spark, "obs", path)
+
+    tables = {name: (lambda name=name: view(name)) for name in SCHEMAS}
+    tables["obs"] = obs
+    return ClinicalTables(**tables)

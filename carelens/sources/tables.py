@@ -2,30 +2,34 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carelens.schema import SCHEMAS
 
 
-@dataclass(frozen=True)
 class ClinicalTables:
-    patient: DataFrame
-    person: DataFrame
-    person_name: DataFrame
-    person_address: DataFrame
-    person_attribute: DataFrame
-    patient_identifier: DataFrame
-    location: DataFrame
-    users: DataFrame
-    encounter: DataFrame
-    obs: DataFrame
-    patient_program: DataFrame
-    patient_state: DataFrame
+    """The twelve tables as attributes. A table may be given as a function,
+    which is called when the table is first used."""
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        missing = set(SCHEMAS) ^ set(tables)
+        if missing:
+            raise ValueError(f"tables missing or unknown: {sorted(missing)}")
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._tables:
+            raise AttributeError(name)
+        found = self._tables[name]
+        if not isinstance(found, DataFrame):
+            found = self._tables[name] = found()
+        return found
 
     def named(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in SCHEMAS}
 
 
 # The column on which a database read is cut into ranges.
@@ -67,19 +71,27 @@ class JdbcSource:
         return spark.read.option("preferTimestampNTZ", "true").jdbc(self.url, name, **options)
 
 
+def typed(name: str, df: DataFrame) -> DataFrame:
+    """The columns of a table in order, cast to its types."""
+    return df.selectExpr(
+        *[f"cast({c.name} as {c.dataType.simpleString()}) {c.name}" for c in SCHEMAS[name]]
+    )
+
+
+def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    schema = SCHEMAS[name]
+    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
+
+
 def load_tables(spark: SparkSession, source: str | JdbcSource) -> ClinicalTables:
-    """Read the twelve tables from a folder of Parquet tables or a database."""
-    found = {}
-    for name, schema in SCHEMAS.items():
+    """The twelve tables of a folder of Parquet tables or of a database."""
+
+    def reader(name: str) -> Callable[[], DataFrame]:
         if isinstance(source, JdbcSource):
-            raw = source.read(spark, name)
-            found[name] = raw.select(
-                [F.col(c.name).cast(c.dataType).alias(c.name) for c in schema]
-            )
-        else:
-            raw = spark.read.schema(schema).parquet(f"{source}/{name}")
-            found[name] = raw.select(schema.fieldNames())
-    return ClinicalTables(**found)
+            return lambda: typed(name, source.read(spark, name))
+        return lambda: read_table(spark, name, f"{source}/{name}")
+
+    return ClinicalTables(**{name: reader(name) for name in SCHEMAS})
 
 
 # Folders by which the two fact tables are pruned: every report names the visit
@@ -87,21 +99,21 @@ def load_tables(spark: SparkSession, source: str | JdbcSource) -> ClinicalTables
 _FOLDERS = {"encounter": "encounter_type", "obs": "concept_id"}
 
 
-def store_tables(tables: ClinicalTables, target: str, pieces: int = 8) -> None:
-    """Write an extract that ``load_tables`` reads back, with the fact tables
-    foldered by visit type and by concept. The rows of one folder are spread
-    over ``pieces`` tasks (one file each): a concept that holds a third of all
-    rows is not written by a single task, and a folder does not fall into as
-    many files as there were input splits. Raise ``pieces`` with the data."""
+def store_table(name: str, df: DataFrame, path: str) -> None:
+    """Write one table, a fact table in folders. The rebalance gathers a folder
+    in few files, and splits it over many tasks where it is large: a concept
+    that holds a third of all rows is not written by one task."""
+    folder = _FOLDERS.get(name)
+    if folder is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        df.hint("rebalance", folder).write.mode("overwrite").partitionBy(folder).parquet(path)
+
+
+def store_tables(tables: ClinicalTables, target: str) -> None:
+    """Write an extract that ``load_tables`` reads back."""
     for name, df in tables.named().items():
-        folder = _FOLDERS.get(name)
-        if folder is None:
-            df.write.mode("overwrite").parquet(f"{target}/{name}")
-            continue
-        piece = F.pmod(F.xxhash64(*df.columns), F.lit(pieces))
-        df.repartition(F.col(folder), piece).write.mode("overwrite").partitionBy(folder).parquet(
-            f"{target}/{name}"
-        )
+        store_table(name, df, f"{target}/{name}")
 
 
 def live(df: DataFrame) -> DataFrame:

@@ -159,7 +159,8 @@ class _Star:
         )
 
     def obs(self) -> DataFrame:
-        seen = self.encounter().select(
+        # visits of other types have no observations
+        seen = self.encounter().where(f"encounter_type in ({','.join(_CONCEPTS)})").select(
             "encounter_id", "patient_id", "encounter_type", "encounter_datetime", "location_id"
         )
         return (
@@ -170,7 +171,6 @@ class _Star:
             )
             .join(seen, "encounter_id")
             .withColumn("cid", F.expr(_concept_rule()))
-            .where("cid is not null")
             .selectExpr(
                 "patient_id person_id",
                 "encounter_id",

@@ -22,7 +22,6 @@ from carelens.operators import status as S
 from carelens.operators import tb as TB
 from carelens.operators.choose import (
     answers_by_moment,
-    counted_rows,
     earliest,
     first_row,
     first_second_last,
@@ -311,14 +310,14 @@ def latest_event(t):
 @query
 def latest_event_join_value(t):
     last = latest(E.visits(t, SITE, (C.PICKUP,)), "patient_id", "encounter_datetime", "ultimo")
-    booked = answers_by_moment(t, (C.NEXT_PICKUP,), F.col("value_datetime"), **counted_rows())
+    booked = answers_by_moment(t, (C.NEXT_PICKUP,), "value_datetime", n="count(1)")
     return repeat_rows(look_up(last, "ultimo", booked, "inner"), F.col("n")).drop("n")
 
 
 @query
 def earliest_event_join_value(t):
     first = earliest(E.visits(t, SITE, (C.LABORATORY,)), "patient_id", "encounter_datetime", "primeiro")
-    found = answers_by_moment(t, (C.CD4, C.VIRAL_LOAD), F.col("value_numeric"), **counted_rows())
+    found = answers_by_moment(t, (C.CD4, C.VIRAL_LOAD), "value_numeric", n="count(1)")
     return repeat_rows(look_up(first, "primeiro", found, "inner"), F.col("n")).drop("n")
 
 

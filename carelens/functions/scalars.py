@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def decode(code: str, texts: dict[int, str], other: str | None) -> Column:
+def decode_sql(code: str, texts: dict[int, str], other: str | None) -> str:
     """Text of a code; ``other`` for an unknown or missing code (None: null)."""
     pairs = ", ".join(f"{key}, '{text}'" for key, text in texts.items())
     found = f"try_element_at(map({pairs}), {code})"
-    return F.expr(found if other is None else f"coalesce({found}, '{other}')")
+    return found if other is None else f"coalesce({found}, '{other}')"
+
+
+def decode(code: str, texts: dict[int, str], other: str | None) -> Column:
+    return F.expr(decode_sql(code, texts, other))
 
 
 def rounded(value: Column) -> Column:
@@ -50,17 +54,18 @@ def short_name() -> Column:
     return F.concat(F.col("given_name"), F.lit(" "), F.col("family_name"))
 
 
-def number_text(value: Column | str) -> Column:
+def number_text_sql(value: str) -> str:
     """A number without trailing zeros: 1000, 10.5."""
-    value = F.col(value) if isinstance(value, str) else value
-    fixed = value.cast("decimal(18,4)").cast("string")
-    return F.regexp_replace(fixed, r"\.?0+$", "")
+    return rf"regexp_replace(cast(cast({value} as decimal(18,4)) as string), '\\.?0+$', '')"
 
 
-def viral_load_text(value: Column | str) -> Column:
+def viral_load_text_sql(value: str) -> str:
     """Negative results are stored for an undetectable load."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.when(value < 0, F.lit("INDETECTAVEL")).otherwise(number_text(value))
+    return f"case when {value} < 0 then 'INDETECTAVEL' else {number_text_sql(value)} end"
+
+
+def viral_load_text(value: str) -> Column:
+    return F.expr(viral_load_text_sql(value))
 
 
 def child_flag(years: Column) -> Column:

@@ -2,29 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from carelens.functions import codes as C
-from carelens.functions.scalars import age, decode, full_name
-from carelens.operators.choose import answers_by_moment, counted_rows, first_row, look_up
-from carelens.operators.combine import repeat_rows, spread_join, tally
+from carelens.functions.scalars import age, decode_sql, full_name
+from carelens.operators.choose import answers_by_moment, first_row, look_up
+from carelens.operators.combine import repeat_rows, spread_join, tally, times
 from carelens.operators.evidence import (
     Trait,
-    concept_in,
-    type_in,
+    answers,
+    any_of,
     at_site,
+    concept,
+    kind,
     last_visit_trait,
     live_patients,
     patient_traits,
     programs,
     visit_answers,
     visits,
+    when,
 )
 from carelens.params import ReportParams
 from carelens.sources.tables import ClinicalTables, live
 
 ADDRESS = ("county_district", "address2", "address6", "address5", "address1")
 ADDRESS_TITLES = ("Distrito", "PAdministrativo", "Localidade", "Bairro", "PontoReferencia")
+_TITLED = [f"{a} {b}" for a, b in zip(ADDRESS, ADDRESS_TITLES)]
 NAME = ("given_name", "middle_name", "family_name")
 
 
@@ -44,25 +48,23 @@ def first_name(t: ClinicalTables, alias: str) -> DataFrame:
 
 def first_address(t: ClinicalTables) -> DataFrame:
     found = _as_patient(first_row(t.person_address, "person_id", "person_address_id", *ADDRESS))
-    return found.select("patient_id", *[F.col(a).alias(b) for a, b in zip(ADDRESS, ADDRESS_TITLES)])
+    return found.selectExpr("patient_id", *_TITLED)
 
 
 def preferred_names(t: ClinicalTables, *, live_only: bool) -> DataFrame:
     rows = live(t.person_name) if live_only else t.person_name
-    return _as_patient(rows.where(F.col("preferred") == 1))
+    return _as_patient(rows.where("preferred = 1"))
 
 
 def preferred_addresses(t: ClinicalTables) -> DataFrame:
-    return _as_patient(live(t.person_address).where(F.col("preferred") == 1)).select(
-        "patient_id", *[F.col(a).alias(b) for a, b in zip(ADDRESS, ADDRESS_TITLES)]
+    return t.person_address.where("preferred = 1 and voided = 0").selectExpr(
+        "person_id patient_id", *_TITLED
     )
 
 
 def preferred_identifiers(t: ClinicalTables) -> DataFrame:
     """Preferred identifiers of the two patient-number types, deleted or not."""
-    rows = t.patient_identifier.where(
-        F.col("identifier_type").isin(2, 13) & (F.col("preferred") == 1)
-    )
+    rows = t.patient_identifier.where("identifier_type in (2, 13) and preferred = 1")
     return rows.select("patient_id", "identifier")
 
 
@@ -78,19 +80,17 @@ def preferred_demographics(t: ClinicalTables) -> DataFrame:
 
 def phone_attribute(t: ClinicalTables) -> DataFrame:
     """Phone numbers; one row per number."""
-    rows = _as_patient(t.person_attribute.where(F.col("person_attribute_type_id") == 9))
-    return rows.select("patient_id", F.col("value").alias("contacto"))
+    rows = t.person_attribute.where("person_attribute_type_id = 9")
+    return rows.selectExpr("person_id patient_id", "value contacto")
 
 
 def regimens_by_moment(t: ClinicalTables, p: ReportParams, n: str | None = None) -> DataFrame:
     """Regimens recorded per patient and moment: the smallest text, or every
     text with its multiplicity ``n``."""
-    text = decode("value_coded", C.REGIMENS, C.OTHER)
+    text = decode_sql("value_coded", C.REGIMENS, C.OTHER)
     if n is None:
-        return answers_by_moment(t, (C.REGIMEN,), site=p, ultimo_regime=F.min(text))
-    return answers_by_moment(
-        t, (C.REGIMEN,), text.alias("ultimo_regime"), site=p, **counted_rows(n)
-    )
+        return answers_by_moment(t, (C.REGIMEN,), site=p, ultimo_regime=f"min({text})")
+    return answers_by_moment(t, (C.REGIMEN,), f"{text} ultimo_regime", site=p, **{n: "count(1)"})
 
 
 def last_regimen(t: ClinicalTables, p: ReportParams) -> DataFrame:
@@ -102,16 +102,14 @@ def last_regimen(t: ClinicalTables, p: ReportParams) -> DataFrame:
 
 def all_regimens(t: ClinicalTables) -> DataFrame:
     """Every live regimen answer, whenever given."""
-    rows = live(t.obs).where(F.col("concept_id") == C.REGIMEN)
-    return rows.select(
-        F.col("person_id").alias("patient_id"),
-        decode("value_coded", C.CARE_REGIMENS, C.OTHER).alias("ultimo_regime"),
-    )
+    text = decode_sql("value_coded", C.CARE_REGIMENS, C.OTHER)
+    return answers(t, C.REGIMEN).selectExpr("person_id patient_id", f"{text} ultimo_regime")
 
 
 def referral_rows(t: ClinicalTables, p: ReportParams) -> DataFrame:
     rows = visit_answers(t, p, C.OPENINGS, (C.REFERRAL,))
-    return rows.select("patient_id", decode("value_coded", C.REFERRALS, C.OTHER).alias("referencia"))
+    text = decode_sql("value_coded", C.REFERRALS, C.OTHER)
+    return rows.selectExpr("patient_id", f"{text} referencia")
 
 
 def referral_source(t: ClinicalTables, p: ReportParams) -> DataFrame:
@@ -127,11 +125,10 @@ def smallest_referral(t: ClinicalTables, p: ReportParams) -> DataFrame:
 
 def reference_person(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """The contact person: the smallest text. Deleted visits count here."""
-    seen = at_site(t.encounter.where(F.col("encounter_type").isin(*C.OPENINGS)), p)
-    told = live(t.obs).where(F.col("concept_id") == C.CONTACT)
+    seen = at_site(t.encounter.where(kind(*C.OPENINGS)), p)
     return (
         seen.select("encounter_id", "patient_id")
-        .join(told.select("encounter_id", "value_text"), "encounter_id")
+        .join(answers(t, C.CONTACT).select("encounter_id", "value_text"), "encounter_id")
         .groupBy("patient_id")
         .agg(F.min("value_text").alias("pessoa"))
     )
@@ -145,49 +142,44 @@ def reference_person_fallback(t: ClinicalTables, p: ReportParams) -> DataFrame:
     Per visit the pairs are never formed: their smallest text follows from a few
     minima and from whether each kind of answer exists.
     """
-    kinds = (*C.OPENINGS, C.MASTER_CARD)
-    seen = at_site(t.encounter.where(F.col("encounter_type").isin(*kinds)), p)
-    main = F.col("concept_id") == C.CONTACT
-    other = F.col("concept_id") == C.CONTACT_SECOND
-    text, silent = F.col("value_text"), F.col("value_text").isNull()
-    smallest = F.least(
-        # main question answered: paired with every answer of the visit
-        F.col("_main"),
-        F.when(F.col("_main_silent"), F.col("_any")),
-        # other question answered: every answer of the visit comes first
-        F.when(F.col("_has_other"), F.col("_any")),
-        F.when(F.col("_any_silent"), F.col("_other")),
+    seen = at_site(t.encounter.where(kind(*C.OPENINGS, C.MASTER_CARD)), p)
+    main, other = f"concept_id = {C.CONTACT}", f"concept_id = {C.CONTACT_SECOND}"
+    of_visit = {
+        "_main": f"min({when(main, 'value_text')})",
+        "_main_silent": f"max({main} and value_text is null)",
+        "_any": "min(value_text)",
+        "_any_silent": "max(value_text is null)",
+        "_has_other": f"max({other})",
+        "_other": f"min({when(other, 'value_text')})",
+        "_counts": f"max({main} or {other})",
+    }
+    # main question answered: paired with every answer of the visit;
+    # other question answered: every answer of the visit comes first
+    smallest = (
+        f"least(_main, {when('_main_silent', '_any')},"
+        f" {when('_has_other', '_any')}, {when('_any_silent', '_other')})"
     )
     return (
         live(t.obs)
         .join(seen.select("encounter_id", "patient_id"), "encounter_id")
         .groupBy("patient_id", "encounter_id")
-        .agg(
-            F.min(F.when(main, text)).alias("_main"),
-            F.max(main & silent).alias("_main_silent"),
-            F.min(text).alias("_any"),
-            F.max(silent).alias("_any_silent"),
-            F.max(other).alias("_has_other"),
-            F.min(F.when(other, text)).alias("_other"),
-            F.max(main | other).alias("_counts"),
-        )
-        .where(F.col("_counts"))
+        .agg(*[F.expr(value).alias(name) for name, value in of_visit.items()])
+        .where("_counts")
         .groupBy("patient_id")
-        .agg(F.min(smallest).alias("pessoa"))
+        .agg(F.expr(f"min({smallest})").alias("pessoa"))
     )
 
 
 def openings(t: ClinicalTables, p: ReportParams, types: tuple[int, ...]) -> DataFrame:
     """Opening visits keyed in during the period (whole days of data entry)."""
-    day = F.to_date("date_created")
     return visits(t, p, types, until_end=False).where(
-        day.between(F.lit(p.start_date), F.lit(p.end_date))
+        f"to_date(date_created) between date'{p.start_date}' and date'{p.end_date}'"
     )
 
 
 def live_people(t: ClinicalTables) -> DataFrame:
-    return _as_patient(live(t.person)).selectExpr(
-        "patient_id", "gender sexo", "dead", "death_date", "birthdate"
+    return live(t.person).selectExpr(
+        "person_id patient_id", "gender sexo", "dead", "death_date", "birthdate"
     )
 
 
@@ -211,7 +203,7 @@ def part_b_trait(name: str = "parteB") -> Trait:
     return Trait(
         name,
         F.min,
-        visit=F.when(type_in(C.PART_B), F.col("encounter_datetime")),
+        visit=when(kind(*C.PART_B), "encounter_datetime"),
         visit_types=C.PART_B,
     )
 
@@ -227,27 +219,24 @@ def register_rows(
 ) -> DataFrame:
     """Book, page and row of each register entry, with multiplicity."""
 
-    def answers(concept: int, value: Column, alias: str) -> DataFrame:
-        rows = live(t.obs).where(F.col("concept_id") == concept)
-        return tally(rows.select("encounter_id", value.alias(alias)), "encounter_id", alias, n=f"_{alias}")
+    def told(question: int, value: str, alias: str) -> DataFrame:
+        rows = answers(t, question).selectExpr("encounter_id", f"{value} {alias}")
+        return tally(rows, "encounter_id", alias, n=f"_{alias}")
 
-    entries = visits(t, p, (register,)).select(
-        "encounter_id", "patient_id", "location_id", F.col("encounter_datetime").alias("data_inscricao")
+    entries = visits(t, p, (register,)).selectExpr(
+        "encounter_id", "patient_id", "location_id", "encounter_datetime data_inscricao"
     )
-    copies = F.lit(1).cast("long")
-    for alias in ("livro", "pagina", "linha"):
-        copies = copies * F.coalesce(F.col(f"_{alias}"), F.lit(1))
     # a register entry without the question shows '', like an unknown book
-    shown = F.coalesce(decode("value_coded", books, None), F.lit(""))
+    shown = f"coalesce({decode_sql('value_coded', books, None)}, '')"
     # the entries of a site all have one location, hence the spread join
     return (
         spread_join(entries, t.location.select("location_id"), "location_id")
-        .join(answers(book, shown, "livro"), "encounter_id", "left")
-        .join(answers(page, F.col("value_numeric"), "pagina"), "encounter_id", "left")
-        .join(answers(line, F.col("value_numeric"), "linha"), "encounter_id", "left")
-        .withColumn("livro", F.coalesce("livro", F.lit("")))
+        .join(told(book, shown, "livro"), "encounter_id", "left")
+        .join(told(page, "value_numeric", "pagina"), "encounter_id", "left")
+        .join(told(line, "value_numeric", "linha"), "encounter_id", "left")
+        .withColumn("livro", F.expr("coalesce(livro, '')"))
         .groupBy("patient_id", "data_inscricao", "livro", "pagina", "linha")
-        .agg(F.sum(copies).alias(n))
+        .agg(F.sum(times("_livro", "_pagina", "_linha")).alias(n))
     )
 
 
@@ -269,4 +258,4 @@ def register_book(t: ClinicalTables, p: ReportParams) -> DataFrame:
 
 def program_enrolment(t: ClinicalTables, p: ReportParams, program: int, alias: str) -> DataFrame:
     rows = programs(t, p, (program,))
-    return live_patients(t, rows.select("patient_id", F.col("date_enrolled").alias(alias)))
+    return live_patients(t, rows.selectExpr("patient_id", f"date_enrolled {alias}"))

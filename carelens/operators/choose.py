@@ -7,9 +7,9 @@ ever collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from carelens.operators.evidence import at_site, concept_in
+from carelens.operators.evidence import answers, at_site
 from carelens.params import ReportParams
 from carelens.sources.tables import ClinicalTables, live
 
@@ -64,28 +64,29 @@ def first_second_last(df: DataFrame, key: str, moment: str, names: tuple[str, st
 def answers_by_moment(
     t: ClinicalTables,
     concepts: tuple[int, ...],
-    *by: Column,
+    *by: str,
     site: ReportParams | None = None,
-    **measures: Column,
+    **measures: str,
 ) -> DataFrame:
-    """Live answers summed up per patient and moment (and ``by``).
+    """Live answers summed up per patient and moment, and ``by`` (expressions
+    that end in a name). The measures are SQL aggregates.
 
     Reports look up values "recorded at that patient's latest moment". Both
     sides of that look-up are keyed on (patient, moment), so the answers of one
     very frequent patient are spread over many tasks, and the look-up itself is
     a join to a side that is already unique.
     """
-    rows = live(t.obs).where(concept_in(*concepts))
+    rows = answers(t, *concepts)
     if site is not None:
         rows = at_site(rows, site)
-    keys = [F.col("person_id").alias("patient_id"), F.col("obs_datetime").alias("moment"), *by]
-    return rows.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
+    named = [b.rsplit(" ", 1)[-1] for b in by]
+    values = {"concept_id", "value_coded", "value_numeric", "value_datetime"} - set(named)
+    shown = rows.selectExpr("person_id patient_id", "obs_datetime moment", *by, *sorted(values))
+    return shown.groupBy("patient_id", "moment", *named).agg(
+        *[F.expr(m).alias(name) for name, m in measures.items()]
+    )
 
 
 def look_up(df: DataFrame, moment: str, answers: DataFrame, how: str = "left") -> DataFrame:
     """Attach what was recorded at ``moment`` of each row's patient."""
     return df.join(answers.withColumnRenamed("moment", moment), ["patient_id", moment], how)
-
-
-def counted_rows(n: str = "n") -> dict[str, Column]:
-    return {n: F.count(F.lit(1))}

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from carelens.functions import codes as C
-from carelens.functions.scalars import decode
+from carelens.functions.scalars import decode_sql
 from carelens.operators.choose import first_second_last
-from carelens.operators.evidence import concept_in, live_patients, visit_answers, visits
+from carelens.operators.evidence import (
+    any_of,
+    concept,
+    live_patients,
+    visit_answers,
+    visits,
+    when,
+)
 from carelens.params import ReportParams
 from carelens.sources.tables import ClinicalTables, live
 
@@ -23,55 +30,51 @@ def _earliest_pair(df: DataFrame) -> DataFrame:
 def first_enrolment_with_diagnosis(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """Earliest file opening with its diagnosis date, from opening visits or
     from master cards with a positive test; both when they open together."""
-    opened = visit_answers(t, p, C.OPENINGS, (C.DIAGNOSIS_DATE,), site=False, until_end=True).select(
-        "patient_id",
-        F.col("encounter_datetime").alias("data_abertura"),
-        F.col("value_datetime").alias("data_diagnostico"),
+    opened = visit_answers(t, p, C.OPENINGS, (C.DIAGNOSIS_DATE,), site=False, until_end=True).selectExpr(
+        "patient_id", "encounter_datetime data_abertura", "value_datetime data_diagnostico"
     )
     tests = (C.PCR_TEST, C.RAPID_TEST_1, C.RAPID_TEST_2)
     answers = visit_answers(
         t, p, (C.MASTER_CARD,), (C.FILE_DATE, *tests), site=False, until_end=False
     )
-    positive = (concept_in(C.PCR_TEST) & (F.col("value_coded") == C.POSITIVE)) | (
-        concept_in(C.RAPID_TEST_1, C.RAPID_TEST_2) & F.col("value_coded").isin(C.POSITIVE, C.YES)
+    positive = (
+        f"({concept(C.PCR_TEST)} and value_coded = {C.POSITIVE}) or"
+        f" ({concept(C.RAPID_TEST_1, C.RAPID_TEST_2)} and {any_of('value_coded', C.POSITIVE, C.YES)})"
     )
-    dated = concept_in(C.FILE_DATE) & (F.col("value_datetime") <= p.end)
+    dated = when(f"{concept(C.FILE_DATE)} and value_datetime <= {p.end_sql}", "value_datetime")
     cards = (
         answers.groupBy("patient_id", "encounter_id", "encounter_datetime")
         .agg(
-            F.min(F.when(dated, F.col("value_datetime"))).alias("data_abertura"),
-            F.max(positive).alias("_positive"),
+            F.expr(f"min({dated})").alias("data_abertura"),
+            F.expr(f"max({positive})").alias("_positive"),
         )
-        .where(F.col("data_abertura").isNotNull() & F.col("_positive"))
-        .select("patient_id", "data_abertura", F.col("encounter_datetime").alias("data_diagnostico"))
+        .where("data_abertura is not null and _positive")
+        .selectExpr("patient_id", "data_abertura", "encounter_datetime data_diagnostico")
     )
     found = _earliest_pair(opened).withColumn("_source", F.lit(0)).unionByName(
         _earliest_pair(cards).withColumn("_source", F.lit(1))
     )
     # At most one row per source, so one aggregate holds both.
-    def of(source: int, column: str) -> Column:
-        return F.min(F.when(F.col("_source") == source, F.col(column)))
-
     both = found.groupBy("patient_id").agg(
         F.min("data_abertura").alias("data_abertura"),
         *[
-            of(s, c).alias(f"_{c}_{s}")
+            F.expr(f"min({when(f'_source = {s}', c)})").alias(f"_{c}_{s}")
             for s in (0, 1)
             for c in ("data_abertura", "data_diagnostico")
         ],
     )
-    shown = [
-        F.when(
-            F.col(f"_data_abertura_{s}") == F.col("data_abertura"),
-            F.struct(F.col(f"_data_diagnostico_{s}").alias("data_diagnostico")),
+    shown = ", ".join(
+        when(
+            f"_data_abertura_{s} = data_abertura",
+            f"named_struct('data_diagnostico', _data_diagnostico_{s})",
         )
         for s in (0, 1)
-    ]
+    )
     # at most two entries per patient
-    kept = both.select(
+    kept = both.selectExpr(
         "patient_id",
         "data_abertura",
-        F.explode(F.array_distinct(F.array_compact(F.array(*shown)))).alias("_row"),
+        f"explode(array_distinct(array_compact(array({shown})))) _row",
     ).select("patient_id", "data_abertura", "_row.data_diagnostico")
     return live_patients(t, kept)
 
@@ -80,15 +83,15 @@ def dsd_model_enrolment(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """First visit at which a care model was started, with that model; of
     several at once the smallest code."""
     rows = visit_answers(t, p, (C.PICKUP, *C.VISITS), C.CARE_MODEL, site=False, until_end=True).where(
-        F.col("value_coded") == C.START
+        f"value_coded = {C.START}"
     )
     first = rows.groupBy("patient_id").agg(
         F.min(F.struct("encounter_datetime", "concept_id")).alias("_first")
     )
-    return live_patients(t, first).select(
+    return live_patients(t, first).selectExpr(
         "patient_id",
-        F.col("_first.encounter_datetime").alias("data_inclusao_mdc"),
-        decode("_first.concept_id", C.CARE_MODELS, C.OTHER_MODEL).alias("tipo_modelo"),
+        "_first.encounter_datetime data_inclusao_mdc",
+        f"{decode_sql('_first.concept_id', C.CARE_MODELS, C.OTHER_MODEL)} tipo_modelo",
     )
 
 
@@ -112,7 +115,7 @@ def pickup_history(t: ClinicalTables, p: ReportParams) -> DataFrame:
 
 def counselling_history(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """First, second and last counselling visit on the wanted form."""
-    rows = visits(t, p, C.COUNSELLING, site=False).where(F.col("form_id") == C.COUNSELLING_FORM)
+    rows = visits(t, p, C.COUNSELLING, site=False).where(f"form_id = {C.COUNSELLING_FORM}")
     found = first_second_last(rows, "patient_id", "encounter_datetime", COUNSELLING_NAMES)
     return live_patients(t, found)
 
@@ -122,5 +125,5 @@ def counselling_after_dsd(t: ClinicalTables, p: ReportParams) -> DataFrame:
     return (
         dsd_model_enrolment(t, p)
         .join(counselling_history(t, p), "patient_id")
-        .where(F.col("primeira_fichaapss") >= F.col("data_inclusao_mdc"))
+        .where("primeira_fichaapss >= data_inclusao_mdc")
     )

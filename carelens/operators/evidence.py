@@ -5,6 +5,9 @@ A report needs many facts per patient ("first treatment date", "ever pregnant",
 all expressed as conditional minima or maxima and computed together: one join of
 visits to answers, one aggregate per patient with a map-side part. The live
 patient test and every other per-patient test come after that aggregate.
+
+Conditions are SQL expressions over the columns of ``visit_answers``, of the
+visits, or of the program enrolments.
 """
 
 from __future__ import annotations
@@ -20,8 +23,24 @@ from carelens.params import ReportParams
 from carelens.sources.tables import ClinicalTables, live
 
 
-def at_site(df: DataFrame, p: ReportParams, column: str = "location_id") -> DataFrame:
-    return df if p.location is None else df.where(F.col(column) == p.location)
+def any_of(column: str, *values: int) -> str:
+    return f"{column} in ({', '.join(map(str, values))})"
+
+
+def concept(*ids: int) -> str:
+    return any_of("concept_id", *ids)
+
+
+def kind(*types: int) -> str:
+    return any_of("encounter_type", *types)
+
+
+def when(condition: str, value: str) -> str:
+    return f"case when {condition} then {value} end"
+
+
+def at_site(df: DataFrame, p: ReportParams) -> DataFrame:
+    return df if p.location is None else df.where(p.site_sql)
 
 
 def live_patients(t: ClinicalTables, df: DataFrame) -> DataFrame:
@@ -37,10 +56,17 @@ def visits(
     until_end: bool = True,
 ) -> DataFrame:
     """Live visits of some types."""
-    rows = live(t.encounter).where(type_in(types))
+    tests = ["voided = 0", kind(*types)]
     if site:
-        rows = at_site(rows, p)
-    return rows.where(F.col("encounter_datetime") <= p.end) if until_end else rows
+        tests.append(p.site_sql)
+    if until_end:
+        tests.append(f"encounter_datetime <= {p.end_sql}")
+    return t.encounter.where(" and ".join(tests))
+
+
+def answers(t: ClinicalTables, *concepts: int) -> DataFrame:
+    """Live answers to some concepts."""
+    return t.obs.where(f"voided = 0 and {concept(*concepts)}")
 
 
 def visit_answers(
@@ -56,26 +82,18 @@ def visit_answers(
     seen = visits(t, p, types, site=site, until_end=until_end).select(
         "encounter_id", "patient_id", "encounter_type", "encounter_datetime"
     )
-    answers = (
-        live(t.obs)
-        .where(concept_in(*concepts))
-        .select(
-            "encounter_id",
-            "concept_id",
-            "obs_datetime",
-            "value_coded",
-            "value_numeric",
-            "value_datetime",
-            "value_text",
-            F.col("location_id").alias("answer_site"),
-        )
+    told = answers(t, *concepts).select(
+        "encounter_id", "concept_id", "obs_datetime", "location_id",
+        "value_coded", "value_numeric", "value_datetime", "value_text",
     )
-    return seen.join(answers, "encounter_id")
+    return seen.join(told, "encounter_id")
 
 
 def programs(t: ClinicalTables, p: ReportParams, wanted: tuple[int, ...], *, site: bool = True) -> DataFrame:
-    rows = live(t.patient_program).where(in_list("program_id", wanted))
-    return at_site(rows, p) if site else rows
+    tests = ["voided = 0", any_of("program_id", *wanted)]
+    if site:
+        tests.append(p.site_sql)
+    return t.patient_program.where(" and ".join(tests))
 
 
 @dataclass(frozen=True)
@@ -86,12 +104,12 @@ class Trait:
 
     name: str
     pick: Callable[[str], Column]
-    answer: Column | None = None
+    answer: str | None = None
     types: tuple[int, ...] = ()
     concepts: tuple[int, ...] = ()
-    visit: Column | None = None
+    visit: str | None = None
     visit_types: tuple[int, ...] = ()
-    program: Column | None = None
+    program: str | None = None
     program_ids: tuple[int, ...] = ()
 
 
@@ -110,15 +128,15 @@ def patient_traits(
         rows = visit_answers(
             t, p, _merged(x.types for x in asked), _merged(x.concepts for x in asked)
         )
-        parts.append(rows.select("patient_id", *[x.answer.alias(x.name) for x in asked]))
+        parts.append(rows.selectExpr("patient_id", *[f"{x.answer} {x.name}" for x in asked]))
     seen = [x for x in traits if x.visit is not None]
     if seen:
         rows = visits(t, p, _merged(x.visit_types for x in seen), until_end=False)
-        parts.append(rows.select("patient_id", *[x.visit.alias(x.name) for x in seen]))
+        parts.append(rows.selectExpr("patient_id", *[f"{x.visit} {x.name}" for x in seen]))
     enrolled = [x for x in traits if x.program is not None]
     if enrolled:
         rows = programs(t, p, _merged(x.program_ids for x in enrolled))
-        parts.append(rows.select("patient_id", *[x.program.alias(x.name) for x in enrolled]))
+        parts.append(rows.selectExpr("patient_id", *[f"{x.program} {x.name}" for x in enrolled]))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     known = " or ".join(f"{x.name} is not null" for x in traits)
     return rows.where(known).groupBy("patient_id").agg(
@@ -126,18 +144,6 @@ def patient_traits(
     )
 
 
-def in_list(column: str, values: tuple[int, ...]) -> Column:
-    return F.expr(f"{column} in ({', '.join(map(str, values))})")
-
-
-def type_in(types: tuple[int, ...]) -> Column:
-    return in_list("encounter_type", types)
-
-
-def concept_in(*ids: int) -> Column:
-    return in_list("concept_id", ids)
-
-
 # --- treatment start ---------------------------------------------------------
 
 
@@ -162,49 +168,40 @@ START_RULES = {
     "cards": StartRule((), (6, 9), other_sources=False, answer_site=True),
 }
 
+_GIVEN = f"{concept(C.EXTERNAL_GIVEN)} and value_coded = {C.YES} and {kind(C.EXTERNAL_PICKUP)}"
+
 
 def start_trait(p: ReportParams, rule: str, name: str = "data_inicio") -> Trait:
     r = START_RULES[rule]
-    bounded = r.other_sources
 
-    def dated(condition: Column, moment: str) -> Column:
-        value = F.col(moment)
-        return F.when(condition & (value <= p.end) if bounded else condition, value)
+    def dated(condition: str, moment: str) -> str:
+        bound = f" and {moment} <= {p.end_sql}" if r.other_sources else ""
+        return when(condition + bound, moment)
 
     branches, types, concepts = [], [], []
     if r.management:
-        branches.append(
-            dated(
-                concept_in(C.ART_MANAGEMENT) & (F.col("value_coded") == C.START) & type_in(r.management),
-                "encounter_datetime",
-            )
-        )
-        types.append(r.management)
+        started = f"{concept(C.ART_MANAGEMENT)} and value_coded = {C.START}"
+        branches.append(dated(f"{started} and {kind(*r.management)}", "encounter_datetime"))
+        types += r.management
         concepts.append(C.ART_MANAGEMENT)
     if not r.answer_site:
-        branches.append(dated(concept_in(C.ART_START_DATE) & type_in(r.dated), "value_datetime"))
-        types.append(r.dated)
+        branches.append(dated(f"{concept(C.ART_START_DATE)} and {kind(*r.dated)}", "value_datetime"))
+        types += r.dated
         concepts.append(C.ART_START_DATE)
     if r.given:
-        branches.append(
-            dated(
-                concept_in(C.EXTERNAL_GIVEN)
-                & (F.col("value_coded") == C.YES)
-                & type_in((C.EXTERNAL_PICKUP,)),
-                "encounter_datetime",
-            )
-        )
-        types.append((C.EXTERNAL_PICKUP,))
+        branches.append(dated(_GIVEN, "encounter_datetime"))
+        types.append(C.EXTERNAL_PICKUP)
         concepts.append(C.EXTERNAL_GIVEN)
+    others = r.other_sources
     return Trait(
         name,
         F.min,
-        answer=F.coalesce(*branches) if branches else None,
-        types=_merged(types),
+        answer=f"coalesce({', '.join(branches)})" if branches else None,
+        types=tuple(types),
         concepts=tuple(concepts),
-        visit=dated(type_in((C.PICKUP,)), "encounter_datetime") if r.other_sources else None,
+        visit=dated(kind(C.PICKUP), "encounter_datetime") if others else None,
         visit_types=(C.PICKUP,),
-        program=dated(F.col("program_id") == C.TREATMENT, "date_enrolled") if r.other_sources else None,
+        program=dated(any_of("program_id", C.TREATMENT), "date_enrolled") if others else None,
         program_ids=(C.TREATMENT,),
     )
 
@@ -214,27 +211,25 @@ def start_extra(t: ClinicalTables, p: ReportParams, rule: str, name: str = "data
     r = START_RULES[rule]
     found = []
     if r.answer_site:
-        rows = visit_answers(t, p, r.dated, (C.ART_START_DATE,), site=False)
-        rows = at_site(rows, p, "answer_site")
-        found.append(rows.select("patient_id", F.col("value_datetime").alias(name)))
+        rows = at_site(visit_answers(t, p, r.dated, (C.ART_START_DATE,), site=False), p)
+        found.append(rows.selectExpr("patient_id", f"value_datetime {name}"))
     if r.external_date:
         # The form counts when any of its answers is "yes", whatever the question.
         forms = (
-            live(t.obs)
-            .where(concept_in(C.EXTERNAL_DATE) | (F.col("value_coded") == C.YES))
+            t.obs.where(f"voided = 0 and ({concept(C.EXTERNAL_DATE)} or value_coded = {C.YES})")
+            .select("encounter_id", "concept_id", "value_coded", "value_datetime")
             .join(
                 visits(t, p, (C.EXTERNAL_PICKUP,), until_end=False).select("encounter_id", "patient_id"),
                 "encounter_id",
             )
         )
-        dated = concept_in(C.EXTERNAL_DATE) & (F.col("value_datetime") <= p.end)
+        dated = when(
+            f"{concept(C.EXTERNAL_DATE)} and value_datetime <= {p.end_sql}", "value_datetime"
+        )
         found.append(
             forms.groupBy("encounter_id", "patient_id")
-            .agg(
-                F.min(F.when(dated, F.col("value_datetime"))).alias(name),
-                F.max(F.when(F.col("value_coded") == C.YES, F.lit(1))).alias("_yes"),
-            )
-            .where(F.col("_yes").isNotNull())
+            .agg(F.expr(f"min({dated})").alias(name), F.expr(f"max(value_coded = {C.YES})").alias("_yes"))
+            .where("_yes")
             .select("patient_id", name)
         )
     return tuple(found)
@@ -246,15 +241,16 @@ def art_start(t: ClinicalTables, p: ReportParams, rule: str = "viral_load") -> D
     return live_patients(t, found)
 
 
+def in_start_window(p: ReportParams, column: str) -> str:
+    first, last = p.end_minus_months_sql(4, plus_days=1), p.end_minus_months_sql(3)
+    return f"{column} between {first} and {last}"
+
+
 def art_start_in_window(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """Patients who started between three and four months before the end."""
     return art_start(t, p, "three_pickups").where(in_start_window(p, "data_inicio"))
 
 
-def in_start_window(p: ReportParams, column: str) -> Column:
-    return F.col(column).between(p.end_minus_months(4, plus_days=1), p.end_minus_months(3))
-
-
 # --- pregnancy ---------------------------------------------------------------
 
 
@@ -277,28 +273,25 @@ def pregnancy_trait(p: ReportParams, rule: str, name: str = "gravida") -> Trait:
     """1 for a patient with any evidence of pregnancy."""
     r = PREGNANCY_RULES[rule]
 
-    def in_time(moment: str) -> Column:
+    def in_time(moment: str) -> str:
         if r.months is None:
-            return F.col(moment) <= p.end
-        return F.col(moment).between(p.end_minus_months(r.months), p.end)
+            return f"{moment} <= {p.end_sql}"
+        return f"{moment} between {p.end_minus_months_sql(r.months)} and {p.end_sql}"
 
-    told = (concept_in(C.PREGNANT) & in_list("value_coded", r.answers)) | concept_in(
-        C.PREGNANCY_WEEKS, C.DUE_DATE
-    )
-    counts = type_in(r.types) & told
+    said = f"({concept(C.PREGNANT)} and {any_of('value_coded', *r.answers)})"
+    implied = concept(C.PREGNANCY_WEEKS, C.DUE_DATE)
+    counts = f"({kind(*r.types)} and ({said} or {implied}))"
     types, concepts = r.types, (C.PREGNANT, C.PREGNANCY_WEEKS, C.DUE_DATE)
     if r.card:
-        counts = counts | (
-            type_in((C.MASTER_CARD,)) & concept_in(C.PREGNANT_CARD) & (F.col("value_coded") == C.YES)
-        )
+        counts += f" or ({kind(C.MASTER_CARD)} and {concept(C.PREGNANT_CARD)} and value_coded = {C.YES})"
         types, concepts = (*types, C.MASTER_CARD), (*concepts, C.PREGNANT_CARD)
     return Trait(
         name,
         F.max,
-        answer=F.when(counts & in_time("encounter_datetime"), F.lit(1)),
+        answer=when(f"({counts}) and {in_time('encounter_datetime')}", "1"),
         types=types,
         concepts=concepts,
-        program=F.when((F.col("program_id") == C.MATERNAL) & in_time("date_enrolled"), F.lit(1)),
+        program=when(f"program_id = {C.MATERNAL} and {in_time('date_enrolled')}", "1"),
         program_ids=(C.MATERNAL,),
     )
 
@@ -317,95 +310,49 @@ def pregnant_ids(t: ClinicalTables, p: ReportParams, rule: str = "recent") -> Da
     )
 
 
-# --- latest visits -----------------------------------------------------------
+# --- first and latest events -------------------------------------------------
+
+
+def _event(
+    p: ReportParams, name: str, pick, moment: str, types: tuple[int, ...], ids: tuple[int, ...], more: str = "true"
+) -> Trait:
+    """Moment of the first or latest answer to a concept up to the end."""
+    counts = f"{concept(*ids)} and {kind(*types)} and encounter_datetime <= {p.end_sql} and {more}"
+    return Trait(name, pick, answer=when(counts, moment), types=types, concepts=ids)
 
 
 def last_visit_trait(p: ReportParams, types: tuple[int, ...], name: str) -> Trait:
-    counts = type_in(types) & (F.col("encounter_datetime") <= p.end)
-    return Trait(
-        name, F.max, visit=F.when(counts, F.col("encounter_datetime")), visit_types=types
-    )
+    counts = f"{kind(*types)} and encounter_datetime <= {p.end_sql}"
+    return Trait(name, F.max, visit=when(counts, "encounter_datetime"), visit_types=types)
 
 
 def last_given_trait(p: ReportParams, name: str) -> Trait:
     """Latest external pickup form marked as given."""
-    counts = (
-        concept_in(C.EXTERNAL_GIVEN)
-        & (F.col("value_coded") == C.YES)
-        & type_in((C.EXTERNAL_PICKUP,))
-        & (F.col("encounter_datetime") <= p.end)
+    return _event(
+        p, name, F.max, "encounter_datetime", (C.EXTERNAL_PICKUP,), (C.EXTERNAL_GIVEN,),
+        f"value_coded = {C.YES}",
     )
-    return Trait(
-        name,
-        F.max,
-        answer=F.when(counts, F.col("encounter_datetime")),
-        types=(C.EXTERNAL_PICKUP,),
-        concepts=(C.EXTERNAL_GIVEN,),
-    )
-
-
-# --- viral load --------------------------------------------------------------
-
-
-def _viral_load_row(p: ReportParams) -> Column:
-    return concept_in(C.VIRAL_LOAD) & type_in(C.VIRAL_LOAD_VISITS) & (F.col("encounter_datetime") <= p.end)
 
 
 def last_vl_trait(p: ReportParams, name: str = "data_carga") -> Trait:
     """Moment of the latest viral load that has a value."""
-    counts = _viral_load_row(p) & F.col("value_numeric").isNotNull()
-    return Trait(
-        name,
-        F.max,
-        answer=F.when(counts, F.col("obs_datetime")),
-        types=C.VIRAL_LOAD_VISITS,
-        concepts=(C.VIRAL_LOAD,),
+    return _event(
+        p, name, F.max, "obs_datetime", C.VIRAL_LOAD_VISITS, (C.VIRAL_LOAD,), "value_numeric is not null"
     )
 
 
 def any_vl_trait(p: ReportParams, name: str = "tem_carga") -> Trait:
     """1 for a patient with any viral-load row, even without a value."""
-    return Trait(
-        name,
-        F.max,
-        answer=F.when(_viral_load_row(p), F.lit(1)),
-        types=C.VIRAL_LOAD_VISITS,
-        concepts=(C.VIRAL_LOAD,),
-    )
+    return _event(p, name, F.max, "1", C.VIRAL_LOAD_VISITS, (C.VIRAL_LOAD,))
 
 
 def first_vl_trait(p: ReportParams, name: str = "data_primeiro_carga") -> Trait:
-    return Trait(
-        name,
-        F.min,
-        answer=F.when(_viral_load_row(p), F.col("obs_datetime")),
-        types=C.VIRAL_LOAD_VISITS,
-        concepts=(C.VIRAL_LOAD,),
-    )
-
-
-# --- first CD4 and stage -----------------------------------------------------
+    return _event(p, name, F.min, "obs_datetime", C.VIRAL_LOAD_VISITS, (C.VIRAL_LOAD,))
 
 
 def first_cd4_trait(p: ReportParams, name: str = "data_cd4") -> Trait:
-    counts = (
-        concept_in(C.CD4) & type_in((C.LABORATORY,)) & (F.col("encounter_datetime") <= p.end)
-    )
-    return Trait(
-        name,
-        F.min,
-        answer=F.when(counts, F.col("obs_datetime")),
-        types=(C.LABORATORY,),
-        concepts=(C.CD4,),
-    )
+    return _event(p, name, F.min, "obs_datetime", (C.LABORATORY,), (C.CD4,))
 
 
 def first_stage_trait(p: ReportParams, name: str = "data_estadio") -> Trait:
-    counts = concept_in(C.STAGE) & type_in(C.VISITS) & (F.col("encounter_datetime") <= p.end)
-    return Trait(
-        name,
-        F.min,
-        answer=F.when(counts, F.col("encounter_datetime")),
-        types=C.VISITS,
-        concepts=(C.STAGE,),
-    )
+    return _event(p, name, F.min, "encounter_datetime", C.VISITS, (C.STAGE,))

@@ -5,60 +5,60 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from carelens.functions import codes as C
-from carelens.functions.scalars import care_status, decode, plus_days
-from carelens.operators.choose import answers_by_moment, counted_rows, look_up
+from carelens.functions.scalars import care_status, decode_sql
+from carelens.operators.choose import answers_by_moment, look_up
 from carelens.operators.combine import repeat_rows, spread_join, tally
 from carelens.operators.evidence import (
-    in_list,
+    any_of,
+    in_start_window,
     last_given_trait,
     last_visit_trait,
     live_patients,
     patient_traits,
     programs,
     visits,
+    when,
 )
 from carelens.params import ReportParams
-from carelens.sources.tables import ClinicalTables, live
+from carelens.sources.tables import ClinicalTables
 
 
 def program_states(t: ClinicalTables, p: ReportParams, program: int, states: tuple[int, ...]) -> DataFrame:
     """Live states of live enrolments at the site."""
     enrolled = programs(t, p, (program,)).select("patient_program_id", "patient_id", "date_enrolled")
-    turned = (
-        live(t.patient_state)
-        .where(in_list("state", states))
-        .select("patient_program_id", "state", "start_date", "end_date")
+    turned = t.patient_state.where(f"voided = 0 and {any_of('state', *states)}").select(
+        "patient_program_id", "state", "start_date", "end_date"
     )
     return enrolled.join(turned, "patient_program_id")
 
 
+def open_rows(t: ClinicalTables, p: ReportParams, program: int, texts: dict[int, str]) -> DataFrame:
+    """States without an end date, begun up to the end."""
+    rows = program_states(t, p, program, tuple(texts))
+    return rows.where(f"end_date is null and start_date <= {p.end_sql}")
+
+
 def latest_exit(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """Latest open exit from treatment up to the end, one per patient: of two
     starting together the larger state. An exit with an end date, even a later
     one, does not count."""
-    rows = program_states(t, p, C.TREATMENT, tuple(C.TREATMENT_EXITS)).where(
-        F.col("end_date").isNull() & (F.col("start_date") <= p.end)
-    )
+    rows = open_rows(t, p, C.TREATMENT, C.TREATMENT_EXITS)
     return (
         rows.groupBy("patient_id")
         .agg(F.max(F.struct("start_date", "state")).alias("_exit"))
-        .select(
-            "patient_id",
-            F.col("_exit.start_date").alias("data_estado"),
-            F.col("_exit.state").alias("estado_id"),
-        )
+        .selectExpr("patient_id", "_exit.start_date data_estado", "_exit.state estado_id")
     )
 
 
 def with_exit_state(t: ClinicalTables, p: ReportParams, starts: DataFrame) -> DataFrame:
     """Attach the exit state begun between treatment start and the end. The
     latest exit decides alone: when it precedes the start, so do all others."""
-    counts = F.col("data_estado") >= F.col("data_inicio")
-    return (
-        starts.join(latest_exit(t, p), "patient_id", "left")
-        .withColumn("estado_id", F.when(counts, F.col("estado_id")))
-        .withColumn("data_estado", F.when(counts, F.col("data_estado")))
-        .withColumn("estado", decode("estado_id", C.TREATMENT_EXITS, None))
+    counts = "data_estado >= data_inicio"
+    return starts.join(latest_exit(t, p), "patient_id", "left").selectExpr(
+        *starts.columns,
+        f"{when(counts, 'data_estado')} data_estado",
+        f"{when(counts, 'estado_id')} estado_id",
+        f"{when(counts, decode_sql('estado_id', C.TREATMENT_EXITS, None))} estado",
     )
 
 
@@ -70,16 +70,10 @@ def open_states(
     t: ClinicalTables, p: ReportParams, program: int, texts: dict[int, str]
 ) -> DataFrame:
     """Open states begun up to the end, one row per state."""
-    rows = program_states(t, p, program, tuple(texts)).where(
-        F.col("end_date").isNull() & (F.col("start_date") <= p.end)
-    )
+    text = decode_sql("state", texts, C.OTHER)
+    rows = open_rows(t, p, program, texts)
     return live_patients(
-        t,
-        rows.select(
-            "patient_id",
-            F.col("start_date").alias("data_saida"),
-            decode("state", texts, C.OTHER).alias("estado"),
-        ),
+        t, rows.selectExpr("patient_id", "start_date data_saida", f"{text} estado")
     )
 
 
@@ -94,8 +88,7 @@ def open_pre_art_state(t: ClinicalTables, p: ReportParams) -> DataFrame:
 def transfer_in_ids(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """Patients transferred in on the enrolment day, in the start window."""
     rows = program_states(t, p, C.TREATMENT, (C.TRANSFERRED_IN,)).where(
-        (F.col("start_date") == F.col("date_enrolled"))
-        & F.col("start_date").between(p.end_minus_months(4, plus_days=1), p.end_minus_months(3))
+        f"start_date = date_enrolled and {in_start_window(p, 'start_date')}"
     )
     return live_patients(t, rows.select("patient_id").distinct())
 
@@ -104,19 +97,17 @@ def last_pickup_and_visit(t: ClinicalTables, p: ReportParams, starts: DataFrame)
     """Last pickup between treatment start and the end. The last visit shown
     by the reports is that same moment."""
     last = patient_traits(t, p, last_visit_trait(p, (C.PICKUP,), "data_fila"))
-    pickup = F.when(F.col("data_fila") >= F.col("data_inicio"), F.col("data_fila"))
-    return (
-        starts.join(last, "patient_id", "left")
-        .withColumn("data_fila", pickup)
-        .withColumn("data_seguimento", F.col("data_fila"))
+    pickup = when("data_fila >= data_inicio", "data_fila")
+    return starts.join(last, "patient_id", "left").selectExpr(
+        *starts.columns, f"{pickup} data_fila", f"{pickup} data_seguimento"
     )
 
 
 def with_next_appointment(t: ClinicalTables, p: ReportParams, df: DataFrame) -> DataFrame:
     """Latest next pickup and next visit booked at the last pickup."""
 
-    def booked(concept: int) -> Column:
-        return F.max(F.when(F.col("concept_id") == concept, F.col("value_datetime")))
+    def booked(question: int) -> str:
+        return f"max({when(f'concept_id = {question}', 'value_datetime')})"
 
     dates = answers_by_moment(
         t,
@@ -130,17 +121,16 @@ def with_next_appointment(t: ClinicalTables, p: ReportParams, df: DataFrame) ->
 
 def estimated_next_visit() -> Column:
     """The booked next visit, else 30 days after the last one."""
-    return F.coalesce("data_proximo_seguimento", plus_days("data_seguimento", 30))
+    return F.expr("coalesce(data_proximo_seguimento, data_seguimento + interval 30 days)")
 
 
 def final_state(p: ReportParams) -> Column:
     """The exit state, else abandoned when nothing is booked or the later date
     is over 60 days past, else active."""
-    booked = F.greatest("data_proximo_lev", "data_proximo_seguimento_estimada")
-    return (
-        F.when(F.col("estado_id").isNotNull(), F.col("estado_id"))
-        .when(booked.isNull() | (p.end > plus_days(booked, 60)), F.lit(C.ABANDONED))
-        .otherwise(F.lit(C.ACTIVE))
+    booked = "greatest(data_proximo_lev, data_proximo_seguimento_estimada)"
+    late = f"{booked} is null or {p.end_sql} > {booked} + interval 60 days"
+    return F.expr(
+        f"coalesce(estado_id, case when {late} then {C.ABANDONED} else {C.ACTIVE} end)"
     )
 
 
@@ -163,7 +153,7 @@ def _booked_after(
 
 def booked_dates(t: ClinicalTables, concept: int, alias: str, n: str = "n") -> DataFrame:
     """Dates booked per patient and moment, with multiplicity, at any site."""
-    return answers_by_moment(t, (concept,), F.col("value_datetime").alias(alias), **counted_rows(n))
+    return answers_by_moment(t, (concept,), f"value_datetime {alias}", **{n: "count(1)"})
 
 
 def last_visit_next_date(t: ClinicalTables, p: ReportParams) -> DataFrame:
@@ -194,10 +184,10 @@ def pickups_within_99_days(
     """Pickups from treatment start to 99 days after, per patient of ``starts``
     (0 when transferred in)."""
     options = {} if hot_rows is None else {"hot_rows": hot_rows}
-    lowest, highest = p.end_minus_months(4, plus_days=1), plus_days(p.end_minus_months(3), 99)
+    first, last = p.end_minus_months_sql(4, plus_days=1), p.end_minus_months_sql(3)
     pickups = tally(
         visits(t, p, (C.PICKUP,), until_end=False).where(
-            F.col("encounter_datetime").between(lowest, highest)
+            f"encounter_datetime between {first} and {last} + interval 99 days"
         ),
         "patient_id",
         "encounter_datetime",
@@ -207,12 +197,12 @@ def pickups_within_99_days(
     )
     counted = (
         spread_join(pickups, own, "patient_id", **options)
-        .where(F.col("encounter_datetime").between(F.col("data_inicio"), plus_days("data_inicio", 99)))
+        .where("encounter_datetime between data_inicio and data_inicio + interval 99 days")
         .groupBy("patient_id")
         .agg(F.sum("n").alias("levantamentos"))
     )
-    return starts.join(counted, "patient_id", "left").withColumn(
-        "levantamentos", F.coalesce("levantamentos", F.lit(0).cast("long"))
+    return starts.join(counted, "patient_id", "left").selectExpr(
+        *starts.columns, "coalesce(levantamentos, 0L) levantamentos"
     )
 
 

@@ -6,54 +6,44 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from carelens.functions import codes as C
 from carelens.functions.scalars import months_between_rounded
-from carelens.operators.choose import answers_by_moment, counted_rows, look_up
+from carelens.operators.choose import answers_by_moment, look_up
 from carelens.operators.combine import repeat_rows, spread_join
-from carelens.operators.evidence import Trait, concept_in, type_in, live_patients, patient_traits
+from carelens.operators.evidence import Trait, any_of, concept, kind, live_patients, patient_traits, when
 from carelens.params import ReportParams
 from carelens.sources.tables import ClinicalTables
 
 
-def _in_period(p: ReportParams, moment: str) -> Column:
-    return F.col(moment).between(p.start, p.end)
+def _in_period(p: ReportParams, moment: str) -> str:
+    return f"{moment} between {p.start_sql} and {p.end_sql}"
+
+
+def _seen_in_period(p: ReportParams, ids: tuple[int, ...], more: str = "true") -> str:
+    counts = f"{concept(*ids)} and {kind(*C.VISITS)} and {_in_period(p, 'encounter_datetime')} and {more}"
+    return when(counts, "obs_datetime")
 
 
 def screening_trait(p: ReportParams, answer: int, name: str) -> Trait:
     """Latest screening in the period with this answer."""
-    counts = (
-        concept_in(*C.TB_SCREEN)
-        & (F.col("value_coded") == answer)
-        & type_in(C.VISITS)
-        & _in_period(p, "encounter_datetime")
-    )
-    return Trait(
-        name, F.max, answer=F.when(counts, F.col("obs_datetime")), types=C.VISITS, concepts=C.TB_SCREEN
-    )
+    moment = _seen_in_period(p, C.TB_SCREEN, f"value_coded = {answer}")
+    return Trait(name, F.max, answer=moment, types=C.VISITS, concepts=C.TB_SCREEN)
 
 
 def investigation_trait(p: ReportParams, name: str = "data_investigacao") -> Trait:
-    counts = concept_in(*C.TB_INVESTIGATION) & type_in(C.VISITS) & _in_period(p, "encounter_datetime")
-    return Trait(
-        name,
-        F.max,
-        answer=F.when(counts, F.col("obs_datetime")),
-        types=C.VISITS,
-        concepts=C.TB_INVESTIGATION,
-    )
+    moment = _seen_in_period(p, C.TB_INVESTIGATION)
+    return Trait(name, F.max, answer=moment, types=C.VISITS, concepts=C.TB_INVESTIGATION)
 
 
 def inh_start_trait(p: ReportParams, name: str = "data_inicio_inh") -> Trait:
     """Latest start in the period: a date answer, or a visit marked as start."""
-    dated = concept_in(C.INH_START) & _in_period(p, "value_datetime")
+    dated = f"{concept(C.INH_START)} and {kind(*C.VISITS)} and {_in_period(p, 'value_datetime')}"
     marked = (
-        concept_in(C.INH_COURSE)
-        & (F.col("value_coded") == C.START)
-        & _in_period(p, "encounter_datetime")
+        f"{concept(C.INH_COURSE)} and {kind(*C.VISITS)} and value_coded = {C.START}"
+        f" and {_in_period(p, 'encounter_datetime')}"
     )
-    value = F.when(dated, F.col("value_datetime")).when(marked, F.col("encounter_datetime"))
     return Trait(
         name,
         F.max,
-        answer=F.when(type_in(C.VISITS), value),
+        answer=f"coalesce({when(dated, 'value_datetime')}, {when(marked, 'encounter_datetime')})",
         types=C.VISITS,
         concepts=(C.INH_START, C.INH_COURSE),
     )
@@ -61,18 +51,17 @@ def inh_start_trait(p: ReportParams, name: str = "data_inicio_inh") -> Trait:
 
 def inh_end_trait(p: ReportParams, name: str = "data_fim_inh") -> Trait:
     """Latest end: any date answer, or a visit up to the end marked as done."""
-    dated = concept_in(C.INH_END) & type_in((*C.VISITS, C.MASTER_CARD))
+    types = (*C.VISITS, C.MASTER_CARD)
+    dated = f"{concept(C.INH_END)} and {kind(*types)}"
     marked = (
-        concept_in(C.INH_COURSE)
-        & (F.col("value_coded") == C.COMPLETED)
-        & type_in(C.VISITS)
-        & (F.col("encounter_datetime") <= p.end)
+        f"{concept(C.INH_COURSE)} and {kind(*C.VISITS)} and value_coded = {C.COMPLETED}"
+        f" and encounter_datetime <= {p.end_sql}"
     )
     return Trait(
         name,
         F.max,
-        answer=F.when(dated, F.col("value_datetime")).when(marked, F.col("encounter_datetime")),
-        types=(*C.VISITS, C.MASTER_CARD),
+        answer=f"coalesce({when(dated, 'value_datetime')}, {when(marked, 'encounter_datetime')})",
+        types=types,
         concepts=(C.INH_END, C.INH_COURSE),
     )
 
@@ -87,17 +76,15 @@ def tb_screening(t: ClinicalTables, p: ReportParams) -> DataFrame:
     return live_patients(t, found)
 
 
-def results_by_moment(t: ClinicalTables, n: str = "n") -> DataFrame:
-    result = F.when(F.col("value_coded").isin(C.POSITIVE, C.YES), F.lit("POSITIVO")).otherwise(
-        F.lit("NEGATIVO")
-    )
-    return answers_by_moment(t, C.TB_INVESTIGATION, result.alias("resultado"), **counted_rows(n))
+_POSITIVE = any_of("value_coded", C.POSITIVE, C.YES)
 
 
 def tb_investigation(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """Results of the latest investigation; ties give several rows."""
     last = live_patients(t, patient_traits(t, p, investigation_trait(p)))
-    rows = look_up(last, "data_investigacao", results_by_moment(t), "inner")
+    result = f"case when {_POSITIVE} then 'POSITIVO' else 'NEGATIVO' end resultado"
+    results = answers_by_moment(t, C.TB_INVESTIGATION, result, n="count(1)")
+    rows = look_up(last, "data_investigacao", results, "inner")
     return repeat_rows(rows, F.col("n")).select("patient_id", "data_investigacao", "resultado")
 
 
@@ -111,12 +98,12 @@ def inh_end(t: ClinicalTables, p: ReportParams) -> DataFrame:
 
 def course_end() -> Column:
     """The end counts only with a start, and after it."""
-    return F.when(F.col("data_fim_inh") > F.col("data_inicio_inh"), F.col("data_fim_inh"))
+    return F.expr(when("data_fim_inh > data_inicio_inh", "data_fim_inh"))
 
 
 def inh_course(t: ClinicalTables, p: ReportParams) -> DataFrame:
     both = patient_traits(t, p, inh_start_trait(p), inh_end_trait(p))
-    started = both.where(F.col("data_inicio_inh").isNotNull())
+    started = both.where("data_inicio_inh is not null")
     return live_patients(t, started.withColumn("data_fim_inh", course_end()))
 
 
@@ -134,10 +121,6 @@ def inh_elapsed(t: ClinicalTables, p: ReportParams) -> DataFrame:
     )
 
 
-def course_open(p: ReportParams) -> Column:
-    return F.col("data_fim_inh").isNull() | (F.col("data_fim_inh") > p.end)
-
-
 def tpt_traits(p: ReportParams) -> tuple[Trait, ...]:
     return (
         screening_trait(p, C.NO, "data_rastreio_neg"),
@@ -153,23 +136,18 @@ def with_tpt_rule(t: ClinicalTables, p: ReportParams, df: DataFrame) -> DataFram
     number ``n_investigacao`` of investigation rows that make them eligible:
     all of them (at least one) after a negative screen, only the negative ones
     after a positive screen alone."""
-    df = df.withColumn("data_fim_inh", course_end())
     results = answers_by_moment(
         t,
         C.TB_INVESTIGATION,
-        n_all=F.count(F.lit(1)),
-        n_positive=F.count(F.when(F.col("value_coded").isin(C.POSITIVE, C.YES), F.lit(1))),
-    )
-    negative = F.coalesce(F.col("n_all") - F.col("n_positive"), F.lit(0))
-    rows = (
-        F.when(F.col("data_rastreio_neg").isNotNull(), F.coalesce("n_all", F.lit(1)))
-        .when(F.col("data_rastreio_pos").isNotNull(), negative)
-        .otherwise(F.lit(0))
+        n_all="count(1)",
+        n_negative=f"count_if(not coalesce({_POSITIVE}, false))",
     )
+    rows = """case when data_rastreio_neg is not null then coalesce(n_all, 1L)
+              when data_rastreio_pos is not null then coalesce(n_negative, 0L) else 0L end"""
     return (
-        look_up(df, "data_investigacao", results)
-        .withColumn("n_investigacao", rows.cast("long"))
-        .where((F.col("n_investigacao") > 0) & course_open(p))
+        look_up(df.withColumn("data_fim_inh", course_end()), "data_investigacao", results)
+        .withColumn("n_investigacao", F.expr(rows))
+        .where(f"n_investigacao > 0 and (data_fim_inh is null or data_fim_inh > {p.end_sql})")
     )
 
 

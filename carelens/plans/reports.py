@@ -20,9 +20,8 @@ from carelens.functions.scalars import (
     age,
     care_status,
     child_flag,
-    decode,
+    decode_sql,
     full_name,
-    months_between_rounded,
     short_name,
     viral_load_text,
     yes_flag,
@@ -43,8 +42,8 @@ def _people(t: ClinicalTables, *columns: str) -> DataFrame:
     return t.person.withColumnRenamed("person_id", "patient_id").select("patient_id", *columns)
 
 
-def _on_treatment(p: ReportParams, months: int) -> Column:
-    return months_between_rounded(p.end, "data_inicio") >= months
+def _on_treatment(p: ReportParams, months: int) -> str:
+    return f"round(datediff({p.end_sql}, data_inicio) / 30) >= {months}"
 
 
 def _shown_name(column: str = "NomeCompleto") -> Column:
@@ -84,9 +83,9 @@ def _eligible(t: ClinicalTables, p: ReportParams, months: int, pregnant: bool) -
     """Active patients due for a viral-load test."""
     p = _one_site(p)
     people = _people(t, "gender", "birthdate")
-    wanted = F.col("gravida").isNull()
+    wanted = "gravida is null"
     if pregnant:
-        people, wanted = people.where(F.col("gender") == "F"), ~wanted
+        people, wanted = people.where("gender = 'F'"), "gravida is not null"
     found = E.patient_traits(
         t,
         p,
@@ -95,14 +94,14 @@ def _eligible(t: ClinicalTables, p: ReportParams, months: int, pregnant: bool) -
         E.pregnancy_trait(p, "recent"),
         E.any_vl_trait(p),
         E.last_vl_trait(p),
-    ).where(F.col("data_inicio").isNotNull() & _on_treatment(p, months) & wanted)
+    ).where(f"data_inicio is not null and {_on_treatment(p, months)} and {wanted}")
     tested = look_up(
         E.live_patients(t, found).join(people, "patient_id"),
         "data_carga",
         L.lowest_load_at_moment(t, p),
     )
-    due = tested.where(~L.test_not_due(p))
-    active = S.with_final_state(t, p, due).where(F.col("estado_final") == C.ACTIVE)
+    due = tested.where(f"not {L.not_due(p)}")
+    active = S.with_final_state(t, p, due).where(f"estado_final = {C.ACTIVE}")
     return _with_contact_details(t, p, active)
 
 
@@ -132,18 +131,16 @@ def vl_failure(t: ClinicalTables, p: ReportParams) -> DataFrame:
         E.last_visit_trait(p, (C.PICKUP,), "data_fila"),
         E.last_vl_trait(p),
     ).where(
-        F.col("data_inicio").isNotNull()
-        & _on_treatment(p, 6)
-        & (F.datediff(p.end, "data_carga") / 30 > 3)
+        f"data_inicio is not null and {_on_treatment(p, 6)} and {L.over_three_months(p)}"
     )
     high = answers_by_moment(
         t,
         (C.VIRAL_LOAD,),
         site=p,
-        valor_carga=F.min(F.when(F.col("value_numeric") >= 1000, F.col("value_numeric"))),
-    ).where(F.col("valor_carga").isNotNull())
+        valor_carga=f"min({E.when('value_numeric >= 1000', 'value_numeric')})",
+    ).where("valor_carga is not null")
     tested = look_up(E.live_patients(t, found), "data_carga", high, "inner")
-    active = S.with_final_state(t, p, tested).where(F.col("estado_final") == C.ACTIVE)
+    active = S.with_final_state(t, p, tested).where(f"estado_final = {C.ACTIVE}")
     return _with_contact_details(
         t, p, active.join(_people(t, "gender", "birthdate"), "patient_id")
     ).select(
@@ -169,12 +166,13 @@ def vl_suppressed(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
         E.last_visit_trait(p, C.VISITS, "ultimo_segmento"),
         E.last_visit_trait(p, (C.PICKUP,), "_pharmacy"),
         E.last_given_trait(p, "_external"),
-    ).where(F.col("data_inicio").isNotNull() & (F.datediff(p.end, "data_inicio") >= 180))
+    ).where(f"data_inicio is not null and datediff({p.end_sql}, data_inicio) >= 180")
 
     # Both last pickups; without any, one row with no next date.
-    pickups = F.array_compact(F.array(F.col("_pharmacy"), F.col("_external")))
-    spine = E.live_patients(t, found).withColumn(
-        "ultimo_levantamento", F.explode_outer(F.array_distinct(pickups))
+    pickups = "array_distinct(array_compact(array(_pharmacy, _external)))"
+    spine = E.live_patients(t, found).selectExpr(
+        "patient_id", "data_inicio", "gravida", "ultimo_segmento",
+        f"explode_outer({pickups}) ultimo_levantamento",
     )
     spine = look_up(spine, "ultimo_levantamento", S.booked_dates(t, C.NEXT_PICKUP, "proximo_lev"))
     spine = look_up(
@@ -221,8 +219,8 @@ def vl_suppressed(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
 
 def _opened(t: ClinicalTables, p: ReportParams, types: tuple[int, ...]) -> DataFrame:
     """Openings of live persons, equal ones counted."""
-    rows = A.openings(t, p, types).select(
-        "patient_id", F.col("encounter_datetime").alias("data_abertura"), "creator"
+    rows = A.openings(t, p, types).selectExpr(
+        "patient_id", "encounter_datetime data_abertura", "creator"
     )
     return tally(rows, "patient_id", "data_abertura", "creator", n="n_opened")
 
@@ -240,18 +238,14 @@ def _names(t: ClinicalTables) -> DataFrame:
 
 
 def _enrolled(t: ClinicalTables, p: ReportParams, program: int, alias: str) -> DataFrame:
-    rows = E.programs(t, p, (program,)).select("patient_id", F.col("date_enrolled").alias(alias))
+    rows = E.programs(t, p, (program,)).selectExpr("patient_id", f"date_enrolled {alias}")
     return tally(rows, "patient_id", alias, n=f"n_{alias}")
 
 
 def _states(t: ClinicalTables, p: ReportParams, program: int, texts: dict[int, str], alias: str) -> DataFrame:
-    rows = S.program_states(t, p, program, tuple(texts)).where(
-        F.col("end_date").isNull() & (F.col("start_date") <= p.end)
-    )
-    return tally(
-        rows.select("patient_id", decode("state", texts, C.OTHER).alias(alias)),
-        "patient_id", alias, n=f"n_{alias}",
-    )
+    rows = S.open_rows(t, p, program, texts)
+    text = decode_sql("state", texts, C.OTHER)
+    return tally(rows.selectExpr("patient_id", f"{text} {alias}"), "patient_id", alias, n=f"n_{alias}")
 
 
 def _only_count(df: DataFrame, n: str) -> DataFrame:
@@ -291,9 +285,8 @@ def entered_master_card(t: ClinicalTables, p: ReportParams, **spread) -> DataFra
         S.booked_dates(t, C.NEXT_VISIT, "data_proximo_segmento", "n_visit"),
     )
     stages = answers_by_moment(
-        t, (C.STAGE,), site=p,
-        n_stage=F.count(F.when(F.col("value_coded").isin(*C.STAGES), F.lit(1))),
-    ).where(F.col("n_stage") > 0)
+        t, (C.STAGE,), site=p, n_stage=f"count_if({E.any_of('value_coded', *C.STAGES)})"
+    ).where("n_stage > 0")
     one = look_up(one, "data_estadio", stages)
     for side in (
         _names(t),
@@ -345,9 +338,9 @@ def entered_full(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
     one = look_up(one, "data_estadio", L.stages_at_moment(t, p, "n_stage"))
 
     def register(rows: DataFrame, name: str) -> DataFrame:
-        titles = [F.col(c).alias(f"{name}_{c}") for c in ("livro", "pagina", "linha")]
-        entered = F.col("data_inscricao").alias(f"data_inscricao_{name}")
-        return rows.select("patient_id", entered, *titles, f"n_{name}")
+        titles = [f"{c} {name}_{c}" for c in ("livro", "pagina", "linha")]
+        entered = f"data_inscricao data_inscricao_{name}"
+        return rows.selectExpr("patient_id", entered, *titles, f"n_{name}")
 
     for side in (
         _names(t),
@@ -403,7 +396,7 @@ def dsd_followup(t: ClinicalTables, p: ReportParams) -> DataFrame:
         extra=E.start_extra(t, p, "all_sites", "data_inicio_tarv"),
     )
     first = L.highest_at_moment(t, C.VIRAL_LOAD, "valor_primeira_carga").where(
-        F.col("valor_primeira_carga") < 1000
+        "valor_primeira_carga < 1000"
     )
     names = A.preferred_names(t, live_only=False).select("patient_id", full_name().alias("NomeCompleto"))
     # A patient with a care model has an answer at a live visit, which is all
@@ -466,18 +459,19 @@ def three_pickups(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
 
     def booked(concept: int, alias: str, n: str) -> DataFrame:
         return answers_by_moment(
-            t, (concept,), **{alias: F.min("value_datetime"), n: F.count(F.lit(1))}
+            t, (concept,), **{alias: "min(value_datetime)", n: "count(1)"}
         )
 
     df = look_up(df, "data_ultimo", booked(C.NEXT_VISIT, "proximo_consulta", "n_visit"))
     df = look_up(df, "ultimo_levantamento", booked(C.NEXT_PICKUP, "data_proximo", "n_pickup"))
     exits = (
-        S.program_states(t, p, C.TREATMENT, tuple(C.TREATMENT_EXITS))
-        .where(F.col("end_date").isNull() & (F.col("start_date") <= p.end))
-        .withColumn("estado", decode("state", C.TREATMENT_EXITS, C.OTHER))
+        S.open_rows(t, p, C.TREATMENT, C.TREATMENT_EXITS)
+        .selectExpr(
+            "patient_id", "start_date", f"{decode_sql('state', C.TREATMENT_EXITS, C.OTHER)} estado"
+        )
         .groupBy("patient_id")
         .agg(F.min(F.struct("start_date", "estado")).alias("_exit"), F.count(F.lit(1)).alias("n_exit"))
-        .select("patient_id", "_exit.estado", F.col("_exit.start_date").alias("data_saida"), "n_exit")
+        .selectExpr("patient_id", "_exit.estado", "_exit.start_date data_saida", "n_exit")
     )
     names = (
         A.preferred_names(t, live_only=False)
@@ -517,7 +511,7 @@ def tpt_eligible(t: ClinicalTables, p: ReportParams) -> DataFrame:
     treatment; one row per enrolment visit, site, name and tie."""
     p = replace(p, location=None)
     visits = E.visits(t, p, (C.PRE_REGISTER, C.MASTER_CARD), site=False).where(
-        F.col("encounter_datetime") >= p.start
+        f"encounter_datetime >= {p.start_sql}"
     )
     enrolled = E.live_patients(t, tally(visits, "patient_id", n="n_enrolled"))
     traits = E.patient_traits(
@@ -530,7 +524,7 @@ def tpt_eligible(t: ClinicalTables, p: ReportParams) -> DataFrame:
     )
     kept = TB.with_tpt_rule(t, p, enrolled.join(traits, "patient_id", "left"))
     kept = look_up(
-        kept, "ultimo_segmento", answers_by_moment(t, (C.NEXT_VISIT,), n_visit=F.count(F.lit(1)))
+        kept, "ultimo_segmento", answers_by_moment(t, (C.NEXT_VISIT,), n_visit="count(1)")
     )
     names = live(t.person_name).withColumnRenamed("person_id", "patient_id").select(
         "patient_id", full_name().alias("NomeCompleto")

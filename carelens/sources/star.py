@@ -77,9 +77,12 @@ class _Star:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
+        self._found: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        if name not in self._found:
+            self._found[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._found[name]
 
     def patient(self) -> DataFrame:
         return self._read("customer").selectExpr("c_custkey patient_id", f"{_VOID_PATIENT} voided")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from carelens.schema import SCHEMAS
 
@@ -118,4 +118,4 @@ def store_tables(tables: ClinicalTables, target: str) -> None:
 
 def live(df: DataFrame) -> DataFrame:
     """Rows that are not soft-deleted; the test reaches the reader."""
-    return df.where(F.col("voided") == 0)
+    return df.where("voided = 0")

@@ -550,8 +550,8 @@ for _key, _report in REPORTS.items():
 
 
 def _bound(name: str, build: Callable[[ClinicalTables], DataFrame]):
-    # Reports read the observations many times over, so they share one copy.
-    share = name in REPORTS or name == "result_set"
+    # These read the observations many times over, so they share one copy.
+    share = name in REPORTS or name in ("result_set", "register_book")
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(clinical_from_star(spark, sf_dir, share_obs=share))

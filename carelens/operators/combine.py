@@ -40,24 +40,34 @@ def repeat_rows(df: DataFrame, n: Column) -> DataFrame:
 
 
 def spread_join(
-    many: DataFrame, one: DataFrame, key: str, how: str = "inner", hot_rows: int = HOT_ROWS
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """``many`` joined with ``one`` on ``key`` (inner, or left to keep all of
-    ``many``), where ``many`` may hold a large part of its rows under one key.
+    """``many`` joined with ``one`` on ``key``, where ``many`` may hold a large
+    part of its rows under one key. ``how`` is inner, left (keeps all of
+    ``many``) or right (keeps all of ``one``; then a row of ``one`` may also
+    come unmatched from pieces that hold none of its matches, so only sums and
+    the like over it are meaningful).
 
     The rows of a hot key are dealt to ``ceil(rows / hot_rows)`` pieces by a
     hash of the whole row, and the matching rows of ``one`` are copied to each
     piece; other keys have a single piece. The list of hot keys has at most
     ``rows of many / hot_rows`` entries, which is what makes it fit a
     broadcast. Give ``many`` as distinct rows (``tally`` or ``distinct``): equal
-    rows fall in one piece, and for an inner join the exchange of that aggregate
-    is reused by the count.
+    rows fall in one piece, and unless ``how`` is left the exchange of that
+    aggregate is reused by the count. Where ``many`` was already joined to
+    something unique, ``counted`` is the frame before that, with as many rows.
     """
-    if how == "inner":
-        many = many.where(F.col(key).isNotNull())
+    if how != "left":
+        many = many.where(f"{key} is not null")
     columns = [c for c in many.columns if c != key]
     hot = F.broadcast(
-        many.groupBy(key)
+        (many if counted is None else counted)
+        .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(f"_rows > {hot_rows} and {key} is not null")
         .selectExpr(key, f"cast(ceil(_rows / {hot_rows}) as bigint) _pieces")

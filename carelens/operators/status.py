@@ -192,17 +192,14 @@ def pickups_within_99_days(
         "patient_id",
         "encounter_datetime",
     )
-    own = starts.select("patient_id", "data_inicio").join(
-        transfer_in_ids(t, p), "patient_id", "left_anti"
-    )
-    counted = (
-        spread_join(pickups, own, "patient_id", **options)
-        .where("encounter_datetime between data_inicio and data_inicio + interval 99 days")
-        .groupBy("patient_id")
-        .agg(F.sum("n").alias("levantamentos"))
-    )
-    return starts.join(counted, "patient_id", "left").selectExpr(
-        *starts.columns, "coalesce(levantamentos, 0L) levantamentos"
+    moved = transfer_in_ids(t, p).withColumn("_moved", F.lit(True))
+    own = starts.join(moved, "patient_id", "left")
+    near = "encounter_datetime between data_inicio and data_inicio + interval 99 days"
+    counts = when(f"_moved is null and {near}", "n")
+    return (
+        spread_join(pickups, own, "patient_id", "right", **options)
+        .groupBy(*starts.columns)
+        .agg(F.expr(f"coalesce(sum({counts}), 0L)").alias("levantamentos"))
     )
 
 

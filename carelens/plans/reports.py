@@ -304,7 +304,8 @@ def entered_master_card(t: ClinicalTables, p: ReportParams, **spread) -> DataFra
         "n_exit", "n_tb", "n_ptv",
     )
     named = _with_users(t, opened, **spread)
-    joined = spread_join(named, one.withColumn("n_copies", copies), "patient_id", **spread)
+    one = one.withColumn("n_copies", copies)
+    joined = spread_join(named, one, "patient_id", counted=opened, **spread)
     rows = A.with_ages(p, joined, "data_abertura")
     return repeat_rows(rows, F.col("n_opened") * F.col("n_copies")).select(
         "patient_id", "NID", _shown_name(), "sexo", "dead", "death_date", "idade_abertura",
@@ -363,7 +364,8 @@ def entered_full(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
         "n_pre", "n_exit", "n_address",
     )
     named = _with_users(t, opened, **spread)
-    joined = spread_join(named, one.withColumn("n_copies", copies), "patient_id", **spread)
+    one = one.withColumn("n_copies", copies)
+    joined = spread_join(named, one, "patient_id", counted=opened, **spread)
     rows = A.with_ages(p, joined, "data_abertura")
     before = care_status(
         F.col("pre"), F.col("data_proximo_segmento"), p.end, "SEM DATA DA PROXIMA CONSULTA"

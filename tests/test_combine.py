@@ -25,6 +25,14 @@ def test_spread_join_equals_join(spark, how, hot_rows):
     assert _bag(spread_join(many, one, "k", how, hot_rows).select("k", "v", "w")) == _bag(plain)
 
 
+@pytest.mark.parametrize("hot_rows", [1, 7, 1000])
+def test_sums_over_a_right_spread_join(spark, hot_rows):
+    many = spark.createDataFrame([(1, n) for n in range(50)] + [(2, 5), (9, 1)], "k long, v long")
+    one = spark.createDataFrame([(1,), (2,), (3,)], "k long")
+    found = spread_join(many, one, "k", "right", hot_rows).groupBy("k").agg(F.sum("v").alias("s"))
+    assert rows(found, "k", "s") == [(1, 1225), (2, 5), (3, None)]
+
+
 def test_a_hot_key_is_cut_into_pieces_of_bounded_size(spark):
     many = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")

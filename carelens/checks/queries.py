@@ -207,11 +207,11 @@ def join_theta_extra(t):
 @query
 def join_range_window(t):
     starts = E.art_start_in_window(t, WINDOW)
-    pickups = E.visits(t, WINDOW, (C.PICKUP,), until_end=False).select("patient_id", "encounter_datetime")
-    last = X.plus_days("data_inicio", 99)
-    return starts.join(pickups, "patient_id").where(
-        F.col("encounter_datetime").between(F.col("data_inicio"), last)
+    pickups = E.visits(t, WINDOW, (C.PICKUP,), until_end=False).select(
+        "patient_id", "encounter_id", "encounter_datetime"
     )
+    near = "encounter_datetime between data_inicio and data_inicio + interval 99 days"
+    return spread_join(pickups, starts, "patient_id").where(near).drop("encounter_id")
 
 
 @query

@@ -193,10 +193,12 @@ def with_ages(p: ReportParams, df: DataFrame, opened: str) -> DataFrame:
 
 
 def file_opened_in_period(t: ClinicalTables, p: ReportParams, types: tuple[int, ...]) -> DataFrame:
-    rows = openings(t, p, types).select(
-        "patient_id", F.col("encounter_datetime").alias("data_abertura"), "creator"
+    """Opening visits of live patients and persons, one row per visit."""
+    rows = openings(t, p, types).selectExpr(
+        "patient_id", "encounter_id", "encounter_datetime data_abertura", "creator"
     )
-    return with_ages(p, live_patients(t, rows).join(live_people(t), "patient_id"), "data_abertura")
+    joined = spread_join(rows, live_patients(t, live_people(t)), "patient_id")
+    return with_ages(p, joined.drop("encounter_id"), "data_abertura")
 
 
 def part_b_trait(name: str = "parteB") -> Trait:

@@ -44,6 +44,9 @@ def at_site(df: DataFrame, p: ReportParams) -> DataFrame:
 
 
 def live_patients(t: ClinicalTables, df: DataFrame) -> DataFrame:
+    """Rows of patients that are not deleted. Reports apply it to frames with
+    one row per patient; where an operator applies it to all its rows, both
+    sides are plain shuffles, which run-time skew handling can split."""
     return df.join(live(t.patient).select("patient_id"), "patient_id", "left_semi")
 
 

@@ -11,9 +11,7 @@ from carelens.operators.combine import repeat_rows, spread_join, tally, times
 from carelens.operators.evidence import (
     Trait,
     answers,
-    any_of,
     at_site,
-    concept,
     kind,
     last_visit_trait,
     live_patients,

@@ -23,7 +23,6 @@ from carelens.functions.scalars import (
     decode_sql,
     full_name,
     short_name,
-    viral_load_text,
     yes_flag,
 )
 from carelens.operators import attach as A

@@ -20,9 +20,8 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from carelens.llm.common import packed, text_of
+from carelens.llm.common import carrying, text_of
 
 #: Encodings that a task keeps; it starts anew beyond that.
 CACHED = 400_000
@@ -282,8 +281,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 "row": list(batch["row"]), "ids": [x[0] for x in found],
                 "n_tokens": [x[2] for x in found], "decoded": [x[1] for x in found]})
 
-    carried = [c for c in docs.columns if c != text]
-    rows = packed(docs, text=text_of(text)).withColumn("row", F.struct(*[F.col(f"row.`{c}`") for c in carried]))
+    rows = carrying(docs, [c for c in docs.columns if c != text], text)
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInPandas(run, f"row {kind}, ids string, n_tokens bigint, decoded string")
 

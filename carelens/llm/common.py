@@ -54,3 +54,8 @@ def packed(df: DataFrame, **own: Column) -> DataFrame:
     so that no column name of the input can clash with them."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
                      *[c.alias(n) for n, c in own.items()])
+
+
+def carrying(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
+    """(row, text): some columns of the input row, and its text, for a task."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), text_of(text).alias("text"))

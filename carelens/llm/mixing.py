@@ -116,8 +116,10 @@ h as (
       rows between unbounded preceding and 1 preceding), 0))::double
     / (sum(weight) over (order by stop / weight, place rows between current row and unbounded following))::double as share
   from w),
-l as (select min(share) as level from h where share * weight <= stop),
-t as (select source, source_size, least(stop::double, coalesce(level, 0.0) * weight) as target from h, l),
+t as (
+  select source, source_size, least(stop::double, coalesce(
+    (select share from h where share * weight <= stop order by stop / weight, place limit 1), 0.0) * weight) as target
+  from h),
 r as (
   select doc_id, size, source_size, target,
     case when source_size > 0 then target / source_size else 0.0 end as rate,

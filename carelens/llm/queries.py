@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm import bpe, mixing, secrets
+from carelens.llm import bpe, language, mixing, quality, secrets, toxicity
 from carelens.llm.common import table
 
 #: The tokenizer file; only the driver reads it.
@@ -22,15 +22,30 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op3_bpe": op3_bpe,
+        "op4_quality": op4_quality,
+        "op6_language": op6_language,
         "op8_mixing": op8_mixing,
+        "op10_toxicity": op10_toxicity,
     }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm import bpe, language, mixing, quality, secrets, toxicity
+from carelens.llm import bpe, embeddings, language, mixing, quality, secrets, toxicity
 from carelens.llm.common import table
 
 #: The tokenizer file; only the driver reads it.
@@ -26,6 +26,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embeddings_digest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_digest(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": op1_secret_scan,
         "op3_bpe": op3_bpe,
         "op4_quality": op4_quality,
+        "op5_embedding_near_dedup": op5_embedding_near_dedup,
         "op6_language": op6_language,
         "op8_mixing": op8_mixing,
         "op10_toxicity": op10_toxicity,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm import bpe, embeddings, language, mixing, quality, secrets, toxicity
+from carelens.llm import bpe, embeddings, jaccard, language, mixing, quality, secrets, toxicity
 from carelens.llm.common import table
 
 #: The tokenizer file; only the driver reads it.
@@ -34,6 +34,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": op4_quality,
         "op5_embedding_near_dedup": op5_embedding_near_dedup,
         "op6_language": op6_language,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_mixing": op8_mixing,
         "op10_toxicity": op10_toxicity,
     }

@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from carelens.llm.common import carrying, text_of
 
 #: Encodings that a task keeps; it starts anew beyond that.
-CACHED = 400_000
+CACHED = 250_000
+#: Texts whose distinct words make one trie.
+TEXTS = 1000
 #: Longer pieces between white space are encoded, but not kept.
 CACHED_CHARS = 64
 #: Pieces that a normaliser to NFC and lower case leaves as they are but for case,
@@ -237,7 +239,10 @@ class TrieEncoder:
         """Ids, decoded text and number of ids of each text. No word, and nothing
         that normalisation joins, crosses an ASCII space or line end, so a text is
         the sequence of the pieces between them."""
-        pieces = [re.split("[ \t\r\n]+", t) for t in texts]
+        for start in range(0, len(texts), TEXTS):
+            yield from self._encode_some([re.split("[ \t\r\n]+", t) for t in texts[start : start + TEXTS]])
+
+    def _encode_some(self, pieces: list[list[str]]) -> Iterator[tuple[str, str, int]]:
         if len(self.kept) > CACHED:
             self.kept, self.words = {"": ("", "", 0)}, {}
         new = set().union(*pieces) - self.kept.keys()

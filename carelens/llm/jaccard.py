@@ -233,5 +233,5 @@ def without_near_copies(docs: DataFrame, similarity: float = SIMILARITY, words:
     """The rows of ``docs`` that stay: of each component the row with the least id.
     Texts without a word and rows without an id all stay."""
     told = near_documents(docs.select("doc_id", "text"), similarity, words)
-    gone = told.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    gone = told.where(~F.col("kept")).select(F.col("doc_id").alias("__copy")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("__copy"), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm import bpe, embeddings, jaccard, language, mixing, quality, secrets, toxicity
+from carelens.llm import bpe, embeddings, jaccard, language, lines, mixing, quality, secrets, toxicity
 from carelens.llm.common import table
 
 #: The tokenizer file; only the driver reads it.
@@ -42,6 +42,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.near_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,6 +59,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language": op6_language,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_mixing": op8_mixing,
+        "op9_line_dedup": op9_line_dedup,
         "op10_toxicity": op10_toxicity,
     }
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm import bpe, embeddings, jaccard, language, lines, mixing, quality, secrets, toxicity
+from carelens.llm import bpe, embeddings, html, jaccard, language, lines, mixing, quality, secrets, toxicity
 from carelens.llm.common import table
 
 #: The tokenizer file; only the driver reads it.
@@ -18,6 +18,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extraction_digest(table(spark, sf_dir, "pages"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -53,6 +57,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_html_text": op2_html_text,
         "op3_bpe": op3_bpe,
         "op4_quality": op4_quality,
         "op5_embedding_near_dedup": op5_embedding_near_dedup,

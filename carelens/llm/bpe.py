@@ -18,10 +18,9 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm.common import carrying, text_of
+from carelens.llm.common import carrying, mapped
 
 #: Encodings that a task keeps; it starts anew beyond that.
 CACHED = 250_000
@@ -273,22 +272,23 @@ def encoder_of(shared: dict) -> TrieEncoder:
 
 
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``row`` (the input row) with ids (the decimal ids joined by a space), n_tokens
-    and decoded of every document. Null and empty texts have no ids. Special
-    tokens that stand in a text are encoded as such. Repeated rows each come back."""
+    """``row`` (the input row without its text) with ids (the decimal ids joined by a
+    space), n_tokens and decoded of every document. Null and empty texts have no ids.
+    Special tokens that stand in a text are encoded as such. Repeated rows each come
+    back."""
     model = vocabulary(docs.sparkSession, path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         encoder = encoder_of(model.value)
-        for batch in batches:
-            found = list(encoder.encode_texts(batch["text"].tolist()))
-            yield pd.DataFrame({
-                "row": list(batch["row"]), "ids": [x[0] for x in found],
-                "n_tokens": [x[2] for x in found], "decoded": [x[1] for x in found]})
+
+        def run(texts: list[str]):
+            found = list(encoder.encode_texts(texts))
+            return [x[0] for x in found], [x[2] for x in found], [x[1] for x in found]
+
+        return run
 
     rows = carrying(docs, [c for c in docs.columns if c != text], text)
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInPandas(run, f"row {kind}, ids string, n_tokens bigint, decoded string")
+    return mapped(rows, make, {"ids": "string", "n_tokens": "bigint", "decoded": "string"})
 
 
 def encode_digest(docs: DataFrame, path: str) -> DataFrame:
@@ -296,14 +296,17 @@ def encode_digest(docs: DataFrame, path: str) -> DataFrame:
     in the task so that neither leaves it."""
     model = vocabulary(docs.sparkSession, path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         encoder = encoder_of(model.value)
-        for batch in batches:
+
+        def run(texts: list[str]):
             found = [
                 (n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
-                for ids, decoded, n in encoder.encode_texts(batch["text"].tolist())]
-            out = pd.DataFrame(found, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            yield out.assign(doc_id=batch["doc_id"].array)[["doc_id", *out.columns]]
+                for ids, decoded, n in encoder.encode_texts(texts)]
+            return zip(*found, strict=True)
+
+        return run
 
-    return docs.select("doc_id", text_of("text").alias("text")).mapInPandas(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    told = mapped(carrying(docs, ["doc_id"], "text"), make, {
+        "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"})
+    return told.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +58,48 @@ def packed(df: DataFrame, **own: Column) -> DataFrame:
                      *[c.alias(n) for n, c in own.items()])
 
 
-def carrying(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
-    """(row, text): some columns of the input row, and its text, for a task."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), text_of(text).alias("text"))
+#: Spark's names of what tasks add to a row, as Arrow types.
+ARROW = {
+    "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
+    "boolean": pa.bool_(), "binary": pa.binary(),
+}
+
+
+def carrying(docs: DataFrame, columns: list[str], text: str, *more: Column) -> DataFrame:
+    """(row, text, ...): some columns of the input row, and its text, for a task."""
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    return docs.select(row, text_of(text).alias("text"), *more)
+
+
+def mapped(
+    rows: DataFrame, make: Callable[[], Callable[..., Iterable[Sequence]]], added: dict[str, str]
+) -> DataFrame:
+    """``row`` and the added columns of ``rows`` (row, text and maybe more columns).
+
+    ``make`` is called once in each task and returns a function from the lists of
+    texts, and of the other columns' values, to one sequence per added column. The
+    input row passes as it is, so whatever its columns hold comes back unchanged."""
+    row = rows.schema["row"].dataType.simpleString()
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run = make()
+        for batch in batches:
+            if batch.num_rows:
+                values = [batch.column(i).to_pylist() for i in range(1, batch.num_columns)]
+                made = [pa.array(v, type=ARROW[kind]) for v, kind in zip(run(*values), added.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["row", *added])
+
+    return rows.mapInArrow(task, f"row {row}, " + ", ".join(f"{n} {k}" for n, k in added.items()))
+
+
+def chosen(docs: DataFrame, text: str, make: Callable[[], Callable[[list[str]], Sequence[bool]]]) -> DataFrame:
+    """The rows of ``docs`` for whose texts the made function says yes, unchanged."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run = make()
+        for batch in batches:
+            if batch.num_rows:
+                texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+                yield batch.filter(pa.array(run(texts), type=pa.bool_()))
+
+    return docs.mapInArrow(task, docs.schema)

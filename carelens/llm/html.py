@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import stored, text_of
+from carelens.llm.common import carrying, mapped, stored, text_of
 
 #: Hosts whose winning paths are broadcast; more are joined.
 BROADCAST_HOSTS = 100_000
@@ -246,17 +246,13 @@ def extract(pages: DataFrame) -> DataFrame:
     each vote)."""
     winners = stored(host_paths(pages), "paths")
     few = winners.count() <= BROADCAST_HOSTS
-    carried = [c for c in pages.columns if c != "html"]
-    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
-                        host_of(F.col("url")).alias("host"), text_of("html").alias("html"))
-    rows = rows.join(F.broadcast(winners) if few else winners, "host", "left").select("row", "path", "html")
+    rows = carrying(pages, [c for c in pages.columns if c != "html"], "html", host_of(F.col("url")).alias("host"))
+    rows = rows.join(F.broadcast(winners) if few else winners, "host", "left").select("row", "text", "path")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            text = [main_text(page, path) for page, path in zip(batch["html"], batch["path"], strict=True)]
-            yield pd.DataFrame({"row": list(batch["row"]), "text": text})
+    def make():
+        return lambda found, paths: [[main_text(page, path) for page, path in zip(found, paths, strict=True)]]
 
-    return rows.mapInPandas(run, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    return mapped(rows, make, {"text": "string"})
 
 
 def extraction_digest(pages: DataFrame) -> DataFrame:

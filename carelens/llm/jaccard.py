@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.buckets import Arrays, dealt, grouped, in_group, roots
-from carelens.llm.common import stored, text_of
+from carelens.llm.common import carrying, mapped, stored, text_of
 from carelens.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -158,21 +158,25 @@ def near_documents(docs: DataFrame, similarity: float = SIMILARITY, words: int =
     Rows that repeat an id and text are copies of each other."""
     depth = shared_depth(similarity=similarity)
 
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         known = WordHash()
-        for batch in batches:
-            made = []
-            for text in batch["text"]:
+
+        def run(found: list[str]):
+            keys, sizes, packs = [], [], []
+            for text in found:
                 codes = shingles(text, known, words)
-                made.append((*class_key(codes), len(codes), prefixes(codes, depth).tobytes() if len(codes) else None))
-            out = pd.DataFrame(made, columns=["h1", "h2", "n", "prefixes"])
-            out.insert(0, "doc_id", batch["doc_id"].array)
-            yield out
+                keys.append(class_key(codes))
+                sizes.append(len(codes))
+                packs.append(prefixes(codes, depth).tobytes() if len(codes) else None)
+            return [k[0] for k in keys], [k[1] for k in keys], sizes, packs
+
+        return run
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", text_of("text").alias("text"))
-    told = stored(texts.mapInPandas(
-        describe, f"doc_id {kind}, h1 bigint, h2 bigint, n bigint, prefixes binary"), "signatures")
+    told = stored(
+        mapped(carrying(docs, ["doc_id"], "text"), make, {"h1": "bigint", "h2": "bigint", "n": "bigint", "prefixes": "binary"})
+        .select("row.doc_id", "h1", "h2", "n", "prefixes"), "signatures")
     fit = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     classes = stored(
         told.where(fit).groupBy("h1", "h2", "prefixes").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import carrying, held_out, text_of
+from carelens.llm.common import carrying, held_out, mapped, text_of
 from carelens.llm.sampling import labelled_ids, sample_texts
 
 #: Labelled rows of each language to fit on, and how many of them are landmarks.
@@ -136,10 +136,10 @@ def identify(docs: DataFrame, model: Kernel | None, text: str = "text") -> DataF
     parts = (model.langs, model.landmarks, model.weights) if model else None
     shared = docs.sparkSession.sparkContext.broadcast(parts)  # a bounded number of landmarks per language
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         kernel = Kernel(*shared.value) if shared.value else None
-        for batch in batches:
-            texts = batch["text"].tolist()
+
+        def run(texts: list[str]):
             lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             known = [i for i, t in enumerate(texts) if has_letter(t)] if kernel else []
             for start in range(0, len(known), ROWS):
@@ -151,11 +151,12 @@ def identify(docs: DataFrame, model: Kernel | None, text: str = "text") -> DataF
                 score[at] = share[np.arange(len(at)), best]
                 for i, b in zip(at, best, strict=True):
                     lang[i] = kernel.langs[b]
-            yield pd.DataFrame({"row": list(batch["row"]), "lang_pred": lang, "score": score})
+            return lang, score
+
+        return run
 
     rows = carrying(docs, [c for c in docs.columns if c != text], text)
-    return rows.mapInPandas(
-        run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return mapped(rows, make, {"lang_pred": "string", "score": "double"})
 
 
 def language_digest(docs: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from carelens.llm.common import carrying, text_of
+from carelens.llm.common import carrying, mapped, text_of
 from carelens.llm.sampling import labelled_ids, sample_texts
 
 #: Labelled rows of each label to fit on.
@@ -207,25 +207,23 @@ def judge(docs: DataFrame, trees: Trees | None, text: str = "text") -> DataFrame
     fifth of its words in repeated windows of five; null and empty texts have no
     words and fail. Without trees, what passes is kept with score 1."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            told = [statistics(t) for t in batch["text"]]
-            counts = np.array([t[0] for t in told], dtype=np.int64).reshape(-1, len(COUNTS))
+    def make():
+        def run(texts: list[str]):
+            told = [statistics(t) for t in texts]
+            counts = np.array([t[0] for t in told], dtype=np.int64)
             failed = (counts[:, 0] < 10) | (100 * counts[:, 4] > 20 * counts[:, 0])
             if trees is None:
-                margin, passed = np.full(len(told), np.inf), np.ones(len(told), dtype=bool)
+                score, passed = np.ones(len(told)), np.ones(len(told), dtype=bool)
             else:
-                margin = trees.margin(np.array([t[1] for t in told], dtype=float).reshape(len(told), -1))
-                passed = margin >= trees.cut
-            out = pd.DataFrame(counts, columns=COUNTS)
-            out["base_failed"], out["score"], out["kept"] = failed, 1 / (1 + np.exp(-margin)), passed & ~failed
-            out.insert(0, "row", list(batch["row"]))
-            yield out
+                margin = trees.margin(np.array([t[1] for t in told], dtype=float))
+                score, passed = 1 / (1 + np.exp(-margin)), margin >= trees.cut
+            return [*counts.T, failed, score, passed & ~failed]
+
+        return run
 
     rows = carrying(docs, [c for c in docs.columns if c != text], text)
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInPandas(
-        run, f"row {kind}, {', '.join(f'{c} bigint' for c in COUNTS)}, base_failed boolean, score double, kept boolean")
+    return mapped(rows, make, dict.fromkeys(COUNTS, "bigint") | {
+        "base_failed": "boolean", "score": "double", "kept": "boolean"})
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,30 +1,49 @@
-"""The corpus pipeline: documents through the stages, in order."""
+"""The corpus pipeline: documents through five stages, in order."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm import bpe, mixing
+from carelens.llm import bpe, jaccard, lines, mixing, toxicity
 from carelens.llm.common import stored, table
 from carelens.llm.queries import TOKENIZER
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject; it learns from the labels of
+    those that are not held out."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the long lines that an earlier line stands for."""
+    return lines.without_repeated_lines(docs)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard.without_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and hashes of each document of the mix."""
+    """doc_id, token count and hashes of each document of the mix."""
     return bpe.encode_digest(docs, TOKENIZER)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", dedup_documents),
     ("mixing sources to target weights", mix_sources),
     ("BPE encoding and decoding", encode),
 ]
 
-#: Several stages are learned models or encoders that SQL can't express.
+#: The classifier, the edit join and the tokenizer can't be told in SQL.
 ORACLE_SQL = None
 
 

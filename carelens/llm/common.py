@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word, for counting: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,10 +59,14 @@ def packed(df: DataFrame, **own: Column) -> DataFrame:
                      *[c.alias(n) for n, c in own.items()])
 
 
-#: Spark's names of what tasks add to a row, as Arrow types.
-ARROW = {
-    "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
-    "boolean": pa.bool_(), "binary": pa.binary(),
+#: What tasks add to a row: Spark's names with the types on either side.
+KINDS = {
+    "bigint": (T.LongType(), pa.int64()),
+    "int": (T.IntegerType(), pa.int32()),
+    "double": (T.DoubleType(), pa.float64()),
+    "string": (T.StringType(), pa.string()),
+    "boolean": (T.BooleanType(), pa.bool_()),
+    "binary": (T.BinaryType(), pa.binary()),
 }
 
 
@@ -79,17 +84,19 @@ def mapped(
     ``make`` is called once in each task and returns a function from the lists of
     texts, and of the other columns' values, to one sequence per added column. The
     input row passes as it is, so whatever its columns hold comes back unchanged."""
-    row = rows.schema["row"].dataType.simpleString()
+    schema = T.StructType([rows.schema["row"]])
+    for name, kind in added.items():
+        schema.add(name, KINDS[kind][0])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = make()
         for batch in batches:
             if batch.num_rows:
                 values = [batch.column(i).to_pylist() for i in range(1, batch.num_columns)]
-                made = [pa.array(v, type=ARROW[kind]) for v, kind in zip(run(*values), added.values(), strict=True)]
+                made = [pa.array(v, type=KINDS[kind][1]) for v, kind in zip(run(*values), added.values(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["row", *added])
 
-    return rows.mapInArrow(task, f"row {row}, " + ", ".join(f"{n} {k}" for n, k in added.items()))
+    return rows.mapInArrow(task, schema)
 
 
 def chosen(docs: DataFrame, text: str, make: Callable[[], Callable[[list[str]], Sequence[bool]]]) -> DataFrame:

@@ -29,7 +29,7 @@ from carelens.operators.choose import (
     look_up,
     smallest_row,
 )
-from carelens.operators.combine import flag_exists, repeat_rows, spread_join, union_distinct
+from carelens.operators.combine import flag_exists, repeat_rows, union_distinct
 from carelens.params import ReportParams
 from carelens.plans.reports import REPORTS
 from carelens.sources.star import clinical_from_star
@@ -211,7 +211,7 @@ def join_range_window(t):
         "patient_id", "encounter_id", "encounter_datetime"
     )
     near = "encounter_datetime between data_inicio and data_inicio + interval 99 days"
-    return spread_join(pickups, starts, "patient_id").where(near).drop("encounter_id")
+    return pickups.join(starts, "patient_id").where(near).drop("encounter_id")
 
 
 @query
@@ -235,8 +235,8 @@ def join_flag_exists(t):
 def join_dim_lookup(t):
     rows = E.visits(t, SITE, (C.MASTER_CARD,), site=False).select("encounter_id", "location_id", "creator")
     users = t.users.select(F.col("user_id").alias("creator"), "username")
-    named = spread_join(rows, t.location, "location_id")
-    return spread_join(named, users, "creator", "left").select("encounter_id", "name", "username")
+    named = rows.join(t.location, "location_id").join(users, "creator", "left")
+    return named.select("encounter_id", "name", "username")
 
 
 # --- aggregates and per-key selection ----------------------------------------
@@ -549,15 +549,12 @@ for _key, _report in REPORTS.items():
     _simple(_key, lambda t, report=_report, p=REPORT_PARAMS.get(_key, SITE): report(t, p))
 
 
-def _bound(name: str, build: Callable[[ClinicalTables], DataFrame]):
-    # These read the observations many times over, so they share one copy.
-    share = name in REPORTS or name in ("result_set", "register_book")
-
+def _bound(build: Callable[[ClinicalTables], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(clinical_from_star(spark, sf_dir, share_obs=share))
+        return build(clinical_from_star(spark, sf_dir))
 
     return run
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _bound(name, build) for name, build in _BUILD.items()}
+    return {name: _bound(build) for name, build in _BUILD.items()}

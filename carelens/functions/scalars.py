@@ -16,6 +16,16 @@ def decode(code: str, texts: dict[int, str], other: str | None) -> Column:
     return F.expr(decode_sql(code, texts, other))
 
 
+def smallest_text_sql(code: str, texts: dict[int, str], other: str) -> str:
+    """The aggregate ``min`` of the texts of a code. It compares their places in
+    text order, so that the aggregate holds a number and can hash its keys."""
+    shown = sorted({*texts.values(), other})
+    places = ", ".join(f"{key}, {shown.index(text) + 1}" for key, text in texts.items())
+    listed = ", ".join(f"'{text}'" for text in shown)
+    place = f"coalesce(try_element_at(map({places}), {code}), {shown.index(other) + 1})"
+    return f"element_at(array({listed}), min({place}))"
+
+
 def rounded(value: Column) -> Column:
     """Rounded half away from zero, as a whole number."""
     return F.round(value).cast("int")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from carelens.functions import codes as C
-from carelens.functions.scalars import age, decode_sql, full_name
+from carelens.functions.scalars import age, decode_sql, full_name, smallest_text_sql
 from carelens.operators.choose import answers_by_moment, first_row, look_up
-from carelens.operators.combine import repeat_rows, spread_join, tally, times
+from carelens.operators.combine import repeat_rows, tally, times
 from carelens.operators.evidence import (
     Trait,
     answers,
@@ -87,7 +87,8 @@ def regimens_by_moment(t: ClinicalTables, p: ReportParams, n: str | None = None)
     text with its multiplicity ``n``."""
     text = decode_sql("value_coded", C.REGIMENS, C.OTHER)
     if n is None:
-        return answers_by_moment(t, (C.REGIMEN,), site=p, ultimo_regime=f"min({text})")
+        smallest = smallest_text_sql("value_coded", C.REGIMENS, C.OTHER)
+        return answers_by_moment(t, (C.REGIMEN,), site=p, ultimo_regime=smallest)
     return answers_by_moment(t, (C.REGIMEN,), f"{text} ultimo_regime", site=p, **{n: "count(1)"})
 
 
@@ -105,20 +106,25 @@ def all_regimens(t: ClinicalTables) -> DataFrame:
 
 
 def referral_rows(t: ClinicalTables, p: ReportParams) -> DataFrame:
-    rows = visit_answers(t, p, C.OPENINGS, (C.REFERRAL,))
+    rows = _referral_answers(t, p)
     text = decode_sql("value_coded", C.REFERRALS, C.OTHER)
     return rows.selectExpr("patient_id", f"{text} referencia")
 
 
+def _referral_answers(t: ClinicalTables, p: ReportParams) -> DataFrame:
+    return visit_answers(t, p, C.OPENINGS, (C.REFERRAL,))
+
+
 def referral_source(t: ClinicalTables, p: ReportParams) -> DataFrame:
     """Where the patient came from; one row per answer."""
     return live_patients(t, referral_rows(t, p))
 
 
 def smallest_referral(t: ClinicalTables, p: ReportParams) -> DataFrame:
-    """The smallest referral text. Kept apart from the other evidence: a text
-    in that aggregate would force it from hashing to sorting."""
-    return referral_rows(t, p).groupBy("patient_id").agg(F.min("referencia").alias("referencia"))
+    """The smallest referral text."""
+    smallest = smallest_text_sql("value_coded", C.REFERRALS, C.OTHER)
+    rows = _referral_answers(t, p).select("patient_id", "value_coded")
+    return rows.groupBy("patient_id").agg(F.expr(smallest).alias("referencia"))
 
 
 def reference_person(t: ClinicalTables, p: ReportParams) -> DataFrame:
@@ -138,9 +144,14 @@ def reference_person_fallback(t: ClinicalTables, p: ReportParams) -> DataFrame:
     first's text, else the second's. Smallest text per patient.
 
     Per visit the pairs are never formed: their smallest text follows from a few
-    minima and from whether each kind of answer exists.
+    minima and from whether each kind of answer exists. Only visits with an answer
+    to either question count, so the folders of these two questions are read
+    first, and all other answers of those visits only.
     """
-    seen = at_site(t.encounter.where(kind(*C.OPENINGS, C.MASTER_CARD)), p)
+    asked = answers(t, C.CONTACT, C.CONTACT_SECOND).select("encounter_id").distinct()
+    seen = at_site(t.encounter.where(kind(*C.OPENINGS, C.MASTER_CARD)), p).join(
+        asked, "encounter_id", "left_semi"
+    )
     main, other = f"concept_id = {C.CONTACT}", f"concept_id = {C.CONTACT_SECOND}"
     of_visit = {
         "_main": f"min({when(main, 'value_text')})",
@@ -195,7 +206,7 @@ def file_opened_in_period(t: ClinicalTables, p: ReportParams, types: tuple[int,
     rows = openings(t, p, types).selectExpr(
         "patient_id", "encounter_id", "encounter_datetime data_abertura", "creator"
     )
-    joined = spread_join(rows, live_patients(t, live_people(t)), "patient_id")
+    joined = rows.join(live_patients(t, live_people(t)), "patient_id")
     return with_ages(p, joined.drop("encounter_id"), "data_abertura")
 
 
@@ -228,9 +239,8 @@ def register_rows(
     )
     # a register entry without the question shows '', like an unknown book
     shown = f"coalesce({decode_sql('value_coded', books, None)}, '')"
-    # the entries of a site all have one location, hence the spread join
     return (
-        spread_join(entries, t.location.select("location_id"), "location_id")
+        entries.join(t.location.select("location_id"), "location_id", "left_semi")
         .join(told(book, shown, "livro"), "encounter_id", "left")
         .join(told(page, "value_numeric", "pagina"), "encounter_id", "left")
         .join(told(line, "value_numeric", "linha"), "encounter_id", "left")

@@ -15,13 +15,12 @@ from carelens.sources.tables import ClinicalTables, live
 
 
 def first_row(df: DataFrame, key: str, row_id: str, *columns: str) -> DataFrame:
-    """The live row with the smallest surrogate id of each key."""
-    return (
-        live(df)
-        .groupBy(key)
-        .agg(F.min_by(F.struct(*columns), row_id).alias("_row"))
-        .select(key, "_row.*")
-    )
+    """The live row with the smallest surrogate id of each key. Only the ids are
+    summed up, which hashes; the row is then looked up by its id."""
+    rows = live(df).select(key, row_id, *columns)
+    least = rows.groupBy(key).agg(F.min(row_id).alias("_least"))
+    found = rows.join(least.withColumnRenamed(key, "_key"), F.col(row_id) == F.col("_least"))
+    return found.where(F.col(key) == F.col("_key")).select(key, *columns)
 
 
 def latest(df: DataFrame, key: str, moment: str, alias: str) -> DataFrame:
@@ -39,26 +38,32 @@ def smallest_row(df: DataFrame, key: str) -> DataFrame:
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def second_distinct(df: DataFrame, key: str, moment: str, alias: str) -> DataFrame:
-    """The second distinct moment of each key; keys with one moment are absent."""
-    order = Window.partitionBy(key).orderBy(F.col(moment))
-    return (
-        df.select(key, moment)
-        .withColumn("_rank", F.dense_rank().over(order))
-        .where(F.col("_rank") <= 2)
-        .groupBy(key)
-        .agg(F.max(F.when(F.col("_rank") == 2, F.col(moment))).alias(alias))
-        .where(F.col(alias).isNotNull())
-    )
-
-
 def first_second_last(df: DataFrame, key: str, moment: str, names: tuple[str, str, str]) -> DataFrame:
-    """First, second distinct (else the first) and last moment of each key."""
+    """First, second distinct (else the first) and last moment of each key.
+
+    Rows of one moment become one before any ranking, map-side already, and the one
+    exchange of distinct moments feeds both the ranking and the last moment, so
+    ``df`` is read once. The two results meet in an aggregate, not a join, which
+    would ask the ranked side for keys that are not null and so read it again."""
     first, second, last = names
-    ends = df.groupBy(key).agg(F.min(moment).alias(first), F.max(moment).alias(last))
-    return ends.join(second_distinct(df, key, moment, "_second"), key, "left").select(
-        key, first, F.coalesce("_second", first).alias(second), last
+    moments = df.select(key, moment).distinct()
+    order = Window.partitionBy(key).orderBy(F.col(moment))
+    ranked = moments.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= 2)
+    none = F.lit(None).cast(df.schema[moment].dataType)
+    early = ranked.select(
+        key,
+        F.when(F.col("_rank") == 1, F.col(moment)).alias(first),
+        F.when(F.col("_rank") == 2, F.col(moment)).alias(second),
+        none.alias(last),
+        F.lit(None).cast("long").alias("_n"),
+    )
+    # the number of moments needs them distinct, so the optimizer keeps the exchange
+    late = moments.groupBy(key).agg(F.max(moment).alias(last), F.count(F.lit(1)).alias("_n")).select(
+        key, none.alias(first), none.alias(second), last, "_n"
     )
+    found = early.unionByName(late).groupBy(key).agg(*[F.max(n).alias(n) for n in (*names, "_n")])
+    middle = F.when(F.col("_n") > 1, F.col(second)).otherwise(F.col(first))
+    return found.select(key, first, middle.alias(second), last)
 
 
 def answers_by_moment(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A key with more rows than this is cut into pieces of about this many rows.
 HOT_ROWS = 1_000_000
 
-# Longest array built when rows are repeated.
+# Rows are repeated in runs, and these in stretches, of this many.
 _RUN = 1024
 
 
@@ -26,14 +26,24 @@ def times(*counts: str) -> Column:
 
 
 def repeat_rows(df: DataFrame, n: Column) -> DataFrame:
-    """Each row ``n`` times (none for 0), in runs so that no array grows with n."""
+    """Each row ``n`` times (none for 0). The runs of a row are dealt to all
+    tasks before they are written out, so no task makes all copies of a row; their
+    number is fixed, for a run is small and its rows are not, and tasks that look
+    small would be joined. The longest array is a run, or has an entry per million
+    copies."""
     columns = df.columns
-    runs = F.expr(f"sequence(0L, (_n - 1) div {_RUN})")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stretches = F.expr(f"sequence(0L, (_n - 1) div {_RUN * _RUN})")
+    runs = F.expr(
+        f"sequence(_stretch * {_RUN}, least(_stretch * {_RUN} + {_RUN - 1}, (_n - 1) div {_RUN}))"
+    )
     run = F.expr(f"sequence(1L, least({_RUN}L, _n - _run * {_RUN}))")
     return (
         df.withColumn("_n", n.cast("long"))
         .where(F.col("_n") > 0)
+        .withColumn("_stretch", F.explode(stretches))
         .withColumn("_run", F.explode(runs))
+        .repartition(tasks, F.xxhash64(*columns), "_run")
         .withColumn("_copy", F.explode(run))
         .select(columns)
     )
@@ -48,10 +58,8 @@ def spread_join(
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """``many`` joined with ``one`` on ``key``, where ``many`` may hold a large
-    part of its rows under one key. ``how`` is inner, left (keeps all of
-    ``many``) or right (keeps all of ``one``; then a row of ``one`` may also
-    come unmatched from pieces that hold none of its matches, so only sums and
-    the like over it are meaningful).
+    part of its rows under one key. ``how`` is inner or left (keeps all of
+    ``many``); the rows are those of a plain join whatever ``hot_rows`` is.
 
     The rows of a hot key are dealt to ``ceil(rows / hot_rows)`` pieces by a
     hash of the whole row, and the matching rows of ``one`` are copied to each
@@ -62,6 +70,8 @@ def spread_join(
     aggregate is reused by the count. Where ``many`` was already joined to
     something unique, ``counted`` is the frame before that, with as many rows.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"a spread join is inner or left, not {how}")
     if how != "left":
         many = many.where(f"{key} is not null")
     columns = [c for c in many.columns if c != key]

@@ -195,11 +195,11 @@ def pickups_within_99_days(
     moved = transfer_in_ids(t, p).withColumn("_moved", F.lit(True))
     own = starts.join(moved, "patient_id", "left")
     near = "encounter_datetime between data_inicio and data_inicio + interval 99 days"
-    counts = when(f"_moved is null and {near}", "n")
-    return (
-        spread_join(pickups, own, "patient_id", "right", **options)
-        .groupBy(*starts.columns)
-        .agg(F.expr(f"coalesce(sum({counts}), 0L)").alias("levantamentos"))
+    own = own.where("_moved is null").select("patient_id", "data_inicio").distinct()
+    inside = spread_join(pickups, own, "patient_id", **options).where(near)
+    counted = inside.groupBy("patient_id", "data_inicio").agg(F.sum("n").alias("levantamentos"))
+    return starts.join(counted, ["patient_id", "data_inicio"], "left").select(
+        *starts.columns, F.expr("coalesce(levantamentos, 0L)").alias("levantamentos")
     )
 
 

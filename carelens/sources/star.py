@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carelens.schema import SCHEMAS
-from carelens.sources.shared import shared_copy
-from carelens.sources.tables import ClinicalTables, read_table, store_table, typed
+from carelens.sources.tables import ClinicalTables, typed
 
 
 def _pick(key: str, values: str) -> str:
@@ -217,23 +216,9 @@ class _Star:
         )
 
 
-def clinical_from_star(spark: SparkSession, sf_dir: str, *, share_obs: bool = False) -> ClinicalTables:
-    """Views of the star. With ``share_obs`` the observations, which reports
-    read many times and which cost a join of the two largest star tables, are
-    stored once per application (see ``shared_copy``)."""
+def clinical_from_star(spark: SparkSession, sf_dir: str) -> ClinicalTables:
+    """Views of the star. The observations are a join of its two largest tables
+    wherever they are read; ``store_tables`` to a path of one's own and
+    ``load_tables`` from it spare that where many reports are made."""
     star = _Star(spark, sf_dir)
-
-    def view(name: str) -> DataFrame:
-        return typed(name, getattr(star, name)())
-
-    def obs() -> DataFrame:
-        path = None
-        if share_obs:
-            path = shared_copy(
-                spark, sf_dir, "obs", lambda target: store_table("obs", view("obs"), target)
-            )
-        return view("obs") if path is None else read_table(spark, "obs", path)
-
-    tables = {name: (lambda name=name: view(name)) for name in SCHEMAS}
-    tables["obs"] = obs
-    return ClinicalTables(**tables)
+    return ClinicalTables(**{name: (lambda name=name: typed(name, getattr(star, name)())) for name in SCHEMAS})

@@ -51,21 +51,31 @@ _RANGE_KEY = {
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """A database read. ``upper`` gives the largest key of each table; a table
-    named there is read in ``pieces`` parallel ranges of its key."""
+    """A database read. Each table is read in ``pieces`` parallel ranges of its
+    key. ``bounds`` gives a table's smallest and largest key; where it doesn't,
+    the database is asked for them, which is one row."""
 
     url: str
     properties: dict[str, str] = field(default_factory=dict)
-    upper: dict[str, int] = field(default_factory=dict)
+    bounds: dict[str, tuple[int, int]] = field(default_factory=dict)
     pieces: int = 64
 
+    def _bounds(self, spark: SparkSession, name: str) -> tuple[int, int] | None:
+        if name in self.bounds:
+            return self.bounds[name]
+        key = _RANGE_KEY[name]
+        asked = f"(select min({key}) lo, max({key}) hi from {name}) bounds"
+        low, high = spark.read.jdbc(self.url, asked, properties=dict(self.properties)).first()
+        return None if low is None else (int(low), int(high))
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         options: dict = {"properties": dict(self.properties)}
-        if name in self.upper:
+        bounds = self._bounds(spark, name)
+        if bounds is not None:  # an empty table has none
             options.update(
                 column=_RANGE_KEY[name],
-                lowerBound=0,
-                upperBound=self.upper[name],
+                lowerBound=bounds[0],
+                upperBound=bounds[1] + 1,
                 numPartitions=self.pieces,
             )
         return spark.read.option("preferTimestampNTZ", "true").jdbc(self.url, name, **options)

@@ -25,12 +25,24 @@ def test_spread_join_equals_join(spark, how, hot_rows):
     assert _bag(spread_join(many, one, "k", how, hot_rows).select("k", "v", "w")) == _bag(plain)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 7, 1000])
-def test_sums_over_a_right_spread_join(spark, hot_rows):
-    many = spark.createDataFrame([(1, n) for n in range(50)] + [(2, 5), (9, 1)], "k long, v long")
-    one = spark.createDataFrame([(1,), (2,), (3,)], "k long")
-    found = spread_join(many, one, "k", "right", hot_rows).groupBy("k").agg(F.sum("v").alias("s"))
-    assert rows(found, "k", "s") == [(1, 1225), (2, 5), (3, None)]
+def test_other_spread_joins_are_refused(spark):
+    df = spark.createDataFrame([(1, 1)], "k long, v long")
+    with pytest.raises(ValueError):
+        spread_join(df, df.select("k"), "k", "right")
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 3) | st.none(), st.integers(0, 9)), min_size=1, max_size=30, unique=True),
+    st.lists(st.integers(0, 4), min_size=1, max_size=6),
+    st.sampled_from(["inner", "left"]),
+)
+def test_rows_of_a_spread_join_do_not_depend_on_the_threshold(spark, left, right, how):
+    many = spark.createDataFrame(left, "k long, v long")
+    one = spark.createDataFrame([(k, i) for i, k in enumerate(right)], "k long, w long")
+    want = _bag(many.join(one, "k", how).select("k", "v", "w"))
+    for hot_rows in (1, 3, 1000):
+        assert _bag(spread_join(many, one, "k", how, hot_rows).select("k", "v", "w")) == want
 
 
 def test_a_hot_key_is_cut_into_pieces_of_bounded_size(spark):
@@ -56,12 +68,19 @@ def test_rows_are_repeated_exactly(spark, counts):
     assert found == {i: n for i, n in enumerate(counts) if n}
 
 
-@pytest.mark.parametrize("n", [1, 1023, 1024, 1025, 2048, 2049])
+@pytest.mark.parametrize("n", [1, 1023, 1024, 1025, 2048, 2049, 1024 * 1024, 1024 * 1024 + 1])
 def test_run_borders(spark, n):
     df = spark.createDataFrame([(n,)], "n long")
     assert repeat_rows(df, F.col("n")).count() == n
 
 
+def test_copies_of_one_row_come_out_of_many_tasks(spark):
+    df = spark.createDataFrame([(7, 300_000)], "id long, n long")
+    made = repeat_rows(df, F.col("n")).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in made) == 300_000
+    assert len(made) > 1 and max(r["count"] for r in made) < 200_000
+
+
 def test_tally_and_times(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "k long, v string")
     assert rows(tally(df, "k", "v"), "k", "v", "n") == [(1, "a", 2), (1, "b", 1)]

@@ -8,6 +8,8 @@ import pytest
 from carelens.checks.compare import differences, open_duckdb
 from carelens.checks.oracle import all_oracles
 from carelens.checks.queries import REPORT_PARAMS, SITE, all_queries
+from carelens.operators import attach as A
+from carelens.operators import differentiated as D
 from carelens.plans.reports import REPORTS
 from carelens.sources.star import clinical_from_star
 from carelens.sources.tables import load_tables, store_tables
@@ -103,6 +105,19 @@ def test_plans(spark, stored, name):
     assert plan.count("Window ") == plan.count("WindowGroupLimit") // 2
 
 
+def test_first_rows_are_found_by_hashing(spark, stored):
+    for df in (A.first_identifier(stored, "nid"), A.first_name(stored, "nome"), A.smallest_referral(stored, SITE),
+               A.regimens_by_moment(stored, SITE)):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_moments_are_read_once(spark, stored):
+    df = D.pickup_moments(stored, SITE)
+    assert df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("Initial Plan")[0]
+
+
 def test_reports_have_one_row_per_patient_where_promised(spark, stored):
     for name in ("vl_eligible_general", "vl_eligible_pregnant", "vl_failure", "three_pickups"):
         df = REPORTS[name](stored, REPORT_PARAMS.get(name, SITE))

@@ -1,11 +1,8 @@
-import os
-
 import pytest
 
 from carelens.schema import SCHEMAS
-from carelens.sources import shared
 from carelens.sources.star import clinical_from_star
-from carelens.sources.tables import ClinicalTables, JdbcSource, load_tables
+from carelens.sources.tables import ClinicalTables, JdbcSource, load_tables, read_table, store_table
 from conftest import SMALL
 
 
@@ -29,74 +26,48 @@ def test_a_table_is_made_once_and_only_when_used(spark):
     assert made == ["obs"]
 
 
-class _Named:
-    """A session that names a shared folder."""
-
-    def __init__(self, spark, folder):
-        self._jvm, self._jsc, self.sparkContext = spark._jvm, spark._jsc, spark.sparkContext
-        self.conf = {"spark.checkpoint.dir": folder}
-
-
-class _Cluster:
-    class sparkContext:
-        master, applicationId = "yarn", "app"
-
-    conf: dict = {}
-
-
-def test_the_shared_folder_is_the_one_the_session_names(spark, tmp_path):
-    session = _Named(spark, str(tmp_path))
-    assert shared.shared_folder(session) == str(tmp_path)
-    written = []
-
-    def write(path):
-        written.append(path)
-        spark.range(3).write.parquet(path)
-
-    first = shared.shared_copy(session, "a", "obs", write)
-    assert shared.shared_copy(session, "a", "obs", write) == first
-    assert shared.shared_copy(session, "b", "obs", write) != first
-    assert len(written) == 2 and first.startswith(str(tmp_path)) and os.path.exists(first)
-
-
-def test_a_cluster_without_shared_folder_gets_no_local_one():
-    assert shared.shared_folder(_Cluster()) is None
-    assert shared.shared_copy(_Cluster(), "a", "obs", None) is None
-
-
-def test_shared_observations_equal_the_view(spark):
-    view = clinical_from_star(spark, SMALL).obs
-    kept = clinical_from_star(spark, SMALL, share_obs=True).obs
-    assert kept.dtypes == view.dtypes
-    assert kept.exceptAll(view).count() == 0 and view.exceptAll(kept).count() == 0
-
-
-def test_only_named_folders_are_opened(spark):
-    kept = clinical_from_star(spark, SMALL, share_obs=True).obs
+def test_only_named_folders_are_opened(spark, tmp_path):
+    store_table("obs", clinical_from_star(spark, SMALL).obs, str(tmp_path / "obs"))
+    kept = read_table(spark, "obs", str(tmp_path / "obs"))
     plan = kept.where("voided = 0 and concept_id in (856, 5497)")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [concept_id" in plan and "EqualTo(voided,0)" in plan
 
 
-def test_database_reads_are_cut_into_ranges():
-    calls = {}
+class _Database:
+    """Notes the reads; keys run from 5 to 900, and one table is empty."""
 
-    class Reader:
-        def option(self, *_):
-            return self
+    def __init__(self):
+        self.read, self.calls, self.asked = self, {}, []
 
-        def jdbc(self, url, table, **options):
-            calls[table] = options
-            return None
-
-    class Session:
-        read = Reader()
-
-    source = JdbcSource("jdbc:any", {"user": "u"}, upper={"obs": 900}, pieces=9)
-    source.read(Session(), "obs")
-    source.read(Session(), "location")
-    assert calls["obs"] == {
-        "properties": {"user": "u"}, "column": "encounter_id", "lowerBound": 0,
-        "upperBound": 900, "numPartitions": 9,
-    }
-    assert calls["location"] == {"properties": {"user": "u"}}
-    load_tables(Session(), source)  # nothing is read yet
+    def option(self, *_):
+        return self
+
+    def jdbc(self, url, table, **options):
+        if table.startswith("("):
+            self.asked.append(table)
+            return self
+        self.calls[table] = options
+
+    def first(self):
+        return (None, None) if "from users)" in self.asked[-1] else (5, 900)
+
+
+@pytest.mark.parametrize("name", list(SCHEMAS))
+def test_every_table_is_read_in_ranges(name):
+    database = _Database()
+    JdbcSource("jdbc:any", {"user": "u"}, pieces=9).read(database, name)
+    (options,) = database.calls.values()
+    assert options.pop("properties") == {"user": "u"}
+    if name == "users":
+        assert options == {}
+    else:
+        assert options.pop("column") in SCHEMAS[name].fieldNames()
+        assert options == {"lowerBound": 5, "upperBound": 901, "numPartitions": 9}
+
+
+def test_given_bounds_are_not_asked_for():
+    database = _Database()
+    JdbcSource("jdbc:any", bounds={"obs": (1, 50)}).read(database, "obs")
+    assert database.asked == [] and database.calls["obs"]["upperBound"] == 51
+    load_tables(database, JdbcSource("jdbc:any"))
+    assert database.asked == []  # nothing is read yet

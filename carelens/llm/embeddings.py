@@ -147,3 +147,17 @@ def embeddings_digest(vectors: DataFrame) -> DataFrame:
     """Per vector: vec_id, n_links, component_id and kept."""
     told = near_vectors(vectors.select("vec_id", "label", "embedding"))
     return told.select("row.vec_id", "n_links", "component_id", "kept")
+
+
+ORACLE = f"""
+with recursive v as (
+  select vec_id, label, embedding::double[] as x, len(embedding) as dim from embeddings),
+e as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.dim = b.dim and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.x, b.x) >= {LEAST_COSINE}),
+r(node, reached) as (select vec_id, vec_id from v union select e.b, r.reached from r join e on e.a = r.node),
+c as (select node, min(reached) as component_id from r group by node),
+n as (select a, count(*) as n_links from e group by a)
+select v.vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, v.vec_id = component_id as kept
+from v join c on c.node = v.vec_id left join n on n.a = v.vec_id
+"""

@@ -239,3 +239,23 @@ def without_near_copies(docs: DataFrame, similarity: float = SIMILARITY, words:
     told = near_documents(docs.select("doc_id", "text"), similarity, words)
     gone = told.where(~F.col("kept")).select(F.col("doc_id").alias("__copy")).distinct()
     return docs.join(gone, docs["doc_id"] == F.col("__copy"), "left_anti")
+
+
+ORACLE = rf"""
+with recursive w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+s as (
+  select distinct doc_id, array_to_string(words[i:i+{WORDS - 1}], ' ') as shingle
+  from (select *, unnest(range(1, greatest(len(words) - {WORDS - 1}, 1) + 1)) as i from w where len(words) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+k as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b using (shingle) where a.doc_id <> b.doc_id group by all),
+e as (
+  select k.a, k.b, k.k = x.n and k.k = y.n as same from k join n x on x.doc_id = k.a join n y on y.doc_id = k.b
+  where 10 * k.k >= {round(10 * SIMILARITY)} * (x.n + y.n - k.k)),
+r(node, reached) as (select doc_id, doc_id from documents union select e.b, r.reached from r join e on e.a = r.node),
+c as (select node, min(reached) as component_id from r group by node),
+l as (select a, count(*) as n_links, min(b) filter (where same) as twin from e group by a)
+select d.doc_id, least(d.doc_id, coalesce(twin, d.doc_id)) as class_id, coalesce(n_links, 0)::bigint as n_links,
+  component_id, d.doc_id = component_id as kept
+from documents d join c on c.node = d.doc_id left join l on l.a = d.doc_id
+"""

@@ -70,4 +70,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_mixing": mixing.ORACLE}
+    return {
+        "op1_secret_scan": secrets.oracle(),
+        "op5_embedding_near_dedup": embeddings.ORACLE,
+        "op7_jaccard_join": jaccard.ORACLE,
+        "op8_mixing": mixing.ORACLE,
+    }

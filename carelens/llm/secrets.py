@@ -178,3 +178,33 @@ def secrets_digest(docs: DataFrame) -> DataFrame:
     return told.select(
         "row.doc_id", *[count(r.kind) for r in BASE],
         F.sha2(line(base).cast("binary"), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+
+
+def oracle() -> str:
+    """The same for one scan of everything, in DuckDB's SQL."""
+
+    def of_rule(rank: int, rule: Rule) -> str:
+        pattern = rule.pattern.replace("'", "''")
+        return f"""
+  select rid, '{rule.kind}' as kind, {rank} as rank, hit, value,
+    length(array_to_string(gaps[1:i], '')) + length(array_to_string(hits[1:i-1], '')) as start_at
+  from (select *, hits[i] as hit, values_[i] as value from (select *, unnest(range(1, len(hits) + 1)) as i from (
+    select rid, string_split_regex(t, '{pattern}') as gaps, regexp_extract_all(t, '{pattern}', 0) as hits,
+      regexp_extract_all(t, '{pattern}', {rule.group}) as values_
+    from d where regexp_matches(t, '{pattern}'))))
+  where length(value) >= {rule.least}"""
+
+    found = " union all ".join(of_rule(k + 1, r) for k, r in enumerate(RULES))
+    counts = ", ".join(
+        f"coalesce(count_if(kind = '{r.kind}'), 0)::bigint as n_{r.kind}" for r in BASE)
+    zeros = ", ".join(f"coalesce(n_{r.kind}, 0)::bigint as n_{r.kind}" for r in BASE)
+    return f"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+f as ({found}),
+g as (select rid, {counts},
+  string_agg(kind || ':' || start_at || ':' || (start_at + length(hit)), ',' order by start_at, rank)
+    filter (where rank <= {len(BASE)}) as base,
+  string_agg(kind || ':' || start_at || ':' || (start_at + length(hit)), ',' order by start_at, rank) as spans
+  from f group by rid)
+select doc_id, {zeros}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join g using (rid)"""

@@ -556,5 +556,10 @@ def _bound(build: Callable[[ClinicalTables], DataFrame]):
     return run
 
 
+def on_tables(name: str, tables: ClinicalTables) -> DataFrame:
+    """A query over clinical tables of one's own."""
+    return _BUILD[name](tables)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _bound(build) for name, build in _BUILD.items()}

@@ -10,7 +10,10 @@ with a banded bit-parallel edit distance, inside tasks and in blocks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +32,8 @@ BLOCK = 128
 ID, GONE = "__lines_of", "__lines_gone"
 #: Candidate lines that are broadcast to read their texts; more are joined.
 BROADCAST_LINES = 500_000
-#: Cells of one verification step; lines from which common ends are cut first.
-CELLS, LONG = 1 << 21, 1000
+#: Cells of one verification step.
+CELLS = 1 << 21
 
 
 def segment(size: int, i: int, edits: int = EDITS) -> tuple[int, int]:
@@ -53,17 +56,21 @@ def probes(edits: int = EDITS) -> list[tuple[int, int, int]]:
     return found
 
 
-def _key(line: Column, size: Column, less: int, i: int, shift: int, edits: int) -> Column:
-    """The 64-bit key of one substring, null where it would leave the line."""
+def _keys(shifts: list[tuple[int, int, int]], edits: int) -> Column:
+    """The 64-bit keys of a line's substrings, from the columns ``line`` and
+    ``n_chars``; null where a substring would leave the line. One function over the
+    list of substrings, since a formula for each makes a method that is too long
+    for Java to compile."""
     parts = edits + 1
-    other = size - less
-    longer = other % parts
-    short = (other - longer) / parts
-    before = F.greatest(F.lit(0), F.lit(i - parts) + longer)
-    start = (short * i).cast("int") + before + shift
-    length = short.cast("int") + F.when(F.lit(i - parts) + longer >= 0, 1).otherwise(0)
-    inside = (start >= 0) & (start + length <= size)
-    return F.when(inside, F.xxhash64(other.cast("int"), F.lit(i), line.substr(start + 1, length)))
+    listed = ", ".join(f"struct({less} as less, {i} as i, {shift} as shift)" for less, i, shift in shifts)
+    return F.expr(f"""
+        transform(transform(array({listed}), p -> struct(
+            p.less as less, p.i as i,
+            cast(p.i * ((n_chars - p.less) div {parts}) + greatest(0, p.i - {parts} + (n_chars - p.less) % {parts})
+                 + p.shift as int) as start,
+            cast((n_chars - p.less) div {parts} + if(p.i - {parts} + (n_chars - p.less) % {parts} >= 0, 1, 0) as int) as width)),
+          p -> if(p.start >= 0 and p.start + p.width <= n_chars,
+                  xxhash64(n_chars - p.less, p.i, substring(line, p.start + 1, p.width)), null))""")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -107,7 +114,7 @@ def edit_distances(a: list[np.ndarray], b: list[np.ndarray], most: int = EDITS)
                     out[at[alive[hit]]] = e
             if i == width:
                 break
-            if done.any() or i % 16 == 15:
+            if done.any() or i % 16 == 15 or i in (3, 7):  # most pairs end early
                 stay = ~done & (reach[most] != 0)
                 alive, reach = alive[stay], [r[stay] for r in reach]
                 if not len(alive):
@@ -127,10 +134,8 @@ def edit_distances(a: list[np.ndarray], b: list[np.ndarray], most: int = EDITS)
 
 
 def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Long lines without what they share at their ends."""
+    """Both without what they share at their ends."""
     n = min(len(a), len(b))
-    if n < LONG:
-        return a, b
     differ = a[:n] != b[:n]
     head = int(differ.argmax()) if differ.any() else n
     a, b, n = a[head:], b[head:], n - head
@@ -185,6 +190,31 @@ def compare(group: Arrays, edits: int) -> list[tuple]:
     return list(zip(member[at].tolist(), n[at].tolist(), root[at].tolist(), strict=True))
 
 
+def shared_keys(edits: int):
+    """A task that keeps rows (bucket, place, member), sorted by bucket and place, of
+    buckets that some line indexes and more than one line has: each member with its
+    least place, maybe more than once. It holds a batch and the first row of the
+    last bucket, whatever a bucket's size."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending, going = None, False  # the last bucket's first row; whether its rows are kept
+        for batch in batches:
+            if pending is not None:
+                batch = pa.concat_batches([pending, batch]) if not going else batch
+            if not batch.num_rows:
+                continue
+            bucket, place, member = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(bucket))))
+            kept = (place[starts] < edits + 1) & np.logical_or.reduceat(member != member[starts][run], starts)
+            if going and pending.column(0)[0].as_py() == bucket[0]:
+                kept[0] = True
+            yield batch.filter(pa.array(kept[run]))
+            pending, going = batch.slice(int(starts[-1]), 1), bool(kept[-1])
+
+    return task
+
+
 def near_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """doc_id, line_no, n_chars, n_links, class_doc, class_line and kept of every line
     with a word.
@@ -197,30 +227,25 @@ def near_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
     no lines; a null id comes first. Rows that repeat an id are one document: a line
     that both have is at one place and both stay."""
     lines = lines_of(docs)
-    size = F.length("line")
     wanted = probes(edits)
     own = [(0, i, 0) for i in range(edits + 1)]
     shifts = [*own, *[p for p in wanted if p not in own]]
-    keys = F.when(size >= least_chars, F.array(*[_key(F.col("line"), size, *p, edits) for p in shifts]))
+    keys = F.when(F.col("n_chars") >= least_chars, _keys(shifts, edits))
     hashed = lines.select(
-        "doc_id", "line_no", "line", size.alias("n_chars"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+        "doc_id", "line_no", "line", F.length("line").alias("n_chars"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
     classes = stored(
         hashed.withColumn("keys", keys).groupBy("h1", "h2", "n_chars")
         .agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys")),
         "lines")
 
-    # one exchange by key serves the count of each key's lines and the reading of the few shared ones
     spread = (
         classes.where(F.col("keys").isNotNull()).select("h1", F.posexplode("keys").alias("place", "bucket"))
         .where(F.col("bucket").isNotNull())
-        .select("bucket", F.col("h1").alias("member"), F.col("place").cast("tinyint").alias("place"))
-        .repartition("bucket"))
-    shared = spread.groupBy("bucket").agg(
-        F.min("member").alias("low"), F.max("member").alias("high"), F.min("place").alias("least")
-    ).where((F.col("low") != F.col("high")) & (F.col("least") <= edits)).select("bucket")
+        .select("bucket", F.col("place").cast("int").alias("place"), F.col("h1").alias("member"))
+        .repartition("bucket").sortWithinPartitions("bucket", "place"))
     rows = stored(
-        spread.join(shared.hint("shuffle_hash"), "bucket").groupBy("bucket", "member").agg(F.min("place").alias("place")),
-        "shared")
+        spread.mapInArrow(shared_keys(edits), "bucket bigint, place int, member bigint")
+        .groupBy("bucket", "member").agg(F.min("place").alias("place")), "shared")
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("place").alias("segment"))
     ids = stored(rows.select("member").distinct(), "members")
     few = ids.count() <= BROADCAST_LINES

@@ -3,9 +3,9 @@
 Sizes are summed up per source (map-side first, so a hot source costs no more
 than others), each source gets a target and a repetition rate, and a document is
 taken floor(rate) times plus once more with the probability of the fraction,
-drawn from a hash of its id. Only built-in functions run, and documents are not
-shuffled: the rates are one row per source, which Spark broadcasts when its own
-size check allows and joins otherwise.
+drawn from a hash of its id. Only built-in functions run. The rates are one row
+per source: up to ``BROADCAST_SOURCES`` of them are broadcast, so that documents
+are not shuffled; more are joined.
 """
 
 from __future__ import annotations
@@ -16,13 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from carelens.llm.common import WORD, packed, text_of
+from carelens.llm.common import WORD, packed, stored, text_of
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
 #: A source is never repeated more often than this.
 MOST_REPEATS = 3
 SEED = "mix-1"
+#: Sources whose rates are broadcast.
+BROADCAST_SOURCES = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -80,9 +82,11 @@ def mix(
     repeat a doc_id share its draw. Reruns give the same copies."""
     rows = packed(docs, doc_id=F.col("doc_id"), source=F.col("source"),
                   size=word_count(F.col("text")) if size is None else size.cast("long"))
-    targets = source_targets(
-        rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most
-    ).withColumnRenamed("source", "of_source")
+    targets = stored(
+        source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
+        .withColumnRenamed("source", "of_source"), "targets")
+    if targets.count() <= BROADCAST_SOURCES:
+        targets = F.broadcast(targets)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     extra = (draw(F.col("doc_id"), seed) < rate - F.floor(rate)).cast("long")
     return rows.join(targets, F.col("source").eqNullSafe(F.col("of_source")), "left").select(

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,6 +108,23 @@ def test_like_all_pairs(docs, monkeypatch, block):  # noqa: F811
         assert r["kept"] == (want[place][1] == place)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_shared_keys_over_any_batches(size):
+    rng = random.Random(size)
+    rows = sorted((rng.randrange(40), rng.randrange(6), rng.randrange(5)) for _ in range(150))
+    rows += [(50, 0, 1), (50, 0, 1), (51, 3, 1), (51, 4, 2), (52, 0, 1)] + [(53, k // 20, k) for k in range(60)]
+    want = []
+    for b in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == b]
+        if min(r[1] for r in own) <= 2 and len({r[2] for r in own}) > 1:
+            want += own
+    names = ["bucket", "place", "member"]
+    batches = [pa.RecordBatch.from_pydict({n: [r[k] for r in rows[i : i + size]] for k, n in enumerate(names)}) for i in range(0, len(rows), size)]
+    got = [tuple(r.values()) for batch in lines.shared_keys(2)(iter(batches)) for r in batch.to_pylist()]
+    least = lambda found: {(b, m): min(p for c, p, n in found if (c, n) == (b, m)) for b, _, m in found}
+    assert least(got) == least(want)
+
+
 def test_candidates_by_join_when_they_are_too_many_to_broadcast(docs, monkeypatch):  # noqa: F811
     want = sorted(map(tuple, near_lines(docs(table())).collect()))
     monkeypatch.setattr(lines, "BROADCAST_LINES", 0)

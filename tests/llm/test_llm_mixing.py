@@ -52,6 +52,13 @@ def test_documents_of_the_mix_keep_their_columns(docs):
     assert mixed(docs([])).collect() == [] and mixing_digest(docs([])).collect() == []
 
 
+def test_rates_by_join_when_sources_are_too_many_to_broadcast(docs, monkeypatch):  # noqa: F811
+    rows = [(i, "w " * (i % 5), "en", ["a", None, "c"][i % 3]) for i in range(60)]
+    want = sorted(map(tuple, mixing_digest(docs(rows)).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(tuple, mixing_digest(docs(rows)).collect())) == want
+
+
 def test_like_its_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SMALL}/documents.parquet'")

@@ -265,7 +265,9 @@ def near_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
     links = found.groupBy(F.col("member").alias("h1")).agg(F.sum("n").alias("n"))
     plain = classes.select("h1", "h2", "first", "copies")
     linked = plain.join(forest, "h1").groupBy("component").agg(F.min("first").alias("earliest"))
-    told = plain.join(links, "h1", "left").join(forest, "h1", "left").join(linked, "component", "left").select(
+    # by line, not by component: most lines have none, and their nulls would meet in one task
+    placed = forest.join(linked, "component").select("h1", "earliest")
+    told = plain.join(links, "h1", "left").join(placed, "h1", "left").select(
         "h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("earliest", "first").alias("earliest"))
     return hashed.select("doc_id", "line_no", "n_chars", "h1", "h2").join(told, ["h1", "h2"]).select(

@@ -24,9 +24,8 @@ from carelens.llm.components import components
 EDITS = 2
 #: Shorter lines only match equal ones: two edits change too much of them.
 LEAST_CHARS = 40
-#: Repeated lines of this length are removed from documents; shorter ones recur
-#: in texts of any kind and stay.
-REMOVED_CHARS = 100
+#: Repeated lines from this length on are removed from documents: all of them.
+REMOVED_CHARS = 0
 BLOCK = 128
 #: Names that no column of the documents has.
 ID, GONE = "__lines_of", "__lines_gone"
@@ -277,10 +276,11 @@ def near_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHA
 
 
 def without_repeated_lines(docs: DataFrame, removed_chars: int = REMOVED_CHARS) -> DataFrame:
-    """``docs`` without the lines of ``removed_chars`` code points or more that an
-    earlier line stands for. Rows without an id stay as they are. A document goes if none of its lines with a word is
-    left; one that had none to begin with stays as it is. Column names and other
-    columns stay."""
+    """``docs`` without the lines that an earlier line stands for, whatever their
+    length; a caller may spare those under ``removed_chars`` code points. Rows without
+    an id stay as they are. A document goes if none of its lines with a word is left;
+    one that had none to begin with stays as it is. Column names and other columns
+    stay."""
     told = near_lines(docs.select("doc_id", "text"))
     repeated = told.where(~F.col("kept") & (F.col("n_chars") >= removed_chars) & F.col("doc_id").isNotNull())
     gone = repeated.groupBy(F.col("doc_id").alias(ID)).agg(

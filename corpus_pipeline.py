@@ -16,7 +16,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the long lines that an earlier line stands for."""
+    """Documents without the lines that an earlier line stands for."""
     return lines.without_repeated_lines(docs)
 
 

@@ -159,3 +159,10 @@ def test_repeated_rows_null_ids_and_no_rows(docs):  # noqa: F811
     assert sorted([(r["doc_id"], r["text"]) for r in left], key=repr) == sorted(
         [(4, "more"), (None, line), (None, line), (5, "\n")], key=repr)  # a null id comes first
     assert near_lines(docs([])).collect() == [] and without_repeated_lines(docs([])).collect() == []
+
+
+def test_stage_removes_repeated_lines_of_any_length(docs):  # noqa: F811
+    near = "a repeated line of more than forty characters, "
+    rows = [(i, f"Own {i}.\n}}\nSee the licence.\n{near}{i}") for i in range(4)]
+    left = {r["doc_id"]: r["text"] for r in without_repeated_lines(docs(rows)).collect()}
+    assert left == {0: rows[0][1], 1: "Own 1.", 2: "Own 2.", 3: "Own 3."}

@@ -35,7 +35,8 @@ def grouped(
 ) -> DataFrame:
     """``run`` on the rows of each key, as one array per column. Groups come sorted
     through a partition, so many small ones cost little, and one group is held at a
-    time. Keys are numbers without nulls."""
+    time. A ``run`` that holds groups itself makes the last ones' rows in ``rest``.
+    Keys are numbers without nulls."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[Arrays] = []
@@ -64,6 +65,8 @@ def grouped(
                 made = []
         if held:
             made += run(whole())
+        if hasattr(run, "rest"):
+            made += run.rest()
         if made:
             yield pd.DataFrame(made, columns=columns)
 

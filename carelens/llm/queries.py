@@ -47,7 +47,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.near_lines(table(spark, sf_dir, "documents"))
+    return lines.near_lines(table(spark, sf_dir, "documents"), edits=None)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

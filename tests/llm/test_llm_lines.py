@@ -166,3 +166,87 @@ def test_stage_removes_repeated_lines_of_any_length(docs):  # noqa: F811
     rows = [(i, f"Own {i}.\n}}\nSee the licence.\n{near}{i}") for i in range(4)]
     left = {r["doc_id"]: r["text"] for r in without_repeated_lines(docs(rows)).collect()}
     assert left == {0: rows[0][1], 1: "Own 1.", 2: "Own 2.", 3: "Own 3."}
+
+
+def long_table():
+    """Lines of 15 to 400 characters with 0 to 20 edits, words put in or left out, and
+    lines that repeat a few characters."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh é") for _ in range(rng.randint(2, 9)))
+    line = lambda n: " ".join(word() for _ in range(n)).strip()
+    base = [line(rng.choice([3, 5, 8, 11, 12, 15, 20, 30, 60])) for _ in range(25)]
+    base += ["ab" * n for n in (12, 20, 21, 38, 60)] + [line(60) + "\U0001f600"]
+    rows = []
+    for i in range(60):
+        some = [edited(rng, rng.choice(base), rng.choice([0, 1, 2, 3, 4, 6, 10, 20])) for _ in range(rng.randint(0, 4))]
+        words = rng.choice(base).split()
+        words[rng.randrange(len(words))] = rng.choice(["", "other"])
+        rows.append((i, "\n".join([*some, " ".join(words)])))
+    return [*rows, (500, None), (501, ""), (502, base[0] + "\n" + base[0])]
+
+
+def by_length(a, b):
+    n = min(len(a), len(b))
+    most = max(n // 25, (n >= 20) + (n >= 40))
+    return abs(len(a) - len(b)) <= most and distance(a, b) <= most
+
+
+def all_pairs(rows, near):
+    places = {}
+    for i, text in rows:
+        for k, x in enumerate((text or "").split("\n")):
+            if x.strip():
+                places.setdefault(x, []).append((i, k))
+    found = list(places)
+    links = {x: {y for y in found if x != y and near(x, y)} for x in found}
+    out = {}
+    for x in found:
+        seen, todo = {x}, [x]
+        while todo:
+            new = links[todo.pop()] - seen
+            seen |= new
+            todo += new
+        first = min(min(places[y]) for y in seen)
+        for p in places[x]:
+            out[p] = (len(places[x]) - 1 + sum(len(places[y]) for y in links[x]), first)
+    return out
+
+
+@pytest.mark.parametrize("block", [128, 5])
+def test_edits_that_grow_with_length_like_all_pairs(docs, monkeypatch, block):  # noqa: F811
+    monkeypatch.setattr(lines, "BLOCK", block)
+    rows = long_table()
+    want = all_pairs(rows, by_length)
+    got = near_lines(docs(rows, extra=True), edits=None).collect()
+    assert len(got) == len(want)
+    for r in got:
+        place = (r["doc_id"], r["line_no"])
+        assert (r["n_links"], (r["class_doc"], r["class_line"])) == want[place], place
+
+
+def test_a_word_replaced_in_a_long_line(docs):  # noqa: F811
+    line = "Permission is granted to any person who obtains a copy of this work to use it without limits, " * 2
+    short = "Are. Is anwh reenen."
+    got = near_lines(docs([(1, line + "\n" + short), (2, line.replace("any person", "any reader", 1) + "\n" + short.replace(". I", ", i"))]), edits=None)
+    assert {(r["doc_id"], r["line_no"], r["n_links"], r["class_doc"]) for r in got.collect()} == {
+        (1, 0, 1, 1), (2, 0, 1, 1), (1, 1, 0, 1), (2, 1, 0, 2)}  # two edits are beyond 20 characters
+
+
+def test_lines_within_the_edits_share_a_key():
+    rng = random.Random(2)
+    for _ in range(1500):
+        some = rng.choice(["a", "ab", "abcdefgh "])
+        n = rng.choice([20, 21, 39, 40, 41, 74, 75, 76, rng.randint(20, 400)])
+        a = "".join(rng.choice(some) for _ in range(n))
+        b = edited(rng, a, int(lines.allowed(np.array([n]))[0]))
+        if a != b and len(b) >= len(a):
+            line, key = lines.line_keys([a, b])
+            assert set(key[line == 0].tolist()) & set(key[line == 1].tolist()), (a, b)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text("ab", max_size=40), st.text("ab", max_size=40), st.integers(0, 9)), min_size=1, max_size=20))
+def test_distance_by_diagonals(pairs):
+    code = lambda t: np.array([ord(c) for c in t], dtype=np.uint32)
+    got = lines.within([code(a) for a, _, _ in pairs], [code(b) for _, b, _ in pairs], np.array([m for _, _, m in pairs]))
+    assert got.tolist() == [distance(a, b) <= m for a, b, m in pairs]

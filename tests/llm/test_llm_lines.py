@@ -250,3 +250,9 @@ def test_distance_by_diagonals(pairs):
     code = lambda t: np.array([ord(c) for c in t], dtype=np.uint32)
     got = lines.within([code(a) for a, _, _ in pairs], [code(b) for _, b, _ in pairs], np.array([m for _, _, m in pairs]))
     assert got.tolist() == [distance(a, b) <= m for a, b, m in pairs]
+
+
+def test_one_edit_in_lines_of_20_to_39_characters(docs):  # noqa: F811
+    rows = [(1, "Are. Is anwh reenen."), (2, "Are, Is anwh reenen."), (3, "Are. Is anwh, reenen."), (4, "Nineteen charactes."), (5, "Nineteen charactes,")]
+    got = near_lines(docs(rows), edits=None).collect()
+    assert {r["doc_id"]: (r["n_links"], r["class_doc"]) for r in got} == {1: (2, 1), 2: (1, 1), 3: (1, 1), 4: (0, 4), 5: (0, 5)}

@@ -1,10 +1,9 @@
-"""Operator 7, n-gram Jaccard join with a MinHash LSH forest.
+"""Operator 7, n-gram Jaccard join with MinHash banding.
 
-Documents with the same set of word shingles are one class. Each tree of the
-forest is a trie of the classes' signatures, one label of several minhashes per
-tree, kept sorted. Matching starts from whole labels and shortens the matched
-prefix, a hash at a time, until pairs at the threshold are found with the wanted
-probability. The classes that share such a prefix form a bucket; buckets of the
+Documents with the same set of word shingles are one class. A class's signature is
+cut into bands of several minhashes, one per tree. The length of the bands is fixed
+before any data is read: the longest that finds pairs at the threshold with the
+wanted probability. The classes that share a band form a bucket; buckets of the
 same members in several trees are compared once. Comparison is exact, on whole
 shingle sets, inside tasks and in blocks: no pair becomes a row.
 """
@@ -34,8 +33,8 @@ COLUMNS, CHUNK, CACHED = 1 << 13, 1 << 15, 500_000
 
 
 def shared_depth(trees: int = TREES, depth: int = DEPTH, similarity: float = SIMILARITY, recall: float = RECALL) -> int:
-    """How long the matched prefix may be: it is shortened from the whole label
-    until the forest's recall at the threshold is reached."""
+    """The length of the bands: the longest, up to ``depth``, whose recall at the
+    threshold is enough. It depends on the parameters only, not on the data."""
     for d in range(depth, 1, -1):
         if 1 - (1 - similarity**d) ** trees >= recall:
             return d

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm import bpe, embeddings, html, jaccard, language, lines, mixing, quality, secrets, toxicity
+from carelens.llm import bpe, embeddings, html, jaccard, language, lines, mixing, quality, secrets, toxicity, wavelet
 from carelens.llm.common import table
 
 #: The tokenizer file; only the driver reads it.
@@ -54,6 +54,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.shards_digest(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -66,6 +70,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_line_dedup": op9_line_dedup,
         "op10_toxicity": op10_toxicity,
+        "op13_token_shards": op13_token_shards,
     }
 
 

@@ -19,11 +19,13 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from carelens.llm.common import mapped, scratch, stored, text_of
+from carelens.llm.common import scratch, stored, text_of
 
 #: Tokens of a shard, which a task holds while it makes one; a longer document is a shard.
 SHARD_TOKENS = 1 << 23
@@ -40,10 +42,18 @@ MOST_PARTS = 20_000
 #: Bits of a block.
 BLOCK = 1 << 16
 END_ID = 2
-#: Pieces kept in each of the two generations of a worker's cache, and the longest piece kept.
-CACHED, CACHED_CHARS = 300_000, 64
-#: Letters and the signs after them; the tokenizer never joins the two.
-PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)")
+#: Pieces and words kept in each generation of a worker's cache, and the longest kept.
+CACHED, CACHED_CHARS = 400_000, 64
+#: Bytes of texts that are encoded together.
+TEXT_BYTES = 12_000_000
+#: Letters of one lower case and one form, and the ASCII signs after them (no apostrophe,
+#: which may belong to the letters): the tokenizer cuts between the two and nowhere else.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: How the vocabulary writes the bytes of those letters: a letter for each byte, from
+#: 256 on for bytes that have no sign of their own.
+OWN_SIGN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+OTHERS = [b for b in range(256) if b not in set(OWN_SIGN)]
+BYTES = {c: "".join(chr(b if b in OWN_SIGN else 256 + OTHERS.index(b)) for b in chr(c).encode()) for c in range(192, 256)}
 
 HEAD = "<4sHHIIqqIII"
 HEAD_BYTES = struct.calcsize(HEAD)
@@ -102,15 +112,15 @@ class Shard:
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
         blocks = -(-self.n // BLOCK)
 
-        def array(kind: str, *shape: int) -> np.ndarray:
+        def numbers(kind: str, *shape: int) -> np.ndarray:
             nonlocal at
             found = np.frombuffer(data, dtype=kind, count=int(np.prod(shape)), offset=at).reshape(shape)
             at += found.nbytes
             return found
 
-        self.zeros = array("<i8", self.planes)
-        lengths = array("<u4", self.planes, blocks)
-        self.before = array("<i8", self.planes, blocks)
+        self.zeros = numbers("<i8", self.planes)
+        lengths = numbers("<u4", self.planes, blocks)
+        self.before = numbers("<i8", self.planes, blocks)
         self.places = at + np.concatenate([[0], np.cumsum(lengths.ravel(), dtype=np.int64)])
         self._blocks: dict[tuple[int, int], np.ndarray] = {}
 
@@ -209,50 +219,74 @@ class Shard:
 # ---- encoding ----
 
 
+class Kept(dict):
+    """What ``learn`` tells of a key, kept in two generations: the older is dropped
+    when the younger is full, and what is asked for again moves to the younger."""
+
+    def __init__(self, learn, most: int):
+        self.learn, self.most, self.old = learn, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.get(key)
+        if found is None:
+            found = self.learn(key)
+        if len(key) <= CACHED_CHARS:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
 class PieceEncoder:
     """The library's ids of texts, as little-endian bytes. No token, and nothing that
     normalisation joins, crosses an ASCII space, tab or line end, so a text is
-    the sequence of the pieces between them, and a piece is encoded once."""
+    the sequence of the pieces between them, and a piece is encoded once. Of pieces that
+    are letters and signs after them the library's model alone encodes each of the two
+    (they are already what normalisation and cutting make of them)."""
 
     def __init__(self, model: str):
         self.library = Tokenizer.from_str(model)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         most = max(max(self.library.get_vocab().values()), END_ID)
         self.planes = most.bit_length()
         self.kind = np.dtype("<u2" if self.planes <= 16 else "<u4")
-        self.new: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-
-    def _ask(self, pieces: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
-
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        plain = {p: m.groups() for p in pieces if (m := PLAIN.fullmatch(p))}
-        known = self.new
-        words = {w.lower() for pair in plain.values() for w in pair} - known.keys()
-        words |= pieces - plain.keys()
-        kept = {w: self.old[w] for w in words & self.old.keys()}
-        asked = list(words - kept.keys())
-        made = kept | dict(zip(asked, self._ask(asked), strict=True))
-        for piece, (letters, signs) in plain.items():
-            a, b = letters.lower(), signs
-            made[piece] = (made[a] if a in made else known[a]) + (made[b] if b in made else known[b])
-        return made
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for start in range(0, len(texts), 500):
-            cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[start : start + 500]]
-            wanted = set().union(*cut)
-            if len(self.new) > CACHED:
-                self.old, self.new = self.new, {"": b""}
-            made = self._learn(wanted - self.new.keys())
-            rare = {p: b for p, b in made.items() if len(p) > CACHED_CHARS}
-            self.new |= made if not rare else {p: b for p, b in made.items() if p not in rare}
-            found = self.new | rare if rare else self.new
-            for pieces in cut:
-                yield b"".join([found[p] for p in pieces])
+        # cutting and lower case are of this kind of tokenizer; others go through the library whole
+        self.plain = self._ask("Word,") == self._ask("word") + self._ask(",") and self._model("word") == self._ask("word")
+        self.words = Kept(self._model, CACHED)
+        self.pieces = Kept(self._piece, CACHED)
+        self.pieces[""] = b""
+
+    def _ask(self, piece: str) -> bytes:
+        return array(self.kind.char, self.library.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _model(self, word: str) -> bytes:
+        return array(self.kind.char, [t.id for t in self.model.tokenize(word.translate(BYTES))]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        m = PLAIN.fullmatch(piece) if self.plain else None
+        if m is None:
+            return self._ask(piece) if piece else b""
+        letters, signs = m.groups()
+        return self.words[letters.lower()] + self.words[signs] if signs else self.words[letters.lower()]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text. Texts are cut and their distinct pieces found by Arrow;
+        only those are looked up, and their ids then copied to each place."""
+        for sign in "\n\t\r":
+            texts = pc.replace_substring(texts, sign, " ")
+        cut = pc.split_pattern(texts, " ")
+        found = cut.flatten().dictionary_encode()
+        ids = list(map(self.pieces.__getitem__, found.dictionary.to_numpy(zero_copy_only=False)))
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.kind.itemsize
+        start, code = np.cumsum(size) - size, found.indices.to_numpy()
+        ids, size = np.frombuffer(b"".join(ids), dtype=self.kind), size[code]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        whole = ids[np.repeat(start[code] - ends[:-1], size) + np.arange(ends[-1])]
+        at = ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        return [whole[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
 
 
 def encoder_of(shared: dict) -> PieceEncoder:
@@ -268,20 +302,31 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     with open(path, encoding="utf-8") as f:
         model = docs.sparkSession.sparkContext.broadcast({"model": f.read()})
 
-    def make():
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(model.value)
         end = np.array([END_ID], dtype=encoder.kind).tobytes()
-
-        def run(texts: list[str]):
-            found = [ids + end for ids in encoder.encode(texts)]
-            return found, [len(ids) // encoder.kind.itemsize for ids in found]
-
-        return run
-
-    rows = docs.select(F.struct("doc_id").alias("row"), text_of("text").alias("text"))
-    made = mapped(rows, make, {"ids": "binary", "n_tokens": "bigint"})
-    return stored(made.select(
-        F.col("row.doc_id").cast("long").alias("doc_id"), "ids", "n_tokens", F.monotonically_increasing_id().alias("own")), "ids")
+        for batch in batches:
+            ids, texts = [], batch.column(1)
+            for some in slices(texts):
+                ids += [x + end for x in encoder.encode(some)]
+            sizes = [len(x) // encoder.kind.itemsize for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64())], ["doc_id", "ids", "n_tokens"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
+    made = rows.mapInArrow(task, "doc_id bigint, ids binary, n_tokens bigint")
+    return stored(made.withColumn("own", F.monotonically_increasing_id()), "ids")
+
+
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Parts of a column of texts of some ten million bytes, or one longer text."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        base = int(ends[at - 1]) if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, base + TEXT_BYTES, side="right")))
+        yield texts.slice(at, upto - at)
+        at = upto
 
 
 # ---- all shards ----

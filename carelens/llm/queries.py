@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm import bpe, embeddings, html, jaccard, language, lines, mixing, quality, secrets, toxicity, wavelet
+from carelens.llm import alignment, bpe, embeddings, html, jaccard, language, lines, mixing, quality, secrets, toxicity, wavelet
 from carelens.llm.common import table
 
-#: The tokenizer file; only the driver reads it.
+#: The tokenizer files; only the driver reads them.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +56,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+
+
 def op13_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.shards_digest(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -70,6 +76,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_line_dedup": op9_line_dedup,
         "op10_toxicity": op10_toxicity,
+        "op12_token_alignment": op12_token_alignment,
         "op13_token_shards": op13_token_shards,
     }
 

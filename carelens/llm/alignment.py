@@ -19,6 +19,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,9 +34,9 @@ from tokenizers import Tokenizer
 from carelens.llm.common import stored, text_of
 
 #: Bytes of the texts of a part; a longer text is a part.
-TEXT_BYTES = 8_000_000
+TEXT_BYTES = 12_000_000
 #: Chunks kept in each of the two generations of a worker's cache, and the longest kept.
-CACHED, CACHED_CHARS = 120_000, 64
+CACHED, CACHED_CHARS = 200_000, 64
 #: Distinct pairs (17 bytes each) up to which their counts are broadcast; beyond, each
 #: part's pairs are joined to them.
 BROADCAST_PAIRS = 2_000_000
@@ -44,6 +45,7 @@ HELD_PAIRS = 4_000_000
 #: Letters, and the ASCII signs after them but for the apostrophe: the first tokenizer
 #: cuts between the two and nowhere else.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: White space of any kind, for both tokenizers and for Python, before a space.
 DOUBLE = r"(^|[\s\x0b\x1c-\x1f\x{85}\p{Z}]) "
 CHUNK = re.compile(r"(?<=\S)(?= )")
@@ -111,9 +113,13 @@ class Aligner:
         self.names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         # the second tokenizer puts a space before a text; chunks have theirs, so they follow a word
         self.before = self.b.encode("a")
-        self.plain = self._ask_a(" Word,") == self._model_a(" Word") + self._model_a(",")
+        # of the second, no piece may hold a letter and a sign after it
+        crossing = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ][!-&(-/:-@\[-`{-~]")
+        self.plain = self._ask_a(" Word,") == self._model_a(" Word") + self._model_a(",") and not any(
+            crossing.search(self.b.id_to_piece(i)) for i in range(3, self.b.get_piece_size()) if not self.b.is_byte(i))
         self.new: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
+        self.signs: dict[str, tuple] = {}
 
     def _b_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -125,66 +131,103 @@ class Aligner:
     def _model_a(self, word: str) -> list[int]:
         return [t.id for t in self.a_model.tokenize("".join([SIGNS[b] for b in word.encode()]))]
 
-    def encode_a(self, piece: str) -> list[int]:
-        """The first tokenizer's ids of a space and the piece."""
-        m = PLAIN.fullmatch(piece) if self.plain else None
-        if m is None:
-            return self._ask_a(" " + piece)
-        return self._model_a(" " + m[1]) + (self._model_a(m[2]) if m[2] else [])
-
-    def _learn(self, pieces: list[str]) -> dict[str, tuple]:
-        """For each piece (after its space): its groups as text, the numbers of tokens
-        and groups, and the linked pairs, as bytes of longs; None if the tokens'
-        bytes are not the chunk's."""
-        a_ids, found = [self.encode_a(p) for p in pieces], self.b.encode(["a " + p for p in pieces], num_threads=1)
+    def encode_a(self, piece: str, space: bool) -> list[int]:
+        """The first tokenizer's ids of a space and a piece, or of signs after letters."""
+        if not space:
+            return self._model_a(piece)
+        return self._model_a(" " + piece) if self.plain and WORD.fullmatch(piece) else self._ask_a(" " + piece)
+
+    def _learn(self, pieces: list[str], space: bool) -> dict[str, tuple]:
+        """For each piece: its groups as text, the numbers of tokens and groups, and
+        the linked pairs, as bytes of longs; empty if the tokens' bytes are not the
+        chunk's. A chunk is a ``space`` and the piece, or else signs after letters,
+        which no token of either kind holds together with them."""
+        if not pieces:
+            return {}
+        a_ids = [self.encode_a(p, space) for p in pieces]
+        found = self.b.encode([f"a {p}" if space else f"a{p}" for p in pieces], num_threads=1)
         k = len(self.before)
         b_ids = [ids[k:] if ids[:k] == self.before else [] for ids in found]
-        raw = [b" " + p.encode() for p in pieces]
+        raw = [(" " + p if space else p).encode() for p in pieces]
+        out: dict[str, tuple] = {}
+        size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        flat, ends = [], []
+        for kind, length, of in ((a_ids, self.a_len, self.a_bytes), (b_ids, self.b_len, self.b_bytes)):
+            whole = list(chain.from_iterable(kind))
+            flat.append(np.array(whole, dtype=np.int64))
+            ends.append(np.cumsum(length[flat[-1]]))
+            cut = np.cumsum(np.fromiter(map(len, kind), dtype=np.int64, count=len(kind)))
+            same = b"".join(map(of.__getitem__, whole)) == b"".join(raw)
+            if not same or not np.array_equal(np.concatenate([[0], ends[-1]])[cut], np.cumsum(size)):
+                break
+        else:
+            return self._told(pieces, a_ids, b_ids, size, flat, ends)
         fine = [
             b"".join([self.a_bytes[i] for i in a]) == r == b"".join([self.b_bytes[i] for i in b])
             for a, b, r in zip(a_ids, b_ids, raw, strict=True)]
-        out: dict[str, tuple] = {p: None for p, f in zip(pieces, fine, strict=True) if not f}
-        if out:
-            pieces, a_ids, b_ids, raw = ([x for x, f in zip(xs, fine, strict=True) if f] for xs in (pieces, a_ids, b_ids, raw))
-        if not pieces:
-            return out
-        flat = [np.array([i for ids in kind for i in ids], dtype=np.int64) for kind in (a_ids, b_ids)]
-        a_end, b_end = np.cumsum(self.a_len[flat[0]]), np.cumsum(self.b_len[flat[1]])
+        out = {p: () for p, f in zip(pieces, fine, strict=True) if not f}
+        kept = [x for x in zip(pieces, a_ids, b_ids, size.tolist(), fine, strict=True) if x[-1]]
+        if kept:
+            pieces, a_ids, b_ids, sizes, _ = zip(*kept, strict=True)
+            flat = [np.array(list(chain.from_iterable(kind)), dtype=np.int64) for kind in (a_ids, b_ids)]
+            ends = [np.cumsum(length[x]) for length, x in zip((self.a_len, self.b_len), flat, strict=True)]
+            out |= self._told(pieces, a_ids, b_ids, np.array(sizes), flat, ends)
+        return out
+
+    def _told(self, pieces, a_ids, b_ids, size: np.ndarray, flat: list[np.ndarray], both: list[np.ndarray]) -> dict[str, tuple]:
+        a_end, b_end = both
         terminal, a_group, b_group = labels(a_end, b_end)
-        chunk_end = np.cumsum([len(r) for r in raw])
+        chunk_end = np.cumsum(size)
         ends = np.union1d(a_end, b_end)
         pairs = flat[0][np.searchsorted(a_end, ends)] << 32 | flat[1][np.searchsorted(b_end, ends)]
-        pair_end = np.searchsorted(ends, chunk_end, side="right").tolist()
+        pair_end = (np.searchsorted(ends, chunk_end, side="right") * 8).tolist()
         group_end = np.searchsorted(b_end[terminal], chunk_end, side="right").tolist()
         every = np.arange(len(terminal))
         a_cut = np.searchsorted(a_group, every, side="right").tolist()
         b_cut = np.searchsorted(b_group, every, side="right").tolist()
-        a_name, b_name = ([self.names[i] for i in ids.tolist()] for ids in flat)
+        a_name, b_name = (list(map(self.names.__getitem__, ids.tolist())) for ids in flat)
         texts, x, y = [], 0, 0
         for i, j in zip(a_cut, b_cut, strict=True):
-            texts.append(f"{','.join(a_name[x:i])}|{','.join(b_name[y:j])}")
+            left = a_name[x] if i - x == 1 else ",".join(a_name[x:i])
+            texts.append(f"{left}|{b_name[y] if j - y == 1 else ','.join(b_name[y:j])}")
             x, y = i, j
+        out, data = {}, pairs.tobytes()
         p0 = g0 = 0
         for piece, a, b, p1, g1 in zip(pieces, a_ids, b_ids, pair_end, group_end, strict=True):
-            out[piece] = (";".join(texts[g0:g1]), len(a), len(b), g1 - g0, pairs[p0:p1].tobytes())
+            out[piece] = (texts[g0] if g1 - g0 == 1 else ";".join(texts[g0:g1]), len(a), len(b), g1 - g0, data[p0:p1])
             p0, g0 = p1, g1
         return out
 
-    def chunks(self, pieces: list[str]) -> list[tuple | None]:
+    def chunks(self, pieces: list[str]) -> list[tuple]:
+        """What is known of each piece, and what is not yet: of letters and signs the
+        two parts are learnt."""
         if len(self.new) > CACHED:
             self.old, self.new = self.new, {}
-        missing, here = [], {}
-        for p in pieces:
-            if p not in self.new:
-                if p in self.old:
-                    self.new[p] = self.old[p]
-                else:
-                    missing.append(p)
-        for start in range(0, len(missing), 20_000):
-            here |= self._learn(missing[start : start + 20_000])
-        out = [here[p] if p in here else self.new[p] for p in pieces]
-        self.new |= {p: v for p, v in here.items() if len(p) <= CACHED_CHARS}
-        return out
+        if len(self.signs) > CACHED:
+            self.signs = {}
+        told = list(map(self.new.get, pieces))
+        cut, words, signs = [], {}, {}
+        for i, (p, t) in enumerate(zip(pieces, told, strict=True)):
+            if t is None:
+                m = PLAIN.fullmatch(p) if self.plain else None
+                a, b = m.groups() if m else (p, "")
+                words[a] = self.old.get(a) if b == "" else self.new.get(a) or self.old.get(a)
+                if b and b not in self.signs:
+                    signs[b] = None
+                cut.append((i, a, b))
+        missing = [w for w, t in words.items() if t is None]
+        for start in range(0, len(missing), 50_000):
+            words |= self._learn(missing[start : start + 50_000], True)
+        ends = self.signs | self._learn(list(signs), False) if signs else self.signs
+        for i, a, b in cut:
+            x = words[a]
+            if b:
+                y = ends[b]
+                x = (f"{x[0]};{y[0]}", x[1] + y[1], x[2] + y[2], x[3] + y[3], x[4] + y[4]) if x and y else ()
+            told[i] = x
+        self.new |= {w: v for w, v in words.items() if len(w) <= CACHED_CHARS}
+        self.signs |= {b: ends[b] for b in signs if len(b) <= CACHED_CHARS}
+        return told
 
     def part(self, doc_ids: list, pieces: pa.Array, offsets: np.ndarray, fit: np.ndarray, wanted: bool = False) -> dict:
         """One stored row: the documents of a part, whose pieces lie between the
@@ -194,27 +237,29 @@ class Aligner:
         told = self.chunks(found.dictionary.to_numpy(zero_copy_only=False).tolist())
         code = found.indices.to_numpy().astype(np.int64)
         size = np.diff(offsets)
-        good = np.array([t is not None for t in told], dtype=bool)
-        bad = np.concatenate([[0], np.cumsum(~good[code])])
-        fit = fit & (bad[offsets[1:]] == bad[offsets[:-1]])
+        failed = np.array([not t for t in told], dtype=bool)
+        if failed.any():
+            bad = np.concatenate([[0], np.cumsum(failed[code])])
+            fit = fit & (bad[offsets[1:]] == bad[offsets[:-1]])
         keep = np.repeat(fit, size)
         told = [t or ("", 0, 0, 0, b"") for t in told]
-        texts = np.array([t[0] for t in told], dtype=object)[code].tolist()
-        numbers = np.array([t[1:4] for t in told], dtype=np.int64).reshape(-1, 3)
-        pair_size = np.array([len(t[4]) // 8 for t in told], dtype=np.int64)
-        sums = np.zeros((len(code) + 1, 4), dtype=np.int64)
-        np.cumsum(np.column_stack([numbers, pair_size])[code] * keep[:, None], axis=0, out=sums[1:])
-        per_doc = sums[offsets[1:]] - sums[offsets[:-1]]
+        names, *numbers, pairs = zip(*told, strict=True) if told else ((), (), (), (), ())
+        numbers.append(np.fromiter(map(len, pairs), dtype=np.int64, count=len(pairs)) // 8)
+        per_doc = []
+        for value in numbers:
+            sums = np.concatenate([[0], np.cumsum(np.asarray(value, dtype=np.int64)[code])])
+            per_doc.append(np.diff(sums[offsets]) * fit)
+        pair_size, texts = numbers[-1], list(map(names.__getitem__, code.tolist()))
         at, text = offsets.tolist(), []
         for a, b, f in zip(at, at[1:], fit.tolist(), strict=False):
             whole = ";".join(texts[a:b]) if f else ""
             text.append(whole if wanted or not f else hashlib.sha256(whole.encode()).hexdigest())
-        row = dict(zip(("n_a", "n_b", "n_groups", "n_links"), per_doc.T.tolist(), strict=True))
+        row = dict(zip(("n_a", "n_b", "n_groups", "n_links"), [x.tolist() for x in per_doc], strict=True))
         row |= {"doc_id": doc_ids, "groups_sha256": text}
         if not wanted:
             row |= {
                 "chunks": packed_array(code[keep].astype(np.int32)), "ends": packed_array(np.cumsum(size * fit)),
-                "pairs": packed_array(np.frombuffer(b"".join([t[4] for t in told]), dtype=np.int64)),
+                "pairs": packed_array(np.frombuffer(b"".join(pairs), dtype=np.int64)),
                 "pair_ends": packed_array(np.cumsum(pair_size))}
         return row
 

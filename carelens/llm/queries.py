@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm import alignment, bpe, embeddings, html, jaccard, language, lines, mixing, quality, secrets, toxicity, wavelet
+from carelens.llm import alignment, bpe, embeddings, html, jaccard, language, lines, mixing, negatives, quality, secrets, toxicity, wavelet
 from carelens.llm.common import table
 
 #: The tokenizer files; only the driver reads them.
@@ -56,6 +56,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
 
@@ -76,6 +80,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_line_dedup": op9_line_dedup,
         "op10_toxicity": op10_toxicity,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_token_alignment": op12_token_alignment,
         "op13_token_shards": op13_token_shards,
     }
@@ -87,4 +92,5 @@ def llm_oracles() -> dict[str, str]:
         "op5_embedding_near_dedup": embeddings.ORACLE,
         "op7_jaccard_join": jaccard.ORACLE,
         "op8_mixing": mixing.ORACLE,
+        "op11_hard_negatives": negatives.ORACLE,
     }

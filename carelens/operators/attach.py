@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from carelens.functions import codes as C
 from carelens.functions.scalars import age, decode_sql, full_name, smallest_text_sql
 from carelens.operators.choose import answers_by_moment, first_row, look_up
-from carelens.operators.combine import repeat_rows, tally, times
+from carelens.operators.combine import TILE_ROWS, product_join, repeat_rows, tally, times
 from carelens.operators.evidence import (
     Trait,
     answers,
@@ -226,9 +226,10 @@ def part_b_opened(t: ClinicalTables, p: ReportParams) -> DataFrame:
 
 def register_rows(
     t: ClinicalTables, p: ReportParams, register: int, book: int, page: int, line: int,
-    books: dict[int, str], n: str = "n",
+    books: dict[int, str], n: str = "n", tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
-    """Book, page and row of each register entry, with multiplicity."""
+    """Book, page and row of each register entry, with multiplicity. An entry with
+    many answers to each question has their product, which is made in tiles."""
 
     def told(question: int, value: str, alias: str) -> DataFrame:
         rows = answers(t, question).selectExpr("encounter_id", f"{value} {alias}")
@@ -239,29 +240,34 @@ def register_rows(
     )
     # a register entry without the question shows '', like an unknown book
     shown = f"coalesce({decode_sql('value_coded', books, None)}, '')"
+    entries = entries.join(t.location.select("location_id"), "location_id", "left_semi")
+    sides = (told(book, shown, "livro"), told(page, "value_numeric", "pagina"), told(line, "value_numeric", "linha"))
     return (
-        entries.join(t.location.select("location_id"), "location_id", "left_semi")
-        .join(told(book, shown, "livro"), "encounter_id", "left")
-        .join(told(page, "value_numeric", "pagina"), "encounter_id", "left")
-        .join(told(line, "value_numeric", "linha"), "encounter_id", "left")
+        product_join(entries, [(side, "left") for side in sides], "encounter_id", tile_rows)
         .withColumn("livro", F.expr("coalesce(livro, '')"))
         .groupBy("patient_id", "data_inscricao", "livro", "pagina", "linha")
         .agg(F.sum(times("_livro", "_pagina", "_linha")).alias(n))
     )
 
 
-def pre_register(t: ClinicalTables, p: ReportParams, n: str = "n") -> DataFrame:
-    return register_rows(t, p, C.PRE_REGISTER, 6263, 6265, 6267, C.PRE_BOOKS, n)
+def pre_register(
+    t: ClinicalTables, p: ReportParams, n: str = "n", tile_rows: int = TILE_ROWS
+) -> DataFrame:
+    return register_rows(t, p, C.PRE_REGISTER, 6263, 6265, 6267, C.PRE_BOOKS, n, tile_rows)
 
 
-def treatment_register(t: ClinicalTables, p: ReportParams, n: str = "n") -> DataFrame:
-    return register_rows(t, p, C.TREATMENT_REGISTER, 6264, 6266, 6268, C.TREATMENT_BOOKS, n)
+def treatment_register(
+    t: ClinicalTables, p: ReportParams, n: str = "n", tile_rows: int = TILE_ROWS
+) -> DataFrame:
+    return register_rows(
+        t, p, C.TREATMENT_REGISTER, 6264, 6266, 6268, C.TREATMENT_BOOKS, n, tile_rows
+    )
 
 
-def register_book(t: ClinicalTables, p: ReportParams) -> DataFrame:
+def register_book(t: ClinicalTables, p: ReportParams, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Entries of both registers, one row per entry and combination."""
-    both = pre_register(t, p).withColumn("registo", F.lit("pre")).unionByName(
-        treatment_register(t, p).withColumn("registo", F.lit("tarv"))
+    both = pre_register(t, p, tile_rows=tile_rows).withColumn("registo", F.lit("pre")).unionByName(
+        treatment_register(t, p, tile_rows=tile_rows).withColumn("registo", F.lit("tarv"))
     )
     return repeat_rows(live_patients(t, both), F.col("n")).drop("n")
 

@@ -6,9 +6,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from carelens.sources.scratch import stored
+
 # A key with more rows than this is cut into pieces of about this many rows.
 HOT_ROWS = 1_000_000
 
+# A key with more combinations than the square of this is cut into tiles of about
+# so many rows of each side.
+TILE_ROWS = 1024
+# Pieces that the combinations of a key are dealt to at most, at each join.
+_MOST_PIECES = 1 << 20
+
 # Rows are repeated in runs, and these in stretches, of this many.
 _RUN = 1024
 
@@ -92,6 +100,59 @@ def spread_join(
     return dealt.join(copied, [key, "_piece"], how).drop("_piece")
 
 
+def product_join(
+    one: DataFrame, sides: list[tuple[DataFrame, str]], key: str, tile_rows: int = TILE_ROWS
+) -> DataFrame:
+    """``one`` (one row per key) joined on ``key`` with every side, each an inner or a
+    left join: all combinations of a key's rows. The rows are those of plain
+    joins one after the other, whatever ``tile_rows`` is; sides have distinct rows
+    and no column name in common but the key.
+
+    The combinations of one key may be far more than its rows, and are not left to one
+    task. The sides are written once, in one pass, and a key's rows in each
+    are counted there. At each join the combinations so far and the new side's rows are
+    dealt to pieces of ``tile_rows`` by a hash of the row, the piece numbers are
+    crossed, and what meets is a tile: key, piece and piece. A key without very many
+    combinations has a single tile. Tiles go to a fixed number of tasks, for the
+    rows that a tile takes in say nothing about those it gives."""
+    names = [c for side, _ in sides for c in side.columns if c != key]
+    if len(set(names)) < len(names) or set(names) & set(one.columns):
+        raise ValueError("the sides of a product need column names of their own")
+    if any(how not in ("inner", "left") for _, how in sides):
+        raise ValueError("a side of a product joins inner or left")
+    spark = one.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged = [side.where(f"{key} is not null").withColumn("_side", F.lit(i)) for i, (side, _) in enumerate(sides)]
+    held = stored(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged), "sides", "_side")
+
+    counts = held.groupBy(key).agg(*[F.expr(f"count_if(_side = {i}) _c{i}") for i in range(len(sides))])
+    before = ["1D"]
+    for i in range(len(sides)):
+        before.append(f"{before[-1]} * greatest(_c{i}, 1L)")
+    pieces = "cast(least(ceil(({}) / {}), {}) as bigint)"
+    hot = counts.where(f"{before[-1]} > {tile_rows * tile_rows}").selectExpr(
+        key,
+        *[f"{pieces.format(before[i], tile_rows, _MOST_PIECES)} _l{i}" for i in range(len(sides))],
+        *[f"{pieces.format(f'greatest(_c{i}, 1L)', tile_rows, _MOST_PIECES)} _r{i}" for i in range(len(sides))],
+    )
+    numbers = hot.columns[1:]
+    joined = one.join(hot, key, "left")
+    for i, (side, how) in enumerate(sides):
+        left, right = f"coalesce(_l{i}, 1L)", f"coalesce(_r{i}, 1L)"
+        own = [c for c in joined.columns if c not in numbers]
+        mine = [c for c in side.columns if c != key]
+        dealt = joined.withColumn("_i", F.expr(f"pmod(xxhash64({', '.join(own)}, {i}), {left})")).withColumn(
+            "_j", F.explode(F.expr(f"sequence(0L, {right} - 1L)")))
+        rows = held.where(f"_side = {i}").select(key, *mine).join(hot.select(key, f"_l{i}", f"_r{i}"), key, "left")
+        rows = rows.withColumn("_j", F.expr(f"pmod(xxhash64({', '.join(mine)}), {right})")).withColumn(
+            "_i", F.explode(F.expr(f"sequence(0L, {left} - 1L)"))).select(key, "_i", "_j", *mine, F.lit(True).alias("_hit"))
+        tile = [key, "_i", "_j"]
+        joined = dealt.repartition(tasks, *tile).join(rows.repartition(tasks, *tile), tile, how)
+        # a piece that the hash leaves empty has no match for anyone, which is not a missing match
+        joined = joined.where(f"_hit or {right} = 1").drop("_i", "_j", "_hit")
+    return joined.drop(*numbers)
+
+
 def union_distinct(*branches: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), branches).distinct()
 

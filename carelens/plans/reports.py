@@ -32,7 +32,7 @@ from carelens.operators import labs as L
 from carelens.operators import status as S
 from carelens.operators import tb as TB
 from carelens.operators.choose import answers_by_moment, look_up
-from carelens.operators.combine import repeat_rows, spread_join, tally, times
+from carelens.operators.combine import TILE_ROWS, product_join, repeat_rows, spread_join, tally, times
 from carelens.params import ReportParams
 from carelens.sources.tables import ClinicalTables, live
 
@@ -266,7 +266,16 @@ def _with_users(t: ClinicalTables, df: DataFrame, **spread) -> DataFrame:
     return spread_join(df, users, "creator", "left", **spread)
 
 
-def entered_master_card(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
+def _combined(one: DataFrame, named: DataFrame, sides: tuple[DataFrame, ...], tile_rows: int) -> DataFrame:
+    """Every opening of a patient with every combination of the attachments."""
+    return product_join(
+        one, [*((side, "left") for side in sides), (named, "inner")], "patient_id", tile_rows
+    )
+
+
+def entered_master_card(
+    t: ClinicalTables, p: ReportParams, tile_rows: int = TILE_ROWS, **spread
+) -> DataFrame:
     """Patients whose master card was keyed in during the period."""
     p = _one_site(p)
     opened = _opened(t, p, (C.MASTER_CARD,))
@@ -287,7 +296,7 @@ def entered_master_card(t: ClinicalTables, p: ReportParams, **spread) -> DataFra
         t, (C.STAGE,), site=p, n_stage=f"count_if({E.any_of('value_coded', *C.STAGES)})"
     ).where("n_stage > 0")
     one = look_up(one, "data_estadio", stages)
-    for side in (
+    sides = (
         _names(t),
         A.first_identifier(t, "NID"),
         _referrals(t, p),
@@ -296,16 +305,13 @@ def entered_master_card(t: ClinicalTables, p: ReportParams, **spread) -> DataFra
         _only_count(_states(t, p, C.TREATMENT, C.TREATMENT_EXITS, "exit"), "n_exit"),
         _only_count(_enrolled(t, p, C.TUBERCULOSIS, "tb"), "n_tb"),
         _only_count(_enrolled(t, p, C.MATERNAL, "ptv"), "n_ptv"),
-    ):
-        one = one.join(side, "patient_id", "left")
+    )
     copies = times(
         "n_visit", "n_stage", "n_name", "n_referral", "n_inscricao_cuidado", "n_address",
         "n_exit", "n_tb", "n_ptv",
     )
-    named = _with_users(t, opened, **spread)
-    one = one.withColumn("n_copies", copies)
-    joined = spread_join(named, one, "patient_id", counted=opened, **spread)
-    rows = A.with_ages(p, joined, "data_abertura")
+    joined = _combined(one, _with_users(t, opened, **spread), sides, tile_rows)
+    rows = A.with_ages(p, joined.withColumn("n_copies", copies), "data_abertura")
     return repeat_rows(rows, F.col("n_opened") * F.col("n_copies")).select(
         "patient_id", "NID", _shown_name(), "sexo", "dead", "death_date", "idade_abertura",
         "idade", "referencia", "inscricao_cuidado", "data_inicio", "data_ultimo_segmento",
@@ -313,7 +319,9 @@ def entered_master_card(t: ClinicalTables, p: ReportParams, **spread) -> DataFra
     )
 
 
-def entered_full(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
+def entered_full(
+    t: ClinicalTables, p: ReportParams, tile_rows: int = TILE_ROWS, **spread
+) -> DataFrame:
     """All files opened in the period, with registers, states, CD4 and stage."""
     p = _one_site(p)
     opened = _opened(t, p, (*C.OPENINGS, C.MASTER_CARD))
@@ -342,12 +350,12 @@ def entered_full(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
         entered = f"data_inscricao data_inscricao_{name}"
         return rows.selectExpr("patient_id", entered, *titles, f"n_{name}")
 
-    for side in (
+    sides = (
         _names(t),
         A.first_identifier(t, "NID"),
         _referrals(t, p),
-        register(A.pre_register(t, p, "n_pretarv"), "pretarv"),
-        register(A.treatment_register(t, p, "n_tarv"), "tarv"),
+        register(A.pre_register(t, p, "n_pretarv", tile_rows), "pretarv"),
+        register(A.treatment_register(t, p, "n_tarv", tile_rows), "tarv"),
         _enrolled(t, p, C.CARE, "inscricao_cuidado"),
         _enrolled(t, p, C.TREATMENT, "inscricao_tratamento"),
         _enrolled(t, p, C.TUBERCULOSIS, "programa_tb"),
@@ -355,17 +363,14 @@ def entered_full(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
         _states(t, p, C.CARE, C.CARE_EXITS, "pre"),
         _states(t, p, C.TREATMENT, C.TREATMENT_EXITS, "exit"),
         _addresses(t),
-    ):
-        one = one.join(side, "patient_id", "left")
+    )
     copies = times(
         "n_visit", "n_pickup", "n_stage", "n_name", "n_referral", "n_pretarv", "n_tarv",
         "n_inscricao_cuidado", "n_inscricao_tratamento", "n_programa_tb", "n_programa_ptv",
         "n_pre", "n_exit", "n_address",
     )
-    named = _with_users(t, opened, **spread)
-    one = one.withColumn("n_copies", copies)
-    joined = spread_join(named, one, "patient_id", counted=opened, **spread)
-    rows = A.with_ages(p, joined, "data_abertura")
+    joined = _combined(one, _with_users(t, opened, **spread), sides, tile_rows)
+    rows = A.with_ages(p, joined.withColumn("n_copies", copies), "data_abertura")
     before = care_status(
         F.col("pre"), F.col("data_proximo_segmento"), p.end, "SEM DATA DA PROXIMA CONSULTA"
     )

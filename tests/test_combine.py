@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from carelens.operators.combine import repeat_rows, spread_join, tally, times
+from carelens.operators.combine import product_join, repeat_rows, spread_join, tally, times
 from carelens.operators.choose import smallest_row
 from conftest import rows
 
@@ -91,3 +91,43 @@ def test_tally_and_times(spark):
 def test_smallest_row_has_nulls_last(spark):
     df = spark.createDataFrame([(1, None, 1), (1, "b", 2), (1, "b", None)], "k long, a string, b long")
     assert rows(smallest_row(df, "k"), "k", "a", "b") == [(1, "b", 2)]
+
+
+def _sides(spark, *lists):
+    return [spark.createDataFrame(rows, f"k long, {name} long") for rows, name in zip(lists, "abc", strict=False)]
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 3) | st.none(), st.integers(0, 9)), max_size=25, unique=True),
+    st.lists(st.tuples(st.integers(0, 4) | st.none(), st.integers(0, 9)), max_size=25, unique=True),
+    st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5)), max_size=15, unique=True),
+    st.sampled_from([("left", "left", "left"), ("left", "inner", "left"), ("inner", "left", "inner")]),
+)
+def test_rows_of_a_product_do_not_depend_on_the_tiles(spark, a, b, c, hows):
+    one = spark.createDataFrame([(k, k) for k in range(6)] + [(None, 9)], "k long, v long")
+    sides = _sides(spark, a, b, c)
+    want = one
+    for side, how in zip(sides, hows, strict=True):
+        want = want.join(side, "k", how)
+    want = _bag(want.select("v", "a", "b", "c"))
+    for tile_rows in (1, 2, 1024):
+        assert _bag(product_join(one, list(zip(sides, hows, strict=True)), "k", tile_rows).select("v", "a", "b", "c")) == want
+
+
+def test_a_product_needs_names_of_its_own(spark):
+    one = spark.createDataFrame([(1, 1)], "k long, v long")
+    for sides in ([(one, "left")], [(one.select("k"), "right")], [(one.toDF("k", "a"), "left"), (one.toDF("k", "a"), "left")]):
+        with pytest.raises(ValueError):
+            product_join(one, sides, "k")
+
+
+def test_combinations_of_a_hot_key_go_to_all_tasks(spark):
+    """300 x 200 x 3 rows of key 0, of which no task makes more than a few tiles."""
+    lists = [[(0, i) for i in range(n)] + [(k, k) for k in range(1, 40)] for n in (300, 200, 3)]
+    one = spark.range(40).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    made = product_join(one, [(s, "left") for s in _sides(spark, *lists)], "k", 10)
+    per_task = made.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 300 * 200 * 3 + 39
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(per_task) == tasks and max(r["count"] for r in per_task) < 1.2 * 300 * 200 * 3 / tasks

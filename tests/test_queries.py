@@ -40,20 +40,31 @@ def test_the_comparison_sees_a_difference(spark, con):
     assert differences(df.selectExpr("patient_id", "data_cd4", "cd4 + 1 cd4"), con, ORACLES["first_cd4"])
 
 
-@pytest.fixture(scope="module")
-def skewed(tmp_path_factory):
-    """The small star where every third order belongs to one customer."""
+def _star(tmp_path_factory, every):
+    """The small star where every so many-th order belongs to one customer."""
     folder = tmp_path_factory.mktemp("skewed")
     con = duckdb.connect()
     for name in "customer orders lineitem nation supplier".split():
         source = f"'{SMALL}/{name}.parquet'"
         rows = f"select * from {source}"
         if name == "orders":
-            rows = f"select * replace (case when o_orderkey % 3 = 0 then 23 else o_custkey end as o_custkey) from {source}"
+            rows = f"select * replace (case when o_orderkey % {every} = 0 then 23 else o_custkey end as o_custkey) from {source}"
         con.execute(f"copy ({rows}) to '{folder}/{name}.parquet' (format parquet)")
     return str(folder)
 
 
+@pytest.fixture(scope="module")
+def skewed(tmp_path_factory):
+    return _star(tmp_path_factory, 3)
+
+
+@pytest.fixture(scope="module")
+def busy(tmp_path_factory):
+    """One patient has a twenty-fifth of all visits, and 380,160 combinations of openings
+    and attachments (with a third of them the answer would be too large to compare)."""
+    return _star(tmp_path_factory, 25)
+
+
 @pytest.mark.parametrize("name", ["vl_suppressed", "three_pickups", "vl_eligible_general", "dsd_followup", "tpt_eligible"])
 def test_reports_with_a_hot_patient(spark, skewed, name):
     """Equal rows when a third of all visits is one patient's, and the hot keys
@@ -70,6 +81,33 @@ def test_opened_files_in_small_pieces(spark, con, name):
     assert differences(df, con, ORACLES[name]) == []
 
 
+@pytest.mark.parametrize("name", ["entered_master_card", "entered_full"])
+def test_opened_files_of_a_hot_patient_in_tiles(spark, busy, name):
+    df = REPORTS[name](clinical_from_star(spark, busy), SITE, tile_rows=16, hot_rows=5)
+    assert differences(df, open_duckdb(busy), ORACLES[name]) == []
+
+
+def test_registers_of_a_hot_patient_in_tiles(spark, skewed):
+    df = A.register_book(clinical_from_star(spark, skewed), SITE, tile_rows=1)
+    assert differences(df, open_duckdb(skewed), ORACLES["register_book"]) == []
+
+
+def test_a_register_entry_with_many_answers(spark, clinic, june):
+    """One entry with 40 books' answers (two texts), 30 pages and 20 rows: the counts of
+    all combinations, in tiles of 4."""
+    clinic.patient(1).add("location", location_id=1, name="a").visit(10, 1, 32, "2020-01-05")
+    for i in range(40):
+        clinic.answer(10, 6263, value_coded=1 + i % 2)
+    for i in range(30):
+        clinic.answer(10, 6265, value_numeric=float(i % 15))
+    for i in range(20):
+        clinic.answer(10, 6267, value_numeric=float(i))
+    t = clinic.tables(spark)
+    whole, tiled = (A.pre_register(t, june, tile_rows=n) for n in (1024, 4))
+    assert tiled.count() >= 15 * 20 and tiled.agg({"n": "sum"}).first()[0] == 40 * 30 * 20
+    assert whole.exceptAll(tiled).count() == 0 and tiled.exceptAll(whole).count() == 0
+
+
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("clinical"))

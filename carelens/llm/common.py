@@ -110,3 +110,28 @@ def chosen(docs: DataFrame, text: str, make: Callable[[], Callable[[list[str]],
                 yield batch.filter(pa.array(run(texts), type=pa.bool_()))
 
     return docs.mapInArrow(task, docs.schema)
+
+
+#: Names of the columns that ``with_keys`` adds.
+KEY, REPEATED = "__key", "__repeated"
+#: Repeated ids up to which their list (9 bytes each) is broadcast; it is joined beyond.
+BROADCAST_IDS = 500_000
+
+
+def with_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with KEY, an id that rows of different texts never share, and REPEATED,
+    whether other rows carry the row's id.
+
+    The key is the id, but of an id with several texts it is a hash of id and text, from
+    2^62 on: after all other ids. Rows without an id have no key. Only ids and hashes
+    are grouped, and texts are joined with repeated ids alone."""
+    hashed = docs.select(F.col("doc_id").alias("__id"), F.xxhash64(text_of()).alias("h")).where(F.col("__id").isNotNull())
+    ids = stored(hashed.groupBy("__id").agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"))
+                 .where("n > 1").select("__id", (F.col("lo") != F.col("hi")).alias("several")), "repeated-ids")
+    n = ids.count()
+    if not n:
+        return docs.withColumn(KEY, F.col("doc_id")).withColumn(REPEATED, F.lit(False))
+    own = F.xxhash64("doc_id", text_of()).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    marked = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, F.col("doc_id") == F.col("__id"), "left")
+    return marked.withColumn(KEY, F.when(F.col("several"), own).otherwise(F.col("doc_id"))).withColumn(
+        REPEATED, F.col("__id").isNotNull()).drop("__id", "several")

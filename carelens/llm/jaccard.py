@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.buckets import Arrays, dealt, grouped, in_group, roots
-from carelens.llm.common import carrying, mapped, stored, text_of
+from carelens.llm.common import KEY, REPEATED, WORD, carrying, mapped, stored, text_of, with_keys
 from carelens.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -233,11 +233,17 @@ def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def without_near_copies(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the least id.
-    Texts without a word and rows without an id all stay."""
-    told = near_documents(docs.select("doc_id", "text"), similarity, words)
+    """The rows of ``docs`` that stay: of each component one row, that with the least
+    id; of rows that repeat an id and a text one. Different texts of one id are
+    judged each by itself, and come after other ids. Texts without a word and rows
+    without an id all stay."""
+    marked = with_keys(docs)
+    told = near_documents(marked.select(F.col(KEY).alias("doc_id"), "text"), similarity, words)
     gone = told.where(~F.col("kept")).select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__copy"), "left_anti")
+    rest = marked.join(gone, F.col(KEY) == F.col("__copy"), "left_anti")
+    twice = F.col(REPEATED) & text_of().rlike(WORD)
+    once = rest.where(~twice).unionByName(rest.where(twice).dropDuplicates([KEY]))
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = rf"""

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.buckets import Arrays, dealt, grouped, in_group, roots
-from carelens.llm.common import stored, text_of
+from carelens.llm.common import KEY, stored, text_of, with_keys
 from carelens.llm.components import components
 
 EDITS = 2
@@ -597,8 +597,10 @@ def without_repeated_lines(docs: DataFrame, removed_chars: int = REMOVED_CHARS,
     length; a caller may spare those under ``removed_chars`` code points. Rows without
     an id stay as they are. A document goes if none of its lines with a word is left;
     one that had none to begin with stays as it is. Column names and other columns
-    stay."""
-    told = near_lines(docs.select("doc_id", "text"), edits)
+    stay. Rows that repeat an id and a text keep the same lines; different texts of one
+    id are documents of their own, after those with other ids."""
+    marked = with_keys(docs)
+    told = near_lines(marked.select(F.col(KEY).alias("doc_id"), "text"), edits)
     repeated = told.where(~F.col("kept") & (F.col("n_chars") >= removed_chars) & F.col("doc_id").isNotNull())
     gone = repeated.groupBy(F.col("doc_id").alias(ID)).agg(
         F.collect_set("line_no").alias(GONE))  # at most one document's lines
@@ -606,6 +608,6 @@ def without_repeated_lines(docs: DataFrame, removed_chars: int = REMOVED_CHARS,
     places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(GONE))
     text = F.array_join(F.transform(places, lambda i: F.get(split, i)), "\n")
     changed = F.col(GONE).isNotNull()
-    rest = docs.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col(ID), "left")
+    rest = marked.join(gone.hint("shuffle_hash"), F.col(KEY) == F.col(ID), "left")
     rest = rest.withColumn("text", F.when(changed, text).otherwise(F.col("text")))
     return rest.where(~changed | (F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != "")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from llm_fixtures import docs  # noqa: F401
 
-from carelens.llm import jaccard
+from carelens.llm import common, jaccard
 from carelens.llm.components import components
 from carelens.llm.jaccard import common_shingles, near_documents, shared_depth, without_near_copies
 
@@ -112,3 +112,13 @@ def test_components_of_chains_and_stars(spark):
     assert len(told) == got.count() == 61 + 60 + 2 + 2
     assert all(told[i] == 100 for i in range(100, 161)) and all(told[i] == 3 for i in [3, 7, *range(200, 260)])
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_no_text_is_lost_to_another_row_of_its_id(docs, monkeypatch, broadcast):  # noqa: F811
+    monkeypatch.setattr(common, "BROADCAST_IDS", broadcast)
+    w, u = (" ".join(f"{x}{i}" for i in range(30)) for x in "wu")
+    rows = [(1, w), (2, w), (2, u), (4, u + " x"), (5, "alone here"), (5, "alone here"), (6, ""), (6, ""), (None, w), (0, w + " y")]
+    left = [(r["doc_id"], r["text"]) for r in without_near_copies(docs(rows, extra=True)).collect()]
+    assert sorted(left, key=repr) == sorted(
+        [(0, w + " y"), (4, u + " x"), (5, "alone here"), (6, ""), (6, ""), (None, w)], key=repr)

@@ -256,3 +256,12 @@ def test_one_edit_in_lines_of_20_to_39_characters(docs):  # noqa: F811
     rows = [(1, "Are. Is anwh reenen."), (2, "Are, Is anwh reenen."), (3, "Are. Is anwh, reenen."), (4, "Nineteen charactes."), (5, "Nineteen charactes,")]
     got = near_lines(docs(rows), edits=None).collect()
     assert {r["doc_id"]: (r["n_links"], r["class_doc"]) for r in got} == {1: (2, 1), 2: (1, 1), 3: (1, 1), 4: (0, 4), 5: (0, 5)}
+
+
+def test_no_line_of_another_text_under_the_same_id_is_removed(docs):  # noqa: F811
+    a, b, c = ("a first line that stands in two documents", "only here, in the second text of the id", "some other line")
+    rows = [(1, a), (3, a + "\n" + c), (3, b + "\n" + c), (7, "x\ny"), (7, "x\ny")]
+    left = sorted((r["doc_id"], r["text"]) for r in without_repeated_lines(docs(rows, extra=True)).collect())
+    texts = [t for i, t in left if i == 3]
+    assert left[0] == (1, a) and sum(b in t for t in texts) == 1 and sum(c in t for t in texts) == 1
+    assert not any(a in t for t in texts) and [t for i, t in left if i == 7] == ["x\ny", "x\ny"]

@@ -51,33 +51,44 @@ _RANGE_KEY = {
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """A database read. Each table is read in ``pieces`` parallel ranges of its
-    key. ``bounds`` gives a table's smallest and largest key; where it doesn't,
-    the database is asked for them, which is one row."""
+    """A database read. Each table is read in up to ``pieces`` parallel ranges of its key
+    with about equally many rows each, whatever gaps the keys have: the database is asked
+    for the first key of each such part, which is a row per piece. ``cuts`` gives a table's
+    cut points instead; ``bounds`` gives its smallest and largest key, between which
+    ranges are equally wide."""
 
     url: str
     properties: dict[str, str] = field(default_factory=dict)
     bounds: dict[str, tuple[int, int]] = field(default_factory=dict)
     pieces: int = 64
+    cuts: dict[str, list[int]] = field(default_factory=dict)
 
-    def _bounds(self, spark: SparkSession, name: str) -> tuple[int, int] | None:
-        if name in self.bounds:
-            return self.bounds[name]
+    def _cuts(self, spark: SparkSession, name: str) -> list[int]:
+        """Ascending keys at which a new range begins."""
+        if name in self.cuts:
+            return sorted(set(self.cuts[name]))
         key = _RANGE_KEY[name]
-        asked = f"(select min({key}) lo, max({key}) hi from {name}) bounds"
-        low, high = spark.read.jdbc(self.url, asked, properties=dict(self.properties)).first()
-        return None if low is None else (int(low), int(high))
+        parts = f"select {key} k, ntile({self.pieces}) over (order by {key}) part from {name} where {key} is not null"
+        asked = f"(select min(k) cut from ({parts}) ranked group by part) cuts"
+        found = spark.read.jdbc(self.url, asked, properties=dict(self.properties)).collect()
+        return sorted({int(r[0]) for r in found})[1:]
+
+    def predicates(self, spark: SparkSession, name: str) -> list[str]:
+        """Conditions that every row meets exactly one of; missing keys go with the
+        smallest. A key with very many rows is one range, since cuts lie between keys."""
+        key, cuts = _RANGE_KEY[name], self._cuts(spark, name)
+        if not cuts:
+            return ["1 = 1"]
+        inner = [f"{key} >= {a} and {key} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [f"{key} < {cuts[0]} or {key} is null", *inner, f"{key} >= {cuts[-1]}"]
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         options: dict = {"properties": dict(self.properties)}
-        bounds = self._bounds(spark, name)
-        if bounds is not None:  # an empty table has none
-            options.update(
-                column=_RANGE_KEY[name],
-                lowerBound=bounds[0],
-                upperBound=bounds[1] + 1,
-                numPartitions=self.pieces,
-            )
+        if name in self.bounds:
+            low, high = self.bounds[name]
+            options.update(column=_RANGE_KEY[name], lowerBound=low, upperBound=high + 1, numPartitions=self.pieces)
+        else:
+            options["predicates"] = self.predicates(spark, name)
         return spark.read.option("preferTimestampNTZ", "true").jdbc(self.url, name, **options)
 
 

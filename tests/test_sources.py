@@ -1,3 +1,6 @@
+import re
+
+import duckdb
 import pytest
 
 from carelens.schema import SCHEMAS
@@ -34,35 +37,58 @@ def test_only_named_folders_are_opened(spark, tmp_path):
 
 
 class _Database:
-    """Notes the reads; keys run from 5 to 900, and one table is empty."""
+    """Notes the reads, and answers what is asked of a table with skewed keys by another
+    engine; one table is empty."""
+
+    #: Most rows lie at a few large keys, far from the others; one key has many rows, some none.
+    KEYS = [*range(1, 200), *range(5_000_000, 5_000_800), *[77] * 150, 9_999_999_999, None, None]
 
     def __init__(self):
-        self.read, self.calls, self.asked = self, {}, []
+        self.read, self.calls, self.asked, self.con = self, {}, [], duckdb.connect()
 
     def option(self, *_):
         return self
 
     def jdbc(self, url, table, **options):
-        if table.startswith("("):
-            self.asked.append(table)
-            return self
-        self.calls[table] = options
+        if not table.startswith("("):
+            self.calls[table] = options
+            return None
+        self.asked.append(table)
+        name = re.search(r"from (\w+) where", table)[1]
+        key = re.search(r"select (\w+) k", table)[1]
+        self.con.execute(f"create or replace table {name} ({key} bigint)")
+        if name != "users":
+            self.con.executemany(f"insert into {name} values (?)", [[k] for k in self.KEYS])
+        return self
 
-    def first(self):
-        return (None, None) if "from users)" in self.asked[-1] else (5, 900)
+    def collect(self):
+        return self.con.execute(f"select * from {self.asked[-1]}").fetchall()
 
 
 @pytest.mark.parametrize("name", list(SCHEMAS))
-def test_every_table_is_read_in_ranges(name):
+def test_every_table_is_read_in_ranges_of_equally_many_rows(name):
     database = _Database()
     JdbcSource("jdbc:any", {"user": "u"}, pieces=9).read(database, name)
     (options,) = database.calls.values()
     assert options.pop("properties") == {"user": "u"}
+    conditions = options.pop("predicates")
+    assert options == {}
     if name == "users":
-        assert options == {}
-    else:
-        assert options.pop("column") in SCHEMAS[name].fieldNames()
-        assert options == {"lowerBound": 5, "upperBound": 901, "numPartitions": 9}
+        assert conditions == ["1 = 1"]
+        return
+    assert len(conditions) == 9
+    counts = [database.con.execute(f"select count(*) from {name} where {c}").fetchone()[0] for c in conditions]
+    total = len(database.KEYS)
+    assert sum(counts) == total and max(counts) <= total / 9 + 152  # a key's rows stay together
+    again = database.con.execute(f"select count(*) from {name} where {' or '.join(f'({c})' for c in conditions)}")
+    assert again.fetchone()[0] == total
+
+
+def test_given_cuts_are_not_asked_for():
+    database = _Database()
+    JdbcSource("jdbc:any", cuts={"obs": [30, 10, 30]}).read(database, "obs")
+    assert database.asked == [] and database.calls["obs"]["predicates"] == [
+        "encounter_id < 10 or encounter_id is null", "encounter_id >= 10 and encounter_id < 30", "encounter_id >= 30"]
 
 
 def test_given_bounds_are_not_asked_for():

@@ -15,6 +15,7 @@ a second pass over the stored parts takes each document's sums.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -295,8 +296,10 @@ def spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def aligner_of(shared: dict) -> Aligner:
-    """The aligner of broadcast vocabularies, made once in each Python worker."""
+    """The aligner of broadcast vocabularies, made once in each Python worker. It keeps
+    many tuples and makes no cycles, so the worker looks for cycles less often."""
     if "aligner" not in shared:
+        gc.set_threshold(200_000, 50, 100)
         shared["aligner"] = Aligner(shared["a"], shared["b"])
     return shared["aligner"]
 

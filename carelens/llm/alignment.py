@@ -35,9 +35,9 @@ from tokenizers import Tokenizer
 from carelens.llm.common import stored, text_of
 
 #: Bytes of the texts of a part; a longer text is a part.
-TEXT_BYTES = 12_000_000
+TEXT_BYTES = 8_000_000
 #: Chunks kept in each of the two generations of a worker's cache, and the longest kept.
-CACHED, CACHED_CHARS = 200_000, 64
+CACHED, CACHED_CHARS = 80_000, 64
 #: Distinct pairs (17 bytes each) up to which their counts are broadcast; beyond, each
 #: part's pairs are joined to them.
 BROADCAST_PAIRS = 2_000_000

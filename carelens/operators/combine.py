@@ -114,7 +114,8 @@ def product_join(
     dealt to pieces of ``tile_rows`` by a hash of the row, the piece numbers are
     crossed, and what meets is a tile: key, piece and piece. A key without very many
     combinations has a single tile. Tiles go to a fixed number of tasks, for the
-    rows that a tile takes in say nothing about those it gives."""
+    rows that a tile takes in say nothing about those it gives. Where no key has very
+    many combinations, the joins are plain ones of the written sides."""
     names = [c for side, _ in sides for c in side.columns if c != key]
     if len(set(names)) < len(names) or set(names) & set(one.columns):
         raise ValueError("the sides of a product need column names of their own")
@@ -135,6 +136,11 @@ def product_join(
         *[f"{pieces.format(before[i], tile_rows, _MOST_PIECES)} _l{i}" for i in range(len(sides))],
         *[f"{pieces.format(f'greatest(_c{i}, 1L)', tile_rows, _MOST_PIECES)} _r{i}" for i in range(len(sides))],
     )
+    if hot.isEmpty():
+        joined = one
+        for i, (side, how) in enumerate(sides):
+            joined = joined.join(held.where(f"_side = {i}").select(side.columns), key, how)
+        return joined
     numbers = hot.columns[1:]
     joined = one.join(hot, key, "left")
     for i, (side, how) in enumerate(sides):

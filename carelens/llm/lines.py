@@ -1,35 +1,32 @@
 """Operator 9, line dedup with a segment-partition edit join.
 
-Equal lines are one class, found by hash with a map-side part. Two different
-lines within ``EDITS`` edits share one of ``EDITS`` + 1 segments: the shorter line
-indexes its segments, the longer one probes the few substrings that can be such a
-segment of a line of each length. Segments and substrings meet as 64-bit keys;
-only the lines of keys that more than one line has are read again and verified,
-with a banded bit-parallel edit distance, inside tasks and in blocks.
-
-Where the edits grow with the length of the shorter line, segments would need too
-many substrings. There a line is told by the grams with the least hashes, as many
-as its edits can't all touch, with the range of the line's length and of the gram's
-place; pairs are verified by the furthest place on each diagonal. Both find every
-pair within the edits.
+Equal lines are one class, found by hash with a map-side part. ``EDITS`` gives the
+edits between two different lines by the length of the shorter one. Lines within so
+many edits share one of as many segments and one more: the shorter line indexes its
+segments, the longer one probes the few substrings that can be such a segment of a
+line of each length. A line just above a border of lengths probes the class below
+too. Segments and substrings meet as 64-bit keys; only the lines of keys that more
+than one line has are read again and verified, with a banded bit-parallel edit
+distance, inside tasks and in blocks. Every pair within the edits is found.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.buckets import Arrays, dealt, grouped, in_group, roots
 from carelens.llm.common import KEY, stored, text_of, with_keys
 from carelens.llm.components import components
 
-EDITS = 2
-#: Shorter lines only match equal ones: two edits change too much of them.
-LEAST_CHARS = 40
+Edits = tuple[tuple[int, int], ...]
+#: From each length of the shorter line on, the edits that link; both rise. Shorter
+#: lines than the first only match equal ones.
+EDITS: Edits = ((20, 1), (40, 2), (250, 3))
 #: Repeated lines from this length on are removed from documents: all of them.
 REMOVED_CHARS = 0
 BLOCK = 128
@@ -39,16 +36,18 @@ ID, GONE = "__lines_of", "__lines_gone"
 BROADCAST_LINES = 500_000
 #: Cells of one verification step.
 CELLS = 1 << 21
-#: Where the edits grow with a line's length: its code points for each edit, the least
-#: code points and the length of grams of each class of the shorter line, the steps of
-#: hashes up to which grams are taken, and the ends of the ranges of lengths.
-PER_EDIT = 25
-GRAMS = ((20, 8), (40, 12), (75, 16))
-LADDER = (0.05, 0.075, 0.09, 0.1, 0.11, 0.12, 0.135, 0.15, 0.17, 0.2, 0.25, 0.35, 0.5, 1.0)
-RANGES = np.array([int(20 * 1.6**k) for k in range(45)], dtype=np.int64)
+#: Places up to this one are a line's own segments.
+OWN = 63
+#: Code points whose keys are made at once, and lines that a task remembers as done.
+CHUNK, SEEN = 1 << 20, 1 << 18
 
 
-def segment(size: int, i: int, edits: int = EDITS) -> tuple[int, int]:
+def allowed(size: int, edits: Edits = EDITS) -> int:
+    """The edits between a line of so many code points and one as long or longer."""
+    return max((most for least, most in edits if size >= least), default=0)
+
+
+def segment(size: int, i: int, edits: int) -> tuple[int, int]:
     """Start from 0 and length of segment ``i``; the last ones are the longer ones."""
     parts = edits + 1
     short, longer = divmod(size, parts)
@@ -56,7 +55,7 @@ def segment(size: int, i: int, edits: int = EDITS) -> tuple[int, int]:
     return i * short + before, short + (i >= parts - longer)
 
 
-def probes(edits: int = EDITS) -> list[tuple[int, int, int]]:
+def probes(edits: int) -> list[tuple[int, int, int]]:
     """(length difference, segment, shift) of the substrings that a line compares
     with segments of lines that are as long or shorter by the difference. Edits
     before the segment and after it bound the shift from either side."""
@@ -68,21 +67,75 @@ def probes(edits: int = EDITS) -> list[tuple[int, int, int]]:
     return found
 
 
-def _keys(shifts: list[tuple[int, int, int]], edits: int) -> Column:
-    """The 64-bit keys of a line's substrings, from the columns ``line`` and
-    ``n_chars``; null where a substring would leave the line. One function over the
-    list of substrings, since a formula for each makes a method that is too long
-    for Java to compile."""
-    parts = edits + 1
-    listed = ", ".join(f"struct({less} as less, {i} as i, {shift} as shift)" for less, i, shift in shifts)
-    return F.expr(f"""
-        transform(transform(array({listed}), p -> struct(
-            p.less as less, p.i as i,
-            cast(p.i * ((n_chars - p.less) div {parts}) + greatest(0, p.i - {parts} + (n_chars - p.less) % {parts})
-                 + p.shift as int) as start,
-            cast((n_chars - p.less) div {parts} + if(p.i - {parts} + (n_chars - p.less) % {parts} >= 0, 1, 0) as int) as width)),
-          p -> if(p.start >= 0 and p.start + p.width <= n_chars,
-                  xxhash64(n_chars - p.less, p.i, substring(line, p.start + 1, p.width)), null))""")
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    """64-bit values of which all bits depend on all bits."""
+    codes = (codes + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    codes ^= codes >> np.uint64(32)
+    codes *= np.uint64(0xD6E8FEB86659FD93)
+    return codes ^ (codes >> np.uint64(32))
+
+
+def line_keys(lines: list[str], edits: Edits = EDITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, key, place) of each segment and each probed substring of lines. Segments
+    have their number as place, other substrings one above ``OWN``.
+
+    A key is the length of the indexed line, the segment and a hash of the substring:
+    the difference of two sums of characters times powers, over the power of its start."""
+    size = np.array([len(x) for x in lines], dtype=np.int64)
+    start = np.cumsum(size) - size
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    base = 0x5851F42D4C957F2D
+    powers, inverse = (np.full(len(codes) + 1, b, dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64)))
+    powers[0] = inverse[0] = 1
+    powers, inverse = np.cumprod(powers, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
+    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum(_mixed(codes.astype(np.uint64)) * powers[:-1], dtype=np.uint64, out=sums[1:])
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for k, (least, most) in enumerate(edits):
+        under = edits[k + 1][0] if k + 1 < len(edits) else np.iinfo(np.int64).max
+        for less, i, shift in probes(most):
+            target = size - less
+            line = np.flatnonzero((target >= least) & (target < under))
+            short, longer = np.divmod(target[line], most + 1)
+            first = i * short + np.maximum(0, i - (most + 1 - longer)) + shift
+            width = short + (i >= most + 1 - longer)
+            inside = (first >= 0) & (first + width <= size[line])
+            line, first, width = line[inside], first[inside], width[inside]
+            at = start[line] + first
+            piece = (sums[at + width] - sums[at]) * inverse[at]
+            key = _mixed(piece ^ _mixed((target[line] * 64 + i).astype(np.uint64)))
+            place = i if less == shift == 0 else OWN + 1
+            found.append((line, key.view(np.int64), np.full(len(line), place, dtype=np.int32)))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def keyed(edits: Edits):
+    """A task that makes a row (bucket, place, member) for each key of lines (member,
+    line). It remembers the last lines it has seen, so that copies of a very frequent
+    one send few rows."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            members, once = np.unique(batch.column(0).to_numpy(), return_index=True)
+            new = np.array([m not in seen for m in members.tolist()], dtype=bool)
+            members, once = members[new], once[new]
+            if len(seen) > SEEN:
+                seen = set()
+            seen.update(members.tolist())
+            texts = batch.column(1).take(pa.array(once)).to_pylist()
+            start = 0
+            while start < len(texts):  # as many lines as fit
+                end, chars = start, 0
+                while end < len(texts) and (end == start or chars + len(texts[end]) <= CHUNK):
+                    chars += len(texts[end])
+                    end += 1
+                line, key, place = line_keys(texts[start:end], edits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(place), pa.array(members[start:end][line])], ["bucket", "place", "member"])
+                start = end
+
+    return task
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -91,7 +144,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.where(F.btrim("line", F.lit(" \t\n\x0b\x0c\r")) != "")
 
 
-def edit_distances(a: list[np.ndarray], b: list[np.ndarray], most: int = EDITS) -> np.ndarray:
+def edit_distances(a: list[np.ndarray], b: list[np.ndarray], most: int) -> np.ndarray:
     """The edit distance of each pair of code-point arrays, or ``most`` + 1 beyond.
 
     For each number of errors a word of bits tells which diagonals of the band are
@@ -156,326 +209,57 @@ def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[: len(a) - tail], b[: len(b) - tail]
 
 
-def compare(group: Arrays, edits: int) -> list[tuple]:
+def compare(group: Arrays, edits: Edits) -> list[tuple]:
     """(member, links, root) of the lines of a group that link within it.
 
     A pair is an indexed line and a longer one, or one as long with a greater id.
     It counts at the first segment that the longer line's probes find."""
     member, first = np.unique(group["member"], return_index=True)
-    if len(member) < 2:
-        return []
     own = np.isin(member, group["member"][group["own"]])
-    text = [np.frombuffer(group["line"][k].encode("utf-32-le", "surrogatepass"), dtype=np.uint32) for k in first]
-    size = np.array([len(t) for t in text])
-    ask = in_group(group["block"][first], group["_i"][0], group["_j"][0])
-    ask &= own[:, None] & (size >= size[:, None]) & (size - size[:, None] <= edits)
-    ask &= (size > size[:, None]) | (member > member[:, None])
-    if not ask.any():
+    if len(member) < 2 or not own.any():
         return []
-    index = int(group["place"][0])
     pieces = [group["line"][k] for k in first]
-    for i in range(index + 1):
-        codes: dict[str, int] = {}
-        parts = [segment(int(n), i, edits) for n in size]
-        mine = np.array([codes.setdefault(t[s : s + n], len(codes)) for t, (s, n) in zip(pieces, parts, strict=True)])
-        found = np.zeros_like(ask)
-        for less, j, shift in probes(edits):
-            if j != i:
-                continue
-            theirs = np.full(len(member), -1)
-            for k, (t, n) in enumerate(zip(pieces, size.tolist(), strict=True)):
-                start, width = segment(max(n - less, 0), i, edits)
-                if start + shift >= 0:
-                    theirs[k] = codes.get(t[start + shift : start + shift + width], -1)
-            found |= (size - size[:, None] == less) & (mine[:, None] == theirs)
-        ask &= found if i == index else ~found
-    left, right = np.nonzero(ask)
-    if not len(left):
-        return []
-    cut = [_trimmed(text[r], text[s]) for r, s in zip(left, right, strict=True)]
-    near = edit_distances([c[0] for c in cut], [c[1] for c in cut], edits) <= edits
+    size = np.array([len(t) for t in pieces])
+    here = in_group(group["block"][first], group["_i"][0], group["_j"][0])
+    index = int(group["place"][0])
     linked = np.zeros((len(member), len(member)), dtype=bool)
-    linked[left[near], right[near]] = True
+    for n in np.unique(size[own]).tolist():  # one, but for equal keys of unlike lines
+        most = allowed(n, edits)
+        ask = here & (own & (size == n))[:, None] & (size >= n) & (size <= n + most)
+        ask &= (size > n) | (member > member[:, None])
+        for i in range(min(index, most) + 1):
+            if not ask.any():
+                break
+            start, width = segment(n, i, most)
+            codes: dict[str, int] = {}
+            mine = np.full(len(member), -2)
+            for k in np.flatnonzero(ask.any(axis=1)).tolist():
+                mine[k] = codes.setdefault(pieces[k][start : start + width], len(codes))
+            found = np.zeros_like(ask)
+            asked = ask.any(axis=0)
+            for less, j, shift in probes(most):
+                if j == i and start + shift >= 0:
+                    theirs = np.full(len(member), -1)
+                    for k in np.flatnonzero(asked & (size == n + less)).tolist():
+                        theirs[k] = codes.get(pieces[k][start + shift : start + shift + width], -1)
+                    found |= mine[:, None] == theirs
+            ask &= found if i == index else ~found
+        left, right = np.nonzero(ask) if index <= most else ((), ())
+        if not len(left):
+            continue
+        text = {k: np.frombuffer(pieces[k].encode("utf-32-le", "surrogatepass"), dtype=np.uint32) for k in {*left.tolist(), *right.tolist()}}
+        cut = [_trimmed(text[r], text[s]) for r, s in zip(left.tolist(), right.tolist(), strict=True)]
+        near = edit_distances([c[0] for c in cut], [c[1] for c in cut], most) <= most
+        linked[left[near], right[near]] = True
     linked |= linked.T
     at = np.flatnonzero(linked.any(axis=1))
     n, root = linked @ group["copies"][first], roots(linked, member)
     return list(zip(member[at].tolist(), n[at].tolist(), root[at].tolist(), strict=True))
 
 
-def allowed(chars: np.ndarray) -> np.ndarray:
-    """The edits between a line of so many code points and one as long or longer: one
-    for every ``PER_EDIT``, but at least one from 20 and two from 40 on."""
-    return np.maximum(chars // PER_EDIT, (chars >= 20).astype(np.int64) + (chars >= 40))
-
-
-def _windows(codes: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of the ``width`` values from each place; the last places are padded."""
-    mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    out, size, done = None, 1, 0
-    while True:
-        if width & size:
-            if out is None:
-                out = mixed.copy()
-            else:
-                out = out * np.uint64(0xD6E8FEB86659FD93)
-                out[: len(out) - done] += mixed[done:]
-            done += size
-        if done == width:
-            break
-        joined = mixed * (np.uint64(0xFF51AFD7ED558CCD) + np.uint64(2 * size))
-        joined[: max(0, len(mixed) - size)] += mixed[size:]
-        mixed, size = joined, 2 * size
-    out ^= out >> np.uint64(32)
-    out *= np.uint64(0xC4CEB9FE1A85EC53)
-    return out ^ (out >> np.uint64(31))
-
-
-def _chosen(codes: np.ndarray, size: np.ndarray, gram: int, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(line, place, hash) of the grams that stand for lines of ``size`` code points,
-    written one after the other: those with the least hashes, at the first step of
-    ``LADDER`` that has more than ``most`` grams without common characters. So many
-    edits leave one of them as it is, and a line that goes further has it too."""
-    ends = np.cumsum(size)
-    hashes = _windows(codes, gram)
-    for k in range(1, gram):  # a gram ends in its line
-        hashes[(ends - k)[size >= k]] = np.uint64(2**64 - 1)
-    open_ = np.ones(len(size), dtype=bool)
-    found = []
-    for steps in (LADDER[:-4], LADDER[-4:]):  # few lines go on to the second part
-        at = np.flatnonzero(hashes < np.uint64(min(int(steps[-1] * 2**64), 2**64 - 1)))
-        line = np.searchsorted(ends, at, side="right")
-        going = open_[line]
-        at, line = at[going], line[going]
-        code = hashes[at]
-        for step in steps:
-            low = code < np.uint64(min(int(step * 2**64), 2**64 - 1))
-            some, owner = at[low], line[low]
-            after = np.append(np.searchsorted(some, some + gram), len(some))  # the next without common characters
-            asked = np.flatnonzero(open_)
-            last = np.searchsorted(owner, asked, side="right")
-            point, left = np.searchsorted(owner, asked), most[asked]
-            for _ in range(int(left.max())):
-                moves = (left > 0) & (point < last)
-                if not moves.any():
-                    break
-                point = np.where(moves, after[point], point)
-                left = left - moves
-            settled = np.zeros(len(size), dtype=bool)
-            settled[asked[point < last]] = True
-            taken = settled[owner]
-            found.append((owner[taken], some[taken], code[low][taken]))
-            open_ &= ~settled
-            if not open_.any():
-                break
-            going = open_[line]
-            at, line, code = at[going], line[going], code[going]
-        if not open_.any():
-            break
-    line, at, code = (np.concatenate(x) for x in zip(*found, strict=True))
-    return line, at - (ends - size)[line], code
-
-
-def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) such that two lines within the edits allowed for the shorter one
-    share a key. A gram that a line repeats may give a key again.
-
-    A key is a gram, the range of the line's length and of the gram's place. The
-    edits bound how far lengths and places differ, so who is near the end of a range
-    has a key for the next one too. The length of grams goes by the shorter line;
-    a line that may be the longer one of a pair of another class has its grams too."""
-    size = np.array([len(x) for x in lines], dtype=np.int64)
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    whose = np.repeat(np.arange(len(size)), size)
-    found_line, found_key = [], []
-    for k, (least, gram) in enumerate(GRAMS):
-        most_chars = np.int64(GRAMS[k + 1][0] - 1 if k + 1 < len(GRAMS) else 1 << 40)
-        takes = (size >= least) & (size <= most_chars + allowed(most_chars))
-        if not takes.any():
-            continue
-        rows, sizes = np.flatnonzero(takes), size[takes]
-        most = allowed(np.minimum(sizes, most_chars))
-        line, place, code = _chosen(codes[takes[whose]], sizes, gram, most)
-        n, t = sizes[line], most[line]
-        ranges = np.searchsorted(RANGES, n, side="right"), np.searchsorted(RANGES, n + t, side="right")
-        for second_range in (False, True):
-            a = ranges[1] != ranges[0] if second_range else np.ones(len(line), dtype=bool)
-            length = ranges[int(second_range)]
-            width = 8 * allowed(RANGES[np.minimum(length, len(RANGES) - 1)])
-            for second_place in (False, True):
-                part = place // width
-                b = a
-                if second_place:
-                    part, b = (place + t) // width, a & ((place + t) // width != part)
-                mix = (np.uint64(k + 1) + length[b].astype(np.uint64) * np.uint64(8) + part[b].astype(np.uint64) * np.uint64(1 << 12))
-                key = (code[b] ^ (mix * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
-                found_line.append(rows[line[b]])
-                found_key.append(key ^ (key >> np.uint64(32)))
-    if not found_line:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return np.concatenate(found_line), np.concatenate(found_key).view(np.int64)
-
-
-def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row (bucket, member) for each key of lines (member, line)."""
-    for batch in batches:
-        members, once = np.unique(batch.column(0).to_numpy(), return_index=True)
-        start, texts = 0, batch.column(1).take(pa.array(once)).to_pylist()
-        while start < len(texts):  # as many lines as fit
-            end, chars = start, 0
-            while end < len(texts) and (end == start or chars + len(texts[end]) <= CELLS // 8):
-                chars += len(texts[end])
-                end += 1
-            line, key = line_keys(texts[start:end])
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(members[start:end][line])], ["bucket", "member"])
-            start = end
-
-
-def within(a: list[np.ndarray], b: list[np.ndarray], most: np.ndarray) -> np.ndarray:
-    """Whether each pair of code-point arrays is within its number of edits.
-
-    For each number of errors and each diagonal the furthest place of ``a`` that can
-    be reached; all pairs take a step together, and equal runs go 16 places at once."""
-    out = np.zeros(len(a), dtype=bool)
-    order = np.argsort(most, kind="stable")
-    start = 0
-    while start < len(order):
-        end = start + 1
-        cells = len(a[order[start]]) + len(b[order[start]])
-        while end < len(order):
-            cells += len(a[order[end]]) + len(b[order[end]])
-            if cells + (end + 1 - start) * (2 * int(most[order[end]]) + 1) > CELLS:
-                break
-            end += 1
-        at = order[start:end]
-        start = end
-        la, lb = np.array([len(a[p]) for p in at]), np.array([len(b[p]) for p in at])
-        pad = [np.full(16, x, dtype=np.uint32) for x in (0xFFFFFFFE, 0xFFFFFFFD)]
-        left = np.concatenate([x for p in at for x in (a[p], pad[0])])
-        right = np.concatenate([x for p in at for x in (b[p], pad[1])])
-        from_a, from_b = np.cumsum(la + 16) - la - 16, np.cumsum(lb + 16) - lb - 16
-        runs = _windows(left, 16), _windows(right, 16)
-        top = int(most[at].max())
-        shift = np.arange(-top - 1, top + 2)  # a diagonal more on either side
-        reach = np.full((len(at), len(shift)), -1, dtype=np.int64)
-        alive = np.arange(len(at))
-        for e in range(top + 1):
-            if e:
-                sub = np.where(reach >= 0, reach + 1, -1)
-                new = sub.copy()
-                new[:, 1:] = np.maximum(new[:, 1:], reach[:, :-1])
-                new[:, :-1] = np.maximum(new[:, :-1], sub[:, 1:])
-                new[:, [0, -1]] = -1
-            else:
-                new = reach
-                new[:, top + 1] = 0
-            new[(new > la[alive][:, None]) | (new + shift > lb[alive][:, None])] = -1
-            row, col = np.nonzero(new >= 0)
-            x = new[row, col]
-            i, j = from_a[alive[row]] + x, from_b[alive[row]] + x + shift[col]
-            for arrays, jump in ((runs, 16), ((left, right), 1)):
-                going = np.arange(len(i))
-                while len(going := going[arrays[0][i[going]] == arrays[1][j[going]]]):
-                    i[going] += jump
-                    j[going] += jump
-            new[row, col] = i - from_a[alive[row]]
-            hit = new[np.arange(len(alive)), (lb - la)[alive].clip(-top - 1, top + 1) + top + 1] == la[alive]
-            hit &= np.abs(lb - la)[alive] <= most[at[alive]]
-            out[at[alive[hit]]] = True
-            stay = ~hit & (most[at[alive]] > e)
-            alive, reach = alive[stay], new[stay]
-            if not len(alive):
-                break
-    return out
-
-
-class Grown:
-    """Compares the lines of groups within the edits their lengths allow; small groups
-    are many, so some are held and compared together. Makes (member, links, root) of
-    the lines that link within a group. A pair counts in the least bucket that both
-    lines have."""
-
-    def __init__(self) -> None:
-        self.held: list[Arrays] = []
-        self.rows = self.chars = self.pairs = 0
-
-    def __call__(self, group: Arrays) -> list[tuple]:
-        n = len(group["member"])
-        if n < 2:
-            return []
-        self.held.append(group)
-        self.rows += n
-        self.pairs += n * (n - 1) // 2
-        self.chars += sum(map(len, group["line"]))
-        return self.rest() if self.rows > 4000 or self.pairs > 40_000 or self.chars > CELLS else []
-
-    def rest(self) -> list[tuple]:
-        held, found = self.held, []
-        self.__init__()
-        if not held:
-            return found
-        member, bucket, copies, pieces = (
-            np.concatenate([g[c] for g in held]) for c in ("member", "bucket", "copies", "line"))
-        starts = np.cumsum([0, *(len(g["member"]) for g in held)])
-        ends = []
-        for g, start in zip(held, starts, strict=False):
-            i, j = np.triu_indices(len(g["member"]), 1)
-            if g["_i"][0] != g["_j"][0]:
-                other = g["block"][i] != g["block"][j]
-                i, j = i[other], j[other]
-            ends.append((i + start, j + start))
-        left, right = (np.concatenate(x) for x in zip(*ends, strict=True))
-        size = np.array([len(x) for x in pieces], dtype=np.int64)
-        most = allowed(np.minimum(size[left], size[right]))
-        fit = np.abs(size[left] - size[right]) <= most
-        left, right, most = left[fit], right[fit], most[fit]
-        if not len(left):
-            return found
-        _, first, same = np.unique(member, return_index=True, return_inverse=True)
-        asked = np.unique(same[np.concatenate([left, right])])
-        at = np.full(len(first), -1)
-        at[asked] = np.arange(len(asked))
-        at = at[same]  # of a row, its line's place among the texts
-        text = [np.frombuffer(pieces[first[k]].encode("utf-32-le", "surrogatepass"), dtype=np.uint32) for k in asked]
-        # an edit takes away and adds two pairs of neighbours at most
-        bags = np.stack([np.bincount((t[:-1] * np.uint32(31) + t[1:]) * np.uint32(2654435761) >> np.uint32(24), minlength=256) for t in text])
-        bags = bags.astype(np.int32)
-        near = np.zeros(len(left), dtype=bool)
-        for k in range(0, len(left), 2048):
-            some = slice(k, k + 2048)
-            differ = bags[at[left[some]]] - bags[at[right[some]]]
-            less = differ.clip(0).sum(axis=1)
-            near[some] = (less <= 2 * most[some]) & (less - differ.sum(axis=1) <= 2 * most[some])
-        left, right, most = left[near], right[near], most[near]
-        used = np.unique(at[np.concatenate([left, right])])
-        if not len(used):
-            return found
-        line, key = line_keys([pieces[first[asked[k]]] for k in used])
-        order = np.argsort(line, kind="stable")
-        cuts = np.searchsorted(line[order], np.arange(len(used) + 1))
-        keys = {k: set(key[order[cuts[n] : cuts[n + 1]]].tolist()) for n, k in enumerate(used.tolist())}
-        pairs = zip(at[left].tolist(), at[right].tolist(), bucket[left].tolist(), strict=True)
-        here = np.array([min(keys[x] & keys[y]) == own for x, y, own in pairs], dtype=bool)
-        left, right, most = left[here], right[here], most[here]
-        cut = [_trimmed(text[at[r]], text[at[s]]) for r, s in zip(left, right, strict=True)]
-        near = within([c[0] for c in cut], [c[1] for c in cut], most)
-        left, right = left[near], right[near]
-        group = np.searchsorted(starts, left, side="right") - 1
-        for g in np.unique(group).tolist():
-            start, n, here = starts[g], starts[g + 1] - starts[g], group == g
-            linked = np.zeros((n, n), dtype=bool)
-            linked[left[here] - start, right[here] - start] = True
-            linked |= linked.T
-            own = member[start : start + n]
-            some = np.flatnonzero(linked.any(axis=1))
-            links, root = linked @ copies[start : start + n], roots(linked, own)
-            found += zip(own[some].tolist(), links[some].tolist(), root[some].tolist(), strict=True)
-        return found
-
-
-def shared_keys(edits: int):
+def shared_keys(own: int):
     """A task that keeps rows (bucket, place, member), sorted by bucket and place, of
-    buckets that some line indexes and more than one line has: each member with its
+    buckets that some line indexes (a place up to ``own``) and more than one line has: each member with its
     least place, maybe more than once. It holds a batch and the first row of the
     last bucket, whatever a bucket's size."""
 
@@ -489,7 +273,7 @@ def shared_keys(edits: int):
             bucket, place, member = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(bucket))))
-            kept = (place[starts] < edits + 1) & np.logical_or.reduceat(member != member[starts][run], starts)
+            kept = (place[starts] <= own) & np.logical_or.reduceat(member != member[starts][run], starts)
             if going and pending.column(0)[0].as_py() == bucket[0]:
                 kept[0] = True
             yield batch.filter(pa.array(kept[run]))
@@ -508,74 +292,37 @@ def _texts(lines: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     return texts.join(copies, "member")
 
 
-def _fixed(hashed: DataFrame, edits: int, least_chars: int) -> tuple[DataFrame, DataFrame, Callable[[Arrays], list[tuple]]]:
-    """The classes of equal lines, the groups of those that share a segment, and how
-    to compare a group."""
-    wanted = probes(edits)
-    own = [(0, i, 0) for i in range(edits + 1)]
-    shifts = [*own, *[p for p in wanted if p not in own]]
-    keys = F.when(F.col("n_chars") >= least_chars, _keys(shifts, edits))
+def near_lines(docs: DataFrame, edits: Edits = EDITS) -> DataFrame:
+    """doc_id, line_no, n_chars, n_links, class_doc, class_line and kept of every line
+    with a word.
+
+    ``docs`` has doc_id and text; lines end at \\n. n_links is the number of other
+    lines of all documents within the edits that ``edits`` allows by the length of the
+    shorter one, equal ones included; class_doc and class_line are the place of the
+    first line, by id and number, that such links lead to, and kept tells whether it
+    is the line's own. Lines shorter than any length of ``edits`` link with equal ones
+    only. Null and empty texts have no lines; a null id comes first. Rows that repeat
+    an id are one document: a line that both have is at one place and both stay."""
+    lines = lines_of(docs)
+    hashed = lines.select(
+        "doc_id", "line_no", "line", F.length("line").alias("n_chars"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
     classes = stored(
-        hashed.withColumn("keys", keys).groupBy("h1", "h2", "n_chars")
-        .agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys")),
+        hashed.groupBy("h1", "h2", "n_chars").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies")),
         "lines")
-
-    spread = (
-        classes.where(F.col("keys").isNotNull()).select("h1", F.posexplode("keys").alias("place", "bucket"))
-        .where(F.col("bucket").isNotNull())
-        .select("bucket", F.col("place").cast("int").alias("place"), F.col("h1").alias("member"))
-        .repartition("bucket").sortWithinPartitions("bucket", "place"))
+    long = hashed.where(F.col("n_chars") >= edits[0][0]).select(F.col("h1").alias("member"), "line")
+    spread = long.mapInArrow(keyed(edits), "bucket bigint, place int, member bigint")
     rows = stored(
-        spread.mapInArrow(shared_keys(edits), "bucket bigint, place int, member bigint")
+        spread.repartition("bucket").sortWithinPartitions("bucket", "place")
+        .mapInArrow(shared_keys(OWN), "bucket bigint, place int, member bigint")
         .groupBy("bucket", "member").agg(F.min("place").alias("place")), "shared")
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("place").alias("segment"))
-    texts = _texts(hashed.select("line", F.col("h1").alias("member")), rows, classes)
-    members = rows.join(sizes, "bucket").join(texts, "member").select(
-        "bucket", "n", "member", (F.col("place") <= edits).alias("own"), F.col("segment").alias("place"), "copies", "line")
+    members = rows.join(sizes, "bucket").join(_texts(long, rows, classes), "member").select(
+        "bucket", "n", "member", (F.col("place") <= OWN).alias("own"), F.col("segment").alias("place"), "copies", "line")
     groups = dealt(members, "member", BLOCK).withColumnRenamed("_block", "block")
 
     def join(group: Arrays) -> list[tuple]:
         return compare(group, edits)
 
-    return classes, groups, join
-
-
-def _grown(hashed: DataFrame) -> tuple[DataFrame, DataFrame, Callable[[Arrays], list[tuple]]]:
-    """The classes of equal lines, the groups of those that share a gram, and how to
-    compare a group. Of buckets with the same lines the least one stays, which is
-    where their pairs count."""
-    classes = stored(
-        hashed.groupBy("h1", "h2", "n_chars").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies")),
-        "lines")
-    long = hashed.where(F.col("n_chars") >= GRAMS[0][0]).select(F.col("h1").alias("member"), "line")
-    spread = long.mapInArrow(keyed, "bucket bigint, member bigint").repartition("bucket").sortWithinPartitions("bucket")
-    rows = stored(
-        spread.select("bucket", F.lit(0).alias("place"), "member").mapInArrow(shared_keys(0), "bucket bigint, place int, member bigint")
-        .select("bucket", "member").distinct(), "shared")
-    sizes = rows.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("member")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "member")).alias("y"))
-    kept = sizes.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    asked = stored(rows.join(kept, "bucket"), "asked")
-    groups = dealt(asked.join(_texts(long, asked, classes), "member"), "member", BLOCK).withColumnRenamed("_block", "block")
-    return classes, groups, Grown()
-
-
-def near_lines(docs: DataFrame, edits: int | None = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """doc_id, line_no, n_chars, n_links, class_doc, class_line and kept of every line
-    with a word.
-
-    ``docs`` has doc_id and text; lines end at \\n. n_links is the number of other
-    lines of all documents within ``edits`` edits, equal ones included; class_doc and
-    class_line are the place of the first line, by id and number, that such links
-    lead to, and kept tells whether it is the line's own. Lines under
-    ``least_chars`` code points link with equal ones only. With None for ``edits``
-    they are ``allowed`` by the length of the shorter line, from 20 code points on.
-    Null and empty texts have no lines; a null id comes first. Rows that repeat an id
-    are one document: a line that both have is at one place and both stay."""
-    lines = lines_of(docs)
-    hashed = lines.select(
-        "doc_id", "line_no", "line", F.length("line").alias("n_chars"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-    classes, groups, join = _grown(hashed) if edits is None else _fixed(hashed, edits, least_chars)
     found = stored(grouped(groups, ["bucket", "_i", "_j"], join, ["member", "n", "root"], "member bigint, n bigint, root bigint"), "found")
     forest = components(found.select(F.col("member").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "h1")
     links = found.groupBy(F.col("member").alias("h1")).agg(F.sum("n").alias("n"))
@@ -592,7 +339,7 @@ def near_lines(docs: DataFrame, edits: int | None = EDITS, least_chars: int = LE
         (F.col("doc_id").eqNullSafe(F.col("earliest.doc_id")) & (F.col("line_no") == F.col("earliest.line_no"))).alias("kept"))
 
 
-def without_repeated_lines(docs: DataFrame, removed_chars: int = REMOVED_CHARS, edits: int | None = EDITS) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, removed_chars: int = REMOVED_CHARS, edits: Edits = EDITS) -> DataFrame:
     """``docs`` without the lines that an earlier line stands for, whatever their
     length; a caller may spare those under ``removed_chars`` code points. Rows without
     an id stay as they are. A document goes if none of its lines with a word is left;

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from llm_fixtures import docs  # noqa: F401
 
 from carelens.llm import lines
-from carelens.llm.lines import edit_distances, near_lines, probes, segment, without_repeated_lines
+from carelens.llm.lines import allowed, edit_distances, near_lines, probes, segment, without_repeated_lines
 
 
 def distance(a, b):
@@ -35,22 +35,31 @@ def edited(rng, line, n):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.text("ab", max_size=12), st.text("ab", max_size=12)), max_size=20))
-def test_banded_distance(pairs):
+@given(st.lists(st.tuples(st.text("ab", max_size=12), st.text("ab", max_size=12)), max_size=20), st.integers(1, 4))
+def test_banded_distance(pairs, most):
     code = lambda t: np.array([ord(c) for c in t], dtype=np.uint32)
-    got = edit_distances([code(a) for a, _ in pairs], [code(b) for _, b in pairs])
-    assert got.tolist() == [min(3, distance(a, b)) for a, b in pairs]
+    got = edit_distances([code(a) for a, _ in pairs], [code(b) for _, b in pairs], most)
+    assert got.tolist() == [min(most + 1, distance(a, b)) for a, b in pairs]
 
 
-def test_probes_find_every_pair_within_the_edits():
+@pytest.mark.parametrize("most", [1, 2, 3, 4])
+def test_probes_find_every_pair_within_the_edits(most):
     rng = random.Random(1)
-    for _ in range(3000):
+    for _ in range(2000):
         a = "".join(rng.choice("ab") for _ in range(rng.randint(6, 30)))
-        b = edited(rng, a, rng.randint(0, 2))
+        b = edited(rng, a, rng.randint(0, most))
         a, b = sorted((a, b), key=len)
         assert any(
             len(b) - len(a) == less and s + shift >= 0 and b[s + shift : s + shift + n] == a[s : s + n]
-            for less, i, shift in probes() for s, n in [segment(len(a), i)])
+            for less, i, shift in probes(most) for s, n in [segment(len(a), i, most)])
+
+
+def by_length(a, b):
+    n = min(len(a), len(b))
+    most = 3 if n >= 250 else 2 if n >= 40 else 1 if n >= 20 else 0
+    if abs(len(a) - len(b)) > most:
+        return False
+    return n > 5000 or distance(a, b) <= most  # the longest lines here repeat one word
 
 
 def table():
@@ -77,11 +86,9 @@ def brute(rows):
     links = {x: set() for x in found}
     for a in found:
         for b in found:
-            if a < b and min(len(a), len(b)) >= 40 and abs(len(a) - len(b)) <= 2:
-                near = abs(len(a) - len(b)) <= 1 if len(a) > 5000 else distance(a, b) <= 2
-                if near:
-                    links[a].add(b)
-                    links[b].add(a)
+            if a < b and by_length(a, b):
+                links[a].add(b)
+                links[b].add(a)
     out = {}
     for x in found:
         seen, todo = {x}, [x]
@@ -185,76 +192,55 @@ def long_table():
     return [*rows, (500, None), (501, ""), (502, base[0] + "\n" + base[0])]
 
 
-def by_length(a, b):
-    n = min(len(a), len(b))
-    most = max(n // 25, (n >= 20) + (n >= 40))
-    return abs(len(a) - len(b)) <= most and distance(a, b) <= most
-
-
-def all_pairs(rows, near):
-    places = {}
-    for i, text in rows:
-        for k, x in enumerate((text or "").split("\n")):
-            if x.strip():
-                places.setdefault(x, []).append((i, k))
-    found = list(places)
-    links = {x: {y for y in found if x != y and near(x, y)} for x in found}
-    out = {}
-    for x in found:
-        seen, todo = {x}, [x]
-        while todo:
-            new = links[todo.pop()] - seen
-            seen |= new
-            todo += new
-        first = min(min(places[y]) for y in seen)
-        for p in places[x]:
-            out[p] = (len(places[x]) - 1 + sum(len(places[y]) for y in links[x]), first)
-    return out
-
-
 @pytest.mark.parametrize("block", [128, 5])
 def test_edits_that_grow_with_length_like_all_pairs(docs, monkeypatch, block):  # noqa: F811
     monkeypatch.setattr(lines, "BLOCK", block)
     rows = long_table()
-    want = all_pairs(rows, by_length)
-    got = near_lines(docs(rows, extra=True), edits=None).collect()
+    want = brute(rows)
+    got = near_lines(docs(rows, extra=True)).collect()
     assert len(got) == len(want)
     for r in got:
         place = (r["doc_id"], r["line_no"])
         assert (r["n_links"], (r["class_doc"], r["class_line"])) == want[place], place
 
 
-def test_a_word_replaced_in_a_long_line(docs):  # noqa: F811
-    line = "Permission is granted to any person who obtains a copy of this work to use it without limits, " * 2
-    short = "Are. Is anwh reenen."
-    got = near_lines(docs([(1, line + "\n" + short), (2, line.replace("any person", "any reader", 1) + "\n" + short.replace(". I", ", i"))]), edits=None)
-    assert {(r["doc_id"], r["line_no"], r["n_links"], r["class_doc"]) for r in got.collect()} == {
-        (1, 0, 1, 1), (2, 0, 1, 1), (1, 1, 0, 1), (2, 1, 0, 2)}  # two edits are beyond 20 characters
-
-
-def test_lines_within_the_edits_share_a_key():
-    rng = random.Random(2)
-    for _ in range(1500):
-        some = rng.choice(["a", "ab", "abcdefgh "])
-        n = rng.choice([20, 21, 39, 40, 41, 74, 75, 76, rng.randint(20, 400)])
-        a = "".join(rng.choice(some) for _ in range(n))
-        b = edited(rng, a, int(lines.allowed(np.array([n]))[0]))
-        if a != b and len(b) >= len(a):
-            line, key = lines.line_keys([a, b])
-            assert set(key[line == 0].tolist()) & set(key[line == 1].tolist()), (a, b)
-
-
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.text("ab", max_size=40), st.text("ab", max_size=40), st.integers(0, 9)), min_size=1, max_size=20))
-def test_distance_by_diagonals(pairs):
-    code = lambda t: np.array([ord(c) for c in t], dtype=np.uint32)
-    got = lines.within([code(a) for a, _, _ in pairs], [code(b) for _, b, _ in pairs], np.array([m for _, _, m in pairs]))
-    assert got.tolist() == [distance(a, b) <= m for a, b, m in pairs]
+@pytest.mark.parametrize("size", [19, 20, 39, 40, 41, 249, 250, 252, 400])
+def test_edits_at_the_borders_of_lengths(docs, size):  # noqa: F811
+    """Against a line, others with as many edits as its length allows and one more."""
+    line = "".join(random.Random(size).choice("abcdefgh ") for _ in range(size - 2)) + "zz"
+    most = allowed(size)
+    longer = [line + "é" * n for n in (most, most + 1)]
+    other = "".join("😀" if k in [7 + 9 * j for j in range(most)] else c for k, c in enumerate(line)) if most else line
+    got = near_lines(docs([(i, t) for i, t in enumerate([line, *longer, other])])).collect()
+    want = brute(list(enumerate([line, *longer, other])))
+    assert {r["doc_id"]: (r["n_links"], r["class_doc"]) for r in got} == {i: (n, first[0]) for (i, _), (n, first) in want.items()}
+    assert want[0, 0][0] >= 1 and (size > 20 or most == size - 19)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10**6))
+def test_lines_within_the_edits_share_a_segment(seed):
+    rng = random.Random(seed)
+    some = rng.choice(["a", "ab", "abcdefgh "])
+    n = rng.choice([20, 21, 39, 40, 41, 249, 250, 251, rng.randint(20, 400)])
+    a = "".join(rng.choice(some) for _ in range(n))
+    b = edited(rng, a, allowed(n))
+    if by_length(a, b):
+        line, key, place = lines.line_keys([a, b])
+        a, b = (0, 1) if len(a) <= len(b) else (1, 0)
+        assert set(key[(line == a) & (place <= lines.OWN)].tolist()) & set(key[line == b].tolist())
+
+
+def test_copies_of_a_frequent_line_send_few_keys():
+    batch = pa.RecordBatch.from_pydict({"member": [5, 6, 5, 5, 6], "line": ["x" * 30, "y" * 30, "x" * 30, "x" * 30, "y" * 30]})
+    got = [r for b in lines.keyed(lines.EDITS)(iter([batch, batch])) for r in b.to_pylist()]
+    assert {r["member"] for r in got} == {5, 6}
+    assert sum(r["member"] == 5 and r["place"] <= lines.OWN for r in got) == 2  # its two segments, once
 
 
 def test_one_edit_in_lines_of_20_to_39_characters(docs):  # noqa: F811
     rows = [(1, "Are. Is anwh reenen."), (2, "Are, Is anwh reenen."), (3, "Are. Is anwh, reenen."), (4, "Nineteen charactes."), (5, "Nineteen charactes,")]
-    got = near_lines(docs(rows), edits=None).collect()
+    got = near_lines(docs(rows)).collect()
     assert {r["doc_id"]: (r["n_links"], r["class_doc"]) for r in got} == {1: (2, 1), 2: (1, 1), 3: (1, 1), 4: (0, 4), 5: (0, 5)}
 
 

@@ -13,6 +13,7 @@ distance, inside tasks and in blocks. Every pair within the edits is found.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,7 @@ def segment(size: int, i: int, edits: int) -> tuple[int, int]:
     return i * short + before, short + (i >= parts - longer)
 
 
+@cache
 def probes(edits: int) -> list[tuple[int, int, int]]:
     """(length difference, segment, shift) of the substrings that a line compares
     with segments of lines that are as long or shorter by the difference. Edits
@@ -209,52 +211,83 @@ def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[: len(a) - tail], b[: len(b) - tail]
 
 
-def compare(group: Arrays, edits: Edits) -> list[tuple]:
-    """(member, links, root) of the lines of a group that link within it.
+class Compare:
+    """Makes (member, links, root) of the lines that link within a group. Groups are
+    many and small, so the pairs of some are held and verified together.
 
     A pair is an indexed line and a longer one, or one as long with a greater id.
     It counts at the first segment that the longer line's probes find."""
-    member, first = np.unique(group["member"], return_index=True)
-    own = np.isin(member, group["member"][group["own"]])
-    if len(member) < 2 or not own.any():
-        return []
-    pieces = [group["line"][k] for k in first]
-    size = np.array([len(t) for t in pieces])
-    here = in_group(group["block"][first], group["_i"][0], group["_j"][0])
-    index = int(group["place"][0])
-    linked = np.zeros((len(member), len(member)), dtype=bool)
-    for n in np.unique(size[own]).tolist():  # one, but for equal keys of unlike lines
-        most = allowed(n, edits)
-        ask = here & (own & (size == n))[:, None] & (size >= n) & (size <= n + most)
-        ask &= (size > n) | (member > member[:, None])
-        for i in range(min(index, most) + 1):
-            if not ask.any():
-                break
-            start, width = segment(n, i, most)
-            codes: dict[str, int] = {}
-            mine = np.full(len(member), -2)
-            for k in np.flatnonzero(ask.any(axis=1)).tolist():
-                mine[k] = codes.setdefault(pieces[k][start : start + width], len(codes))
-            found = np.zeros_like(ask)
-            asked = ask.any(axis=0)
-            for less, j, shift in probes(most):
-                if j == i and start + shift >= 0:
-                    theirs = np.full(len(member), -1)
-                    for k in np.flatnonzero(asked & (size == n + less)).tolist():
-                        theirs[k] = codes.get(pieces[k][start + shift : start + shift + width], -1)
-                    found |= mine[:, None] == theirs
-            ask &= found if i == index else ~found
-        left, right = np.nonzero(ask) if index <= most else ((), ())
-        if not len(left):
-            continue
-        text = {k: np.frombuffer(pieces[k].encode("utf-32-le", "surrogatepass"), dtype=np.uint32) for k in {*left.tolist(), *right.tolist()}}
-        cut = [_trimmed(text[r], text[s]) for r, s in zip(left.tolist(), right.tolist(), strict=True)]
-        near = edit_distances([c[0] for c in cut], [c[1] for c in cut], most) <= most
-        linked[left[near], right[near]] = True
-    linked |= linked.T
-    at = np.flatnonzero(linked.any(axis=1))
-    n, root = linked @ group["copies"][first], roots(linked, member)
-    return list(zip(member[at].tolist(), n[at].tolist(), root[at].tolist(), strict=True))
+
+    def __init__(self, edits: Edits) -> None:
+        self.edits = edits
+        self.held: list[tuple] = []
+        self.pairs = self.chars = 0
+
+    def __call__(self, group: Arrays) -> list[tuple]:
+        member, first = np.unique(group["member"], return_index=True)
+        own = np.isin(member, group["member"][group["own"]])
+        if len(member) < 2 or not own.any():
+            return []
+        pieces = [group["line"][k] for k in first]
+        size = np.array([len(t) for t in pieces])
+        here = in_group(group["block"][first], group["_i"][0], group["_j"][0])
+        for n in np.unique(size[own]).tolist():  # one, but for equal keys of unlike lines
+            most = allowed(n, self.edits)
+            ask = here & (own & (size == n))[:, None] & (size >= n) & (size <= n + most)
+            ask &= (size > n) | (member > member[:, None])
+            left, right = _first_at(ask, pieces, size, n, int(group["place"][0]), most)
+            if len(left):
+                text = {k: np.frombuffer(pieces[k].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+                        for k in {*left.tolist(), *right.tolist()}}
+                cut = [_trimmed(text[r], text[s]) for r, s in zip(left.tolist(), right.tolist(), strict=True)]
+                self.held.append((member, group["copies"][first], left, right, most, cut))
+                self.pairs += len(cut)
+                self.chars += sum(map(len, text.values()))
+        return self.rest() if self.pairs > 4000 or self.chars > CELLS else []
+
+    def rest(self) -> list[tuple]:
+        held, found = self.held, []
+        self.__init__(self.edits)
+        for most in {h[4] for h in held}:
+            some = [h for h in held if h[4] == most]
+            cut = [c for h in some for c in h[5]]
+            near = edit_distances([c[0] for c in cut], [c[1] for c in cut], most) <= most
+            ends = np.cumsum([len(h[5]) for h in some])
+            for (member, copies, left, right, _, _), ok in zip(some, np.split(near, ends[:-1]), strict=True):
+                if not ok.any():
+                    continue
+                linked = np.zeros((len(member), len(member)), dtype=bool)
+                linked[left[ok], right[ok]] = True
+                linked |= linked.T
+                at = np.flatnonzero(linked.any(axis=1))
+                n, root = linked @ copies, roots(linked, member)
+                found += zip(member[at].tolist(), n[at].tolist(), root[at].tolist(), strict=True)
+        return found
+
+
+def _first_at(ask: np.ndarray, pieces: list[str], size: np.ndarray, n: int, index: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the asked pairs of an indexed line of ``n`` code points and another, those
+    that share segment ``index`` and none before it."""
+    if index > most:
+        return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
+    for i in range(index + 1):
+        if not ask.any():
+            break
+        start, width = segment(n, i, most)
+        codes: dict[str, int] = {}
+        mine = np.full(len(size), -2)
+        for k in np.flatnonzero(ask.any(axis=1)).tolist():
+            mine[k] = codes.setdefault(pieces[k][start : start + width], len(codes))
+        found = np.zeros_like(ask)
+        asked = ask.any(axis=0)
+        for less, j, shift in probes(most):
+            if j == i and start + shift >= 0:
+                theirs = np.full(len(size), -1)
+                for k in np.flatnonzero(asked & (size == n + less)).tolist():
+                    theirs[k] = codes.get(pieces[k][start + shift : start + shift + width], -1)
+                found |= mine[:, None] == theirs
+        ask = ask & (found if i == index else ~found)
+    return np.nonzero(ask)
 
 
 def shared_keys(own: int):
@@ -319,11 +352,7 @@ def near_lines(docs: DataFrame, edits: Edits = EDITS) -> DataFrame:
     members = rows.join(sizes, "bucket").join(_texts(long, rows, classes), "member").select(
         "bucket", "n", "member", (F.col("place") <= OWN).alias("own"), F.col("segment").alias("place"), "copies", "line")
     groups = dealt(members, "member", BLOCK).withColumnRenamed("_block", "block")
-
-    def join(group: Arrays) -> list[tuple]:
-        return compare(group, edits)
-
-    found = stored(grouped(groups, ["bucket", "_i", "_j"], join, ["member", "n", "root"], "member bigint, n bigint, root bigint"), "found")
+    found = stored(grouped(groups, ["bucket", "_i", "_j"], Compare(edits), ["member", "n", "root"], "member bigint, n bigint, root bigint"), "found")
     forest = components(found.select(F.col("member").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "h1")
     links = found.groupBy(F.col("member").alias("h1")).agg(F.sum("n").alias("n"))
     plain = classes.select("h1", "h2", "first", "copies")

@@ -33,11 +33,12 @@ class Rule:
     least: int = 1
 
 
-# fixed values: the base rules, in this order
+# fixed values: the base rules, in this order. The last two take whole runs, so that
+# asking for the least length in the pattern finds the same ones.
 BASE = (
     Rule("assign", 1, r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
-    Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 16),
-    Rule("hex", 1, r"[0-9a-f]+", 0, 32),
+    Rule("access", 1, r"AKIA[A-Z0-9]{12,}", 0, 16),
+    Rule("hex", 1, r"[0-9a-f]{32,}", 0, 32),
 )
 #: Formats that are secrets wherever they stand.
 MORE = (

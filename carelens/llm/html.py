@@ -4,6 +4,11 @@ Each page's containers are scored and its best one is a vote for that container'
 path, the tags and classes from the root with numbers left out. Spark counts the
 votes per host, and every page is extracted again from the containers on its
 host's winning path. A page without that path uses its own best one.
+
+A class or id that names a menu, an advert or the like only puts an element in doubt.
+It stays if it holds the page's largest article or main part, or, unless it stands
+beside that, most of the page's text; a list of related pages in an article goes only
+if it is mostly links.
 """
 
 from __future__ import annotations
@@ -39,6 +44,12 @@ JUNK = frozenset(
     " promoted related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar"
     " widget".split())
 HEADERS = frozenset("header masthead topbar".split())
+#: Words of what readers wrote and of notices, which may be longer than an article.
+STRONG = frozenset("comment comments consent cookie cookies disqus modal notice notices popup replies reply respond".split())
+READERS = frozenset("comment comments disqus replies reply respond".split())
+WEAK = frozenset(["related"])
+#: Shares of a page's text outside links from which an element in doubt stays.
+MOST, NEARLY_ALL = 0.5, 0.9
 #: What an opening tag closes: the nearest of these, unless one of the others is nearer.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -61,35 +72,95 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "path", "out", "container", "up", "inside")
+    """An element of a page: ``doubt`` is the nearest one in doubt and ``inside`` the
+    nearest article or main part, from itself up; ``plain`` and ``linked`` count the
+    characters of such elements outside and inside links."""
+
+    __slots__ = ("tag", "path", "out", "container", "up", "inside", "doubt", "words", "plain", "linked", "spared", "gone")
 
-    def __init__(self, tag: str, path: str, out: bool, up: Element | None, inside: bool):
-        self.tag, self.path, self.out, self.up, self.inside = tag, path, out, up, inside
+    def __init__(self, tag: str, path: str, out: bool, up: Element | None, words: frozenset[str]):
+        self.tag, self.path, self.out, self.up, self.words = tag, path, out, up, words
         self.container = tag in CONTAINERS
+        self.inside = self if tag in ("article", "main") else up and up.inside
+        self.doubt = self if words else up and up.doubt
+        self.plain = self.linked = 0
+        self.spared = self.gone = False
 
 
 def _opened(tag: str, attributes: str, up: Element) -> Element:
-    """An element below ``up``; ``out`` if it is no part of an article."""
-    inside = up.inside or tag in ("article", "main")
+    """An element below ``up``; ``out`` if it is no part of an article, in doubt if a
+    class or id says so."""
     out = up.out or tag in LEFT_OUT or (tag == "header" and not up.inside)
-    label = tag
+    label, words = tag, frozenset()
     if attributes and not attributes.isspace():
         values = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
         named = references.unescape(values.get("class", ""))
         if named:
             label += "".join(f".{c}" for c in sorted({re.sub(r"\d+", "", c) for c in named.split()}) if c)
         if not out and tag not in ("html", "body"):
-            words = {w.lower() for w in PART.findall(f"{named} {values.get('id', '')}")}
             out = bool(
-                words & JUNK or (not up.inside and words & HEADERS) or values.get("role", "").lower() in ROLES
-                or "hidden" in values or values.get("aria-hidden", "").lower() == "true" or HIDDEN.search(values.get("style", "")))
-    return Element(tag, f"{up.path}>{label}" if up.path else label, out, up, inside)
-
-
-def blocks(page: str) -> Iterator[tuple[str, int, Element]]:
-    """The text of each block of a page that may belong to an article, how many of
-    its characters are in links, and the element it stands in, in page order."""
-    root = Element("", "", False, None, False)
+                values.get("role", "").lower() in ROLES or "hidden" in values
+                or values.get("aria-hidden", "").lower() == "true" or HIDDEN.search(values.get("style", "")))
+            if tag in ("article", "main"):  # only as a reader's comment
+                words = READERS.intersection(named.lower().split())
+            else:
+                parts = {w.lower() for w in PART.findall(f"{named} {values.get('id', '')}")}
+                words = frozenset(parts & (JUNK if up.inside else JUNK | HEADERS))
+    return Element(tag, f"{up.path}>{label}" if up.path else label, out, up, words)
+
+
+def blocks(page: str) -> list[tuple[str, int, Element]]:
+    """The text of each block of a page that belongs to no menu, advert or the like,
+    how many of its characters are in links, and the element it stands in, in page
+    order."""
+    parts: list[Element] = []
+    found = list(_blocks(page, parts))
+    if all(element.doubt is None for _, _, element in found):
+        return found
+    total, doubted = 0, {}
+    for text, linked, element in found:
+        plain = max(0, len(text) - linked)
+        total += plain
+        doubted |= {id(e): e for e in _doubts(element)}
+        for e in {id(e): e for e in (*_doubts(element), *_parts(element))}.values():
+            e.plain += plain
+            e.linked += linked
+    # the largest article or main part that no reader wrote
+    own = [p for p in parts if not any(
+        READERS.intersection(e.words) and (e.tag in ("article", "main") or e.plain < NEARLY_ALL * total) for e in _doubts(p))]
+    main = up = max(own, key=lambda p: p.plain) if own else None
+    while up is not None:
+        up.spared = True
+        up = up.up
+    for e in doubted.values():
+        share = e.plain / total if total else 0
+        beside = main is not None and main not in _parts(e)
+        e.gone = not (
+            e.spared or (not beside and share >= (NEARLY_ALL if e.words & STRONG else MOST))
+            or (e.words <= WEAK and e.inside is not None and e.plain >= e.linked))
+    return [x for x in found if not any(e.gone for e in _doubts(x[2]))]
+
+
+def _doubts(element: Element) -> Iterator[Element]:
+    """The elements in doubt from this one up."""
+    up = element.doubt
+    while up is not None:
+        yield up
+        up = up.up and up.up.doubt
+
+
+def _parts(element: Element) -> Iterator[Element]:
+    """The articles and main parts from this element up."""
+    up = element.inside
+    while up is not None:
+        yield up
+        up = up.up and up.up.inside
+
+
+def _blocks(page: str, parts: list[Element]) -> Iterator[tuple[str, int, Element]]:
+    """The text of each block, also of those in doubt, as ``blocks`` returns them. Adds
+    the articles and main parts to ``parts``, those without text too."""
+    root = Element("", "", False, None, frozenset())
     here, links = root, 0
     pieces: list[str] = []
     linked = 0
@@ -126,7 +197,7 @@ def blocks(page: str) -> Iterator[tuple[str, int, Element]]:
                 links = max(0, links - 1)
             if target is None or target is root:
                 continue
-            if tag in BLOCKS or target.out != here.out:
+            if tag in BLOCKS or target.out != here.out or target.doubt is not target.up.doubt:
                 yield from ended()
             # an inline end doesn't close the blocks around its start
             if tag not in BLOCKS and any(e.tag in BLOCKS for e in _up_to(here, target)):
@@ -161,10 +232,12 @@ def blocks(page: str) -> Iterator[tuple[str, int, Element]]:
             at = end.end() if end else size
             continue
         below = _opened(tag, attributes, here)
-        if below.out and not here.out:
+        if (below.out and not here.out) or below.doubt is below:
             yield from ended()
         if tag == "a":
             links += 1
+        if below.inside is below and not below.out:
+            parts.append(below)
         here = below
     if at < size and not here.out:
         pieces.append(references.unescape(page[at:]))
@@ -199,7 +272,7 @@ def best_path(page: str) -> tuple[str, float]:
 def main_text(page: str, path: str | None) -> str:
     """The blocks in the containers on ``path``, one a line; those on the page's own
     best path if no container is on it."""
-    found = list(blocks(page))
+    found = blocks(page)
 
     def on(wanted: str) -> list[str]:
         out = []

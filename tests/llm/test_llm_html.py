@@ -37,6 +37,38 @@ def test_odd_pages(page, text):
     assert main_text(page, None) == text
 
 
+STORY = "<h1>Title</h1><p>" + "A story of many plain words. " * 8 + "</p>"
+READ = "Title\n" + ("A story of many plain words. " * 8).strip()
+SIDE = "<div class='sidebar'><p>Other stories to read</p></div><div id='comments'><p>" + "Nice. I liked this a lot. " * 6 + "</p></div>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='layout with-sidebar'><article>{STORY}</article>{SIDE}</div>",
+    f"<div class='layout with-sidebar'><div class='content'>{STORY}</div>{SIDE}</div>",
+    f"<article class='post ad-free'>{STORY}</article>{SIDE}",
+    f"<main class='comments-open'>{STORY}{SIDE}</main>",
+    f"<div class='wrap comments-open has-header'><section>{STORY}</section></div><div class='share'>Share this</div>",
+    f"<div id='no-ads'><table><tr><td>{STORY}</td></tr></table></div><div class='footer'>Foot</div>",
+    f"<div class='post'>{STORY}</div><div class='comments'><article class='comment'>{'Very good. ' * 40}</article></div>",
+    f"<div class='post'>{STORY}<span class='ad'>Buy</span></div><div class='sidebar'><article>Teaser text</article></div>",
+])
+def test_wrappers_and_layouts(page):
+    """A class of an element around or on the article doesn't lose it; what the same
+    words name beside it goes."""
+    assert main_text(f"<html><body>{page}</body></html>", None) == READ
+
+
+@pytest.mark.parametrize(("article", "text"), [("", ""), ("<p>Short.</p>", "Short.")])
+def test_long_sidebar_beside_a_short_article(article, text):
+    assert main_text(f"<body><article>{article}</article><div class='sidebar'><p>{'Other story. ' * 30}</p></div></body>", None) == text
+
+
+def test_related_work_is_a_section_and_related_pages_are_links():
+    work = "<div class='related-work'><h2>Related work</h2><p>Others did it <a href=x>before</a> us.</p></div>"
+    pages = "<div class='related'><ul><li><a href=x>One page</a><li><a href=y>Another page</a></ul></div>"
+    assert main_text(f"<article>{STORY}{work}{pages}</article>", None) == READ + "\nRelated work\nOthers did it before us."
+
+
 def test_hosts_vote(spark):
     """A page whose own best container is a long list of links text follows its host."""
     usual = "<body><div class='story'><p>{0} story text with a few words.</p></div><div class='teasers'><p>{1}</p></div></body>"

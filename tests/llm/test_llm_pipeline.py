@@ -70,7 +70,7 @@ def test_stages_like_brute_force(spark, given):
 
 def test_contract(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == NAMES and corpus_pipeline.ORACLE_SQL is None
-    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 14))
     assert set(llm_oracles()) <= set(llm_queries())
     assert corpus_pipeline.run(spark, SMALL).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 

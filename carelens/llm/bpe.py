@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from carelens.llm.common import carrying, mapped
 
-#: Encodings that a task keeps; it starts anew beyond that.
-CACHED = 250_000
+#: Encodings that a worker keeps in each of two generations: when the younger is full,
+#: it becomes the older, whose unused encodings are then dropped.
+CACHED = 125_000
 #: Texts whose distinct words make one trie.
 TEXTS = 1000
 #: Longer pieces between white space are encoded, but not kept.
@@ -50,6 +51,14 @@ def plain_pieces(found: dict) -> bool:
         cuts[0].get("pattern", {}).get("Regex", "").endswith(letters) and cuts[1]["type"] == "ByteLevel")
 
 
+def used_again(new: set[str], kept: dict, before: dict) -> set[str]:
+    """Moves what ``before`` knows of ``new`` to ``kept``; the rest is returned."""
+    known = new & before.keys()
+    for word in known:
+        kept[word] = before[word]
+    return new - known
+
+
 class TrieEncoder:
     """BPE over symbols: a byte, or 256 plus a byte where it ends a word."""
 
@@ -85,8 +94,11 @@ class TrieEncoder:
             self.parts.setdefault(made, (rank, left, right))
         self.whole: dict[int, bool] = {}
         self.follows: dict[tuple[int, int], bool] = {}
-        self.kept: dict[str, tuple[str, str, int]] = {"": ("", "", 0)}  # of pieces between white space
-        self.words: dict[str, tuple[str, str, int]] = {}  # of plain words
+        # of pieces between white space, and of plain words; each younger and older
+        self.kept: dict[str, tuple[str, str, int]] = {}
+        self.kept_before: dict[str, tuple[str, str, int]] = {}
+        self.words: dict[str, tuple[str, str, int]] = {}
+        self.words_before: dict[str, tuple[str, str, int]] = {}
 
     def _edge(self, token: int, until: float, side: int) -> list[tuple[int, float]]:
         """The pieces that stand at a token's left (1) or right (2) edge while it
@@ -211,7 +223,10 @@ class TrieEncoder:
                 plain[piece] = (m[1].lower(), m[2])
             else:
                 other[piece] = self._words(piece)
+        if len(self.words) > CACHED:
+            self.words_before, self.words = self.words, {}
         new = {w for ws in plain.values() for w in ws if w} - self.words.keys()
+        new = used_again(new, self.words, self.words_before)
         as_symbols = {}
         for word in new:
             code = word.encode()
@@ -243,8 +258,9 @@ class TrieEncoder:
 
     def _encode_some(self, pieces: list[list[str]]) -> Iterator[tuple[str, str, int]]:
         if len(self.kept) > CACHED:
-            self.kept, self.words = {"": ("", "", 0)}, {}
-        new = set().union(*pieces) - self.kept.keys()
+            self.kept_before, self.kept = self.kept, {}
+        self.kept.setdefault("", ("", "", 0))
+        new = used_again(set().union(*pieces) - self.kept.keys(), self.kept, self.kept_before)
         long = {p for p in new if len(p) > CACHED_CHARS}
         self.kept |= self.encode_pieces(new - long)
         rare = self.encode_pieces(long) if long else {}

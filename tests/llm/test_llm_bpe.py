@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from carelens.llm import bpe
 from carelens.llm.bpe import TrieEncoder, encode, encode_digest
 from carelens.llm.queries import TOKENIZER
 from llm_fixtures import docs  # noqa: F401
@@ -41,6 +42,13 @@ def test_words_are_encoded_once_with_shared_prefixes():
     assert [LIBRARY.encode(w, add_special_tokens=False).ids for w in ("the", "then", "thenceforth", "theory", "a")] == [got[w] for w in words]
 
 
+def test_small_caches_change_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 5)
+    monkeypatch.setattr(bpe, "TEXTS", 2)
+    rng = random.Random(8)
+    same([" ".join(rng.choice("ab") * rng.randint(1, 9) + rng.choice(["", "!", "é", "1"]) for _ in range(rng.randint(0, 12))) for _ in range(300)])
+
+
 def test_table(docs):
     rows = [(1, "Hello, world! " * 500), (2, None), (3, ""), (4, "same"), (4, "same"), (None, "no id")]
     told = encode_digest(docs(rows, extra=True), TOKENIZER).collect()

@@ -1,6 +1,6 @@
 """Operator 3, BPE encoding and decoding over a trie of distinct words.
 
-The distinct words of a batch go into a trie. A depth-first walk keeps, for each
+The distinct words of a batch make a trie, held as their sorted list. A depth-first walk keeps, for each
 prefix on the path, the last token of the prefix's encoding; the encoding of a
 longer prefix is the encoding of a shorter one plus a token that may stand after
 that one's last token, so what words share is encoded once. A text is then a list
@@ -140,52 +140,45 @@ class TrieEncoder:
         return known
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """The ids of each distinct word, given as symbols."""
-        root: dict = {}
-        deepest = 0
-        for word in words:
-            node = root
-            for symbol in word[:-1]:
-                below = node.get(symbol)
-                if below is None:
-                    below = node[symbol] = {}
-                node = below
-            node[word[-1] * 2] = word  # a word ends here
-            deepest = max(deepest, len(word))
+        """The ids of each distinct word, given as symbols.
+
+        The trie is held as the sorted list of its words: next to each other they share
+        the upper part of their paths, and walking down the list is walking the trie
+        depth first, without a table for each node."""
         spelled, longest, whole, follows = self.spelled, self.longest, self.whole, self.follows
-        last = [-1] * (deepest + 1)  # the last token of each prefix on the path
-        size = [0] * (deepest + 1)  # and its length in symbols
+        last, size = [-1], [0]  # of each prefix on the path the last token, and its length in symbols
         out: dict[str, list[int]] = {}
-        stack = [("", root)]
-        while stack:
-            above, node = stack.pop()
-            depth = len(above) + 1
-            for symbol, child in node.items():
-                prefix = above + symbol[0]
+        before = ""
+        for word in sorted(words):
+            depth = 0
+            for a, b in zip(before, word, strict=False):
+                if a != b:
+                    break
+                depth += 1
+            before = word
+            del last[depth + 1 :], size[depth + 1 :]
+            while depth < len(word):
                 # exactly one token may end a prefix: the last one longer by a symbol,
                 # a symbol of its own, or one of another length
-                n = size[depth - 1] + 1 if depth > 1 else 1
-                token = spelled.get(prefix[-n:])
-                if token is None or not self._ends(token, last[depth - n], whole, follows):
+                n = size[depth] + 1
+                depth += 1
+                token = spelled.get(word[depth - n : depth])
+                above = last[depth - n]
+                if token is None or not (whole.get(token) or self._is_whole(token)) or not (
+                        above < 0 or follows.get((above, token)) or self._may_follow(above, token)):
                     for n in range(1, min(depth, longest) + 1):
-                        token = spelled.get(prefix[-n:])
+                        token = spelled.get(word[depth - n : depth])
                         if token is not None and self._ends(token, last[depth - n], whole, follows):
                             break
                     else:
-                        raise ValueError(f"the vocabulary can't spell {prefix[-longest:]!r}")
-                if len(symbol) == 1:
-                    stack.append((prefix, child, token, n))
-                else:
-                    ids, at = [token], depth - n
-                    while at:
-                        ids.append(last[at])
-                        at -= size[at]
-                    out[child] = ids[::-1]
-            if stack:
-                # what is stacked last is walked next, and its ancestors' states stand
-                above, node, token, n = stack.pop()
-                last[len(above)], size[len(above)] = token, n
-                stack.append((above, node))
+                        raise ValueError(f"the vocabulary can't spell {word[max(depth - longest, 0) : depth]!r}")
+                last.append(token)
+                size.append(n)
+            ids, at = [], depth
+            while at:
+                ids.append(last[at])
+                at -= size[at]
+            out[word] = ids[::-1]
         return out
 
     def _ends(self, token: int, before: int, whole: dict, follows: dict) -> bool:

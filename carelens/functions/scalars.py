@@ -19,11 +19,57 @@ def decode(code: str, texts: dict[int, str], other: str | None) -> Column:
 def smallest_text_sql(code: str, texts: dict[int, str], other: str) -> str:
     """The aggregate ``min`` of the texts of a code. It compares their places in
     text order, so that the aggregate holds a number and can hash its keys."""
+    return text_at_sql(f"min({place_sql(code, texts, other)})", texts, other)
+
+
+def place_sql(code: str, texts: dict[int, str], other: str) -> str:
+    """The place from 1, in text order, of the text of a code."""
     shown = sorted({*texts.values(), other})
     places = ", ".join(f"{key}, {shown.index(text) + 1}" for key, text in texts.items())
-    listed = ", ".join(f"'{text}'" for text in shown)
-    place = f"coalesce(try_element_at(map({places}), {code}), {shown.index(other) + 1})"
-    return f"element_at(array({listed}), min({place}))"
+    return f"coalesce(try_element_at(map({places}), {code}), {shown.index(other) + 1})"
+
+
+def text_at_sql(place: str, texts: dict[int, str], other: str) -> str:
+    listed = ", ".join(f"'{text}'" for text in sorted({*texts.values(), other}))
+    return f"element_at(array({listed}), cast({place} as int))"
+
+
+# Moments of the years 1 to 9999 lie within _REACH microseconds of this one.
+_ORIGIN = "timestamp_ntz'1970-01-01 00:00:00'"
+_REACH = 1 << 58
+
+
+def _micros(moment: str) -> str:
+    seconds = f"cast(cast({moment} - {_ORIGIN} as interval second) as decimal(18,6))"
+    return f"cast({seconds} * 1000000 as bigint)"
+
+
+def _moment(micros: str) -> str:
+    return f"{_ORIGIN} + make_dt_interval(0, 0, 0, cast({micros} / 1000000 as decimal(18,6)))"
+
+
+def moment_first_sql(moment: str, code: str) -> str:
+    """A moment and a code (a whole number of at least 0) as one number that sorts as the
+    pair does. An aggregate holds it in place and can hash its keys, where the
+    smallest or largest struct makes it sort its rows. Null without a moment or code."""
+    return f"cast({_micros(moment)} as decimal(38,0)) * {2 * _REACH}BD + {code}"
+
+
+def moments_sql(moment: str, second: str) -> str:
+    """``moment_first_sql`` for two moments; a missing second one comes first."""
+    return moment_first_sql(moment, f"coalesce({_micros(second)} + {_REACH}L, 0L)")
+
+
+def code_of_sql(packed: str) -> str:
+    return f"cast(pmod({packed}, {2 * _REACH}BD) as bigint)"
+
+
+def moment_of_sql(packed: str) -> str:
+    return _moment(f"cast(({packed} - {code_of_sql(packed)}) / {2 * _REACH}BD as decimal(20,0))")
+
+
+def second_moment_of_sql(packed: str) -> str:
+    return f"case when {code_of_sql(packed)} > 0 then {_moment(f'cast({code_of_sql(packed)} - {_REACH}L as decimal(20,0))')} end"
 
 
 def rounded(value: Column) -> Column:

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from carelens.functions import codes as C
-from carelens.functions.scalars import decode_sql
+from carelens.functions.scalars import (
+    code_of_sql,
+    decode_sql,
+    moment_first_sql,
+    moment_of_sql,
+    moments_sql,
+    second_moment_of_sql,
+)
 from carelens.operators.choose import first_second_last
 from carelens.operators.evidence import (
     any_of,
@@ -23,8 +30,10 @@ COUNSELLING_NAMES = ("primeira_fichaapss", "segunda_fichaapss", "ultima_fichaaps
 
 
 def _earliest_pair(df: DataFrame) -> DataFrame:
-    pair = F.struct("data_abertura", "data_diagnostico")
-    return df.groupBy("patient_id").agg(F.min(pair).alias("_pair")).select("patient_id", "_pair.*")
+    pair = moments_sql("data_abertura", "data_diagnostico")
+    return df.groupBy("patient_id").agg(F.expr(f"min({pair})").alias("_pair")).selectExpr(
+        "patient_id", f"{moment_of_sql('_pair')} data_abertura", f"{second_moment_of_sql('_pair')} data_diagnostico"
+    )
 
 
 def first_enrolment_with_diagnosis(t: ClinicalTables, p: ReportParams) -> DataFrame:
@@ -86,12 +95,12 @@ def dsd_model_enrolment(t: ClinicalTables, p: ReportParams) -> DataFrame:
         f"value_coded = {C.START}"
     )
     first = rows.groupBy("patient_id").agg(
-        F.min(F.struct("encounter_datetime", "concept_id")).alias("_first")
+        F.expr(f"min({moment_first_sql('encounter_datetime', 'concept_id')})").alias("_first")
     )
     return live_patients(t, first).selectExpr(
         "patient_id",
-        "_first.encounter_datetime data_inclusao_mdc",
-        f"{decode_sql('_first.concept_id', C.CARE_MODELS, C.OTHER_MODEL)} tipo_modelo",
+        f"{moment_of_sql('_first')} data_inclusao_mdc",
+        f"{decode_sql('cast(' + code_of_sql('_first') + ' as int)', C.CARE_MODELS, C.OTHER_MODEL)} tipo_modelo",
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from carelens.functions import codes as C
-from carelens.functions.scalars import care_status, decode_sql
+from carelens.functions.scalars import care_status, code_of_sql, decode_sql, moment_first_sql, moment_of_sql
 from carelens.operators.choose import answers_by_moment, look_up
 from carelens.operators.combine import repeat_rows, spread_join, tally
 from carelens.operators.evidence import (
@@ -45,8 +45,10 @@ def latest_exit(t: ClinicalTables, p: ReportParams) -> DataFrame:
     rows = open_rows(t, p, C.TREATMENT, C.TREATMENT_EXITS)
     return (
         rows.groupBy("patient_id")
-        .agg(F.max(F.struct("start_date", "state")).alias("_exit"))
-        .selectExpr("patient_id", "_exit.start_date data_estado", "_exit.state estado_id")
+        .agg(F.expr(f"max({moment_first_sql('start_date', 'state')})").alias("_exit"))
+        .selectExpr(
+            "patient_id", f"{moment_of_sql('_exit')} data_estado", f"cast({code_of_sql('_exit')} as int) estado_id"
+        )
     )
 
 

@@ -20,9 +20,14 @@ from carelens.functions.scalars import (
     age,
     care_status,
     child_flag,
+    code_of_sql,
     decode_sql,
     full_name,
+    moment_first_sql,
+    moment_of_sql,
+    place_sql,
     short_name,
+    text_at_sql,
     yes_flag,
 )
 from carelens.operators import attach as A
@@ -472,12 +477,17 @@ def three_pickups(t: ClinicalTables, p: ReportParams, **spread) -> DataFrame:
     df = look_up(df, "ultimo_levantamento", booked(C.NEXT_PICKUP, "data_proximo", "n_pickup"))
     exits = (
         S.open_rows(t, p, C.TREATMENT, C.TREATMENT_EXITS)
+        .groupBy("patient_id")
+        .agg(
+            F.expr(f"min({moment_first_sql('start_date', place_sql('state', C.TREATMENT_EXITS, C.OTHER))})").alias("_exit"),
+            F.count(F.lit(1)).alias("n_exit"),
+        )
         .selectExpr(
-            "patient_id", "start_date", f"{decode_sql('state', C.TREATMENT_EXITS, C.OTHER)} estado"
+            "patient_id",
+            f"{text_at_sql(code_of_sql('_exit'), C.TREATMENT_EXITS, C.OTHER)} estado",
+            f"{moment_of_sql('_exit')} data_saida",
+            "n_exit",
         )
-        .groupBy("patient_id")
-        .agg(F.min(F.struct("start_date", "estado")).alias("_exit"), F.count(F.lit(1)).alias("n_exit"))
-        .selectExpr("patient_id", "_exit.estado", "_exit.start_date data_saida", "n_exit")
     )
     names = (
         A.preferred_names(t, live_only=False)

@@ -8,8 +8,10 @@ import pytest
 from carelens.checks.compare import differences, open_duckdb
 from carelens.checks.oracle import all_oracles
 from carelens.checks.queries import REPORT_PARAMS, SITE, all_queries
+from carelens.functions.scalars import code_of_sql, moment_first_sql, moment_of_sql, moments_sql, second_moment_of_sql
 from carelens.operators import attach as A
 from carelens.operators import differentiated as D
+from carelens.operators import status as S
 from carelens.plans.reports import REPORTS
 from carelens.sources.star import clinical_from_star
 from carelens.sources.tables import load_tables, store_tables
@@ -149,6 +151,28 @@ def test_first_rows_are_found_by_hashing(spark, stored):
         assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pairs_are_found_by_hashing(spark, stored):
+    for df in (S.latest_exit(stored, SITE), D.dsd_model_enrolment(stored, SITE), D.first_enrolment_with_diagnosis(stored, SITE)):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_packed_pairs_sort_like_structs(spark):
+    moments = ["0001-01-01 00:00:00", "1582-10-10 01:02:03", "1899-12-31 23:59:59.999999", "1969-12-31 23:59:59.999999",
+               "1970-01-01 00:00:00", "2020-03-29 02:30:00", "2020-06-20 12:00:00.000001", "9999-12-31 23:59:59.999999"]
+    firsts = spark.createDataFrame([(m,) for m in moments], "a string").selectExpr("cast(a as timestamp_ntz) a")
+    rows = firsts.join(spark.sql("select * from values (0), (1), (23730), (2147483647) v(code)"))
+    packed = rows.selectExpr("a", "code", f"{moment_first_sql('a', 'code')} x")
+    got = packed.selectExpr("a", "code", "x", f"{moment_of_sql('x')} a2", f"{code_of_sql('x')} code2").collect()
+    assert all(r["a"] == r["a2"] and r["code"] == r["code2"] for r in got) and len(got) == 32
+    assert sorted(got, key=lambda r: r["x"]) == sorted(got, key=lambda r: (r["a"], r["code"]))
+    seconds = firsts.withColumnRenamed("a", "b").unionByName(spark.sql("select cast(null as timestamp_ntz) b"))
+    pairs = firsts.join(seconds).selectExpr("a", "b", f"{moments_sql('a', 'b')} x")
+    got = pairs.selectExpr("a", "b", "x", f"{moment_of_sql('x')} a2", f"{second_moment_of_sql('x')} b2").collect()
+    assert all(r["a"] == r["a2"] and r["b"] == r["b2"] for r in got) and len(got) == 72
+    first = lambda r: (r["a"], r["b"] is not None, r["b"] or r["a"])
+    assert sorted(got, key=lambda r: r["x"]) == sorted(got, key=first)
+
+
 def test_moments_are_read_once(spark, stored):
     df = D.pickup_moments(stored, SITE)
     assert df.collect()

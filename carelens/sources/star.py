@@ -58,17 +58,27 @@ def _copies(customer: DataFrame, second: str) -> DataFrame:
     )
 
 
-def _concept_rule() -> str:
-    """The concept by visit type and part: one flat list, where each visit type
-    has a first place and a number of places."""
-    first, size, flat = [], [], []
+def _concept_rule() -> tuple[str, str]:
+    """Whether a line's visit has observations, and the concept, by the visit's key and
+    the part: one flat list, where each visit type has a first place and a number of
+    places. Lines without a visit may hold any keys, so these give null and no error."""
+    flat: list[str] = []
+    first, size = {}, {}
     for kinds, values in _CONCEPTS.items():
         own = values.split(",")
-        first.append(f"when encounter_type in ({kinds}) then {len(flat)}")
-        size.append(f"when encounter_type in ({kinds}) then {len(own)}")
+        for kind in kinds.split(","):
+            first[kind], size[kind] = len(flat), len(own)
         flat += own
-    place = f"case {' '.join(first)} end + l_partkey % case {' '.join(size)} end + 1"
-    return f"element_at(array({','.join(flat)}), cast({place} as int))"
+    kinds = _VISIT_TYPES.split(",")
+
+    def get(values, place: str) -> str:
+        # as element_at counts: places below 0 from the end, and none before the first
+        shown = ",".join("null" if v is None else str(v) for v in values)
+        return f"get(array({shown}), cast(pmod({place}, {len(values) + 1}) as int))"
+
+    kind = f"l_orderkey % {len(kinds)}"
+    places = get([size.get(k) for k in kinds], kind)
+    return f"{places} is not null", get(flat, f"{get([first.get(k) for k in kinds], kind)} + l_partkey % {places}")
 
 
 class _Star:
@@ -163,16 +173,19 @@ class _Star:
     def obs(self) -> DataFrame:
         # visits of other types have no observations
         seen = self.encounter().where(f"encounter_type in ({','.join(_CONCEPTS)})").select(
-            "encounter_id", "patient_id", "encounter_type", "encounter_datetime", "location_id"
+            "encounter_id", "patient_id", "encounter_datetime", "location_id"
         )
+        # the visit type, and with it the concept, follows from the key that lines and visits
+        # are joined on, so a report's choice of concepts is made before the join
+        observed, concept = _concept_rule()
         return (
             self._read("lineitem")
+            .where(observed)
             .selectExpr(
-                "l_orderkey encounter_id", "l_partkey", "l_quantity", "l_extendedprice",
+                "l_orderkey encounter_id", f"{concept} cid", "l_quantity", "l_extendedprice",
                 "cast(l_suppkey+l_linenumber as int) v",
             )
             .join(seen, "encounter_id")
-            .withColumn("cid", F.expr(_concept_rule()))
             .selectExpr(
                 "patient_id person_id",
                 "encounter_id",

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 from carelens.schema import SCHEMAS
+from pyspark.sql import functions as F
+
 from carelens.sources.star import clinical_from_star
 from carelens.sources.tables import ClinicalTables, JdbcSource, load_tables, read_table, store_table
 from conftest import SMALL
@@ -97,3 +99,29 @@ def test_given_bounds_are_not_asked_for():
     assert database.asked == [] and database.calls["obs"]["upperBound"] == 51
     load_tables(database, JdbcSource("jdbc:any"))
     assert database.asked == []  # nothing is read yet
+
+
+def test_concepts_are_chosen_before_lines_meet_visits(spark, tmp_path):
+    """Lines that no visit needs (a part key below 0, a key of no visit, no key) are dropped
+    before the join, and the rest have the concept of their visit's type."""
+    lines = [(k, part, 3, 1, 7.0, 100.0) for k in (0, 1, 2, 4, 6, 8, 9, 12, 13, 14, 18, 21) for part in (0, 1, 5, 13, 40)]
+    lines += [(-1, 2, 3, 1, 7.0, 100.0), (-7, 2, 3, 1, 7.0, 100.0), (1, -2, 3, 1, 7.0, 100.0), (1, None, 3, 1, 7.0, 100.0), (None, 2, 3, 1, 7.0, 100.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(k, 5) for k in (0, 1, 2, 4, 4, 6, 8, 9, 13, 14, 18, -7)], "o_orderkey long, o_custkey long").selectExpr(
+        "*", "timestamp_ntz'2000-01-01 00:00:00' o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    t = clinical_from_star(spark, str(tmp_path))
+    types = "array(18,6,18,9,13,5,6,18,53,18,6,32,33,35,52,7,1,3,34,18)"
+    flat = {"18": (1088, 5096, 1255, 1190, 23724, 23730), "13": (856, 5497), "5": (1594, 1611, 6123, 1982, 1279, 1600, 6224),
+            "6": (856, 1410, 1255, 1190, 5356, 1982, 1600, 1279, 6257, 23758, 6277, 23761, 6128, 6122, 6129, 23730),
+            "53": (1190, 1255, 23891, 23779, 1030, 1040, 856, 5272, 6129, 1611, 6224), "52": (23865, 23866)}
+    visits = spark.read.parquet(str(tmp_path / "orders.parquet")).selectExpr("o_orderkey", f"element_at({types}, cast(o_orderkey % 20 as int) + 1) kind")
+    met = visits.join(spark.read.parquet(str(tmp_path / "lineitem.parquet")), visits.o_orderkey == F.col("l_orderkey")).collect()
+    want = [(r["o_orderkey"], flat[str(r["kind"])][r["l_partkey"] % len(flat[str(r["kind"])])])
+            for r in met if str(r["kind"]) in flat and (r["l_partkey"] or 0) >= 0 and r["l_partkey"] is not None]
+    found = [(r["encounter_id"], r["concept_id"]) for r in t.obs.collect()]
+    assert [f for f in found if f in set(want)] and not set(want) - set(found)
+    assert len(found) == len(want) + 2  # the two odd part keys of visit 1
+    # the choice is made on the lines' side, beneath the exchange
+    plan = t.obs.where("concept_id = 856")._jdf.queryExecution().optimizedPlan().toString()
+    assert "856" in plan.split("Join")[1]

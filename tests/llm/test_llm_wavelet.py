@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 from carelens.llm.common import scratch, table
 from carelens.llm.queries import TOKENIZER, op13_token_shards
+from carelens.llm import wavelet
 from carelens.llm.wavelet import BLOCK, Shard, TokenShards, shard_bytes, shards_digest, write_shards
 
 LIBRARY = Tokenizer.from_file(TOKENIZER)
@@ -79,3 +80,16 @@ def test_repeated_missing_and_no_rows(docs):
     assert [r[0] for r in got] == [r[0] for r in want] and sorted(r[2:] for r in got) == sorted(r[2:] for r in want)
     assert all(a[1] + a[2] == b[1] for a, b in zip(got, got[1:], strict=False))
     assert shards_digest(docs([]), TOKENIZER).collect() == []
+
+
+def test_planes_are_halved_and_merged_in_stretches(monkeypatch):
+    monkeypatch.setattr(wavelet, "STRETCH", 8)
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 7, 8, 9, 64, 100):
+        for share in (0, 0.3, 1):
+            ids = rng.integers(0, 1 << 15, n).astype("<u2")
+            bit = rng.random(n) < share
+            zeros = n - int(np.count_nonzero(bit))
+            low = wavelet.halved(ids, bit, zeros)
+            assert low.tolist() == [*ids[~bit].tolist(), *ids[bit].tolist()]
+            assert wavelet.merged(low, bit, zeros, 1 << 15).tolist() == np.where(bit, ids | 1 << 15, ids).tolist()

@@ -2,21 +2,22 @@
 
 A word is the sum of hashed embeddings of itself and of its first letters.
 Filters over one, two and three neighbouring words are max-pooled over the whole
-text and feed one output. Embeddings start from class log-odds and everything is
-trained together in numpy, on a bounded sample. The same hashed features tell the
+text and feed one output. Embeddings start from class log-odds, counted over all
+labelled rows, and everything is trained together in numpy, by all labelled rows in
+blocks, whose networks are averaged. The same hashed features tell the
 language, and for each language the score is shifted so that the threshold that
-is best for it is the one threshold of all. Thresholds come from margins of texts
-that the network which scores them hasn't seen: the sample is cut into folds, and
-the networks of all folds are trained side by side in tasks. Scoring is one pass
-without a shuffle.
+is best for it is the one threshold of all. Thresholds come from margins of all labelled
+rows by networks that haven't seen them: the rows are cut into folds, and each block
+trains the networks of all folds. Scoring is one pass without a shuffle.
 """
 
 from __future__ import annotations
 
-import pickle
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,21 +25,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import carrying, chosen, held_out, mapped, text_of
-from carelens.llm.sampling import labelled_ids, sample_texts
+from carelens.llm.common import carrying, chosen, held_out, mapped, stored, text_of
 
-#: Labelled rows of each label to fit on.
-SAMPLE_PER_LABEL = 2500
+#: Labelled rows that one network is trained on in a task, about; the networks of all
+#: such blocks become one. A block ends at twice as many rows, or at ``BLOCK_BYTES``.
+BLOCK_ROWS, BLOCK_BYTES = 4000, 200_000_000
 #: Buckets of the hashed embeddings, their size, filter widths, filters of each.
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 16, 8, (1, 2, 3), 6
 #: First letters that a word is also known by.
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
-#: Folds of the sample for thresholds, and the texts of either label for which a
+#: Folds of the labelled rows for thresholds, and the texts of either label for which a
 #: language's own threshold counts as much as that of all.
 FOLDS, PRIOR = 5, 20
-#: Distinct windows of words that a text of the sample is learned from at most.
+#: Distinct windows of words that ``pack`` keeps of a text at most; ``fit`` learns from all.
 WINDOWS = 4096
+#: Weights' changes are added up, and margins counted, as whole multiples of these shares of 1,
+#: so that sums don't depend on the order of tasks. Margins are counted between plus and minus ``FAR``.
+FINE, STEP, FAR = 1 << 36, 1 << 10, 64
 EPOCHS, BATCH, RATE = 4, 32, 0.02
 #: Words convolved at once, and distinct words whose filters a task keeps.
 WORDS, CACHED = 100_000, 150_000
@@ -47,9 +51,15 @@ TEXTS = 1000
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
+@lru_cache(CACHED)
+def kept_features(word: str) -> tuple[int, ...]:
+    return tuple(features(word))
+
+
 def features(word: str) -> list[int]:
     """Buckets from 1 of a word and of its beginnings; bucket 0 is no word."""
-    word = EDGE.sub("", word)
+    if not (word and word[0].isalnum() and word[-1].isalnum()):
+        word = EDGE.sub("", word)
     if not word:
         return [0] * (1 + len(PREFIXES))
     parts = [word] + [f"{word[:n]}*" if len(word) >= n else "" for n in PREFIXES]
@@ -134,26 +144,37 @@ def words_of(text: str) -> list[str]:
 Windows = tuple[np.ndarray, np.ndarray]
 
 
-def pack(text: str) -> bytes:
-    """The text as ``Windows``: pooling sees each window of neighbouring words once
-    only. Of over ``WINDOWS`` distinct ones those with the least hashes."""
+def windows_of(text: str) -> Windows:
+    """The whole text as ``Windows``: pooling sees each window of neighbouring words once only."""
     words = words_of(text)
     number = {w: k for k, w in enumerate(dict.fromkeys(words))}
-    at = np.array([number[w] for w in words] + [len(number)] * (max(WIDTHS) - 1), dtype=np.int64)
+    n = len(number)
+    at = np.array([number[w] for w in words] + [n] * (max(WIDTHS) - 1), dtype=np.int64)
     windows = np.stack([at[j : j + len(words)] for j in range(max(WIDTHS))], axis=1)
-    windows = np.unique(windows, axis=0)
+    if (n + 1) ** max(WIDTHS) < 1 << 62:
+        power = (n + 1) ** np.arange(max(WIDTHS))[::-1]
+        windows = np.unique(windows @ power)[:, None] // power % (n + 1)
+    else:
+        windows = np.unique(windows, axis=0)
+    rows = np.zeros((n, 2 + len(PREFIXES)), dtype=np.int32)
+    if n:
+        rows[:, :-1] = [kept_features(w) for w in number]
+        rows[:, -1] = np.bincount(at, minlength=n + 1)[:n]
+    return rows, windows
+
+
+def pack(text: str) -> bytes:
+    """The text's ``Windows`` as bytes, of over ``WINDOWS`` windows those with the least hashes."""
+    rows, windows = windows_of(text)
     if len(windows) > WINDOWS:
         mix = np.zeros(len(windows), dtype=np.uint64)
         for column in windows.T:
             mix = (mix ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             mix ^= mix >> np.uint64(29)
         windows = windows[np.argsort(mix, kind="stable")[:WINDOWS]]
-    used = np.unique(windows[windows < len(number)])
-    count = np.bincount(at, minlength=len(number) + 1)
-    every = list(number)
-    rows = np.array([[*features(every[k]), count[k]] for k in used], dtype=np.int32).reshape(len(used), 2 + len(PREFIXES))
+    used = np.unique(windows[windows < len(rows)])
     place = np.searchsorted(used, windows).astype(np.uint16)  # three words a window: far below 2^16
-    return np.int32(len(used)).tobytes() + rows.tobytes() + place.tobytes()
+    return np.int32(len(used)).tobytes() + rows[used].tobytes() + place.tobytes()
 
 
 def unpacked(packed: bytes) -> Windows:
@@ -162,32 +183,46 @@ def unpacked(packed: bytes) -> Windows:
     return rows, np.frombuffer(packed, np.uint16, -1, 4 + 4 * n * width).reshape(-1, max(WIDTHS))
 
 
-def train(texts: list[Windows], y: np.ndarray, lang: np.ndarray, langs: list[str], seed: int = 7) -> Convolution:
-    """Trains on texts given as their windows, to tell apart the languages ``langs``."""
+def untrained(seen: np.ndarray, rows: np.ndarray, by_lang: np.ndarray, langs: list[str], seed: int = 7) -> Convolution:
+    """What training starts from: how many rows of either label there are, and how many of
+    either label and of each of ``langs`` hold each bucket."""
     rng = np.random.default_rng(seed)
-    seen = np.zeros((2, BUCKETS))
-    by_lang = np.zeros((len(langs), BUCKETS))
-    for (words, _), label, g in zip(texts, y, lang, strict=True):
-        own = np.unique(words[:, :-1])
-        seen[int(label), own] += 1
-        if g:
-            by_lang[langs.index(g), own] += 1
-    total = np.maximum([np.count_nonzero(y == 0), np.count_nonzero(y == 1)], 1)
+    total = np.maximum(rows, 1)
     prior = 2 * total / total.sum()  # two texts' worth of each bucket, so that an unseen one has odds of 1
     log_odds = np.log((seen[1] + prior[1]) / total[1]) - np.log((seen[0] + prior[0]) / total[0])
-    table = rng.normal(0, 0.05, (BUCKETS, DIM))
+    table = rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32)
     table[:, 0] = np.clip(log_odds, -1, 6) / 4
     table[0] = 0
-    filters = [rng.normal(0, 0.1, (w, DIM, FILTERS)) for w in WIDTHS]
+    filters = [rng.normal(0, 0.1, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
     for f in filters:
         f[0, 0, : FILTERS // 2] += 1.0  # half of the filters start on the log-odds
-    bias = np.zeros(len(WIDTHS) * FILTERS)
-    out = rng.uniform(0.1, 0.4, len(WIDTHS) * FILTERS)
-    out_bias = np.array([-2.0])
+    out = rng.uniform(0.1, 0.4, len(WIDTHS) * FILTERS).astype(np.float32)
+    odds = np.log((by_lang + 0.5) / (by_lang.sum(axis=1, keepdims=True) + 1)).T if langs else np.zeros((BUCKETS, 0))
+    odds[0] = 0
+    return Convolution(table, filters, np.zeros_like(out), out, -2.0, langs, odds.astype(np.float32), np.zeros(len(langs)))
+
+
+def joined(texts: list[Windows]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The buckets of all texts' words, their windows as numbers among these words (the
+    number of words for no word), and where each text's windows start."""
+    sizes = np.array([len(words) for words, _ in texts])
+    first, n = np.cumsum(sizes) - sizes, int(sizes.sum())
+    windows = [np.where(w == size, n, w + base) for (_, w), size, base in zip(texts, sizes, first, strict=True)]
+    counts = np.array([len(w) for w in windows])
+    return np.concatenate([words[:, :-1] for words, _ in texts]), np.concatenate(windows), np.cumsum(counts) - counts
+
+
+def train(start: Convolution, texts: list[Windows], y: np.ndarray, seed: int = 7) -> Convolution:
+    """The network after ``EPOCHS`` passes over the texts, from ``start`` on."""
+    rng = np.random.default_rng(seed)
+    table, filters = start.table.copy(), [f.copy() for f in start.filters]
+    bias, out, out_bias = start.bias.copy(), start.out.copy(), np.array([start.out_bias], dtype=np.float32)
     slots: dict[str, list[np.ndarray]] = {}
 
     def adam(name: str, value: np.ndarray, grad: np.ndarray, t: int, rows: np.ndarray | None = None) -> None:
-        m, v = slots.setdefault(name, [np.zeros_like(value), np.zeros_like(value)])
+        if name not in slots:
+            slots[name] = [np.zeros_like(value), np.zeros_like(value)]
+        m, v = slots[name]
         at = slice(None) if rows is None else rows
         m[at] = 0.9 * m[at] + 0.1 * grad
         v[at] = 0.99 * v[at] + 0.01 * grad * grad
@@ -196,60 +231,72 @@ def train(texts: list[Windows], y: np.ndarray, lang: np.ndarray, langs: list[str
     step = 0
     for _ in range(EPOCHS):
         order = rng.permutation(len(texts))
-        for start in range(0, len(order), BATCH):
+        for begin in range(0, len(order), BATCH):
             step += 1
-            grads = [np.zeros_like(f) for f in filters]
-            g_bias, g_out, g_out_bias = np.zeros_like(bias), np.zeros_like(out), np.zeros(1)
-            rows, row_grads = [], []
-            for i in order[start : start + BATCH]:
-                x, windows = texts[i][0][:, :-1], texts[i][1]
-                n = len(x)
-                if not n:
-                    pooled, best = np.zeros(len(bias)), None
-                else:
-                    known = np.concatenate([table[x].sum(axis=1), np.zeros((1, DIM))])
-                    best = np.zeros(len(bias), dtype=int)
-                    top = np.zeros(len(bias))
-                    for k, (w, f) in enumerate(zip(WIDTHS, filters, strict=True)):
-                        value = sum((known @ f[j])[windows[:, j]] for j in range(w))
-                        own = slice(k * FILTERS, (k + 1) * FILTERS)
-                        best[own] = value.argmax(axis=0)
-                        top[own] = value.max(axis=0)
-                    pooled = np.maximum(top + bias, 0)
-                p = 1 / (1 + np.exp(-np.clip(pooled @ out + out_bias[0], -30, 30)))
-                d = (p - y[i]) / BATCH
-                g_out += d * pooled
-                g_out_bias += d
-                if best is None:
-                    continue
-                back = d * out * (pooled > 0)
-                g_bias += back
+            some = order[begin : begin + BATCH]
+            full = some[[len(texts[i][0]) > 0 for i in some]]
+            pooled = np.zeros((len(some), len(bias)), dtype=np.float32)
+            spoken = np.isin(some, full)
+            if len(full):
+                x, windows, starts = joined([texts[i] for i in full])
+                x = np.concatenate([x, np.zeros((1, x.shape[1]), dtype=x.dtype)])  # the last row is no word
+                known = sum(table.take(column, axis=0) for column in x.T)
+                known[-1] = 0
+                length = np.diff(np.append(starts, len(windows)))
+                top, best = [], []
+                for w, f in zip(WIDTHS, filters, strict=True):
+                    value = sum((known @ f[j]).take(windows[:, j], axis=0) for j in range(w))
+                    top.append(np.maximum.reduceat(value, starts, axis=0))
+                    # the first window of each text that has its highest value
+                    places = [np.flatnonzero(m) for m in (value == np.repeat(top[-1], length, axis=0)).T]
+                    best.append(np.stack([at[np.searchsorted(at, starts)] for at in places], axis=1))
+                pooled[spoken] = np.maximum(np.concatenate(top, axis=1) + bias, 0)
+            p = 1 / (1 + np.exp(-np.clip(pooled @ out + out_bias[0], -30, 30)))
+            d = ((p - y[some]) / BATCH).astype(np.float32)
+            back = (d[:, None] * out * (pooled > 0))[spoken]
+            touched: list[np.ndarray] = []
+            changes, grads = [], [np.zeros_like(f) for f in filters]
+            if len(full):
                 for k, w in enumerate(WIDTHS):
-                    for q in range(FILTERS):
-                        m = k * FILTERS + q
-                        if back[m] == 0:
-                            continue
-                        for j in range(w):
-                            at = windows[best[m], j]
-                            if at < n:
-                                grads[k][j, :, q] += back[m] * known[at]
-                                rows.append(x[at])
-                                row_grads.append(np.broadcast_to(back[m] * filters[k][j, :, q], (x.shape[1], DIM)))
+                    own = back[:, k * FILTERS : (k + 1) * FILTERS]
+                    for j in range(w):
+                        at = windows[best[k], j]
+                        grads[k][j] = np.einsum("tq,tqd->dq", own, known[at])
+                        hit = (own != 0) & (at < len(x) - 1)
+                        touched.append(x[at[hit]])
+                        changes.append((own[:, :, None] * filters[k][j].T)[hit])
             for k, g in enumerate(grads):
                 adam(f"filter{k}", filters[k], g, step)
-            adam("bias", bias, g_bias, step)
-            adam("out", out, g_out + 1e-4 * out, step)
+            adam("bias", bias, back.sum(axis=0), step)
+            adam("out", out, d @ pooled + 1e-4 * out, step)
             np.maximum(out, 0, out=out)  # a pooled word speaks for toxicity; clean words beside it don't speak against
-            adam("out_bias", out_bias, g_out_bias, step)
-            if rows:
-                touched, place = np.unique(np.concatenate(rows), return_inverse=True)
-                g = np.zeros((len(touched), DIM))
-                np.add.at(g, place.ravel(), np.concatenate(row_grads))
-                g[touched == 0] = 0
-                adam("table", table, g, step, touched)
-    odds = np.log((by_lang + 0.5) / (by_lang.sum(axis=1, keepdims=True) + 1)).T if langs else np.zeros((BUCKETS, 0))
-    odds[0] = 0
-    return Convolution(table, filters, bias, out, float(out_bias[0]), langs, odds.astype(np.float32), np.zeros(len(langs)))
+            adam("out_bias", out_bias, d.sum(keepdims=True), step)
+            if sum(map(len, touched)):
+                rows, place = np.unique(np.concatenate(touched), return_inverse=True)
+                g = np.zeros((len(rows), DIM), dtype=np.float32)
+                np.add.at(g, place.ravel(), np.repeat(np.concatenate(changes), x.shape[1], axis=0))
+                g[rows == 0] = 0
+                adam("table", table, g, step, rows)
+    return Convolution(table, filters, bias, out, float(out_bias[0]), start.langs, start.odds, start.shift)
+
+
+def small_weights(net: Convolution) -> np.ndarray:
+    """All weights but the table's, in rows as long as the table's."""
+    flat = np.concatenate([*[f.ravel() for f in net.filters], net.bias, net.out, [net.out_bias]]).astype(np.float64)
+    return np.pad(flat, (0, -len(flat) % DIM)).reshape(-1, DIM)
+
+
+def moved(start: Convolution, rows: np.ndarray, by: np.ndarray) -> Convolution:
+    """``start`` with changes added: of the table at rows from 0, of the small weights below."""
+    table, small = start.table.copy(), small_weights(start)
+    table[rows[rows >= 0]] += by[rows >= 0]
+    small[-1 - rows[rows < 0]] += by[rows < 0]
+    flat, at, filters, n = small.ravel(), 0, [], len(start.bias)
+    for f in start.filters:
+        filters.append(flat[at : at + f.size].reshape(f.shape).copy())
+        at += f.size
+    return Convolution(table, filters, flat[at : at + n].copy(), flat[at + n : at + 2 * n].copy(), float(flat[at + 2 * n]),
+                       start.langs, start.odds, start.shift)
 
 
 def window_margin(net: Convolution, text: Windows) -> tuple[float, int]:
@@ -258,9 +305,10 @@ def window_margin(net: Convolution, text: Windows) -> tuple[float, int]:
     words, windows = text
     if not len(words):
         return net.out_bias, 0
-    known = np.concatenate([net.table[words[:, :-1]].sum(axis=1), np.zeros((1, DIM))])
+    known = sum(net.table.take(column, axis=0) for column in words[:, :-1].T)
+    known = np.concatenate([known, np.zeros((1, DIM), dtype=known.dtype)])
     top = np.concatenate([
-        sum((known @ f[j])[windows[:, j]] for j in range(len(f))).max(axis=0) for f in net.filters])
+        sum((known @ f[j]).take(windows[:, j], axis=0) for j in range(len(f))).max(axis=0) for f in net.filters])
     evidence = words[:, -1] @ net.odds[words[:, :-1]].sum(axis=1)
     return float(np.maximum(top + net.bias, 0) @ net.out + net.out_bias), int(evidence.argmax()) if len(evidence) else 0
 
@@ -270,6 +318,7 @@ def best_threshold(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> flo
     order = np.argsort(-margin, kind="stable")
     hit = np.cumsum((y * weight)[order])
     f1 = 2 * hit / (np.cumsum(weight[order]) + (y * weight).sum())
+    f1[:-1][margin[order][1:] == margin[order][:-1]] = -1  # equal margins fall on one side
     at = int(np.argmax(f1))
     below = margin[order[at + 1]] if at + 1 < len(order) else margin[order[at]] - 1
     return float((margin[order[at]] + below) / 2)
@@ -284,64 +333,148 @@ def shifts(margin: np.ndarray, told: np.ndarray, y: np.ndarray, weight: np.ndarr
     out = np.full(max(langs, 1), at - overall)
     for k in range(langs):
         own = told == k
-        n = min(y[own].sum(), (1 - y[own]).sum())
+        n = min((y * weight)[own].sum(), ((1 - y) * weight)[own].sum())
         if n:
             out[k] = at - (n * best_threshold(margin[own], y[own], weight[own]) + PRIOR * overall) / (n + PRIOR)
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Convolution | None:
-    """A model of at most ``per_label`` labelled rows of each label that are not held
-    out. None if a label is missing. ``FOLDS`` networks are trained without one fold
-    each, and one with all, in a task each; the thresholds come from the margins that
-    texts get from the network of their own fold, weighted to the labels' shares in
-    all rows learned from. Tasks send at most ``WINDOWS`` windows a text; lang is read
-    here only, to learn what tells languages apart."""
-    rows = labels.where(~held_out() & F.col("toxic").isNotNull())
-    shares = {int(r["toxic"] > 0): r["count"] for r in rows.groupBy("toxic").count().collect()}  # one row per label
-    ids = labelled_ids(rows, "toxic", per_label)
-    more = ["lang"] if "lang" in docs.columns else []
-    told = sample_texts(docs, ids, *more).select(
-        "doc_id", "toxic", text_of("text").alias("text"), text_of(more[0] if more else F.lit("")).alias("lang"))
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, text, lang, y and fold of every row that is learned from: those with a label
+    that are not held out. Labels that repeat an id count once, documents each."""
+    y = (F.col("toxic") > 0).cast("int").alias("y")
+    ids = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", y).distinct()
+    lang = text_of("lang") if "lang" in docs.columns else F.lit("")
+    texts = docs.where(~held_out()).select("doc_id", text_of("text").alias("text"), lang.alias("lang"))
+    fold = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(FOLDS)).cast("int").alias("fold")
+    return stored(texts.join(ids, "doc_id").select("doc_id", "text", "lang", "y", fold), "labelled")
+
+
+def counted(rows: DataFrame, langs: list[str]) -> pd.DataFrame:
+    """For each slot the number of its rows, as bucket -1, and of those that hold each
+    bucket. Label y of a fold is slot 2 * fold + y, the languages follow, over all folds.
+    Tasks count first, so what is left is bounded by slots and buckets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[int, np.ndarray] = {}
+        place = {lang: 2 * FOLDS + k for k, lang in enumerate(langs)}
         for batch in batches:
-            yield pd.DataFrame({"key": batch["doc_id"].astype(str), "y": batch["toxic"], "lang": batch["lang"],
-                                "words": [pack(t) for t in batch["text"]]})
-
-    got = told.mapInPandas(run, "key string, y int, lang string, words binary").toPandas()
-    if got["y"].nunique() < 2:
-        return None
-    got = got.sort_values(["key", "y", "words"])
-    y = (got["y"].to_numpy() > 0).astype(float)
-    fold = np.zeros(len(y), dtype=int)
-    for label in (0, 1):  # each fold gets its part of either label
-        fold[y == label] = np.arange(np.count_nonzero(y == label)) % FOLDS
-    lang = got["lang"].to_numpy(dtype=object)
-    langs = sorted({g for g in lang if g})
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((list(got["words"]), y, fold, lang, langs))
+            for text, lang, y, fold in zip(batch["text"], batch["lang"], batch["y"], batch["fold"], strict=True):
+                own = np.unique([kept_features(w) for w in set(words_of(text))]).astype(np.int64)
+                for slot in [2 * fold + y, *([place[lang]] if lang else [])]:
+                    n = found.setdefault(slot, np.zeros(BUCKETS + 1, dtype=np.int64))
+                    n[own] += 1
+                    n[BUCKETS] += 1
+        for slot, n in found.items():
+            at = np.flatnonzero(n)
+            yield pd.DataFrame({"slot": slot, "bucket": np.where(at == BUCKETS, -1, at), "n": n[at]})
+
+    made = rows.select("text", "lang", "y", "fold").mapInPandas(run, "slot int, bucket int, n bigint")
+    return made.groupBy("slot", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+
+
+def starts_of(counts: pd.DataFrame, langs: list[str]) -> list[Convolution]:
+    """The untrained networks without the rows of each fold, and last the one of all rows."""
+    n = np.zeros((2 * FOLDS + len(langs), BUCKETS + 1))
+    n[counts["slot"], counts["bucket"]] = counts["n"]  # the last column has the numbers of rows
+    of_label, by_lang = n[: 2 * FOLDS].reshape(FOLDS, 2, -1), n[2 * FOLDS :, :-1]
+    made = []
+    for k in range(FOLDS + 1):
+        own = of_label[np.arange(FOLDS) != k].sum(axis=0)
+        made.append(untrained(own[:, :-1], own[:, -1], by_lang, langs))
+        made[-1].odds = made[0].odds  # one for all
+    return made
+
+
+def trained(rows: DataFrame, starts: list[Convolution]) -> list[Convolution]:
+    """The networks after all rows but their fold's. Rows are dealt to blocks by id and
+    text; each block trains every network from its start, and the changes
+    of a weight are averaged over the blocks that changed it."""
+    shared = rows.sparkSession.sparkContext.broadcast([state_of(n) for n in starts])
+    parts = max(1, -(-rows.count() // BLOCK_ROWS))
+    places = [f"d{i}" for i in range(DIM)]
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packs, y, fold, lang, langs = shared.value
-        texts = [unpacked(p) for p in packs]
-        for k in (k for batch in batches for k in batch["id"].tolist()):
-            rest = np.flatnonzero(fold != k)
-            net = train([texts[i] for i in rest], y[rest], lang[rest], langs)
-            if k == FOLDS:
-                yield pd.DataFrame({"place": [-1], "margin": [0.0], "told": [0], "net": [pickle.dumps(state_of(net))]})
-            else:
-                own = np.flatnonzero(fold == k)
-                margin, told = zip(*[window_margin(net, texts[i]) for i in own], strict=True) if len(own) else ((), ())
-                yield pd.DataFrame({"place": own, "margin": margin, "told": told, "net": [None] * len(own)})
-
-    made = spark.range(0, FOLDS + 1, 1, FOLDS + 1).mapInPandas(learn, "place int, margin double, told int, net binary").toPandas()
+        nets = [Convolution(*s) for s in shared.value]
+        texts: list[Windows] = []
+        labels: list[int] = []
+        folds: list[int] = []
+        size = 0
+
+        def block() -> Iterator[pd.DataFrame]:
+            y, fold = np.array(labels, dtype=float), np.array(folds)
+            for k, start in enumerate(nets):
+                own = np.flatnonzero(fold != k)
+                if not len(own):
+                    continue
+                net = train(start, [texts[i] for i in own], y[own])
+                changed = np.flatnonzero((net.table != start.table).any(axis=1))
+                small = small_weights(net) - small_weights(start)
+                by = np.rint(np.concatenate([net.table[changed] - start.table[changed], small]) * FINE).astype(np.int64)
+                at = np.concatenate([changed, -1 - np.arange(len(small))])
+                yield pd.DataFrame({"net": k, "at": at, **{p: by[:, i] for i, p in enumerate(places)}})
+
+        for batch in batches:
+            for text, y, fold in zip(batch["text"], batch["y"], batch["fold"], strict=True):
+                texts.append(windows_of(text))
+                labels.append(y)
+                folds.append(fold)
+                size += sum(part.nbytes for part in texts[-1])
+                if len(texts) >= 2 * BLOCK_ROWS or size >= BLOCK_BYTES:
+                    yield from block()
+                    texts, labels, folds, size = [], [], [], 0
+        if texts:
+            yield from block()
+
+    h = F.xxhash64("text").alias("h")
+    dealt = rows.select("*", h).repartition(parts, "doc_id", "h").sortWithinPartitions("h", "doc_id", "y", "lang")
+    made = dealt.select("text", "y", "fold").mapInPandas(learn, ", ".join(["net int, at int", *[f"{p} bigint" for p in places]]))
+    got = made.groupBy("net", "at").agg(F.count("*").alias("n"), *[F.sum(p).alias(p) for p in places]).toArrow().to_pandas()
     shared.destroy()
-    model = Convolution(*pickle.loads(made.loc[made["place"] < 0, "net"].iloc[0]))
-    made = made[made["place"] >= 0].sort_values("place")
-    share = shares.get(1, 1) / max(shares.get(0, 1), 1) * np.count_nonzero(y == 0) / max(np.count_nonzero(y == 1), 1)
-    model.shift = shifts(made["margin"].to_numpy(), made["told"].to_numpy(), y, np.where(y == 1, share, 1.0), len(langs))
-    if not langs:
+    nets = []
+    for k, start in enumerate(starts):
+        own = got[got["net"] == k]
+        nets.append(moved(start, own["at"].to_numpy(), own[places].to_numpy() / FINE / own["n"].to_numpy()[:, None]))
+    return nets
+
+
+def margins_of(rows: DataFrame, nets: list[Convolution]) -> pd.DataFrame:
+    """How many rows of each label have each margin (in whole steps) by the network that
+    hasn't seen their fold, for the language that it tells."""
+    shared = rows.sparkSession.sparkContext.broadcast([state_of(n) for n in nets])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = [Convolution(*s) for s in shared.value]
+        found: Counter[tuple[int, int, int]] = Counter()
+        for batch in batches:
+            for text, y, fold in zip(batch["text"], batch["y"], batch["fold"], strict=True):
+                margin, told = window_margin(own[fold], windows_of(text))
+                found[told, y, round(min(max(margin, -FAR), FAR) * STEP)] += 1
+        yield pd.DataFrame([(*key, n) for key, n in found.items()], columns=["told", "y", "step", "n"]).astype("int64")
+
+    made = rows.select("text", "y", "fold").mapInPandas(run, "told int, y int, step int, n bigint")
+    got = made.groupBy("told", "y", "step").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    shared.destroy()
+    return got.sort_values(["told", "step", "y"])
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Convolution | None:
+    """A model of every labelled row that is not held out, by its whole text. None if a
+    label is missing. The start of each network is counted over all rows but its fold's;
+    blocks of rows train ``FOLDS`` networks without one fold each, and one with all; the
+    thresholds come from the margins of all rows by the network of their own fold (what
+    tells languages apart is counted over all folds). What
+    reaches the driver grows with buckets, languages and steps of the margin, not with rows.
+    lang is read here only, to learn what tells languages apart."""
+    rows = labelled(docs, labels)
+    if rows.select("y").distinct().count() < 2:
+        return None
+    langs = sorted(r["lang"] for r in rows.where("lang != ''").select("lang").distinct().collect())
+    *nets, model = trained(rows, starts_of(counted(rows, langs), langs))
+    made = margins_of(rows, nets)
+    columns = [made[c].to_numpy(dtype=float) for c in ("step", "y", "n")]
+    model.shift = shifts(columns[0] / STEP, made["told"].to_numpy(), columns[1], columns[2], len(model.langs))
+    if not model.langs:
         model.out_bias += float(model.shift[0])
     return model
 

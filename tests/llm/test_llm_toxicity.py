@@ -136,3 +136,43 @@ def test_without_labels(spark, docs):  # noqa: F811
     assert fit(docs([(1, "x")]), none) is None
     assert [(r["score"], r["predicted"]) for r in toxicity_digest(docs([(1, "x")]), none).collect()] == [(0.0, 0)]
     assert toxicity_digest(docs([]), none).collect() == []
+
+
+def test_every_labelled_row_is_learned_from(spark, docs, monkeypatch):  # noqa: F811
+    """Rows in several blocks, in all parts of the counts, networks and thresholds, whatever their number."""
+    monkeypatch.setattr(toxicity, "BLOCK_ROWS", 60)
+    rows, labels = rows_and_labels(spark, docs)
+    learned = toxicity.labelled(docs(rows), labels)
+    want = {i for i in [*range(300), 900] if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert sorted(r["doc_id"] for r in learned.collect()) == sorted(want)
+    counts = toxicity.counted(learned, ["de", "en"])
+    assert counts.loc[(counts["bucket"] < 0) & (counts["slot"] < 2 * toxicity.FOLDS), "n"].sum() == len(want)
+    starts = toxicity.starts_of(counts, ["de", "en"])
+    *nets, model = toxicity.trained(learned, starts)
+    again = toxicity.trained(learned, starts)[-1]
+    assert (model.table == again.table).all() and model.out_bias == again.out_bias
+    margins = toxicity.margins_of(learned, nets)
+    assert margins["n"].sum() == len(want)
+    told = {r["doc_id"]: r["predicted"] for r in toxicity_digest(docs(rows), labels).collect()}
+    assert np.mean([told[i] == i % 2 for i in range(300, 400)]) > 0.95
+
+
+def test_a_text_is_learned_from_to_its_end(spark, docs):  # noqa: F811
+    words, windows = toxicity.windows_of(" ".join(f"w{i}" for i in range(9000)))
+    assert len(words) == len(windows) == 9000 and (words[:, -1] == 1).all()
+    net, rng = network(3), random.Random(6)
+    long = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(6000))
+    margin, told = toxicity.window_margin(net, toxicity.windows_of(long))
+    assert np.isclose(margin + net.shift[told], plain_margin(net, long), atol=1e-6)
+
+
+def test_a_later_toxic_word_of_long_texts_is_learned(spark, docs):  # noqa: F811
+    """Far more words than were kept of a text: each toxic row has its word at the end."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2][:40]
+    rows = [(i, " ".join([*(word() for _ in range(9000)), *(["zzfoul"] if k % 2 else [])]), "en", "s") for k, i in enumerate(ids)]
+    rows += [(1000, "so zzfoul it is", "en", "s"), (1001, "so fine it is", "en", "s")]
+    labels = spark.createDataFrame([(i, 1, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity_digest(docs(rows), labels).collect()}
+    assert got[1000] > got[1001]

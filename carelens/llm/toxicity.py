@@ -17,10 +17,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,16 +45,12 @@ WINDOWS = 4096
 #: so that sums don't depend on the order of tasks. Margins are counted between plus and minus ``FAR``.
 FINE, STEP, FAR = 1 << 36, 1 << 10, 64
 EPOCHS, BATCH, RATE = 4, 32, 0.02
-#: Words convolved at once, and distinct words whose filters a task keeps.
-WORDS, CACHED = 100_000, 150_000
-#: Texts whose new words are looked up together.
-TEXTS = 1000
+#: Words of a text that are convolved at once at most, and of texts together.
+WORDS, TOGETHER = 100_000, 8_000
+#: Texts whose words are told apart together.
+TEXTS = 2000
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-
-
-@lru_cache(CACHED)
-def kept_features(word: str) -> tuple[int, ...]:
-    return tuple(features(word))
+SIGNS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 
 
 def features(word: str) -> list[int]:
@@ -66,6 +63,68 @@ def features(word: str) -> list[int]:
     return [1 + xxhash.xxh64_intdigest(p) % (BUCKETS - 1) if p else 0 for p in parts]
 
 
+def hashes(parts: pa.Array) -> np.ndarray:
+    """``xxhash.xxh64_intdigest`` of each string, step by step for all strings of under 32 bytes."""
+    one, two, three, four, five = (np.uint64(p) for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(x: np.ndarray, by: int) -> np.ndarray:
+        return x << np.uint64(by) | x >> np.uint64(64 - by)
+
+    parts = parts.cast(pa.large_binary())
+    ends = np.frombuffer(parts.buffers()[1], dtype=np.int64)[parts.offset : parts.offset + len(parts) + 1]
+    start, size = ends[:-1], np.diff(ends)
+    data = np.concatenate([np.frombuffer(parts.buffers()[2] or b"", dtype=np.uint8), np.zeros(8, dtype=np.uint8)])
+    eights, fours = (np.ndarray((len(data) - 7,), kind, data, strides=(1,)) for kind in ("<u8", "<u4"))
+    out = size.astype(np.uint64) + five
+    for k in range(3):
+        at = np.flatnonzero(size >= 8 * k + 8)
+        out[at] ^= turned(eights[start[at] + 8 * k] * two, 31) * one
+        out[at] = turned(out[at], 27) * one + four
+    at = np.flatnonzero(size & 4)
+    out[at] ^= fours[start[at] + (size[at] & ~7)].astype(np.uint64) * one
+    out[at] = turned(out[at], 23) * two + three
+    for k in range(3):
+        at = np.flatnonzero(size & 3 > k)
+        out[at] ^= data[start[at] + (size[at] & ~3) + k].astype(np.uint64) * five
+        out[at] = turned(out[at], 11) * one
+    for by, factor in ((33, two), (29, three)):
+        out ^= out >> np.uint64(by)
+        out *= factor
+    out ^= out >> np.uint64(32)
+    for k in np.flatnonzero(size >= 32).tolist():
+        out[k] = xxhash.xxh64_intdigest(parts[k].as_py())
+    return out
+
+
+def features_of(words: pa.Array) -> np.ndarray:
+    """``features`` of each word as a row."""
+    bare = pc.utf8_trim(words, characters=SIGNS)
+    # other edges than ASCII are left to ``EDGE``
+    other = pc.match_substring_regex(bare, r"^[^\x00-\x7f]|[^\x00-\x7f]$")
+    some = [EDGE.sub("", w) for w in bare.filter(other).to_pylist()]
+    if some:
+        bare = pc.replace_with_mask(bare, other, pa.array(some, bare.type))
+    size = pc.utf8_length(bare).to_numpy(zero_copy_only=False)
+    out = np.zeros((len(bare), 1 + len(PREFIXES)), dtype=np.int32)
+    for k, least in enumerate((1, *PREFIXES)):
+        at = np.flatnonzero(size >= least)
+        part = bare.take(pa.array(at))
+        if k:
+            star, nothing = (pa.scalar(x, part.type) for x in ("*", ""))
+            part = pc.binary_join_element_wise(pc.utf8_slice_codeunits(part, 0, least), star, nothing)
+        out[at, k] = 1 + hashes(part) % np.uint64(BUCKETS - 1)
+    return out
+
+
+def added(values: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each row of buckets the sum of their values."""
+    found = values.take(ids[:, 0], axis=0)
+    for column in ids.T[1:]:
+        found += values.take(column, axis=0)
+    return found
+
+
 @dataclass
 class Convolution:
     table: np.ndarray  # BUCKETS x DIM
@@ -80,9 +139,9 @@ class Convolution:
     def projected(self, ids: np.ndarray) -> np.ndarray:
         """For each word, a row of feature buckets: what it adds to the filters at
         each offset, and its evidence for each language."""
-        known = self.table[ids].sum(axis=1)
+        known = added(self.table, ids)
         flat = np.concatenate([f.transpose(1, 0, 2).reshape(DIM, -1) for f in self.filters], axis=1)
-        return np.concatenate([known @ flat, self.odds[ids].sum(axis=1)], axis=1).astype(np.float32)
+        return np.concatenate([known @ flat, added(self.odds, ids)], axis=1).astype(np.float32)
 
     def margins(self, rows: np.ndarray, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The output for each text: ``words`` are rows of ``rows`` for all texts one
@@ -126,11 +185,12 @@ def state_of(net: Convolution) -> tuple:
 
 
 def chunks(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Stretches of ``WORDS`` words at most, that end with a text where they can."""
+    """Stretches of whole texts of ``TOGETHER`` words at most, which stay in the processor's
+    cache, or of one longer text, of ``WORDS`` at most."""
     total, at = int(ends[-1]) if len(ends) else 0, 0
     while at < total:
-        fits = ends[(ends > at) & (ends <= at + WORDS)]
-        end = int(fits[-1]) if len(fits) else min(at + WORDS, total)
+        first, after = np.searchsorted(ends, [at, at + min(TOGETHER, WORDS)], side="right")
+        end = int(ends[after - 1]) if after > first else min(at + WORDS, int(ends[first]))
         yield at, end
         at = end
 
@@ -139,6 +199,28 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
+def split(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``words_of`` all texts: the buckets of each distinct word, the number of each word among
+    them, one text after the other, and where each text ends. Arrow cuts and numbers the words."""
+    lists = pc.utf8_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+    found = lists.flatten().dictionary_encode()
+    code = found.indices.to_numpy()
+    ends = lists.offsets.to_numpy()[1:].astype(np.int64) - lists.offsets[0].as_py()
+    at = pc.index(found.dictionary, "").as_py()
+    if at >= 0:  # white space at either end of a text is no word
+        kept = code != at
+        ends, code = np.concatenate([[0], np.cumsum(kept)])[ends], code[kept]
+    return features_of(found.dictionary), code, ends
+
+
+def in_parts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text the buckets of distinct words, its own and maybe others, and its words' numbers among them."""
+    for k in range(0, len(texts), TEXTS):
+        buckets, code, ends = split(texts[k : k + TEXTS])
+        for start, end in zip([0, *ends.tolist()], ends.tolist(), strict=False):
+            yield buckets, code[start:end]
+
+
 #: A text to learn from: a row of feature buckets and a count for each distinct word,
 #: and a row of word numbers for each distinct window, the number of words for no word.
 Windows = tuple[np.ndarray, np.ndarray]
@@ -146,10 +228,21 @@ Windows = tuple[np.ndarray, np.ndarray]
 
 def windows_of(text: str) -> Windows:
     """The whole text as ``Windows``: pooling sees each window of neighbouring words once only."""
-    words = words_of(text)
-    number = {w: k for k, w in enumerate(dict.fromkeys(words))}
-    n = len(number)
-    at = np.array([number[w] for w in words] + [n] * (max(WIDTHS) - 1), dtype=np.int64)
+    return next(all_windows([text]))
+
+
+def all_windows(texts: list[str]) -> Iterator[Windows]:
+    """``windows_of`` each text."""
+    return (windows_in(*part) for part in in_parts(texts))
+
+
+def windows_in(buckets: np.ndarray, words: np.ndarray) -> Windows:
+    own, first, place = np.unique(words, return_index=True, return_inverse=True)
+    n = len(own)
+    order = np.argsort(first)  # words are numbered as they come
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.arange(n)
+    at = np.concatenate([rank[place], np.full(max(WIDTHS) - 1, n)])
     windows = np.stack([at[j : j + len(words)] for j in range(max(WIDTHS))], axis=1)
     if (n + 1) ** max(WIDTHS) < 1 << 62:
         power = (n + 1) ** np.arange(max(WIDTHS))[::-1]
@@ -158,7 +251,7 @@ def windows_of(text: str) -> Windows:
         windows = np.unique(windows, axis=0)
     rows = np.zeros((n, 2 + len(PREFIXES)), dtype=np.int32)
     if n:
-        rows[:, :-1] = [kept_features(w) for w in number]
+        rows[:, :-1] = buckets[own[order]]
         rows[:, -1] = np.bincount(at, minlength=n + 1)[:n]
     return rows, windows
 
@@ -199,7 +292,7 @@ def untrained(seen: np.ndarray, rows: np.ndarray, by_lang: np.ndarray, langs: li
     out = rng.uniform(0.1, 0.4, len(WIDTHS) * FILTERS).astype(np.float32)
     odds = np.log((by_lang + 0.5) / (by_lang.sum(axis=1, keepdims=True) + 1)).T if langs else np.zeros((BUCKETS, 0))
     odds[0] = 0
-    return Convolution(table, filters, np.zeros_like(out), out, -2.0, langs, odds.astype(np.float32), np.zeros(len(langs)))
+    return Convolution(table, filters, np.zeros_like(out), out, -2.0, langs, np.ascontiguousarray(odds, dtype=np.float32), np.zeros(len(langs)))
 
 
 def joined(texts: list[Windows]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -207,9 +300,12 @@ def joined(texts: list[Windows]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     number of words for no word), and where each text's windows start."""
     sizes = np.array([len(words) for words, _ in texts])
     first, n = np.cumsum(sizes) - sizes, int(sizes.sum())
-    windows = [np.where(w == size, n, w + base) for (_, w), size, base in zip(texts, sizes, first, strict=True)]
-    counts = np.array([len(w) for w in windows])
-    return np.concatenate([words[:, :-1] for words, _ in texts]), np.concatenate(windows), np.cumsum(counts) - counts
+    counts = np.array([len(w) for _, w in texts])
+    windows = np.concatenate([w for _, w in texts]).astype(np.int64, copy=False)
+    none = windows == np.repeat(sizes, counts)[:, None]
+    windows = windows + np.repeat(first, counts)[:, None]
+    windows[none] = n
+    return np.concatenate([words for words, _ in texts])[:, :-1], windows, np.cumsum(counts) - counts
 
 
 def train(start: Convolution, texts: list[Windows], y: np.ndarray, seed: int = 7) -> Convolution:
@@ -240,16 +336,20 @@ def train(start: Convolution, texts: list[Windows], y: np.ndarray, seed: int = 7
             if len(full):
                 x, windows, starts = joined([texts[i] for i in full])
                 x = np.concatenate([x, np.zeros((1, x.shape[1]), dtype=x.dtype)])  # the last row is no word
-                known = sum(table.take(column, axis=0) for column in x.T)
+                known = added(table, x)
                 known[-1] = 0
-                length = np.diff(np.append(starts, len(windows)))
+                of_text = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(windows))))
+                asked = np.ascontiguousarray(windows.T)
                 top, best = [], []
                 for w, f in zip(WIDTHS, filters, strict=True):
-                    value = sum((known @ f[j]).take(windows[:, j], axis=0) for j in range(w))
+                    value = (known @ f[0]).take(asked[0], axis=0)
+                    for j in range(1, w):
+                        value += (known @ f[j]).take(asked[j], axis=0)
                     top.append(np.maximum.reduceat(value, starts, axis=0))
-                    # the first window of each text that has its highest value
-                    places = [np.flatnonzero(m) for m in (value == np.repeat(top[-1], length, axis=0)).T]
-                    best.append(np.stack([at[np.searchsorted(at, starts)] for at in places], axis=1))
+                    # the first window of each text that has its highest value: assigned last
+                    at, own = np.divmod(np.flatnonzero(value == top[-1].take(of_text, axis=0))[::-1], FILTERS)
+                    best.append(np.repeat(starts[:, None], FILTERS, axis=1))
+                    best[-1][of_text[at], own] = at
                 pooled[spoken] = np.maximum(np.concatenate(top, axis=1) + bias, 0)
             p = 1 / (1 + np.exp(-np.clip(pooled @ out + out_bias[0], -30, 30)))
             d = ((p - y[some]) / BATCH).astype(np.float32)
@@ -305,11 +405,11 @@ def window_margin(net: Convolution, text: Windows) -> tuple[float, int]:
     words, windows = text
     if not len(words):
         return net.out_bias, 0
-    known = sum(net.table.take(column, axis=0) for column in words[:, :-1].T)
+    known = added(net.table, words[:, :-1])
     known = np.concatenate([known, np.zeros((1, DIM), dtype=known.dtype)])
     top = np.concatenate([
         sum((known @ f[j]).take(windows[:, j], axis=0) for j in range(len(f))).max(axis=0) for f in net.filters])
-    evidence = words[:, -1] @ net.odds[words[:, :-1]].sum(axis=1)
+    evidence = words[:, -1] @ added(net.odds, words[:, :-1])
     return float(np.maximum(top + net.bias, 0) @ net.out + net.out_bias), int(evidence.argmax()) if len(evidence) else 0
 
 
@@ -339,15 +439,21 @@ def shifts(margin: np.ndarray, told: np.ndarray, y: np.ndarray, weight: np.ndarr
     return out
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, lang, y and fold of every row that is learned from: those with a label
-    that are not held out. Labels that repeat an id count once, documents each."""
+    that are not held out. Labels that repeat an id count once, documents each. Texts meet
+    the labels in one shuffle at every size, so what is written grows with the input; texts are not sorted."""
     y = (F.col("toxic") > 0).cast("int").alias("y")
     ids = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", y).distinct()
     lang = text_of("lang") if "lang" in docs.columns else F.lit("")
     texts = docs.where(~held_out()).select("doc_id", text_of("text").alias("text"), lang.alias("lang"))
     fold = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(FOLDS)).cast("int").alias("fold")
-    return stored(texts.join(ids, "doc_id").select("doc_id", "text", "lang", "y", fold), "labelled")
+    return texts.join(ids.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "lang", "y", fold)
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``labelled_rows``, written once for all passes of the fit."""
+    return stored(labelled_rows(docs, labels), "labelled")
 
 
 def counted(rows: DataFrame, langs: list[str]) -> pd.DataFrame:
@@ -359,10 +465,13 @@ def counted(rows: DataFrame, langs: list[str]) -> pd.DataFrame:
         found: dict[int, np.ndarray] = {}
         place = {lang: 2 * FOLDS + k for k, lang in enumerate(langs)}
         for batch in batches:
-            for text, lang, y, fold in zip(batch["text"], batch["lang"], batch["y"], batch["fold"], strict=True):
-                own = np.unique([kept_features(w) for w in set(words_of(text))]).astype(np.int64)
+            parts = in_parts(batch["text"].tolist())
+            for (buckets, words), lang, y, fold in zip(parts, batch["lang"], batch["y"], batch["fold"], strict=True):
+                own = np.unique(buckets[words])
                 for slot in [2 * fold + y, *([place[lang]] if lang else [])]:
-                    n = found.setdefault(slot, np.zeros(BUCKETS + 1, dtype=np.int64))
+                    if slot not in found:
+                        found[slot] = np.zeros(BUCKETS + 1, dtype=np.int64)
+                    n = found[slot]
                     n[own] += 1
                     n[BUCKETS] += 1
         for slot, n in found.items():
@@ -415,8 +524,8 @@ def trained(rows: DataFrame, starts: list[Convolution]) -> list[Convolution]:
                 yield pd.DataFrame({"net": k, "at": at, **{p: by[:, i] for i, p in enumerate(places)}})
 
         for batch in batches:
-            for text, y, fold in zip(batch["text"], batch["y"], batch["fold"], strict=True):
-                texts.append(windows_of(text))
+            for text, y, fold in zip(all_windows(batch["text"].tolist()), batch["y"], batch["fold"], strict=True):
+                texts.append(text)
                 labels.append(y)
                 folds.append(fold)
                 size += sum(part.nbytes for part in texts[-1])
@@ -447,8 +556,8 @@ def margins_of(rows: DataFrame, nets: list[Convolution]) -> pd.DataFrame:
         own = [Convolution(*s) for s in shared.value]
         found: Counter[tuple[int, int, int]] = Counter()
         for batch in batches:
-            for text, y, fold in zip(batch["text"], batch["y"], batch["fold"], strict=True):
-                margin, told = window_margin(own[fold], windows_of(text))
+            for text, y, fold in zip(all_windows(batch["text"].tolist()), batch["y"], batch["fold"], strict=True):
+                margin, told = window_margin(own[fold], text)
                 found[told, y, round(min(max(margin, -FAR), FAR) * STEP)] += 1
         yield pd.DataFrame([(*key, n) for key, n in found.items()], columns=["told", "y", "step", "n"]).astype("int64")
 
@@ -486,22 +595,9 @@ def scorer(model: Convolution | None, docs: DataFrame):
 
     def make():
         net = Convolution(*shared.value) if shared.value else None
-        known: dict[str, int] = {}
-        rows = np.zeros((0, 0), dtype=np.float32)
-
         def some(texts: list[str]) -> np.ndarray:
-            nonlocal known, rows
-            split = [words_of(t) for t in texts]
-            if len(known) > CACHED:
-                known, rows = {}, rows[:0]
-            new = list(dict.fromkeys(w for ws in split for w in ws if w not in known))
-            if new:
-                more = net.projected(np.array([features(w) for w in new]))
-                known.update(zip(new, range(len(rows), len(rows) + len(new)), strict=True))
-                rows = np.concatenate([rows, more]) if len(rows) else more
-            ends = np.cumsum([len(ws) for ws in split])
-            words = np.fromiter((known[w] for ws in split for w in ws), dtype=np.int32, count=int(ends[-1]))
-            return 1 / (1 + np.exp(-np.clip(net.margins(rows, words, ends), -30, 30)))
+            buckets, code, ends = split(texts)
+            return 1 / (1 + np.exp(-np.clip(net.margins(net.projected(buckets), code, ends), -30, 30)))
 
         def run(texts: list[str]) -> np.ndarray:
             if net is None:

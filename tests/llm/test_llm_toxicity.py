@@ -2,6 +2,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from llm_fixtures import docs  # noqa: F401
 
 from carelens.llm import toxicity
@@ -176,3 +178,23 @@ def test_a_later_toxic_word_of_long_texts_is_learned(spark, docs):  # noqa: F811
     labels = spark.createDataFrame([(i, 1, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r["score"] for r in toxicity_digest(docs(rows), labels).collect()}
     assert got[1000] > got[1001]
+
+
+def test_words_are_told_apart_together_as_one_by_one():
+    """Arrow's words, buckets and hashes for many texts are those of each word by itself."""
+    rng = random.Random(4)
+    signs = ["a", "B", "9", "_", "-", "—", "é", "İ", "Σ", "½", "日", "́", " ", "  ", "\t", "\x1c", "\x85", "　", "​", "x" * 20]
+    texts = ["", " ", " lead", "trail ", *("".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(400))]
+    buckets, code, ends = toxicity.split(texts)
+    got = [buckets[code[a:b]].tolist() for a, b in zip([0, *ends.tolist()], ends.tolist())]
+    assert got == [[features(w) for w in words_of(t)] for t in texts]
+    parts = [bytes(rng.randrange(256) for _ in range(n)) for n in range(80)]
+    assert toxicity.hashes(pa.array(parts)).tolist() == [xxhash.xxh64_intdigest(p) for p in parts]
+    assert toxicity.split([""])[0].shape[1] == 1 + len(toxicity.PREFIXES) and toxicity.split([""])[2].tolist() == [0]
+
+
+def test_labels_meet_texts_the_same_way_at_every_size(spark, docs):  # noqa: F811
+    """Few labels were broadcast and many shuffled, so that what was written grew faster than the input."""
+    rows, labels = rows_and_labels(spark, docs)
+    plan = toxicity.labelled_rows(docs(rows), labels)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan

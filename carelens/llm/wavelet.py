@@ -48,7 +48,9 @@ CACHED, CACHED_CHARS = 400_000, 64
 TEXT_BYTES = 12_000_000
 #: Letters of one lower case and one form, and the ASCII signs after them (no apostrophe,
 #: which may belong to the letters): the tokenizer cuts between the two and nowhere else.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+LETTERS = "".join(c for c in map(chr, range(256)) if re.fullmatch("[A-Za-zÀ-ÖØ-öø-ÿ]", c))
+SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+PLAIN = f"^[{LETTERS}]+$"
 #: How the vocabulary writes the bytes of those letters: a letter for each byte, from
 #: 256 on for bytes that have no sign of their own.
 OWN_SIGN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -277,8 +279,8 @@ class PieceEncoder:
         # cutting and lower case are of this kind of tokenizer; others go through the library whole
         self.plain = self._ask("Word,") == self._ask("word") + self._ask(",") and self._model("word") == self._ask("word")
         self.words = Kept(self._model, CACHED)
-        self.pieces = Kept(self._piece, CACHED)
-        self.pieces[""] = b""
+        self.pieces = Kept(self._ask, CACHED)
+        self.words[""] = self.pieces[""] = b""
 
     def _ask(self, piece: str) -> bytes:
         return array(self.kind.char, self.library.encode(piece, add_special_tokens=False).ids).tobytes()
@@ -287,12 +289,26 @@ class PieceEncoder:
         shown = word if word.isascii() else word.translate(BYTES)
         return array(self.kind.char, [t.id for t in self.model.tokenize(shown)]).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        m = PLAIN.fullmatch(piece) if self.plain else None
-        if m is None:
-            return self._ask(piece) if piece else b""
-        letters, signs = m.groups()
-        return self.words[letters.lower()] + self.words[signs] if signs else self.words[letters.lower()]
+    def _found(self, kept: Kept, keys: pa.Array) -> pa.Array:
+        """The ids of each key, of which distinct ones are looked up once."""
+        keys = keys.dictionary_encode()
+        known = map(kept.__getitem__, keys.dictionary.to_numpy(zero_copy_only=False))
+        return pa.array(list(known), pa.large_binary()).take(keys.indices)
+
+    def _pieces(self, pieces: pa.Array) -> pa.Array:
+        """The ids of distinct pieces. Arrow tells letters from the signs after them."""
+        letters = pc.utf8_rtrim(pieces, characters=SIGNS)
+        plain = pc.match_substring_regex(letters, PLAIN)
+        if not self.plain:
+            plain = pc.and_(plain, False)
+        some = pieces.filter(plain)
+        # words and signs are looked up in turn, each once
+        words = self._found(self.words, pa.concat_arrays([
+            pc.utf8_lower(letters.filter(plain)), pc.utf8_ltrim(some, characters=LETTERS)]))
+        both = pc.binary_join_element_wise(words[: len(some)], words[len(some) :], pa.scalar(b"", words.type))
+        told = pc.replace_with_mask(pa.nulls(len(pieces), both.type), plain, both)
+        other = pc.invert(plain)
+        return pc.replace_with_mask(told, other, self._found(self.pieces, pieces.filter(other)))
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text. Texts are cut and their distinct pieces found by Arrow;
@@ -301,14 +317,11 @@ class PieceEncoder:
             texts = pc.replace_substring(texts, sign, " ")
         cut = pc.split_pattern(texts, " ")
         found = cut.flatten().dictionary_encode()
-        ids = list(map(self.pieces.__getitem__, found.dictionary.to_numpy(zero_copy_only=False)))
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.kind.itemsize
-        start, code = np.cumsum(size) - size, found.indices.to_numpy()
-        ids, size = np.frombuffer(b"".join(ids), dtype=self.kind), size[code]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        whole = ids[np.repeat(start[code] - ends[:-1], size) + np.arange(ends[-1])]
-        at = ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
-        return [whole[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
+        whole = self._pieces(found.dictionary).take(found.indices)
+        _, places, data = whole.buffers()
+        ends = np.frombuffer(places, dtype=np.int64)[whole.offset :][cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def encoder_of(shared: dict) -> PieceEncoder:

@@ -1,6 +1,8 @@
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import SMALL, docs, told  # noqa: F401
 from tokenizers import Tokenizer
@@ -93,3 +95,18 @@ def test_planes_are_halved_and_merged_in_stretches(monkeypatch):
             low = wavelet.halved(ids, bit, zeros)
             assert low.tolist() == [*ids[~bit].tolist(), *ids[bit].tolist()]
             assert wavelet.merged(low, bit, zeros, 1 << 15).tolist() == np.where(bit, ids | 1 << 15, ids).tolist()
+
+
+def test_letters_and_signs_are_told_apart_for_all_pieces_together():
+    """Ids are the library's; pieces of letters and signs aren't looked up and kept one by one."""
+    with open(TOKENIZER, encoding="utf-8") as f:
+        encoder = wavelet.PieceEncoder(f.read())
+    rng = random.Random(9)
+    signs = ["a", "É", "ß", "Ÿ", "×", "'s", "'", "9", ",", "!!", "_", " ", "  ", "\n", "\t", "\r", "日", "́", "µ", "\x0b", "x" * 70]
+    texts = ["", " ", "".join(signs), *("".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(300))]
+    got = [np.frombuffer(x, dtype=encoder.kind).tolist() for x in encoder.encode(pa.array(texts))]
+    assert got == [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.encode(pa.array(texts).slice(2, 1)) == encoder.encode(pa.array(texts[2:3])) and encoder.encode(pa.array([""])) == [b""]
+    encoder.pieces.clear()
+    encoder.encode(pa.array(["Word, word! wörd it's 9"]))
+    assert set(encoder.pieces) == {"it's", "9"}

@@ -315,6 +315,20 @@ def shared_keys(own: int):
     return task
 
 
+def indexed(lines: DataFrame, edits: Edits) -> DataFrame:
+    """(bucket, place, member) of all keys of lines (member, line), each bucket in one
+    task, sorted by bucket and place. The place takes the last bits of the key (three for
+    ``EDITS``), so that narrow rows are sorted by one number."""
+    other = edits[-1][1] + 1  # above all segments' numbers
+    bits = F.lit((1 << other.bit_length()) - 1).cast("long")
+    made = lines.mapInArrow(keyed(edits), "bucket bigint, place int, member bigint")
+    place = F.least("place", F.lit(other)).cast("long")
+    rows = made.select(F.col("bucket").bitwiseAND(F.bitwise_not(bits)).bitwiseOR(place).alias("key"), "member")
+    bucket, place = F.col("key").bitwiseAND(F.bitwise_not(bits)), F.col("key").bitwiseAND(bits).cast("int")
+    return rows.repartition(bucket).sortWithinPartitions("key").select(
+        bucket.alias("bucket"), F.when(place < other, place).otherwise(OWN + 1).alias("place"), "member")
+
+
 def _texts(lines: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     """(member, line, copies) of the members of ``rows``, read from ``lines``."""
     ids = stored(rows.select("member").distinct(), "members")
@@ -343,10 +357,8 @@ def near_lines(docs: DataFrame, edits: Edits = EDITS) -> DataFrame:
         hashed.groupBy("h1", "h2", "n_chars").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies")),
         "lines")
     long = hashed.where(F.col("n_chars") >= edits[0][0]).select(F.col("h1").alias("member"), "line")
-    spread = long.mapInArrow(keyed(edits), "bucket bigint, place int, member bigint")
     rows = stored(
-        spread.repartition("bucket").sortWithinPartitions("bucket", "place")
-        .mapInArrow(shared_keys(OWN), "bucket bigint, place int, member bigint")
+        indexed(long, edits).mapInArrow(shared_keys(OWN), "bucket bigint, place int, member bigint")
         .groupBy("bucket", "member").agg(F.min("place").alias("place")), "shared")
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("place").alias("segment"))
     members = rows.join(sizes, "bucket").join(_texts(long, rows, classes), "member").select(

@@ -39,8 +39,9 @@ BROADCAST_LINES = 500_000
 CELLS = 1 << 21
 #: Places up to this one are a line's own segments.
 OWN = 63
-#: Code points whose keys are made at once, and lines that a task remembers as done.
-CHUNK, SEEN = 1 << 20, 1 << 18
+#: Code points whose keys are made at once, which stay in the processor's cache, and lines
+#: that a task remembers as done.
+CHUNK, SEEN = 1 << 18, 1 << 18
 
 
 def allowed(size: int, edits: Edits = EDITS) -> int:
@@ -77,6 +78,20 @@ def _mixed(codes: np.ndarray) -> np.ndarray:
     return codes ^ (codes >> np.uint64(32))
 
 
+def powers_up_to(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers from 0 of the hash's base, and of its inverse."""
+    base = 0x5851F42D4C957F2D
+    powers, inverse = (np.full(most + 1, b, dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64)))
+    powers[0] = inverse[0] = 1
+    return np.cumprod(powers, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
+
+
+@cache
+def kept_powers(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those that most chunks need."""
+    return powers_up_to(most)
+
+
 def line_keys(lines: list[str], edits: Edits = EDITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(line, key, place) of each segment and each probed substring of lines. Segments
     have their number as place, other substrings one above ``OWN``.
@@ -86,10 +101,8 @@ def line_keys(lines: list[str], edits: Edits = EDITS) -> tuple[np.ndarray, np.nd
     size = np.array([len(x) for x in lines], dtype=np.int64)
     start = np.cumsum(size) - size
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    base = 0x5851F42D4C957F2D
-    powers, inverse = (np.full(len(codes) + 1, b, dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64)))
-    powers[0] = inverse[0] = 1
-    powers, inverse = np.cumprod(powers, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
+    found_powers = kept_powers(CHUNK) if len(codes) <= CHUNK else powers_up_to(len(codes))
+    powers, inverse = (x[: len(codes) + 1] for x in found_powers)
     sums = np.zeros(len(codes) + 1, dtype=np.uint64)
     np.cumsum(_mixed(codes.astype(np.uint64)) * powers[:-1], dtype=np.uint64, out=sums[1:])
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

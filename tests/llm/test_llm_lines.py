@@ -265,3 +265,11 @@ def test_keys_are_sorted_by_one_number(spark):
     assert sorted(r for rows in parts for r in rows) == want
     assert all([r[:2] for r in rows] == sorted(r[:2] for r in rows) for rows in parts)
     assert sum(len({r[0] for r in rows}) for rows in parts) == len({r[0] for r in want})
+
+
+def test_a_line_longer_than_a_chunk_has_the_same_keys(monkeypatch):
+    some = ["ab é" * 50, "x" * 33, "abc " * 100]
+    want = [x.tolist() for x in lines.line_keys(some)]
+    monkeypatch.setattr(lines, "CHUNK", 64)
+    assert [x.tolist() for x in lines.line_keys(some)] == want
+    assert len(lines.kept_powers(64)[0]) == 65

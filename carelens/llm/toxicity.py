@@ -47,8 +47,8 @@ FINE, STEP, FAR = 1 << 36, 1 << 10, 64
 EPOCHS, BATCH, RATE = 4, 32, 0.02
 #: Words of a text that are convolved at once at most, and of texts together.
 WORDS, TOGETHER = 100_000, 8_000
-#: Texts whose words are told apart together.
-TEXTS = 2000
+#: Texts whose words are told apart together; more would save time, but workers keep the memory.
+TEXTS = 500
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 SIGNS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 
@@ -219,6 +219,7 @@ def in_parts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         buckets, code, ends = split(texts[k : k + TEXTS])
         for start, end in zip([0, *ends.tolist()], ends.tolist(), strict=False):
             yield buckets, code[start:end]
+    pa.default_memory_pool().release_unused()
 
 
 #: A text to learn from: a row of feature buckets and a count for each distinct word,
@@ -602,7 +603,9 @@ def scorer(model: Convolution | None, docs: DataFrame):
         def run(texts: list[str]) -> np.ndarray:
             if net is None:
                 return np.zeros(len(texts))
-            return np.concatenate([some(texts[k : k + TEXTS]) for k in range(0, len(texts), TEXTS)])
+            found = np.concatenate([some(texts[k : k + TEXTS]) for k in range(0, len(texts), TEXTS)])
+            pa.default_memory_pool().release_unused()  # what runs next in this worker needs it
+            return found
 
         return run
 

@@ -5,7 +5,8 @@ prefix on the path, the last token of the prefix's encoding; the encoding of a
 longer prefix is the encoding of a shorter one plus a token that may stand after
 that one's last token, so what words share is encoded once. A text is then a list
 of look-ups. Nothing is shuffled: each task walks its own tries, with memory
-bounded by the batch and a limited cache of encodings.
+bounded by a stretch of texts and a limited cache of encodings: a worker lives on beside
+others and an executor whose heap earlier stages have filled.
 
 Normalisation and the splitting into words are those of the tokenizer file; the
 vocabulary is broadcast as the file's text, so executors need no file.
@@ -16,17 +17,24 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from carelens.llm.common import carrying, mapped
 
 #: Encodings that a worker keeps in each of two generations: when the younger is full,
-#: it becomes the older, whose unused encodings are then dropped.
-CACHED = 125_000
-#: Texts whose distinct words make one trie.
-TEXTS = 1000
+#: it becomes the older, whose unused encodings are then dropped. Most words stand in one
+#: stretch of texts only; they are kept from the second on, which ``SEEN`` bytes tell.
+CACHED, SEEN = 80_000, 1 << 21
+#: Texts whose distinct words make one trie, and their code points unless one text has more.
+TEXTS, CHARS = 1000, 1_500_000
+#: Pairs of tokens of which a worker keeps whether one may follow the other.
+PAIRS = 150_000
+#: The kind of number that ids are kept as, to ``array`` and to numpy.
+ID = "I"
 #: Longer pieces between white space are encoded, but not kept.
 CACHED_CHARS = 64
 #: Pieces that a normaliser to NFC and lower case leaves as they are but for case,
@@ -59,6 +67,41 @@ def used_again(new: set[str], kept: dict, before: dict) -> set[str]:
     return new - known
 
 
+def stretches(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in stretches of ``TEXTS`` texts and ``CHARS`` code points at
+    most; a longer text is a stretch of its own."""
+    start, size = 0, 0
+    for at, text in enumerate(texts):
+        if at > start and (at - start >= TEXTS or size + len(text) > CHARS):
+            yield texts[start:at]
+            start, size = at, 0
+        size += len(text)
+    if texts:
+        yield texts[start:]
+
+
+class Seen:
+    """Words that came before, as marks at their hashes: now and then a new one is taken
+    for one of them. The marks start anew when a quarter of them is set."""
+
+    def __init__(self):
+        self.marks, self.n = bytearray(SEEN), 0
+
+    def new(self, words: Iterable[str]) -> list[str]:
+        """Those that didn't come before; from now on they did."""
+        marks, mask = self.marks, len(self.marks) - 1
+        found = []
+        for word in words:
+            at = hash(word) & mask
+            if not marks[at]:
+                marks[at] = 1
+                found.append(word)
+        self.n += len(found)
+        if self.n * 4 > len(marks):
+            self.__init__()
+        return found
+
+
 class TrieEncoder:
     """BPE over symbols: a byte, or 256 plus a byte where it ends a word."""
 
@@ -73,7 +116,10 @@ class TrieEncoder:
         self.names = {i: t for t, i in bpe["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in found.get("added_tokens", [])}
         self.names |= {i: t for t, i in self.special.items()}
-        self.digits = {i: str(i) for i in self.names}
+        # by id; what is kept of a word are its ids as 32-bit numbers, which cost less than strings
+        self.decimals, self.spellings = np.empty((2, max(self.names, default=0) + 1), dtype=object)
+        for i, name in self.names.items():
+            self.decimals[i], self.spellings[i] = str(i), name
         self.plain = plain_pieces(found)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.spelled: dict[str, int] = {}
@@ -95,10 +141,11 @@ class TrieEncoder:
         self.whole: dict[int, bool] = {}
         self.follows: dict[tuple[int, int], bool] = {}
         # of pieces between white space, and of plain words; each younger and older
-        self.kept: dict[str, tuple[str, str, int]] = {}
-        self.kept_before: dict[str, tuple[str, str, int]] = {}
-        self.words: dict[str, tuple[str, str, int]] = {}
-        self.words_before: dict[str, tuple[str, str, int]] = {}
+        self.kept: dict[str, bytes] = {}
+        self.kept_before: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.words_before: dict[str, bytes] = {}
+        self.seen, self.seen_words = Seen(), Seen()
 
     def _edge(self, token: int, until: float, side: int) -> list[tuple[int, float]]:
         """The pieces that stand at a token's left (1) or right (2) edge while it
@@ -134,7 +181,7 @@ class TrieEncoder:
     def _may_follow(self, a: int, b: int) -> bool:
         known = self.follows.get((a, b))
         if known is None:
-            if len(self.follows) > 2_000_000:
+            if len(self.follows) >= PAIRS:
                 self.follows.clear()
             known = self.follows[a, b] = self._apart(a, b, float("inf"))
         return known
@@ -204,12 +251,9 @@ class TrieEncoder:
                     found.append("".join(map(chr, codes[:-1])) + chr(codes[-1] + 256 * bool(self.end)))
         return found
 
-    def _told(self, ids: list[int]) -> tuple[str, str, int]:
-        return " ".join([self.digits[i] for i in ids]), self.decode(ids), len(ids)
-
-    def encode_pieces(self, pieces: Iterable[str]) -> dict[str, tuple[str, str, int]]:
-        """For each piece the ids and the decoded text, joined, and the number of
-        ids. Plain pieces are a word and the signs after it, told from the cache."""
+    def encode_pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """For each piece its ids, as 32-bit numbers. Plain pieces are a word and the signs
+        after it, told from the cache."""
         plain, other = {}, {}
         for piece in pieces:
             if self.plain and (m := PLAIN.fullmatch(piece)):
@@ -226,16 +270,14 @@ class TrieEncoder:
             as_symbols[word] = code[:-1].decode("latin-1") + chr(256 + code[-1])
         known = self.encode_words({*as_symbols.values(), *(w for ws in other.values() for w in ws if isinstance(w, str))})
         for word, symbols in as_symbols.items():
-            self.words[word] = self._told(known[symbols])
+            self.words[word] = array(ID, known[symbols]).tobytes()
         out = {}
         for piece, (word, signs) in plain.items():
-            told = self.words[word]
-            if signs:
-                end = self.words[signs]
-                told = (f"{told[0]} {end[0]}", f"{told[1]} {end[1]}", told[2] + end[2])
-            out[piece] = told
+            out[piece] = self.words[word] + self.words[signs] if signs else self.words[word]
         for piece, words in other.items():
-            out[piece] = self._told([i for w in words for i in ([w] if isinstance(w, int) else known[w])])
+            out[piece] = array(ID, [i for w in words for i in ([w] if isinstance(w, int) else known[w])]).tobytes()
+        for word in self.seen_words.new(as_symbols):
+            del self.words[word]
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -246,24 +288,22 @@ class TrieEncoder:
         """Ids, decoded text and number of ids of each text. No word, and nothing
         that normalisation joins, crosses an ASCII space or line end, so a text is
         the sequence of the pieces between them."""
-        for start in range(0, len(texts), TEXTS):
-            yield from self._encode_some([re.split("[ \t\r\n]+", t) for t in texts[start : start + TEXTS]])
+        for some in stretches(texts):
+            yield from self._encode_some([re.split("[ \t\r\n]+", t) for t in some])
 
     def _encode_some(self, pieces: list[list[str]]) -> Iterator[tuple[str, str, int]]:
         if len(self.kept) > CACHED:
             self.kept_before, self.kept = self.kept, {}
-        self.kept.setdefault("", ("", "", 0))
+        self.kept.setdefault("", b"")
         new = used_again(set().union(*pieces) - self.kept.keys(), self.kept, self.kept_before)
+        self.kept |= self.encode_pieces(new)
         long = {p for p in new if len(p) > CACHED_CHARS}
-        self.kept |= self.encode_pieces(new - long)
-        rare = self.encode_pieces(long) if long else {}
+        kept = self.kept
         for found in pieces:
-            if rare:
-                told = [self.kept.get(p) or rare[p] for p in found]
-            else:
-                told = [self.kept[p] for p in found]
-            told = [x for x in told if x[2]]
-            yield " ".join([x[0] for x in told]), " ".join([x[1] for x in told]), sum([x[2] for x in told])
+            ids = np.frombuffer(b"".join([kept[p] for p in found]), dtype=ID)
+            yield " ".join(self.decimals[ids].tolist()), " ".join(self.spellings[ids].tolist()), len(ids)
+        for piece in [*long, *self.seen.new(new - long)]:
+            del self.kept[piece]
 
 
 def vocabulary(spark: SparkSession, path: str):
@@ -297,7 +337,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         return run
 
     rows = carrying(docs, [c for c in docs.columns if c != text], text)
-    return mapped(rows, make, {"ids": "string", "n_tokens": "bigint", "decoded": "string"})
+    return mapped(rows, make, {"ids": "string", "n_tokens": "bigint", "decoded": "string"}, TEXTS)
 
 
 def encode_digest(docs: DataFrame, path: str) -> DataFrame:
@@ -317,5 +357,5 @@ def encode_digest(docs: DataFrame, path: str) -> DataFrame:
         return run
 
     told = mapped(carrying(docs, ["doc_id"], "text"), make, {
-        "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"})
+        "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, TEXTS)
     return told.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -23,14 +23,14 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.llm.common import carrying, mapped
+from carelens.llm.common import carrying, give_back, mapped
 
 #: Encodings that a worker keeps in each of two generations: when the younger is full,
 #: it becomes the older, whose unused encodings are then dropped. Most words stand in one
 #: stretch of texts only; they are kept from the second on, which ``SEEN`` bytes tell.
-CACHED, SEEN = 80_000, 1 << 21
+CACHED, SEEN = 50_000, 1 << 21
 #: Texts whose distinct words make one trie, and their code points unless one text has more.
-TEXTS, CHARS = 1000, 1_500_000
+TEXTS, CHARS = 1000, 1_000_000
 #: Pairs of tokens of which a worker keeps whether one may follow the other.
 PAIRS = 150_000
 #: The kind of number that ids are kept as, to ``array`` and to numpy.
@@ -317,6 +317,7 @@ def encoder_of(shared: dict) -> TrieEncoder:
     that tasks in one worker share what it keeps."""
     if "encoder" not in shared:
         shared["encoder"] = TrieEncoder(shared["model"])
+        give_back()  # what reading the file took
     return shared["encoder"]
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import carrying, chosen, held_out, mapped, stored, text_of
+from carelens.llm.common import carrying, chosen, give_back, held_out, mapped, stored, text_of
 
 #: Labelled rows that one network is trained on in a task, about; the networks of all
 #: such blocks become one. A block ends at twice as many rows, or at ``BLOCK_BYTES``.
@@ -250,6 +250,7 @@ def windows_in(buckets: np.ndarray, words: np.ndarray) -> Windows:
         windows = np.unique(windows @ power)[:, None] // power % (n + 1)
     else:
         windows = np.unique(windows, axis=0)
+    windows = windows.astype(np.uint16 if n < 1 << 16 else np.int64)  # blocks hold those of thousands of texts
     rows = np.zeros((n, 2 + len(PREFIXES)), dtype=np.int32)
     if n:
         rows[:, :-1] = buckets[own[order]]
@@ -463,6 +464,7 @@ def counted(rows: DataFrame, langs: list[str]) -> pd.DataFrame:
     Tasks count first, so what is left is bounded by slots and buckets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         found: dict[int, np.ndarray] = {}
         place = {lang: 2 * FOLDS + k for k, lang in enumerate(langs)}
         for batch in batches:
@@ -505,6 +507,7 @@ def trained(rows: DataFrame, starts: list[Convolution]) -> list[Convolution]:
     places = [f"d{i}" for i in range(DIM)]
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         nets = [Convolution(*s) for s in shared.value]
         texts: list[Windows] = []
         labels: list[int] = []
@@ -512,6 +515,7 @@ def trained(rows: DataFrame, starts: list[Convolution]) -> list[Convolution]:
         size = 0
 
         def block() -> Iterator[pd.DataFrame]:
+            give_back()  # what making the windows took
             y, fold = np.array(labels, dtype=float), np.array(folds)
             for k, start in enumerate(nets):
                 own = np.flatnonzero(fold != k)
@@ -529,10 +533,11 @@ def trained(rows: DataFrame, starts: list[Convolution]) -> list[Convolution]:
                 texts.append(text)
                 labels.append(y)
                 folds.append(fold)
-                size += sum(part.nbytes for part in texts[-1])
+                size += text[0].nbytes + 8 * text[1].size
                 if len(texts) >= 2 * BLOCK_ROWS or size >= BLOCK_BYTES:
                     yield from block()
                     texts, labels, folds, size = [], [], [], 0
+        batch = None  # its texts aren't needed any more
         if texts:
             yield from block()
 
@@ -554,6 +559,7 @@ def margins_of(rows: DataFrame, nets: list[Convolution]) -> pd.DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast([state_of(n) for n in nets])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         own = [Convolution(*s) for s in shared.value]
         found: Counter[tuple[int, int, int]] = Counter()
         for batch in batches:

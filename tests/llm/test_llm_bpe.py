@@ -49,6 +49,42 @@ def test_small_caches_change_nothing(monkeypatch):
     same([" ".join(rng.choice("ab") * rng.randint(1, 9) + rng.choice(["", "!", "é", "1"]) for _ in range(rng.randint(0, 12))) for _ in range(300)])
 
 
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 2000)
+    monkeypatch.setattr(bpe, "CHARS", 20_000)
+    monkeypatch.setattr(bpe, "PAIRS", 3000)
+    rng, own = random.Random(4), TrieEncoder(MODEL)
+    often = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(50)]
+    texts = [" ".join([*often, *("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(50))]) for _ in range(2000)]
+    sizes = []
+    for text, (ids, decoded, n) in zip(texts, own.encode_texts(texts), strict=True):
+        sizes.append(max(map(len, (own.kept, own.kept_before, own.words, own.words_before))))
+    # 100,000 words stand in one text only; a stretch has at most 20,000 code points, under 2,100 words
+    assert max(sizes) <= 2000 + 2100 and len(own.follows) <= 3000
+    assert set(often) <= own.kept.keys() | own.kept_before.keys()
+    assert not own.kept.keys() & set(texts[0].split()[50:])
+    assert ids == " ".join(map(str, LIBRARY.encode(texts[-1], add_special_tokens=False).ids))
+
+
+def test_stretches_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "TEXTS", 3)
+    monkeypatch.setattr(bpe, "CHARS", 10)
+    texts = ["a" * 4, "b" * 4, "c" * 4, "d" * 50, "", "e", "f", "g" * 10]
+    assert [len(x) for x in bpe.stretches(texts)] == [2, 1, 1, 3, 1]
+    assert [t for x in bpe.stretches(texts) for t in x] == texts
+    assert list(bpe.stretches([])) == []
+
+
+def test_rows_are_taken_a_few_at_once(docs):
+    from carelens.llm.common import carrying, mapped
+
+    rows = carrying(docs([(k, "x" * k) for k in range(25)]).coalesce(1), ["doc_id"], "text")
+    told = mapped(rows, lambda: lambda texts: ([len(texts)] * len(texts), map(len, texts)), {"n": "bigint", "size": "bigint"}, 10)
+    got = told.select("row.doc_id", "n", "size").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(25)) and all(r["doc_id"] == r["size"] for r in got)
+    assert max(r["n"] for r in got) <= 10
+
+
 def test_table(docs):
     rows = [(1, "Hello, world! " * 500), (2, None), (3, ""), (4, "same"), (4, "same"), (None, "no id")]
     told = encode_digest(docs(rows, extra=True), TOKENIZER).collect()

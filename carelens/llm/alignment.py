@@ -32,17 +32,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from carelens.llm.common import stored, text_of
+from carelens.llm.bpe import Seen
+from carelens.llm.common import give_back, stored, text_of
 
 #: Bytes of the texts of a part; a longer text is a part.
-TEXT_BYTES = 8_000_000
+TEXT_BYTES = 1_500_000
 #: Chunks kept in each of the two generations of a worker's cache, and the longest kept.
-CACHED, CACHED_CHARS = 80_000, 64
+#: Most stand in one part only; they are kept from the second on.
+CACHED, CACHED_CHARS = 100_000, 64
+#: Chunks that are learnt at once.
+LEARNT = 5_000
 #: Distinct pairs (17 bytes each) up to which their counts are broadcast; beyond, each
 #: part's pairs are joined to them.
 BROADCAST_PAIRS = 2_000_000
 #: Pairs that a task holds before it passes their counts on.
-HELD_PAIRS = 4_000_000
+HELD_PAIRS = 1_000_000
 #: Letters, and the ASCII signs after them but for the apostrophe: the first tokenizer
 #: cuts between the two and nowhere else.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -121,6 +125,7 @@ class Aligner:
         self.new: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
         self.signs: dict[str, tuple] = {}
+        self.seen = Seen()
 
     def _b_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -217,8 +222,8 @@ class Aligner:
                     signs[b] = None
                 cut.append((i, a, b))
         missing = [w for w, t in words.items() if t is None]
-        for start in range(0, len(missing), 50_000):
-            words |= self._learn(missing[start : start + 50_000], True)
+        for start in range(0, len(missing), LEARNT):
+            words |= self._learn(missing[start : start + LEARNT], True)
         ends = self.signs | self._learn(list(signs), False) if signs else self.signs
         for i, a, b in cut:
             x = words[a]
@@ -226,7 +231,8 @@ class Aligner:
                 y = ends[b]
                 x = (f"{x[0]};{y[0]}", x[1] + y[1], x[2] + y[2], x[3] + y[3], x[4] + y[4]) if x and y else ()
             told[i] = x
-        self.new |= {w: v for w, v in words.items() if len(w) <= CACHED_CHARS}
+        once = set(self.seen.new(missing))
+        self.new |= {w: v for w, v in words.items() if w not in once and len(w) <= CACHED_CHARS}
         self.signs |= {b: ends[b] for b in signs if len(b) <= CACHED_CHARS}
         return told
 
@@ -266,23 +272,32 @@ class Aligner:
 
     def parts(self, doc_ids: pa.Array, texts: pa.Array, wanted: bool = False) -> Iterator[dict]:
         """The rows of some documents. Most texts have no space after white space and
-        are cut by Arrow; the others by a pattern."""
-        odd = pc.match_substring_regex(texts, DOUBLE)
-        for cut_by_pattern in (False, True):
-            here = odd if cut_by_pattern else pc.invert(odd)
-            ids, some = doc_ids.filter(here), texts.filter(here)
-            for at, upto in spans(some):
-                part = some.slice(at, upto - at)
-                if cut_by_pattern:
+        are cut by Arrow; the others, which come last in their part, by a pattern."""
+        for at, upto in spans(texts):
+            ids, some = doc_ids.slice(at, upto - at), texts.slice(at, upto - at)
+            odd = pc.match_substring_regex(some, DOUBLE)
+            by_kind = [odd] if pc.all(odd).as_py() else [pc.invert(odd), odd] if pc.any(odd).as_py() else [pc.invert(odd)]
+            pieces, offsets = [], [np.zeros(1, dtype=np.int64)]
+            for here in by_kind:
+                part = some.filter(here)
+                if here is odd:
                     cut = [[c[1:] for c in CHUNK.split(" " + t)] for t in part.to_pylist()]
-                    offsets = np.cumsum([0, *map(len, cut)])
-                    pieces = pa.array([c for cs in cut for c in cs], pa.string())
+                    size = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+                    pieces.append(pa.array(chain.from_iterable(cut), pa.string()))
                 else:
                     cut = pc.split_pattern(part, " ")
-                    offsets = cut.offsets.to_numpy().astype(np.int64)
-                    offsets, pieces = offsets - offsets[0], cut.flatten()
-                fit = np.not_equal(pc.binary_length(part).to_numpy(zero_copy_only=False), 0)
-                yield self.part(ids.slice(at, upto - at).to_pylist(), pieces, offsets, fit, wanted)
+                    size = np.diff(cut.offsets.to_numpy().astype(np.int64))
+                    pieces.append(cut.flatten())
+                offsets.append(offsets[-1][-1] + np.cumsum(size))
+            ids, some = (pa.concat_arrays([x.filter(here) for here in by_kind]) for x in (ids, some))
+            fit = np.not_equal(pc.binary_length(some).to_numpy(zero_copy_only=False), 0)
+            yield self.part(ids.to_pylist(), pa.concat_arrays(pieces), np.concatenate(offsets), fit, wanted)
+
+
+def one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Its rows, of which one at a time is copied."""
+    for i in range(batch.num_rows):
+        yield from batch.slice(i, 1).to_pylist()
 
 
 def spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -311,12 +326,15 @@ def _rows(docs: DataFrame, a_path: str, b_path: str, wanted: bool) -> DataFrame:
     names = [c.strip().split(" ")[0] for c in schema.split(", ")]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         aligner = aligner_of(shared.value)
         kinds = [pa.list_(pa.string()) if n == "groups_sha256" else pa.list_(pa.int64()) if n not in ("chunks", "ends", "pairs", "pair_ends")
                  else pa.binary() for n in names]
         for batch in batches:
             for row in aligner.parts(batch.column(0), batch.column(1), wanted):
                 yield pa.RecordBatch.from_arrays([pa.array([row[n]], k) for n, k in zip(names, kinds, strict=True)], names)
+                del row
+                give_back()  # what the part took, which the worker would hold beside its executor
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).mapInArrow(task, schema)
 
@@ -339,6 +357,7 @@ def pair_counts(parts: DataFrame) -> DataFrame:
     best (whether no pair of its second id has more), stored."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -351,11 +370,11 @@ def pair_counts(parts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["pair", "n"])
 
         for batch in batches:
-            for chunks, pairs, ends in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                ends = array_of(ends, "<i8")
-                times = np.bincount(array_of(chunks, "<i4"), minlength=len(ends))
+            for row in one_by_one(batch):
+                ends = array_of(row["pair_ends"], "<i8")
+                times = np.bincount(array_of(row["chunks"], "<i4"), minlength=len(ends))
                 times = np.repeat(times, np.diff(ends, prepend=0))
-                pairs, used = array_of(pairs, "<i8"), times > 0
+                pairs, used = array_of(row["pairs"], "<i8"), times > 0
                 held.append((pairs[used], times[used]))
                 if sum(len(k) for k, _ in held) > HELD_PAIRS:
                     held = [merged()]
@@ -415,17 +434,18 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, broadcast_pairs: int = BR
             tuple(np.ascontiguousarray(some[c].to_numpy()) for c in ("pair", "n", "best")))
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            give_back()
             for batch in batches:
-                for row in batch.to_pylist():
+                for row in one_by_one(batch):
                     yield pa.RecordBatch.from_pandas(told(row, *shared.value), preserve_index=False)
 
         return parts.select(*fields).mapInArrow(task, TOLD)
 
     def distinct(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, pairs in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                keys = np.unique(array_of(pairs, "<i8"))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part)), pa.array(keys)], ["part", "pair"])
+            for row in one_by_one(batch):
+                keys = np.unique(array_of(row["pairs"], "<i8"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), row["part"])), pa.array(keys)], ["part", "pair"])
 
     def bring(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         known = known.sort_values("pair")

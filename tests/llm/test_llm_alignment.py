@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -10,6 +12,7 @@ from hypothesis import strategies as st
 from llm_fixtures import SMALL, docs, told  # noqa: F401
 from tokenizers import Tokenizer
 
+from carelens.llm import alignment
 from carelens.llm.alignment import BYTE_OF, Aligner, aligned, aligned_groups, labels
 from carelens.llm.common import table
 from carelens.llm.queries import BYTE_TOKENIZER, PIECE_TOKENIZER, op12_token_alignment
@@ -126,3 +129,47 @@ def test_groups_and_no_rows(docs):
 def test_whole_table(spark):
     rows = [tuple(r) for r in table(spark, SMALL, "documents").select("doc_id", "text").collect()]
     assert sorted(map(tuple, op12_token_alignment(spark, SMALL).collect()), key=repr) == brute(rows)
+
+
+def own_aligner():
+    own = Aligner(open(BYTE_TOKENIZER, encoding="utf-8").read(), open(PIECE_TOKENIZER, "rb").read())
+    return own, lambda texts: own.parts(pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string()))
+
+
+def test_words_of_one_part_are_not_kept(monkeypatch):
+    monkeypatch.setattr(alignment, "CACHED", 400)
+    monkeypatch.setattr(alignment, "TEXT_BYTES", 3000)
+    rng, (own, parts) = random.Random(4), own_aligner()
+    often = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(50)]
+    texts = [" ".join([*often, *("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(50))]) for _ in range(300)]
+    sizes = [max(len(own.new), len(own.old)) for _ in parts(texts)]
+    assert len(sizes) >= 100 and max(sizes) <= 400 + 200
+    assert set(often) <= own.new.keys() | own.old.keys()
+    once = {w for t in texts for w in t.split()[50:]}
+    assert len(once & (own.new.keys() | own.old.keys())) < 200  # some take a place in ``Seen`` that another has
+
+
+def test_parts_take_texts_as_they_come(monkeypatch):
+    monkeypatch.setattr(alignment, "TEXT_BYTES", 40)
+    _, parts = own_aligner()
+    texts = ["one two three", "two  spaces", "", "four", " x" * 40, " y", "  z", "end"]
+    rows = list(parts(texts))
+    assert [sorted(r["doc_id"]) for r in rows] == [[0, 1, 2, 3], [4], [5, 6, 7]]
+    got = {d: (a, b) for r in rows for d, a, b in zip(r["doc_id"], r["n_a"], r["n_b"], strict=True)}
+    assert got == {i: tuple(map(len, tokens(t))) for i, t in enumerate(texts)}
+
+
+def test_memory_does_not_grow_with_a_batch():
+    rng, (_, parts) = random.Random(4), own_aligner()
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=1000)) for _ in range(800)]  # 5.6 MB
+    for _ in parts(texts[:50]):
+        pass
+    tracemalloc.start()
+    try:
+        for _ in parts(texts):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40e6

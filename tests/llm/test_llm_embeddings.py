@@ -1,3 +1,6 @@
+import os
+import threading
+
 import numpy as np
 import pytest
 from llm_fixtures import SMALL
@@ -79,3 +82,60 @@ def test_given_table(spark):
     label = np.array([r[2] for r in rows])
     n = ((x @ x.T >= 0.98) & (label[:, None] == label)).sum(axis=1) - 1
     assert {r["vec_id"]: r["n_links"] for r in told.collect()} == {r[0]: k for r, k in zip(rows, n.tolist(), strict=True)}
+
+
+@pytest.mark.parametrize(("per_pivot", "block", "tile_bytes"), [(40, 500, 1 << 26), (300, 1 << 18, 100_000)])
+def test_many_tiles_and_cells_of_many_dimensions(spark, monkeypatch, per_pivot, block, tile_bytes):
+    monkeypatch.setattr(embeddings, "PER_PIVOT", per_pivot)
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "TILE_BYTES", tile_bytes)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2400, 40))
+    x[600:1200] = x[:600] + rng.uniform(0, 0.25, size=(600, 1)) * rng.normal(size=(600, 40))  # about the border
+    x[1200:1700] = x[1200] + 0.05 * rng.normal(size=(500, 40))  # one dense group
+    x = (x * rng.uniform(1e-3, 1e3, size=(2400, 1))).astype(np.float32)
+    x[1700:1720] = x[1200]
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    label = np.arange(2400) % 2 * (np.arange(2400) < 600)
+    linked = (u @ u.T >= 0.98) & (label[:, None] == label[None, :])
+    least = np.arange(2400)
+    while not (least == (now := np.where(linked, least[None, :], 2400).min(axis=1))).all():
+        least = now
+    rows = [(i, x[i].tolist(), int(label[i])) for i in range(2400)]
+    got = embeddings_digest(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    told = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got}
+    assert told == {i: (n - 1, c) for i, (n, c) in enumerate(zip(linked.sum(axis=1).tolist(), least.tolist(), strict=True))}
+
+
+def test_disk_of_a_large_label(spark):
+    """Vectors aren't copied to each block and cell of their label: intermediate files
+    stay within a few times the vectors' bytes, however many meet."""
+    folders = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def on_disk():
+        total = 0
+        for top in folders:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    try:
+                        total += os.path.getsize(os.path.join(folder, name))
+                    except OSError:
+                        pass  # it went meanwhile
+        return total
+
+    start, most, over = on_disk(), [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.1):
+            most[0] = max(most[0], on_disk())
+
+    n = 20_000
+    rows = spark.range(n).selectExpr("id as vec_id", "transform(sequence(1, 64), i -> cast(hash(id, i) as float)) as embedding", "0 as label")
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        assert embeddings_digest(rows).agg({"n_links": "sum"}).first()[0] == 0
+    finally:
+        over.set()
+        watching.join()
+    assert most[0] - start < 8 * n * 64 * 4
